@@ -1 +1,252 @@
-"""Registered queries (filled in as operators land)."""
+"""Registered queries: QA audits (H1..H6) and the audit-log slice replace."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+
+from ledgerline.operators import audits as A
+from ledgerline.operators.checks import DATA_TESTS
+from ledgerline.plans.catalog import register
+from ledgerline.plans.oracle_sql import typed_sql
+from ledgerline.plans.tables import Tables
+from ledgerline.sources.layouts import ALL_TABLES, FACTS, LAYOUTS
+
+RUN_ID = A.DEFAULT_RUN_ID
+RUN_TS = A.DEFAULT_RUN_TS
+TS_SQL = f"TIMESTAMP '{RUN_TS}'"
+RERUN_OLD_HI = 10000.0
+DOMAIN_HI = 50000.0
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+# ---------------------------------------------------------------- Spark side
+
+
+def _null_rate(t: Tables) -> DataFrame:
+    return _union([A.null_rate(t.get(n), n) for n in ALL_TABLES])
+
+
+def _dup_issues(t: Tables) -> DataFrame:
+    return _union([A.duplicate_key_issues(t.get(n).select("cycle", A.DUPLICATE_KEYS[n]), n) for n in ALL_TABLES])
+
+
+def _dup_summary(t: Tables) -> DataFrame:
+    return _union([A.duplicate_key_summary(t.get(n).select("cycle", A.DUPLICATE_KEYS[n]), n) for n in ALL_TABLES])
+
+
+def _orphans(t: Tables) -> DataFrame:
+    parents: dict = {}
+    children = sorted({d.table for d in DATA_TESTS if d.test_name == "relationships"})
+    return _union([A.referential_orphans(t.get, c, parents=parents) for c in children])
+
+
+def _domain(t: Tables, hi: float = DOMAIN_HI) -> DataFrame:
+    raw = ("TRANSACTION_AMT", "TRANSACTION_DT")
+    return _union([
+        A.amount_date_domain(t.get(n, keep_raw=raw).select("cycle", *raw, *[f"{r}_raw" for r in raw]), n, hi=hi)
+        for n in FACTS])
+
+
+def _issue_log(t: Tables) -> DataFrame:
+    return _union([
+        A.issue_log(_null_rate(t)),
+        _dup_issues(t).withColumn("detected_at", A._ts(RUN_TS)),
+        A.issue_log(_orphans(t)),
+        A.issue_log(_domain(t)),
+    ])
+
+
+@register("qa_null_rate")
+def qa_null_rate(spark, sf_dir):
+    return _null_rate(Tables(spark, sf_dir))
+
+
+@register("qa_duplicate_key")
+def qa_duplicate_key(spark, sf_dir):
+    return _dup_issues(Tables(spark, sf_dir))
+
+
+@register("qa_duplicate_summary")
+def qa_duplicate_summary(spark, sf_dir):
+    return _dup_summary(Tables(spark, sf_dir))
+
+
+@register("qa_referential_orphan")
+def qa_referential_orphan(spark, sf_dir):
+    return _orphans(Tables(spark, sf_dir))
+
+
+@register("qa_amount_date_domain")
+def qa_amount_date_domain(spark, sf_dir):
+    return _domain(Tables(spark, sf_dir))
+
+
+@register("qa_run_summary")
+def qa_run_summary(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return _union([A.summary(_null_rate(t)), _dup_summary(t), A.summary(_orphans(t)), A.summary(_domain(t))])
+
+
+@register("qa_issue_log")
+def qa_issue_log(spark, sf_dir):
+    return _issue_log(Tables(spark, sf_dir))
+
+
+@register("qa_issue_ids")
+def qa_issue_ids(spark, sf_dir):
+    return A.assign_issue_ids(_issue_log(Tables(spark, sf_dir)), mode="batch")
+
+
+@register("qa_issue_ids_unique")
+def qa_issue_ids_unique(spark, sf_dir):
+    return A.assign_issue_ids(_issue_log(Tables(spark, sf_dir)), mode="unique")
+
+
+@register("qa_rerun_replace")
+def qa_rerun_replace(spark, sf_dir):
+    """Old log (null-rate + domain with a tighter range) re-run for the domain audit."""
+    t = Tables(spark, sf_dir)
+    old = A.issue_log(_null_rate(t)).unionByName(A.issue_log(_domain(t, hi=RERUN_OLD_HI)))
+    new_metrics = _domain(t)
+    covered = new_metrics.select("run_id", "cycle", "table_name", new_metrics["metric_name"].alias("issue_type"))
+    return A.replace_slices(old, A.issue_log(new_metrics), covered)
+
+
+# ---------------------------------------------------------------- oracle side
+
+
+def _metric_sql(table: str, metric: str, details: str, inner: str, rows_col: str = "rows") -> str:
+    """``inner`` yields (cycle, issue_key, issue_count, rows)."""
+    return (
+        f"select {RUN_ID}::bigint as run_id, cycle::bigint as cycle, '{table}' as table_name, "
+        f"'{metric}' as metric_name, (case when {rows_col} > 0 then issue_count / {rows_col} else 0 end)::double "
+        f"as metric_value, case when issue_count > 0 then 'warn' else 'pass' end as status, {TS_SQL} as computed_at, "
+        f"issue_key, issue_count::bigint as issue_count, '{details}=' || issue_count as issue_details from ({inner}) m"
+    )
+
+
+def _null_rate_sql(table: str) -> str:
+    cols = LAYOUTS[table].names
+    counts = ", ".join(f'count(*) filter (where {c} is null) as "{c}"' for c in cols)
+    inner = (f"unpivot (select cycle, count(*) as rows, {counts} from {typed_sql(table)} s group by cycle) "
+             f"on {', '.join(cols)} into name issue_key value issue_count")
+    return _metric_sql(table, "null_rate", "null_rows", f"select * from ({inner})")
+
+
+def _dup_groups_sql(table: str) -> str:
+    return (f"select cycle, cast({A.DUPLICATE_KEYS[table]} as varchar) as issue_key, count(*) as issue_count "
+            f"from {typed_sql(table)} s group by all")
+
+
+def _dup_issue_sql(table: str) -> str:
+    return (f"select {RUN_ID}::bigint as run_id, cycle::bigint as cycle, '{table}' as table_name, "
+            f"'duplicate_key' as issue_type, 'warn' as severity, issue_key, issue_count::bigint as issue_count, "
+            f"'duplicate_rows=' || cast(issue_count as varchar) as issue_details "
+            f"from ({_dup_groups_sql(table)}) g where issue_count > 1")
+
+
+def _dup_summary_sql(table: str) -> str:
+    return (f"select {RUN_ID}::bigint as run_id, cycle::bigint as cycle, '{table}' as table_name, "
+            f"'duplicate_key' as metric_name, cast(coalesce(sum(issue_count) filter (where issue_count > 1), 0) "
+            f"as double) as metric_value, case when count(*) filter (where issue_count > 1) > 0 then 'warn' "
+            f"else 'pass' end as status, {TS_SQL} as computed_at, null::varchar as issue_key "
+            f"from ({_dup_groups_sql(table)}) g group by cycle")
+
+
+def _orphan_sql(child: str) -> str:
+    parts = []
+    for t in DATA_TESTS:
+        if t.test_name != "relationships" or t.table != child:
+            continue
+        key = f"{child}.{t.column}->{t.parent_table}.{t.parent_column}"
+        inner = (f"select c.cycle, '{key}' as issue_key, "
+                 f"count(*) filter (where c.{t.column} is not null and p.k is null) as issue_count, "
+                 f"count(*) filter (where c.{t.column} is not null) as nn "
+                 f"from {typed_sql(child)} c left join (select distinct cycle, {t.parent_column} as k "
+                 f"from {typed_sql(t.parent_table)} pp where {t.parent_column} is not null) p "
+                 f"on c.cycle = p.cycle and c.{t.column} = p.k group by c.cycle")
+        parts.append(_metric_sql(child, "referential_orphan", "orphan_rows", inner, rows_col="nn"))
+    return " union all ".join(parts)
+
+
+def _domain_sql(table: str, hi: float = DOMAIN_HI) -> str:
+    src = typed_sql(table, ("TRANSACTION_AMT", "TRANSACTION_DT"))
+    inner = (
+        "unpivot (select cycle, count(*) as rows, "
+        "count(*) filter (where coalesce(trim(TRANSACTION_AMT_raw), '') <> '' and TRANSACTION_AMT is null) "
+        "as amount_unparseable, "
+        f"count(*) filter (where TRANSACTION_AMT < 0 or TRANSACTION_AMT > {hi}) as amount_out_of_range, "
+        "count(*) filter (where coalesce(trim(TRANSACTION_DT_raw), '') <> '' and TRANSACTION_DT is null) "
+        "as date_unparseable, "
+        "count(*) filter (where TRANSACTION_DT is not null and year(TRANSACTION_DT) not in (cycle - 1, cycle)) "
+        f"as date_out_of_cycle from {src} s group by cycle) "
+        "on amount_unparseable, amount_out_of_range, date_unparseable, date_out_of_cycle "
+        "into name issue_key value issue_count")
+    return _metric_sql(table, "amount_date_domain", "rows", f"select * from ({inner})")
+
+
+def _u(parts: list[str]) -> str:
+    return " union all ".join(f"({p})" for p in parts)
+
+
+NULL_RATE_SQL = _u([_null_rate_sql(n) for n in ALL_TABLES])
+DUP_ISSUE_SQL = _u([_dup_issue_sql(n) for n in ALL_TABLES])
+DUP_SUMMARY_SQL = _u([_dup_summary_sql(n) for n in ALL_TABLES])
+ORPHAN_SQL = _u([_orphan_sql(c) for c in sorted({d.table for d in DATA_TESTS if d.test_name == "relationships"})])
+DOMAIN_SQL = _u([_domain_sql(n) for n in FACTS])
+
+
+def _summary_sql(metrics: str) -> str:
+    return (f"select run_id, cycle, table_name, metric_name, metric_value, status, computed_at, issue_key "
+            f"from ({metrics}) x")
+
+
+def _issue_sql(metrics: str) -> str:
+    return (f"select run_id, cycle, table_name, metric_name as issue_type, 'warn' as severity, issue_key, "
+            f"issue_count, issue_details, computed_at as detected_at from ({metrics}) x where issue_count > 0")
+
+
+ISSUE_LOG_SQL = _u([
+    _issue_sql(NULL_RATE_SQL),
+    f"select *, {TS_SQL} as detected_at from ({DUP_ISSUE_SQL}) d",
+    _issue_sql(ORPHAN_SQL),
+    _issue_sql(DOMAIN_SQL),
+])
+
+_ORDER = ", ".join(f"'{a}'" for a in A.AUDIT_ORDER)
+ISSUE_IDS_SQL = (
+    f"with log as ({ISSUE_LOG_SQL}), "
+    f"b as (select issue_type, dense_rank() over (order by list_position([{_ORDER}], issue_type)) as rk "
+    f"from (select distinct issue_type from log) d) "
+    f"select cast(b.rk as bigint) as issue_id, log.* from log join b using (issue_type)"
+)
+
+RERUN_SQL = (
+    f"with old as ({_u([_issue_sql(NULL_RATE_SQL), _issue_sql(_u([_domain_sql(n, RERUN_OLD_HI) for n in FACTS]))])}), "
+    f"newm as ({DOMAIN_SQL}), "
+    f"covered as (select distinct run_id, cycle, table_name, metric_name as issue_type from newm) "
+    f"select * from old where not exists (select 1 from covered c where c.run_id = old.run_id and "
+    f"c.cycle = old.cycle and c.table_name = old.table_name and c.issue_type = old.issue_type) "
+    f"union all {_issue_sql('select * from newm')}"
+)
+
+for _n, _sql in {
+    "qa_null_rate": NULL_RATE_SQL,
+    "qa_duplicate_key": DUP_ISSUE_SQL,
+    "qa_duplicate_summary": DUP_SUMMARY_SQL,
+    "qa_referential_orphan": ORPHAN_SQL,
+    "qa_amount_date_domain": DOMAIN_SQL,
+    "qa_run_summary": _u([_summary_sql(NULL_RATE_SQL), DUP_SUMMARY_SQL, _summary_sql(ORPHAN_SQL),
+                          _summary_sql(DOMAIN_SQL)]),
+    "qa_issue_log": ISSUE_LOG_SQL,
+    "qa_issue_ids": ISSUE_IDS_SQL,
+    "qa_rerun_replace": RERUN_SQL,
+}.items():
+    from ledgerline.plans.catalog import ORACLE
+
+    ORACLE[_n] = _sql
