@@ -1 +1,71 @@
-"""Registered queries (filled in as operators land)."""
+"""Registered queries: review and investigation analytics (J)."""
+
+from __future__ import annotations
+
+from ledgerline.operators import review as R
+from ledgerline.plans.catalog import register
+from ledgerline.plans.oracle_sql import typed_sql
+from ledgerline.plans.tables import Tables
+
+PAS2, CCL, CN, WEBALL = typed_sql("pas2"), typed_sql("ccl"), typed_sql("cn"), typed_sql("weball")
+
+LINKS_SQL = (f"select cycle, CMTE_ID, count(distinct CAND_ID) as n_candidates, min(CAND_ID) as first_cand, "
+             f"array_to_string(list_sort(list(distinct CAND_ID)), ',') as candidate_ids from {CCL} c "
+             f"where CMTE_ID is not null and CAND_ID is not null group by cycle, CMTE_ID")
+
+CLASS_SQL = ("case when coalesce(n_candidates, 0) = 0 then 'none' when n_candidates = 1 then 'unique' "
+             "else 'ambiguous' end")
+
+
+@register("null_key_profile",
+          f"select cycle, count(*) as total_rows, count(*) filter (where CAND_ID is null) as null_rows, "
+          f"cast(sum(TRANSACTION_AMT) filter (where CAND_ID is null) as decimal(38,2)) as affected_amount "
+          f"from {PAS2} p group by cycle")
+def null_key_profile(spark, sf_dir):
+    return R.null_key_profile(Tables(spark, sf_dir).pas2)
+
+
+@register("infer_candidate",
+          f"select p.cycle, p.SUB_ID, p.CMTE_ID, p.OTHER_ID, p.TRANSACTION_AMT, "
+          f"cast(coalesce(l.n_candidates, 0) as bigint) as n_candidates, "
+          f"case when l.n_candidates = 1 then l.first_cand end as inferred_cand_id, {CLASS_SQL} as inference "
+          f"from {PAS2} p left join ({LINKS_SQL}) l on p.cycle = l.cycle and p.OTHER_ID = l.CMTE_ID "
+          f"where p.CAND_ID is null")
+def infer_candidate(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return R.infer_candidate(t.pas2, t.ccl)
+
+
+@register("infer_candidate_summary",
+          f"select p.cycle, {CLASS_SQL} as inference, count(*) as rows, "
+          f"cast(sum(p.TRANSACTION_AMT) as decimal(38,2)) as amount "
+          f"from {PAS2} p left join ({LINKS_SQL}) l on p.cycle = l.cycle and p.OTHER_ID = l.CMTE_ID "
+          f"where p.CAND_ID is null group by all")
+def infer_candidate_summary(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return R.infer_candidate_summary(t.pas2, t.ccl)
+
+
+@register("affected_by_committee",
+          f"select cycle, OTHER_ID, count(*) as affected_rows, "
+          f"cast(sum(TRANSACTION_AMT) as decimal(38,2)) as affected_amount from {PAS2} p "
+          f"where CAND_ID is null group by cycle, OTHER_ID")
+def affected_by_committee(spark, sf_dir):
+    return R.affected_by_committee(Tables(spark, sf_dir).pas2)
+
+
+@register("ambiguous_linkage",
+          f"select cycle, CMTE_ID, cast(n_candidates as bigint) as n_candidates, candidate_ids "
+          f"from ({LINKS_SQL}) l where n_candidates > 1")
+def ambiguous_linkage(spark, sf_dir):
+    return R.ambiguous_linkage(Tables(spark, sf_dir).ccl)
+
+
+@register("committee_candidates",
+          f"select l.cycle, l.CMTE_ID, l.CAND_ID, c.CAND_NAME, c.CAND_OFFICE, c.CAND_OFFICE_ST, "
+          f"c.CAND_OFFICE_DISTRICT, c.CAND_ELECTION_YR, c.CAND_ICI, w.TTL_RECEIPTS from {CCL} l "
+          f"join {CN} c on l.cycle = c.cycle and l.CAND_ID = c.CAND_ID "
+          f"join {WEBALL} w on l.cycle = w.cycle and l.CAND_ID = w.CAND_ID")
+def committee_candidates(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return R.committee_candidates(t.ccl, t.cn, t.weball)
