@@ -50,3 +50,15 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want)
+
+
+def spread_files(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """``spread`` for a file scan, decided from the file count (no physical planning).
+
+    Used for the fixture sources, whose files are single row groups (one split
+    each): fewer files than task slots means fewer splits than task slots.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= want:
+        return df
+    return df.repartition(want)

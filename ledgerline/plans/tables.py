@@ -32,14 +32,19 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._memo: dict[tuple, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in LAYOUTS:
-            return typed(self.spark, self.sf_dir, name)
+            return self.get(name)
         raise AttributeError(name)
 
     def get(self, name: str, keep_raw: Iterable[str] = ()) -> DataFrame:
-        return typed(self.spark, self.sf_dir, name, keep_raw)
+        """Typed table; the same (lazy) DataFrame object is reused within one query build."""
+        key = (name, tuple(keep_raw))
+        if key not in self._memo:
+            self._memo[key] = typed(self.spark, self.sf_dir, name, key[1])
+        return self._memo[key]
 
     def source(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")

@@ -59,7 +59,9 @@ def parse_lines(
     n = len(layout.columns)
     keep = [c for c in keep if c in lines.columns]
     parts = F.col(_PARTS)
-    split = split_fields(lines, value_col).where(field_count_ok(parts, n))
+    v = F.col(value_col)
+    split = lines.select(*keep, v, F.split(v, r"\|", -1).alias(_PARTS)).where(
+        _usable(v) & field_count_ok(parts, n))
     typed = [clean(kind, F.get(parts, i)).alias(name) for i, (name, kind) in enumerate(layout.columns)]
     pos = {name: i for i, (name, _) in enumerate(layout.columns)}
     raws = [F.get(parts, pos[c]).alias(f"{c}_raw") for c in keep_raw]

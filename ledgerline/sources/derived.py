@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.plans.joins import spread
+from ledgerline.plans.joins import spread_files
 from ledgerline.sources.layouts import ALL_TABLES
 
 _TABLE_OF_EVENT = "case event_id % 8 " + " ".join(
@@ -68,7 +68,7 @@ def fields_sql(fields: dict[str, str]) -> str:
 
 
 def _frame(spark: SparkSession, sf_dir: str, table: str, fields: dict[str, str]) -> DataFrame:
-    src = spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+    src = spread_files(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
     return src.select(*[F.expr(e).alias(n) for n, e in fields.items()])
 
 

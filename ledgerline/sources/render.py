@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.plans.joins import spread
+from ledgerline.plans.joins import spread_files
 
 # Cycles for which dimension files are rendered (fixture parameter).
 DIM_CYCLES = (1996, 2002)  # inclusive range, step 2
@@ -249,7 +249,7 @@ def render_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     lo, hi = DIM_CYCLES
     out = None
     for source, cyc, where, line in render_branches(table, "spark"):
-        src = spread(spark.read.parquet(f"{sf_dir}/{source}.parquet"))
+        src = spread_files(spark.read.parquet(f"{sf_dir}/{source}.parquet"))
         if source != "lineitem":
             # A generator, not a join: each dimension row is emitted once per cycle.
             src = src.select("*", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.lit(2))).alias("cycle"))
@@ -257,7 +257,8 @@ def render_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
         # barrier: filters on ``value`` (blank / UTF-8 / field count) cannot be
         # inlined below it, so the wide render expression is evaluated once per
         # row instead of once per predicate inside one huge codegen method.
-        part = src.where(F.expr(where)).select(
-            F.expr(cyc).cast("int").alias("cycle"), F.explode(F.array(F.expr(line))).alias("value"))
+        if where != "true":
+            src = src.where(F.expr(where))
+        part = src.select(F.expr(cyc).cast("int").alias("cycle"), F.explode(F.array(F.expr(line))).alias("value"))
         out = part if out is None else out.unionByName(part)
     return out
