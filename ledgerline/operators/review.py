@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.plans.joins import checked_broadcast
+from ledgerline.plans.joins import checked_broadcast, materialize
 
 MONEY = "decimal(38,2)"
 
@@ -104,3 +104,117 @@ def committee_candidates(ccl: DataFrame, cn: DataFrame, weball: DataFrame) -> Da
          .join(tot, (F.col("cycle") == F.col("_c2")) & (F.col("CAND_ID") == F.col("_k2"))))
     return j.select("cycle", "CMTE_ID", "CAND_ID", "CAND_NAME", "CAND_OFFICE", "CAND_OFFICE_ST",
                     "CAND_OFFICE_DISTRICT", "CAND_ELECTION_YR", "CAND_ICI", "TTL_RECEIPTS")
+
+
+# ---------------------------------------------------------------- issue tables
+
+DECIDED_AT = "2026-01-01 00:00:00"
+
+
+def derive_issues(suite: DataFrame, ambiguous: DataFrame, affected: DataFrame) -> dict[str, DataFrame]:
+    """Review tables derived from findings (the reference keeps them as hand-written seeds).
+
+    * one issue per failing data test and cycle (``data_quality_test``);
+    * one issue per ambiguous committee that has NULL-candidate rows
+      (``duplicate_id``), which ``explains_part_of`` the NULL ``pas2.CAND_ID``
+      issue of its cycle;
+    * entities (table + column, or committee + each candidate), one evidence
+      row, metrics, and decisions (an ``investigate`` followed by the final one).
+    All frames are keyed by ``issue_key``; sizes follow the number of findings.
+    """
+    fail = materialize(suite.where(F.col("failures") > 0))  # findings: tiny, reused by every table below
+    test_key = F.concat_ws("_", F.col("cycle").cast("string"), "table_name", "test_name", "column_name")
+    tests = fail.select(
+        test_key.alias("issue_key"), F.lit("data_quality_test").alias("issue_type"), "severity",
+        F.col("cycle").cast("bigint").alias("cycle"), F.col("failures").cast("bigint").alias("detected_row_count"),
+        F.lit(None).cast(MONEY).alias("detected_amount"), "table_name", "column_name", "test_id")
+    amb = materialize(ambiguous.join(affected.withColumnRenamed("OTHER_ID", "CMTE_ID"), ["cycle", "CMTE_ID"]))
+    dup_key = F.concat_ws("_", F.col("cycle").cast("string"), "CMTE_ID", F.lit("duplicate_candidate_ids"))
+    dups = amb.select(
+        dup_key.alias("issue_key"), F.lit("duplicate_id").alias("issue_type"), F.lit("low").alias("severity"),
+        F.col("cycle").cast("bigint").alias("cycle"), F.col("affected_rows").cast("bigint").alias("detected_row_count"),
+        F.col("affected_amount").cast(MONEY).alias("detected_amount"), "CMTE_ID", "candidate_ids")
+    cols = ["issue_key", "issue_type", "severity", "cycle", "detected_row_count", "detected_amount"]
+    issue = tests.select(*cols).unionByName(dups.select(*cols))
+
+    ent = tests.select("issue_key", F.explode(F.array(
+        F.struct(F.lit("table").alias("entity_type"), F.col("table_name").alias("entity_id")),
+        F.struct(F.lit("column").alias("entity_type"), F.col("column_name").alias("entity_id")))).alias("e")) \
+        .unionByName(dups.select("issue_key", F.explode(F.concat(
+            F.array(F.struct(F.lit("committee").alias("entity_type"), F.col("CMTE_ID").alias("entity_id"))),
+            F.transform(F.split("candidate_ids", ","), lambda c: F.struct(
+                F.lit("candidate").alias("entity_type"), c.alias("entity_id"))))).alias("e"))) \
+        .select("issue_key", "e.entity_type", "e.entity_id")
+
+    evidence = issue.select("issue_key", F.lit("query_result").alias("evidence_type"),
+                            F.concat(F.col("detected_row_count").cast("string"), F.lit(" rows")).alias("observed_value"))
+    metric = tests.select("issue_key", F.lit("failures").alias("metric_name"),
+                          F.col("detected_row_count").cast("double").alias("metric_value")).unionByName(
+        dups.select("issue_key", F.explode(F.array(
+            F.struct(F.lit("affected_row_count").alias("n"), F.col("detected_row_count").cast("double").alias("v")),
+            F.struct(F.lit("affected_amount").alias("n"), F.col("detected_amount").cast("double").alias("v"))))
+            .alias("m")).select("issue_key", F.col("m.n").alias("metric_name"), F.col("m.v").alias("metric_value")))
+    final = F.when(F.col("issue_type") == "duplicate_id", "accept") \
+        .when(F.col("severity") == "warn", "keep_warning").otherwise("investigate_load")
+    ts = F.lit(DECIDED_AT).cast("timestamp_ntz")
+    decision = issue.select("issue_key", F.explode(F.array(
+        F.struct(F.lit(1).alias("seq"), F.lit("investigate").alias("decision")),
+        F.struct(F.lit(2).alias("seq"), final.alias("decision")))).alias("d")).select(
+        "issue_key", F.col("d.seq").alias("decision_seq"), "d.decision",
+        (ts + F.make_interval(mins=F.col("d.seq"))).alias("decided_at"))
+    parent = tests.where(F.col("test_id") == "G20").select(F.col("cycle").alias("_cy"),
+                                                          F.col("issue_key").alias("to_issue_key"))
+    relationship = dups.join(parent, F.col("cycle") == F.col("_cy")).select(
+        F.col("issue_key").alias("from_issue_key"), "to_issue_key",
+        F.lit("explains_part_of").alias("relationship_type"))
+    return {"issue": issue, "issue_entity": ent, "issue_evidence": evidence, "issue_metric": metric,
+            "issue_decision": decision, "issue_relationship": relationship}
+
+
+def issue_rollup(t: dict[str, DataFrame]) -> DataFrame:
+    """Each issue with counts of entities / evidence / metrics and its latest decision.
+
+    Every child table is aggregated to one row per issue *before* the joins,
+    so the roll-up never multiplies rows (no entity x evidence fan-out).
+    """
+    def counted(name: str, alias: str) -> DataFrame:
+        return t[name].groupBy("issue_key").agg(F.count(F.lit(1)).cast("bigint").alias(alias))
+
+    latest = t["issue_decision"].groupBy("issue_key").agg(
+        F.max_by("decision", F.struct("decided_at", "decision_seq")).alias("latest_decision"))
+    out = t["issue"]
+    for part in (counted("issue_entity", "n_entities"), counted("issue_evidence", "n_evidence"),
+                 counted("issue_metric", "n_metrics"), latest):
+        out = out.join(part, "issue_key", "left")
+    return out.select("issue_key", "issue_type", "severity", "cycle", "detected_row_count", "detected_amount",
+                      *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_entities", "n_evidence",
+                                                                                   "n_metrics")],
+                      "latest_decision")
+
+
+def explains_closure(issue: DataFrame, edges: DataFrame, max_depth: int = 4) -> DataFrame:
+    """Transitive ``explains_part_of`` pairs up to ``max_depth`` hops, with the
+    share of the ancestor's rows that the descendant accounts for.
+
+    The closure is unrolled to a fixed depth (no driver loop, no action while
+    building); cycles in the graph only repeat pairs, which the final
+    ``min(depth)`` per pair removes.
+    """
+    e = edges.where(F.col("relationship_type") == "explains_part_of").select(
+        F.col("from_issue_key").alias("descendant_key"), F.col("to_issue_key").alias("ancestor_key")).distinct()
+    level = e.withColumn("depth", F.lit(1))
+    paths = level
+    for d in range(2, max_depth + 1):
+        step = e.select(F.col("descendant_key").alias("_mid"), F.col("ancestor_key").alias("_up"))
+        level = level.join(step, F.col("ancestor_key") == F.col("_mid")).select(
+            "descendant_key", F.col("_up").alias("ancestor_key"), F.lit(d).alias("depth"))
+        paths = paths.unionByName(level)
+    pairs = paths.where(F.col("descendant_key") != F.col("ancestor_key")).groupBy(
+        "ancestor_key", "descendant_key").agg(F.min("depth").alias("depth"))
+    rows = issue.select("issue_key", "detected_row_count")
+    d = rows.select(F.col("issue_key").alias("_dk"), F.col("detected_row_count").alias("explained_rows"))
+    a = rows.select(F.col("issue_key").alias("_ak"), F.col("detected_row_count").alias("ancestor_rows"))
+    j = pairs.join(d, F.col("descendant_key") == F.col("_dk")).join(a, F.col("ancestor_key") == F.col("_ak"))
+    return j.select("ancestor_key", "descendant_key", F.col("depth").cast("int").alias("depth"), "explained_rows",
+                    "ancestor_rows", F.when(F.col("ancestor_rows") > 0, F.col("explained_rows") / F.col("ancestor_rows"))
+                    .cast("double").alias("explained_share"))

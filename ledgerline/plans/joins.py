@@ -62,3 +62,23 @@ def spread_files(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if len(df.inputFiles()) >= want:
         return df
     return df.repartition(want)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a small, reused intermediate once.
+
+    With ``spark.checkpoint.dir`` set (the cluster's shared folder) the frame
+    is reliably checkpointed there, which also cuts its lineage; without it
+    the frame is cached, and a lost executor's blocks are recomputed from
+    lineage.  Only used for findings-sized frames (tests, issues), never facts.
+    """
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(folder)
+        return df.checkpoint(eager=True)
+    cached = df.cache()
+    cached.count()
+    return cached

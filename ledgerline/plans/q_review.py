@@ -69,3 +69,67 @@ def ambiguous_linkage(spark, sf_dir):
 def committee_candidates(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return R.committee_candidates(t.ccl, t.cn, t.weball)
+
+
+# ---------------------------------------------------------------- J6 / J7 (issue tables derived from findings)
+
+from ledgerline.operators.checks import run_tests  # noqa: E402
+from ledgerline.plans.q_checks import _suite_sql  # noqa: E402
+
+_ALL_TESTS = ("not_null", "unique", "relationships")
+MAX_DEPTH = 4
+
+
+def _review_tables(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return R.derive_issues(run_tests(t.get, _ALL_TESTS), R.ambiguous_linkage(t.ccl), R.affected_by_committee(t.pas2))
+
+
+ISSUES_CTE = (
+    f"suite as ({_suite_sql(_ALL_TESTS)}), links as ({LINKS_SQL}), "
+    f"aff as (select cycle, OTHER_ID as CMTE_ID, count(*) as affected_rows, "
+    f"cast(sum(TRANSACTION_AMT) as decimal(38,2)) as affected_amount from {PAS2} p where CAND_ID is null group by all), "
+    f"tests as (select cycle || '_' || table_name || '_' || test_name || '_' || column_name as issue_key, "
+    f"'data_quality_test' as issue_type, severity, cast(cycle as bigint) as cycle, "
+    f"cast(failures as bigint) as detected_row_count, cast(null as decimal(38,2)) as detected_amount, test_id "
+    f"from suite where failures > 0), "
+    f"dups as (select l.cycle || '_' || l.CMTE_ID || '_duplicate_candidate_ids' as issue_key, "
+    f"'duplicate_id' as issue_type, 'low' as severity, cast(l.cycle as bigint) as cycle, "
+    f"cast(a.affected_rows as bigint) as detected_row_count, a.affected_amount as detected_amount, l.candidate_ids "
+    f"from links l join aff a on l.cycle = a.cycle and l.CMTE_ID = a.CMTE_ID where l.n_candidates > 1), "
+    f"issue as (select issue_key, issue_type, severity, cycle, detected_row_count, detected_amount from tests "
+    f"union all select issue_key, issue_type, severity, cycle, detected_row_count, detected_amount from dups), "
+    f"edges as (select d.issue_key as descendant_key, t.issue_key as ancestor_key from dups d "
+    f"join tests t on t.cycle = d.cycle and t.test_id = 'G20')")
+
+ROLLUP_SQL = (
+    f"with {ISSUES_CTE} "
+    f"select issue_key, issue_type, severity, cycle, detected_row_count, detected_amount, "
+    f"cast(2 as bigint) as n_entities, cast(1 as bigint) as n_evidence, cast(1 as bigint) as n_metrics, "
+    f"case when severity = 'warn' then 'keep_warning' else 'investigate_load' end as latest_decision from tests "
+    f"union all select issue_key, issue_type, severity, cycle, detected_row_count, detected_amount, "
+    f"cast(1 + len(string_split(candidate_ids, ',')) as bigint), cast(1 as bigint), cast(2 as bigint), 'accept' "
+    f"from dups")
+
+EXPLAINS_SQL = (
+    f"with recursive {ISSUES_CTE}, "
+    f"closure(descendant_key, ancestor_key, depth) as (select descendant_key, ancestor_key, 1 from edges "
+    f"union all select c.descendant_key, e.ancestor_key, c.depth + 1 from closure c "
+    f"join edges e on c.ancestor_key = e.descendant_key where c.depth < {MAX_DEPTH}), "
+    f"pairs as (select ancestor_key, descendant_key, min(depth) as depth from closure "
+    f"where ancestor_key <> descendant_key group by all) "
+    f"select p.ancestor_key, p.descendant_key, cast(p.depth as integer) as depth, "
+    f"d.detected_row_count as explained_rows, a.detected_row_count as ancestor_rows, "
+    f"case when a.detected_row_count > 0 then d.detected_row_count / a.detected_row_count end as explained_share "
+    f"from pairs p join issue d on d.issue_key = p.descendant_key join issue a on a.issue_key = p.ancestor_key")
+
+
+@register("issue_rollup", ROLLUP_SQL)
+def issue_rollup(spark, sf_dir):
+    return R.issue_rollup(_review_tables(spark, sf_dir))
+
+
+@register("issue_explains", EXPLAINS_SQL)
+def issue_explains(spark, sf_dir):
+    t = _review_tables(spark, sf_dir)
+    return R.explains_closure(t["issue"], t["issue_relationship"], MAX_DEPTH)
