@@ -9,7 +9,7 @@ restates the behaviour with built-in expressions:
   DECIMAL(38,10), ``round`` (HALF_UP) and then narrow with ``try_cast``.
 * ``%m%d%Y``: the year takes one to four digits (``'010526' -> 0026-01-05``),
   month and day exactly two.  ``MMddyyyy`` would reject that, so the parts are
-  split with a regex and re-joined as ``yyyy-MM-dd`` for ``try_to_date``.
+  cut out by position and re-joined as ``yyyy-MM-dd`` for the date cast.
 * ``%m/%d/%Y``: month and day take one or two digits.
 
 ``trim`` removes spaces only (a leading tab survives) in both engines.
@@ -20,8 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MDY_COMPACT = r"^(\d{2})(\d{2})(\d{1,4})$"
-MDY_SLASHED = r"^(\d{1,2})/(\d{1,2})/(\d{1,4})$"
+MDY_COMPACT = r"^[0-9]{5,8}$"  # MMdd + 1..4 year digits
+MDY_SLASHED = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{1,4}$"
 
 
 def blank_to_null(c: Column) -> Column:
@@ -65,34 +65,28 @@ def year4(c: Column) -> Column:
 
 
 def _ymd_date(y: Column, m: Column, d: Column) -> Column:
+    """Zero-padded ISO text -> DATE via the cast parser (invalid calendar dates -> NULL)."""
     iso = F.concat_ws("-", F.lpad(y, 4, "0"), F.lpad(m, 2, "0"), F.lpad(d, 2, "0"))
-    return F.try_to_date(iso, "yyyy-MM-dd")
+    return iso.try_cast("date")
 
 
 def date_mdy(c: Column) -> Column:
-    """``TRY_STRPTIME(NULLIF(TRIM(x), ''), '%m%d%Y')::DATE``."""
+    """``TRY_STRPTIME(NULLIF(TRIM(x), ''), '%m%d%Y')::DATE``.
+
+    One digit-shape check, then fixed substrings (month 2, day 2, year 1..4
+    digits) re-joined as ISO text for the cast parser -- no per-part regex and
+    no pattern formatter on the hot path.
+    """
     t = trimmed(c)
-    return F.when(
-        t.rlike(MDY_COMPACT),
-        _ymd_date(
-            F.regexp_extract(t, MDY_COMPACT, 3),
-            F.regexp_extract(t, MDY_COMPACT, 1),
-            F.regexp_extract(t, MDY_COMPACT, 2),
-        ),
-    )
+    return F.when(t.rlike(MDY_COMPACT),
+                  _ymd_date(F.substring(t, 5, 4), F.substring(t, 1, 2), F.substring(t, 3, 2)))
 
 
 def date_mdy_slashed(c: Column) -> Column:
-    """``TRY_STRPTIME(NULLIF(TRIM(x), ''), '%m/%d/%Y')::DATE``."""
+    """``TRY_STRPTIME(NULLIF(TRIM(x), ''), '%m/%d/%Y')::DATE`` (month/day 1..2 digits)."""
     t = trimmed(c)
-    return F.when(
-        t.rlike(MDY_SLASHED),
-        _ymd_date(
-            F.regexp_extract(t, MDY_SLASHED, 3),
-            F.regexp_extract(t, MDY_SLASHED, 1),
-            F.regexp_extract(t, MDY_SLASHED, 2),
-        ),
-    )
+    parts = F.split(t, "/", 3)
+    return F.when(t.rlike(MDY_SLASHED), _ymd_date(F.get(parts, 2), F.get(parts, 0), F.get(parts, 1)))
 
 
 def date_two_format(c: Column) -> Column:

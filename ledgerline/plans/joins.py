@@ -61,7 +61,9 @@ def spread_files(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if len(df.inputFiles()) >= want:
         return df
-    return df.repartition(want)
+    # Hash, not round-robin: deterministic on task retry without the extra sort
+    # that round-robin repartitioning needs for the same guarantee.
+    return df.repartition(want, F.xxhash64(*df.columns))
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -30,10 +30,16 @@ _PARTS = "_parts"
 
 
 def field_count_ok(parts: Column, n: int) -> Column:
-    """Row shape rule: at most ``n`` fields, or ``n + 1`` with an empty last one."""
+    """Row shape rule on a split array: at most ``n`` fields, or ``n + 1`` with an empty last one."""
     return (F.size(parts) <= n) | ((F.size(parts) == n + 1) & (F.get(parts, n) == F.lit("")))
 
 
+def line_shape_ok(value: Column, n: int) -> Column:
+    """The same rule from the raw line: count delimiters instead of splitting."""
+    delims = F.length(value) - F.length(F.translate(value, "|", ""))
+    return (delims <= n - 1) | ((delims == n) & value.endswith("|"))
+
+
 def _usable(value: Column) -> Column:
     return (value != F.lit("")) & F.is_valid_utf8(value)
 
@@ -60,8 +66,7 @@ def parse_lines(
     keep = [c for c in keep if c in lines.columns]
     parts = F.col(_PARTS)
     v = F.col(value_col)
-    split = lines.select(*keep, v, F.split(v, r"\|", -1).alias(_PARTS)).where(
-        _usable(v) & field_count_ok(parts, n))
+    split = lines.where(_usable(v) & line_shape_ok(v, n)).select(*keep, F.split(v, r"\|", -1).alias(_PARTS))
     typed = [clean(kind, F.get(parts, i)).alias(name) for i, (name, kind) in enumerate(layout.columns)]
     pos = {name: i for i, (name, _) in enumerate(layout.columns)}
     raws = [F.get(parts, pos[c]).alias(f"{c}_raw") for c in keep_raw]
@@ -72,8 +77,7 @@ def rejected_lines(lines: DataFrame, layout: Layout, value_col: str = "value") -
     """Lines the scan skips: blank, invalid UTF-8 or too many fields."""
     n = len(layout.columns)
     v = F.col(value_col)
-    parts = F.split(v, r"\|", -1)
-    return lines.where(~_usable(v) | ~field_count_ok(parts, n))
+    return lines.where(~_usable(v) | ~line_shape_ok(v, n))
 
 
 def read_text_lines(spark: SparkSession, paths: str | list[str], cycle: int | None = None) -> DataFrame:
