@@ -47,7 +47,7 @@ def extract_links(pages: DataFrame) -> DataFrame:
     z = pages.select("page_id", F.col("url").alias("source_url"),
                      F.posexplode(F.arrays_zip(g1.alias("a"), g2.alias("b"))).alias("position", "m"))
     href = F.when(F.col("m.a") != "", F.col("m.a")).otherwise(F.col("m.b"))
-    return z.select("page_id", "source_url", (F.col("position") + 1).alias("position"),
+    return z.select("page_id", "source_url", (F.col("position") + 1).cast("bigint").alias("position"),
                     _strip_ws(href).alias("href")).where(F.col("href") != "")
 
 

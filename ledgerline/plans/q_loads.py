@@ -42,7 +42,7 @@ def scan_delimited(spark, sf_dir):
     df = split_fields(lines(spark, sf_dir, "pas2")).where(field_count_ok(parts, 22))
     return df.select(
         "cycle",
-        F.size(parts).alias("n_fields"),
+        F.size(parts).cast("bigint").alias("n_fields"),
         *[C.blank_to_null(F.get(parts, i - 1)).alias(f"field_{i}") for i in (1, 16, 22, 23)],
     )
 
