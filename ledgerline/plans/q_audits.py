@@ -31,12 +31,20 @@ def _null_rate(t: Tables) -> DataFrame:
     return _union([A.null_rate(t.get(n), n) for n in ALL_TABLES])
 
 
+RAW = ("TRANSACTION_AMT", "TRANSACTION_DT")
+
+
+def _table(t: Tables, n: str, keep_raw=()) -> DataFrame:
+    """Facts always with their raw amount/date text, so every audit of a query shares one plan per table."""
+    return t.get(n, keep_raw=RAW if n in FACTS else ())
+
+
 def _dup_issues(t: Tables) -> DataFrame:
-    return _union([A.duplicate_key_issues(t.get(n).select("cycle", A.DUPLICATE_KEYS[n]), n) for n in ALL_TABLES])
+    return _union([A.duplicate_key_issues(_table(t, n).select("cycle", A.DUPLICATE_KEYS[n]), n) for n in ALL_TABLES])
 
 
 def _dup_summary(t: Tables) -> DataFrame:
-    return _union([A.duplicate_key_summary(t.get(n).select("cycle", A.DUPLICATE_KEYS[n]), n) for n in ALL_TABLES])
+    return _union([A.duplicate_key_summary(_table(t, n).select("cycle", A.DUPLICATE_KEYS[n]), n) for n in ALL_TABLES])
 
 
 def _orphans(t: Tables) -> DataFrame:
@@ -52,13 +60,15 @@ def _domain(t: Tables, hi: float = DOMAIN_HI) -> DataFrame:
         for n in FACTS])
 
 
+def _all_metrics(t: Tables) -> DataFrame:
+    """Null-rate, orphan and domain metrics of every table: one fused pass per table."""
+    parents: dict = {}
+    return _union([A.table_audit_metrics(lambda name, keep_raw=(): _table(t, name), n, RUN_ID, RUN_TS,
+                                         hi=DOMAIN_HI, parents=parents) for n in ALL_TABLES])
+
+
 def _issue_log(t: Tables) -> DataFrame:
-    return _union([
-        A.issue_log(_null_rate(t)),
-        _dup_issues(t).withColumn("detected_at", A._ts(RUN_TS)),
-        A.issue_log(_orphans(t)),
-        A.issue_log(_domain(t)),
-    ])
+    return A.issue_log(_all_metrics(t)).unionByName(_dup_issues(t).withColumn("detected_at", A._ts(RUN_TS)))
 
 
 @register("qa_null_rate")
@@ -89,7 +99,7 @@ def qa_amount_date_domain(spark, sf_dir):
 @register("qa_run_summary")
 def qa_run_summary(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return _union([A.summary(_null_rate(t)), _dup_summary(t), A.summary(_orphans(t)), A.summary(_domain(t))])
+    return A.summary(_all_metrics(t)).unionByName(_dup_summary(t))
 
 
 @register("qa_issue_log")

@@ -42,16 +42,18 @@ def load_cycle(spark: SparkSession, manifest: DataFrame, archive_root: str, ware
 
 
 def audit_metrics(table, run_id: int, run_ts: str, names: list[str]) -> DataFrame:
-    """Metric-contract rows of the null-rate, orphan and (when raw text is stored) domain audits."""
-    parts = [A.null_rate(table(n), n, run_id, run_ts) for n in names]
+    """Metric-contract rows of the null-rate, orphan and (when raw text is stored) domain audits,
+    one fused pass per table; orphan edges only where the parent table is part of the run."""
     parents: dict = {}
-    for child in sorted({t.table for t in DATA_TESTS if t.test_name == "relationships"} & set(names)):
-        if all(t.parent_table in names for t in DATA_TESTS if t.table == child and t.parent_table):
-            parts.append(A.referential_orphans(table, child, run_id, run_ts, parents))
+    parts = []
     for n in names:
-        df = table(n)
-        if n in FACTS and {"TRANSACTION_AMT_raw", "TRANSACTION_DT_raw"} <= set(df.columns):
-            parts.append(A.amount_date_domain(df, n, run_id=run_id, run_ts=run_ts))
+        def local(name, keep_raw=(), _n=n):
+            return table(name)
+        has_raw = {"TRANSACTION_AMT_raw", "TRANSACTION_DT_raw"} <= set(table(n).columns)
+        m = A.table_audit_metrics(local, n, run_id, run_ts, parents=parents, domain=has_raw) \
+            if all(t.parent_table in names for t in DATA_TESTS if t.table == n and t.parent_table) \
+            else A.null_rate(table(n), n, run_id, run_ts)
+        parts.append(m)
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
