@@ -116,9 +116,3 @@ def clean(kind: str, c: Column) -> Column:
         return date_two_format(c)
     raise ValueError(f"unknown layout kind {kind!r}")
 
-
-# Spark type of each kind (for empty-frame schemas and docs).
-KIND_TYPES = {
-    "s": "string", "z": "string", "y": "smallint", "h": "smallint", "b": "bigint",
-    "m": "decimal(14,2)", "p": "decimal(7,4)", "d": "date", "D": "date",
-}

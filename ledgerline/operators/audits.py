@@ -239,9 +239,6 @@ def replace_slices(old: DataFrame, new: DataFrame, covered: DataFrame) -> DataFr
     return old.join(covered.select(*keys).distinct(), keys, "left_anti").unionByName(new)
 
 
-def domain_tables() -> tuple[str, ...]:
-    return FACTS
-
 
 def table_audit_metrics(table: Callable[..., DataFrame], name: str, run_id: int = DEFAULT_RUN_ID,
                         run_ts: str = DEFAULT_RUN_TS, lo: float = 0.0, hi: float = 50000.0,

@@ -38,25 +38,15 @@ def key_set(df: DataFrame, key: str, by: tuple[str, ...] = ("cycle",), alias: st
     return df.where(F.col(key).isNotNull()).select(*by, F.col(key).alias(alias)).distinct()
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin an under-partitioned input over the cluster's task slots.
-
-    An unsplittable source (a DEFLATE ZIP member, a single-row-group parquet
-    file) arrives as one partition; the parse after it would then run on one
-    core.  Inputs that already have enough splits -- every large input -- are
-    returned untouched, so this adds no shuffle at scale.
-    """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)
-
-
 def spread_files(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """``spread`` for a file scan, decided from the file count (no physical planning).
-
-    Used for the fixture sources, whose files are single row groups (one split
-    each): fewer files than task slots means fewer splits than task slots.
+    """Hash-spread an under-split file scan over the cluster's task slots.
+
+    An unsplittable source (a single-row-group parquet file, like every fixture
+    source) arrives as one partition and everything after it would run on one
+    core.  Decided from the file count (no physical planning): fewer files than
+    task slots means fewer splits than task slots.  Inputs with at least one file
+    per task slot (any large landed table) are returned untouched, so this adds
+    no shuffle at scale.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if len(df.inputFiles()) >= want:

@@ -45,6 +45,3 @@ class Tables:
         if key not in self._memo:
             self._memo[key] = typed(self.spark, self.sf_dir, name, key[1])
         return self._memo[key]
-
-    def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")

@@ -16,3 +16,50 @@ def test_closure_chain_and_cycle(spark):
         ("a", "b"): (1, 0.25), ("a", "c"): (2, 0.125), ("b", "c"): (1, 0.5), ("c", "b"): (1, 2.0),
         ("d", "a"): (1, 0.5), ("d", "b"): (2, 0.125), ("d", "c"): (3, 0.0625),
     }
+
+
+def test_seed_tables_roll_up(spark, tmp_path):
+    """A6 seeds (header CSV, fixed schema) feed the same roll-up and closure operators."""
+    import os
+
+    from ledgerline.operators.review import explains_closure, issue_rollup
+    from ledgerline.sources.seeds import REVIEW_SCHEMAS, review_tables
+
+    ts = "2026-01-01 10:00:00"
+    rows = {
+        "issue": [f"1,k1,t,data_quality_test,s,low,open,high,2026,raw,pas2,CAND_ID,test,nn,100,250.50,,,,me,{ts},{ts},,,",
+                  f"2,k2,t,duplicate_id,s,low,accepted,medium,2026,raw,ccl,CAND_ID,query,q,4,75.00,,,,me,{ts},{ts},,,"],
+        "issue_relationship": [f"1,2,1,explains_part_of,note,{ts}"],
+        "issue_entity": ["1,1,table,pas2,x,affected_table,pas2,CAND_ID,", "2,2,committee,C1,x,r,pas2,OTHER_ID,",
+                         "3,2,transaction,4040820261435319057,x,r,pas2,SUB_ID,"],
+        "issue_evidence": [f"1,1,query_result,l,,txt,q,v,{ts},me"],
+        "issue_decision": [f"1,2,investigate,r,me,{ts}", "2,2,accept,r,me,2026-01-02 10:00:00"],
+        "issue_metric": [f"1,1,null_row_count,100,rows,{ts},q", f"2,2,affected_amount,75,dollars,{ts},q"],
+    }
+    root = str(tmp_path)
+    for name, lines in rows.items():
+        header = ",".join(c.split()[0] for c in REVIEW_SCHEMAS[name].split(", "))
+        with open(os.path.join(root, f"{name}.csv"), "w") as fh:
+            fh.write(header + "\n" + "\n".join(lines) + "\n")
+    t = review_tables(spark, root)
+    assert t["issue_entity"].where("entity_type = 'transaction'").first().entity_id == "4040820261435319057"
+    got = {r.issue_key: (r.n_entities, r.n_evidence, r.n_metrics, r.latest_decision)
+           for r in issue_rollup(t).collect()}
+    assert got == {"1": (1, 1, 1, None), "2": (2, 0, 1, "accept")}
+    share = explains_closure(t["issue"], t["issue_relationship"]).first()
+    assert (share.descendant_key, share.ancestor_key, share.explained_share) == ("2", "1", 0.04)
+
+
+def test_report_sinks(spark, tmp_path):
+    import os
+
+    from ledgerline.operators.timing import REPORT_COLUMNS
+    from ledgerline.sources import sinks
+
+    df = spark.createDataFrame([(2026, "l", "spark", "fact", "pas2", 12, 5, "success", "a", "b", "", "t")],
+                               ", ".join(f"{c} string" if c != "cycle" else "cycle int" for c in REPORT_COLUMNS))
+    sinks.write_report_csv(df, os.path.join(str(tmp_path), "csv"), REPORT_COLUMNS)
+    back = spark.read.option("header", True).csv(os.path.join(str(tmp_path), "csv"))
+    assert back.columns == REPORT_COLUMNS and back.count() == 1
+    sinks.write_report_json(df, os.path.join(str(tmp_path), "json"))
+    assert spark.read.json(os.path.join(str(tmp_path), "json")).first().table_name == "pas2"
