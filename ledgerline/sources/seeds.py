@@ -54,6 +54,8 @@ def read_seed(spark: SparkSession, path: str, table: str) -> DataFrame:
 def review_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """All six seeds under ``root/<table>.csv``, keyed for ``issue_rollup`` / ``explains_closure``."""
     t = {name: read_seed(spark, f"{root.rstrip('/')}/{name}.csv", name) for name in REVIEW_SCHEMAS}
+    # the seed's own text key becomes ``issue_name``; ``issue_key`` is the id every child table carries
+    t["issue"] = t["issue"].withColumnRenamed("issue_key", "issue_name")
     key = F.col("issue_id").cast("string").alias("issue_key")
     out = {name: df.select(key, *[c for c in df.columns if c != "issue_id"])
            for name, df in t.items() if name != "issue_relationship"}
