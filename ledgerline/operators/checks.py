@@ -143,8 +143,12 @@ def run_tests(
     table: Callable[[str], DataFrame],
     kinds: tuple[str, ...] = ("not_null", "unique", "relationships"),
     tests: tuple[DataTest, ...] = DATA_TESTS,
+    parents: dict[tuple[str, str], DataFrame] | None = None,
 ) -> DataFrame:
-    """Union of the selected tests; ``table(name)`` returns a typed table."""
+    """Union of the selected tests; ``table(name)`` returns a typed table.
+
+    ``parents`` memoizes the checked parent key sets across calls.
+    """
     chosen = [t for t in tests if t.test_name in kinds]
     out = []
     by_table: dict[str, list[DataTest]] = {}
@@ -153,10 +157,12 @@ def run_tests(
             out.append(unique_check(table(t.table).select("cycle", t.column), t))
         else:
             by_table.setdefault(t.table, []).append(t)
-    parents = {
-        (t.parent_table, t.parent_column): parent_keys(table(t.parent_table), t.parent_column)
-        for t in chosen if t.parent_table
-    }
+    # One size-checked key set per distinct parent column (10 edges share 2 parents).
+    parents = parents if parents is not None else {}
+    for t in chosen:
+        pk = (t.parent_table, t.parent_column)
+        if t.parent_table and pk not in parents:
+            parents[pk] = parent_keys(table(t.parent_table), t.parent_column)
     for name, ts in by_table.items():
         cols = {"cycle"} | {t.column for t in ts}
         out.append(table_checks(table(name).select(*sorted(cols)), ts, parents))

@@ -15,6 +15,11 @@
 
 Tables x cycles is a small frame; it is produced by generators (``explode``)
 rather than a cross join.
+
+Row counts (``present``) are one row per (table, cycle) group: a final
+aggregate, so its size is measured when its shuffle stage finishes and AQE
+turns the join into a broadcast from that measurement.  An eager row-count
+check here would run the scan of every table twice.
 """
 
 from __future__ import annotations
@@ -98,14 +103,14 @@ def present_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def target_row_counts(manifest: DataFrame, present: DataFrame) -> DataFrame:
     """Expected targets with their row count (NULL when absent)."""
-    j = manifest.join(checked_broadcast(present), ["table_name", "cycle"], "left")
+    j = manifest.join(present, ["table_name", "cycle"], "left")
     return j.select("cycle", "table_name", "target_table", "row_count",
                     F.when(F.col("row_count").isNotNull(), "success").otherwise("missing").alias("status"))
 
 
 def coverage_gap(manifest: DataFrame, present: DataFrame) -> DataFrame:
     """Expected minus present, status ``missing``."""
-    return manifest.join(checked_broadcast(present.select("table_name", "cycle")), ["table_name", "cycle"],
+    return manifest.join(present.select("table_name", "cycle"), ["table_name", "cycle"],
                          "left_anti").select("cycle", "table_name", "target_table", F.lit("missing").alias("status"))
 
 
@@ -152,7 +157,7 @@ def current_state(fetches: DataFrame, counts: DataFrame) -> DataFrame:
     order = F.struct("fetched_at", "fetch_id")
     latest = fetches.groupBy(*key).agg(
         F.max_by(F.struct("fetch_status", "http_status", "etag", "fetched_at"), order).alias("s"))
-    j = latest.join(checked_broadcast(counts), key, "left")
+    j = latest.join(counts, key, "left")
     return j.select(
         F.lit("source_file").alias("entity_type"), F.col("cycle").cast("bigint").alias("cycle"), "table_name",
         F.concat("table_name", F.lit("_"), F.col("cycle").cast("string")).alias("entity_name"),

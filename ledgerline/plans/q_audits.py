@@ -48,9 +48,8 @@ def _dup_summary(t: Tables) -> DataFrame:
 
 
 def _orphans(t: Tables) -> DataFrame:
-    parents: dict = {}
     children = sorted({d.table for d in DATA_TESTS if d.test_name == "relationships"})
-    return _union([A.referential_orphans(t.get, c, parents=parents) for c in children])
+    return _union([A.referential_orphans(t.get, c, parents=t.parents) for c in children])
 
 
 def _domain(t: Tables, hi: float = DOMAIN_HI) -> DataFrame:
@@ -62,9 +61,8 @@ def _domain(t: Tables, hi: float = DOMAIN_HI) -> DataFrame:
 
 def _all_metrics(t: Tables) -> DataFrame:
     """Null-rate, orphan and domain metrics of every table: one fused pass per table."""
-    parents: dict = {}
     return _union([A.table_audit_metrics(lambda name, keep_raw=(): _table(t, name), n, RUN_ID, RUN_TS,
-                                         hi=DOMAIN_HI, parents=parents) for n in ALL_TABLES])
+                                         hi=DOMAIN_HI, parents=t.parents) for n in ALL_TABLES])
 
 
 def _issue_log(t: Tables) -> DataFrame:

@@ -32,7 +32,7 @@ def _suite_sql(kinds: tuple[str, ...]) -> str:
 def _suite(kinds: tuple[str, ...]):
     def build(spark, sf_dir):
         tables = Tables(spark, sf_dir)
-        return run_tests(tables.get, kinds)
+        return run_tests(tables.get, kinds, parents=tables.parents)
 
     return build
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -23,4 +25,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
+        # Local runs only: a cluster names its shared folder in spark.checkpoint.dir.
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-ckpt-", dir="/tmp"))
     return spark

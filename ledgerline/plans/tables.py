@@ -9,6 +9,7 @@ operators downstream take any DataFrame with the layout's columns.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,12 +28,27 @@ def typed(spark: SparkSession, sf_dir: str, table: str, keep_raw: Iterable[str]
 
 
 class Tables:
-    """Lazy accessor: ``Tables(spark, sf_dir).pas2`` is the typed pas2 frame."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.sf_dir = sf_dir
-        self._memo: dict[tuple, DataFrame] = {}
+    """Lazy accessor: ``Tables(spark, sf_dir).pas2`` is the typed pas2 frame.
+
+    One accessor per (session, ``sf_dir``): the typed-table plans and the
+    size-checked parent key sets are built once per session and shared by every
+    query built on it.  A DataFrame is an immutable lazy plan, so sharing it
+    only saves plan construction; each query still scans and computes its data.
+    """
+
+    _shared: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+    def __new__(cls, spark: SparkSession, sf_dir: str):
+        per_session = cls._shared.setdefault(spark, {})
+        inst = per_session.get(sf_dir)
+        if inst is None:
+            inst = super().__new__(cls)
+            inst.spark = spark
+            inst.sf_dir = sf_dir
+            inst._memo = {}
+            inst.parents = {}  # (parent table, column) -> checked key set, see operators.checks
+            per_session[sf_dir] = inst
+        return inst
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in LAYOUTS:
@@ -40,7 +56,7 @@ class Tables:
         raise AttributeError(name)
 
     def get(self, name: str, keep_raw: Iterable[str] = ()) -> DataFrame:
-        """Typed table; the same (lazy) DataFrame object is reused within one query build."""
+        """Typed table; the same (lazy) DataFrame object is reused for the session."""
         key = (name, tuple(keep_raw))
         if key not in self._memo:
             self._memo[key] = typed(self.spark, self.sf_dir, name, key[1])

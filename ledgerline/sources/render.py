@@ -18,6 +18,8 @@ text scan of ``data/<cycle>/<table><yy>.zip`` yields (plus its cycle).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -249,7 +251,12 @@ def render_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     lo, hi = DIM_CYCLES
     out = None
     for source, cyc, where, line in render_branches(table, "spark"):
-        src = spread_files(spark.read.parquet(f"{sf_dir}/{source}.parquet"))
+        src = spark.read.parquet(f"{sf_dir}/{source}.parquet")
+        # Prune to the columns the render reads *before* spreading: the spread
+        # hashes its input's columns, which would otherwise pin every column of
+        # the source (long comments included) into the scan and the shuffle.
+        text = " ".join((cyc, where, line))
+        src = spread_files(src.select(*[c for c in src.columns if re.search(rf"\b{c}\b", text)]))
         if source != "lineitem":
             # A generator, not a join: each dimension row is emitted once per cycle.
             src = src.select("*", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.lit(2))).alias("cycle"))
