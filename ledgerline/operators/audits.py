@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ledgerline.operators.checks import DATA_TESTS, parent_keys
+from ledgerline.plans.joins import materialize
 from ledgerline.sources.layouts import FACTS, LAYOUTS
 
 DEFAULT_RUN_ID = 1
@@ -199,17 +200,22 @@ def issue_log(metrics: DataFrame, issue_type: str | None = None) -> DataFrame:
 
 
 def assign_issue_ids(issues: DataFrame, mode: str = "batch", existing_max: int = 0,
-                     buckets: int = 64) -> DataFrame:
+                     partitions: int | None = None) -> DataFrame:
     """H6: issue ids for a log built from the audits in ``AUDIT_ORDER``.
 
     ``batch`` reproduces the source behaviour: each audit's insert takes
     ``max(issue_id) + 1`` once, so every row of one insert shares the id and
     the id advances by one per non-empty insert.
 
-    ``unique`` gives consecutive distinct ids without a global sort: rows are
-    bucketed by ``(issue_type, table, cycle, hash(issue_key) % buckets)``, the
-    small frame of bucket sizes is prefix-summed, and ``row_number`` runs inside
-    each bucket only -- no single task sees all issues.
+    ``unique`` gives ``max + row_number() over (order by audit, table_name,
+    cycle, issue_key nulls first)`` without funnelling the log through one
+    task: the log is range-partitioned on that order and sorted within each
+    partition, ``monotonically_increasing_id`` gives each row's position in
+    its partition, and a prefix sum over the per-partition counts (one row per
+    partition: bounded by the partition count, not the data) offsets them.
+    ``(audit, table, cycle, issue_key)`` is unique in the log, so the order is
+    total.  The ranked log is materialized (checkpoint in the shared folder)
+    before it is read twice, so both reads see one range partitioning.
     """
     order = F.array_position(F.array(*[F.lit(a) for a in AUDIT_ORDER]), F.col("issue_type"))
     df = issues.withColumn("_batch", order)
@@ -220,16 +226,20 @@ def assign_issue_ids(issues: DataFrame, mode: str = "batch", existing_max: int =
             (F.lit(existing_max) + F.col("_rank")).cast("bigint").alias("issue_id"), *issues.columns)
     if mode != "unique":
         raise ValueError(mode)
-    df = df.withColumn("_bucket", F.pmod(F.xxhash64(F.coalesce("issue_key", F.lit(""))), F.lit(buckets)))
-    grp = ["_batch", "table_name", "cycle", "_bucket"]
-    sizes = df.groupBy(*grp).agg(F.count(F.lit(1)).alias("_n"))  # <= audits x tables x cycles x buckets
-    offsets = sizes.select(*grp, (F.sum("_n").over(Window.orderBy(*grp).rowsBetween(
-        Window.unboundedPreceding, -1))).alias("_off"))
-    offsets = offsets.fillna(0, subset=["_off"])
-    rn = F.row_number().over(Window.partitionBy(*grp).orderBy(
-        F.col("issue_key").asc_nulls_first(), "issue_count"))
-    return df.join(F.broadcast(offsets), grp).select(
-        (F.lit(existing_max) + F.col("_off") + rn).cast("bigint").alias("issue_id"), *issues.columns)
+    n = partitions or int(issues.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = materialize(df)  # the range exchange samples its input before shuffling it: read the log once
+    keys = [F.col("_batch"), F.col("table_name"), F.col("cycle"), F.col("issue_key").asc_nulls_first()]
+    # Computed once: the counts and the positions must come from the same range
+    # partitioning (two plans would each sample their own range bounds).
+    ranked = materialize(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                         .withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_pos", F.monotonically_increasing_id()
+                                     - F.shiftleft(F.col("_pid").cast("bigint"), 33)))
+    sizes = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))  # one row per partition
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    return ranked.join(F.broadcast(offsets), "_pid").select(
+        (F.lit(existing_max) + F.col("_off") + F.col("_pos") + 1).cast("bigint").alias("issue_id"), *issues.columns)
 
 
 def replace_slices(old: DataFrame, new: DataFrame, covered: DataFrame) -> DataFrame:

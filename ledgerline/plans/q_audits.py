@@ -234,6 +234,11 @@ ISSUE_IDS_SQL = (
     f"select cast(b.rk as bigint) as issue_id, log.* from log join b using (issue_type)"
 )
 
+ISSUE_IDS_UNIQUE_SQL = (
+    f"select cast(row_number() over (order by list_position([{_ORDER}], issue_type), table_name, cycle, "
+    f"issue_key nulls first) as bigint) as issue_id, log.* from ({ISSUE_LOG_SQL}) log"
+)
+
 RERUN_SQL = (
     f"with old as ({_u([_issue_sql(NULL_RATE_SQL), _issue_sql(_u([_domain_sql(n, RERUN_OLD_HI) for n in FACTS]))])}), "
     f"newm as ({DOMAIN_SQL}), "
@@ -253,6 +258,7 @@ for _n, _sql in {
                           _summary_sql(DOMAIN_SQL)]),
     "qa_issue_log": ISSUE_LOG_SQL,
     "qa_issue_ids": ISSUE_IDS_SQL,
+    "qa_issue_ids_unique": ISSUE_IDS_UNIQUE_SQL,
     "qa_rerun_replace": RERUN_SQL,
 }.items():
     from ledgerline.plans.catalog import ORACLE

@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerline.sources.delimited import parse_lines
@@ -31,37 +32,46 @@ LINES_SCHEMA = "cycle int, zip_path string, source_entry string, line_no bigint,
 _OUT = pa.schema([("cycle", pa.int32()), ("zip_path", pa.string()), ("source_entry", pa.string()),
                   ("line_no", pa.int64()), ("raw", pa.binary())])
 BATCH_LINES = 65536
+BLOCK_BYTES = 8 << 20
 
 
-def _stream_member(path: str, member: str) -> Iterator[tuple[int, bytes]]:
+def _member_blocks(path: str, member: str) -> Iterator[tuple[int, list[bytes]]]:
+    """``(first line number, lines)`` per block read from one member.
+
+    Lines are cut with C-level ``bytes`` methods on whole blocks (no per-line
+    Python loop); a trailing ``\r`` is dropped per line, including on a last
+    line without ``\n``.  A line cut by a block border is carried over.
+    """
+    no, carry = 0, b""
     with zipfile.ZipFile(path) as zf, zf.open(member) as fh:
-        for i, line in enumerate(fh):
-            if line.endswith(b"\n"):
-                line = line[:-1]
-            if line.endswith(b"\r"):
-                line = line[:-1]
-            yield i, line
+        while block := fh.read(BLOCK_BYTES):
+            data = carry + block
+            cut = data.rfind(b"\n")
+            if cut < 0:
+                carry = data
+                continue
+            carry = data[cut + 1:]
+            lines = data[:cut + 1].replace(b"\r\n", b"\n")[:-1].split(b"\n")
+            yield no, lines
+            no += len(lines)
+    if carry:
+        yield no, [carry[:-1] if carry.endswith(b"\r") else carry]
 
 
 def _extract(root: str):
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in batch.to_pylist():  # manifest rows: one archive member each
                 path = os.path.join(root, row["zip_path"]) if root else row["zip_path"]
-                buf_no, buf_raw = [], []
-                for no, raw in _stream_member(path, row["source_entry"]):
-                    buf_no.append(no)
-                    buf_raw.append(raw)
-                    if len(buf_raw) >= BATCH_LINES:
-                        yield _batch(row, buf_no, buf_raw)
-                        buf_no, buf_raw = [], []
-                if buf_raw:
-                    yield _batch(row, buf_no, buf_raw)
+                for first, lines in _member_blocks(path, row["source_entry"]):
+                    for s in range(0, len(lines), BATCH_LINES):
+                        part = lines[s:s + BATCH_LINES]
+                        yield _batch(row, range(first + s, first + s + len(part)), part)
 
     return fn
 
 
-def _batch(row: dict, nos: list[int], raws: list[bytes]) -> pa.RecordBatch:
+def _batch(row: dict, nos: range, raws: list[bytes]) -> pa.RecordBatch:
     n = len(raws)
     return pa.RecordBatch.from_arrays([
         pa.array([row["cycle"]] * n, pa.int32()), pa.array([row["zip_path"]] * n, pa.string()),
@@ -74,11 +84,15 @@ def zip_lines(spark: SparkSession, manifest: DataFrame, root: str = "",
     """``manifest(cycle, zip_path, source_entry)`` -> ``(cycle, zip_path, source_entry, line_no, value)``."""
     m = manifest.select(F.col("cycle").cast("int").alias("cycle"), "zip_path", "source_entry")
     n_archives = max(1, m.count())  # manifest size: one row per archive (metadata, bounded)
-    one_per_task = m.repartition(n_archives, "zip_path", "source_entry")
+    # Dense index over the (bounded) manifest, range-placed: one archive per task,
+    # where hash placement would pile two large archives onto one task.
+    idx = m.withColumn("_i", F.row_number().over(Window.orderBy("zip_path", "source_entry")))
+    one_per_task = idx.repartitionByRange(n_archives, "_i").drop("_i")
     raw = one_per_task.mapInArrow(_extract(root), LINES_SCHEMA)
     lines = raw.select("cycle", "zip_path", "source_entry", "line_no", F.col("raw").cast("string").alias("value"))
     want = spread_to or spark.sparkContext.defaultParallelism
-    return lines.repartition(want) if want > n_archives else lines
+    # Hash on the line's identity: balanced and deterministic on task retry.
+    return lines.repartition(want, "zip_path", "source_entry", "line_no") if want > n_archives else lines
 
 
 def write_bronze(lines: DataFrame, path: str) -> None:

@@ -62,3 +62,8 @@ def test_unique_issue_ids_are_consecutive(spark, sf):
     assert sorted(ids) == list(range(11, 11 + len(ids))) and len(ids) > 0
     batch = {r.issue_id for r in A.assign_issue_ids(issues, mode="batch", existing_max=10).collect()}
     assert batch == {11}
+    # Several range partitions: ids follow (cycle, issue_key nulls first) across partition borders.
+    rows = A.assign_issue_ids(issues, mode="unique", existing_max=0, partitions=5).collect()
+    by_id = [(r.cycle, r.issue_key) for r in sorted(rows, key=lambda r: r.issue_id)]
+    assert by_id == sorted(by_id, key=lambda k: (k[0], k[1] is not None, k[1] or ""))
+    assert sorted(r.issue_id for r in rows) == list(range(1, len(rows) + 1))
