@@ -246,17 +246,25 @@ def render_sql(table: str) -> str:
     return " union all ".join(parts)
 
 
+def _source_text(source: str) -> str:
+    """All render expression text reading ``source`` (every table, every branch)."""
+    return " ".join(" ".join((cyc, where, line)) for t in ("ccl", *_SOURCES)
+                    for src, cyc, where, line in render_branches(t, "spark") if src == source)
+
+
 def render_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """Spark frame of the landing lines of ``table`` as ``(cycle, value)``."""
     lo, hi = DIM_CYCLES
     out = None
     for source, cyc, where, line in render_branches(table, "spark"):
         src = spark.read.parquet(f"{sf_dir}/{source}.parquet")
-        # Prune to the columns the render reads *before* spreading: the spread
+        # Prune to the columns the renders read *before* spreading: the spread
         # hashes its input's columns, which would otherwise pin every column of
         # the source (long comments included) into the scan and the shuffle.
-        text = " ".join((cyc, where, line))
-        src = spread_files(src.select(*[c for c in src.columns if re.search(rf"\b{c}\b", text)]))
+        # The set is per source, not per table, so every table rendered from
+        # one source shares one spread exchange (reused within a query).
+        used = _source_text(source)
+        src = spread_files(src.select(*[c for c in src.columns if re.search(rf"\b{c}\b", used)]))
         if source != "lineitem":
             # A generator, not a join: each dimension row is emitted once per cycle.
             src = src.select("*", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.lit(2))).alias("cycle"))
