@@ -91,3 +91,29 @@ def test_streaming_ingest_is_incremental(spark, tmp_path):
     df = spark.read.parquet(table)
     assert df.count() == 3
     assert df.where(F.col("CMTE_ZIP") == "12345").count() == 3
+
+
+def test_render_scan_is_pruned_and_shared(spark, sf):
+    """Renders read only the used source columns, and tables of one source share one spread exchange."""
+    from ledgerline.plans.tables import lines
+
+    plan = lines(spark, sf, "indiv")._jdf.queryExecution().executedPlan().toString()
+    assert "l_orderkey" in plan and "l_comment" not in plan and "l_shipinstruct" not in plan
+    both = lines(spark, sf, "indiv").unionByName(lines(spark, sf, "oppexp"))
+    both.write.format("noop").mode("overwrite").save()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        static = both._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "ReusedExchange" in static
+
+
+def test_tables_and_key_sets_shared_per_session(spark, sf):
+    from ledgerline.operators.checks import run_tests
+    from ledgerline.plans.tables import Tables
+
+    t = Tables(spark, sf)
+    assert Tables(spark, sf) is t and t.get("cm") is Tables(spark, sf).cm
+    run_tests(t.get, ("relationships",), parents=t.parents)
+    assert set(t.parents) == {("cn", "CAND_ID"), ("cm", "CMTE_ID")}
