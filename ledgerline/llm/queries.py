@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.jaccard_join import ngram_jaccard
+from ledgerline.llm.lm_score import lm_scores
 from ledgerline.llm.substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +34,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard(table(spark, sf_dir, "documents"))
 
 
+@register("op2_lm_score")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 @register("op7_substring_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup(table(spark, sf_dir, "documents"))
