@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.jaccard_join import ngram_jaccard
 from ledgerline.llm.lm_score import lm_scores
+from ledgerline.llm.packing import best_fit_packing
 from ledgerline.llm.substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +40,18 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+def pack(docs: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    return best_fit_packing(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                            public_tokenizers.PATTERN)
+
+
+@register("op6_best_fit_packing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 @register("op7_substring_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup(table(spark, sf_dir, "documents"))
