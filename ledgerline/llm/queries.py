@@ -11,6 +11,7 @@ from ledgerline.llm.jaccard_join import ngram_jaccard
 from ledgerline.llm.lm_score import lm_scores
 from ledgerline.llm.packing import best_fit_packing
 from ledgerline.llm.substring_dedup import substring_dedup
+from ledgerline.llm.topk_search import exact_top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -57,3 +58,22 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"),
                       F.size("factors").cast("bigint").alias("n_factors"))
+
+
+OP9_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, x -> cast(floor(64 * cast(x as double)) as bigint)) as q
+  from embeddings where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+s as (
+  select a.vec_id as query_id, b.vec_id, cast(list_sum(list_transform(list_zip(a.q, b.q), z -> z[1] * z[2])) as bigint) as score
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 20 = 0)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+from s qualify row_number() over (partition by query_id order by score desc, vec_id) <= 20
+"""
+
+
+@register("op9_exact_top_k", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return exact_top_k(vectors, vectors.where("vec_id % 20 = 0"))
