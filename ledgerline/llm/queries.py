@@ -62,11 +62,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP9_SQL = """
 with v as (
-  select vec_id, list_transform(embedding, x -> cast(floor(64 * cast(x as double)) as bigint)) as q
+  select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as q
   from embeddings where vec_id is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 s as (
-  select a.vec_id as query_id, b.vec_id, cast(list_sum(list_transform(list_zip(a.q, b.q), z -> z[1] * z[2])) as bigint) as score
+  select a.vec_id as query_id, b.vec_id, cast(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) as bigint) as score
   from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 20 = 0)
 select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
 from s qualify row_number() over (partition by query_id order by score desc, vec_id) <= 20
