@@ -14,13 +14,20 @@ cannot all destroy:
   set is indexed under its own band and the next, which covers every partner.
 
 Frequency comes from a count sketch of all distinct shingles of all documents
-(fixed 4 MB, tree-reduced).  It only shapes the order: any order gives the same
+(fixed 16 MB, tree-reduced).  It only shapes the order: any order gives the same
 links, and every candidate is verified exactly.
 
 Links are never expanded within a group.  Equal sets collapse first.  Each
-signature links its members to two hubs (its least and greatest member); after
+signature pairs its members with two hubs (its least and greatest member); after
 components are known, only pairs of members that still lie in *different*
-components are verified, so no link that could join two components is lost.
+components are counted, so no link that could join two components is lost.
+
+Before the sets of a pair are fetched, two bounds that every link meets are
+applied: on the sizes, and on the number of shared signatures.  Up to the lesser of
+the two prefix ends, every shared rare shingle is a shared signature, and ``s`` shared
+shingles of a class make at least ``s - 1`` shared pairs; the shingle lost per class is
+the one by which the prefix was extended.  So the intersection is at most the number of
+shared signatures plus what lies behind an unextended prefix.
 """
 
 from __future__ import annotations
@@ -34,12 +41,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm import bitmap
 from ledgerline.llm.graph import components
 from ledgerline.llm.stage import cut
 from ledgerline.llm.words import mix, window_hashes, word_chunks
 
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 BAND = math.log(1.25)
+SIGS = ["sig", "key", "size", "band"]
+SIG_ROWS = "sig bigint, key bigint, size int, band int"
 
 
 def shingle_sets(texts: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -69,22 +79,22 @@ def needed(n: int, num: int, den: int) -> int:
     return n + (-num * n // den) + 1
 
 
-def signatures(h: np.ndarray, level: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Signature hashes of one set (sorted ``h``); ``level`` is 0 for rare counters, higher for more frequent."""
+def signatures(h: np.ndarray, level: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signature hashes of one set (sorted ``h``) with their bands (0: rare shingles); ``level`` is 0 for rare counters."""
     n = len(h)
     if n < 2:  # a partner of a single shingle has the same set
-        return np.empty(0, np.uint64)
+        return np.empty(0, np.uint64), np.empty(0, np.int32)
     need = needed(n, num, den)
     lev = level[(h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
     rare = h[lev == 0]
     if len(rare) >= need:
-        return rare[:need]
+        return rare[:need], np.zeros(need, np.int32)
     often = h[lev > 0]
     often = often[np.lexsort((often, lev[lev > 0]))]
-    out = [rare]
-    own = int(math.log(n) / BAND)
+    out, bands = [rare], [np.zeros(len(rare), np.int32)]
+    own = 1 + int(math.log(n) / BAND)
     for band in (own, own + 1):
-        m = max(1, int(1.25 ** band) // 16)
+        m = max(1, int(1.25 ** (band - 1)) // 16)
         cls = ((often >> np.uint64(9)) % np.uint64(m)).astype(np.int64)
         new = np.zeros(len(often), np.int64)
         new[np.unique(cls, return_index=True)[1]] = 1
@@ -98,8 +108,9 @@ def signatures(h: np.ndarray, level: np.ndarray, num: int, den: int) -> np.ndarr
             if not len(same):
                 break
             out.append(mix(tok[same] * np.uint64(0x9E6C63D0676A9A99) + tok[same + gap] + np.uint64(band)))
+            bands.append(np.full(len(same), band, np.int32))
             gap += 1
-    return np.concatenate(out)
+    return np.concatenate(out), np.concatenate(bands)
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -140,49 +151,52 @@ def _levels(sketches: DataFrame) -> np.ndarray:
         return np.zeros(1 << SKETCH_BITS, np.uint8)
     counts = np.frombuffer(zlib.decompress(total), np.uint32).astype(np.float64)
     mean = counts.mean()
-    bar = mean + 6 * math.sqrt(mean) + 16
+    bar = mean + 6 * math.sqrt(mean) + 8
     return np.where(counts > bar, 1 + np.floor(np.log2(np.maximum(counts / bar, 1))), 0).astype(np.uint8)
 
 
 def _signature_rows(docs: DataFrame, n: int, num: int, den: int, level: np.ndarray) -> DataFrame:
+    """(sig, key, size, band): the signatures of every document under the key and size of its set."""
+    def packed(cols):
+        return pa.record_batch([pa.array(np.concatenate(c)) for c in cols], names=SIGS)
+
     def run(batches):
         for batch in batches:
-            sig, key = [], []
+            cols: list[list] = [[] for _ in SIGS]
             for _, h in shingle_sets(batch.column(1), n):
-                s = signatures(h, level, num, den)
-                sig.append(s)
-                key.append(np.full(len(s), set_keys(h)[0], np.int64))
-                if sum(map(len, sig[-64:])) and len(sig) >= 512:
-                    yield pa.record_batch([pa.array(_signed(np.concatenate(sig))), pa.array(np.concatenate(key))], names=["sig", "key"])
-                    sig, key = [], []
-            if sig:
-                yield pa.record_batch([pa.array(_signed(np.concatenate(sig))), pa.array(np.concatenate(key))], names=["sig", "key"])
+                s, bands = signatures(h, level, num, den)
+                for col, x in zip(cols, (_signed(s), np.full(len(s), set_keys(h)[0], np.int64), np.full(len(s), len(h), np.int32), bands)):
+                    col.append(x)
+                if len(cols[0]) >= 512:
+                    yield packed(cols)
+                    cols = [[] for _ in SIGS]
+            if cols[0]:
+                yield packed(cols)
 
-    return docs.where("doc_id is not null").mapInArrow(run, "sig bigint, key bigint")
+    return docs.where("doc_id is not null").mapInArrow(run, SIG_ROWS)
 
 
 def _live(batches):
     """Of rows sorted by (sig, key), the distinct ones whose signature has at least two keys; one row of state."""
-    held = None  # last distinct row so far: (sig, key, whether it has been given out)
+    held = None  # last distinct row so far, and whether it has been given out
     for batch in batches:
-        sig = batch.column(0).to_numpy(zero_copy_only=False)
-        key = batch.column(1).to_numpy(zero_copy_only=False)
-        out = np.zeros(len(sig), bool)
+        cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)] + [np.zeros(batch.num_rows, bool)]
         if held is not None:
-            sig, key = np.concatenate(([held[0]], sig)), np.concatenate(([held[1]], key))
-            out = np.concatenate(([held[2]], out))
+            cols = [np.concatenate((np.array([x], y.dtype), y)) for x, y in zip(held, cols)]
+        sig, key = cols[:2]
         if not len(sig):
             continue
         fresh = np.ones(len(sig), bool)
         fresh[1:] = (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])
-        sig, key, out = sig[fresh], key[fresh], out[fresh]
+        cols = [c[fresh] for c in cols]
+        sig, out = cols[0], cols[4]
         twin = np.zeros(len(sig), bool)
         twin[1:] = sig[1:] == sig[:-1]
         twin[:-1] |= twin[1:]
         give = twin & ~out
-        held = (sig[-1], key[-1], bool(out[-1] or give[-1]))
+        held = [c[-1] for c in cols[:4]] + [bool(out[-1] or give[-1])]
         if give.any():
-            yield pa.record_batch([pa.array(sig[give]), pa.array(key[give])], names=["sig", "key"])
+            yield pa.record_batch([pa.array(c[give]) for c in cols[:4]], names=SIGS)
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
@@ -209,15 +223,34 @@ def _set_batch(batch, rows, k1, k2, sets):
                            names=["rep", "key", "k2", "shingles"])
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (u, v) between representatives among candidate key pairs (a, b)."""
+def _sizes_fit(num: int, den: int):
+    return F.least("na", "nb") * den >= F.greatest("na", "nb") * num
+
+
+def _own_band():
+    """Pairs of frequent shingles count in the band of the larger set only."""
+    return (F.col("band") == 0) | (F.col("band") == 1 + F.floor(F.log(F.greatest("na", "nb")) / F.lit(BAND)))
+
+
+def _enough_shared(num: int, den: int):
+    """Whether ``shared`` signatures leave room for a link."""
+    behind = F.ceil(F.greatest("na", "nb") * num / F.lit(den)) - 1
+    overlap = F.ceil((F.col("na") + F.col("nb")) * num / F.lit(num + den))
+    return F.col("shared") + behind >= overlap
+
+
+def _verify(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """Links (u, v) between representatives among candidate key pairs (a, b), by their whole sets."""
+    keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    wanted = cut(keys.join(reps, "key").select("key", "k2", "rep"))
+    ids = wanted.select(F.col("rep").alias("doc_id")).distinct()
+    texts = bitmap.keep_rows(docs, "doc_id", bitmap.build(ids)).join(ids, "doc_id")
+    sets = cut(_sets(texts, n).join(wanted, ["rep", "key", "k2"]).dropDuplicates(["rep", "key", "k2"]).select("rep", "key", "shingles"))
     left = sets.select(F.col("key").alias("a"), F.col("rep").alias("u"), F.col("shingles").alias("x"))
     right = sets.select(F.col("key").alias("b"), F.col("rep").alias("v"), F.col("shingles").alias("y"))
-    nx, ny = F.size("x"), F.size("y")
     both = F.size(F.array_intersect("x", "y"))
-    return (pairs.join(left, "a").join(right, "b")
-            .where((F.least(nx, ny) * den >= F.greatest(nx, ny) * num) & (both * den >= (nx + ny - both) * num))
-            .select("u", "v"))
+    return (pairs.select("a", "b").join(left, "a").join(right, "b")
+            .where(both * den >= (F.size("x") + F.size("y") - both) * num).select("u", "v"))
 
 
 def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
@@ -239,27 +272,30 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     reps = members.groupBy("n", "key", "k2").agg(F.min("doc_id").alias("rep"))
 
     sigs = _signature_rows(docs, n, num, den, level)
-    live = cut(sigs.repartition("sig").sortWithinPartitions("sig", "key").mapInArrow(_live, "sig bigint, key bigint"))
-    hubs = live.groupBy("sig").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
+    live = cut(sigs.repartition("sig").sortWithinPartitions("sig", "key").mapInArrow(_live, SIG_ROWS))
+    me = F.struct("key", "size")
+    hubs = live.groupBy("sig").agg(F.min(me).alias("lo"), F.max(me).alias("hi"))
     hubbed = live.join(hubs, "sig")
-    star = cut(hubbed.where("key <> lo").select(F.col("key").alias("a"), F.col("lo").alias("b"))
-               .union(hubbed.where("key <> hi and key <> lo").select(F.col("hi").alias("a"), F.col("key").alias("b")))
-               .distinct())
-
-    wanted = live.select("key").distinct().join(reps, "key").select("key", "k2", "rep")
-    texts = docs.join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
-    sets = cut(_sets(texts, n).join(wanted, ["rep", "key", "k2"]).dropDuplicates(["rep", "key", "k2"]).select("rep", "key", "shingles"))
-    links = cut(_verify(star, sets, num, den).distinct())
+    pair = lambda a, b: [F.col(f"{a}key").alias("a"), F.col(f"{a}size").alias("na"), F.col(f"{b}key").alias("b"), F.col(f"{b}size").alias("nb")]
+    star = (hubbed.where("key > lo.key").select(pair("", "lo.")).union(hubbed.where("key < hi.key").select(pair("hi.", "")))
+            .where(_sizes_fit(num, den)).distinct())
+    mine, theirs = live.select("sig", "band", F.col("key").alias("a")), live.select("sig", F.col("key").alias("b"))
+    star = cut(star.join(mine, "a").join(theirs, ["sig", "b"]).where(_own_band()).groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared"))
+               .where(_enough_shared(num, den)).select("a", "b"))
+    links = cut(_verify(docs, reps, star, n, num, den).distinct())
 
     label = components(links)
-    known = (wanted.join(label, F.col("rep") == F.col("node"), "left")
+    known = (live.select("key").distinct().join(reps, "key").join(label, F.col("rep") == F.col("node"), "left")
              .select("key", F.coalesce("component", "rep").alias("comp")))
     placed = cut(live.join(known, "key"))
     open_sigs = placed.groupBy("sig").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("sig")
     rest = cut(placed.join(open_sigs, "sig"))
-    one, two = rest.select("sig", F.col("key").alias("b"), F.col("comp").alias("cb")), rest.select("sig", F.col("key").alias("a"), "comp")
-    left_over = one.join(two, "sig").where("a > b and comp <> cb").select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
-    more = _verify(left_over, sets, num, den)
+    one = rest.select("sig", F.col("key").alias("b"), F.col("size").alias("nb"), F.col("comp").alias("cb"))
+    two = rest.select("sig", "band", F.col("key").alias("a"), F.col("size").alias("na"), "comp")
+    left_over = cut(one.join(two, "sig").where((F.col("a") > F.col("b")) & (F.col("comp") != F.col("cb")) & _sizes_fit(num, den) & _own_band())
+                    .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared")).where(_enough_shared(num, den))
+                    .select("a", "b").join(star, ["a", "b"], "left_anti"))
+    more = _verify(docs, reps, left_over, n, num, den)
 
     # texts that share an id are one node
     same_id = members.join(reps, ["n", "key", "k2"]).groupBy("doc_id").agg(F.min("rep").alias("v"), F.collect_set("rep").alias("us"))
