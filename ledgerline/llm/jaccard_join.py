@@ -18,12 +18,14 @@ Frequency comes from a count sketch of all distinct shingles of all documents
 links, and every candidate is verified exactly.
 
 Links are never expanded within a group.  Equal sets collapse first.  Each
-signature pairs its members with two hubs (its least and greatest member); after
+signature pairs its members with a few hubs (those that share most signatures with
+others, so the middle of a group of copies); after
 components are known, only pairs of members that still lie in *different*
 components are counted, so no link that could join two components is lost.
 
-Before the sets of a pair are fetched, two bounds that every link meets are
-applied: on the sizes, and on the number of shared signatures.  Up to the lesser of
+Before the sets of a pair are fetched, three bounds that every link meets are
+applied: on the sizes, on the number of shared signatures and on the difference of
+two small parity bitmaps, which never exceeds that of the sets.  Up to the lesser of
 the two prefix ends, every shared rare shingle is a shared signature, and ``s`` shared
 shingles of a class make at least ``s - 1`` shared pairs; the shingle lost per class is
 the one by which the prefix was extended.  So the intersection is at most the number of
@@ -38,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm import bitmap
@@ -48,6 +50,7 @@ from ledgerline.llm.words import mix, window_hashes, word_chunks
 
 SKETCH_BITS = 22
 BAND = math.log(1.25)
+PARITY = [f"p{i}" for i in range(8)]
 SIGS = ["sig", "key", "size", "band"]
 SIG_ROWS = "sig bigint, key bigint, size int, band int"
 
@@ -74,6 +77,12 @@ def set_keys(h: np.ndarray) -> tuple[int, int]:
     return a - (a >> 63 << 64), b - (b >> 63 << 64)
 
 
+def parity(h: np.ndarray) -> np.ndarray:
+    """512 bits: whether an odd number of shingles falls into each slot."""
+    odd = (np.bincount((mix(h) >> np.uint64(55)).astype(np.int64), minlength=512) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def needed(n: int, num: int, den: int) -> int:
     """Misses plus one: how much capacity a prefix of a set of ``n`` must have."""
     return n + (-num * n // den) + 1
@@ -118,22 +127,19 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def _scan(docs: DataFrame, n: int) -> DataFrame:
-    """One row (doc_id, n, k1, k2) per document and, per task, a row with its compressed counters."""
-    schema = "doc_id bigint, n bigint, k1 bigint, k2 bigint, counts binary"
+    """One row (doc_id, n, k1, k2, parity bits) per document and, per task, a row with its compressed counters."""
+    names = ["doc_id", "n", "k1", "k2", *PARITY, "counts"]
+    schema = ", ".join(f"{x} bigint" for x in names[:-1]) + ", counts binary"
 
     def run(batches):
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
-            ns, k1, k2 = [], [], []
-            for _, h in shingle_sets(batch.column(1), n):
-                a, b = set_keys(h)
-                ns.append(len(h)), k1.append(a), k2.append(b)
+            own = np.zeros((batch.num_rows, 3 + len(PARITY)), np.int64)
+            for row, h in shingle_sets(batch.column(1), n):
+                own[row] = (len(h), *set_keys(h), *parity(h))
                 np.add.at(counts, (h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), np.uint32(1))
-            yield pa.record_batch([batch.column(0), pa.array(ns, pa.int64()), pa.array(k1, pa.int64()),
-                                   pa.array(k2, pa.int64()), pa.nulls(len(ns), pa.binary())],
-                                  names=["doc_id", "n", "k1", "k2", "counts"])
-        yield pa.record_batch([pa.nulls(1, pa.int64())] * 4 + [pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary())],
-                              names=["doc_id", "n", "k1", "k2", "counts"])
+            yield pa.record_batch([batch.column(0), *[pa.array(np.ascontiguousarray(c)) for c in own.T], pa.nulls(len(own), pa.binary())], names=names)
+        yield pa.record_batch([pa.nulls(1, pa.int64())] * (len(names) - 1) + [pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary())], names=names)
 
     return docs.mapInArrow(run, schema)
 
@@ -239,6 +245,16 @@ def _enough_shared(num: int, den: int):
     return F.col("shared") + behind >= overlap
 
 
+def _alike(pairs: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) whose parity bitmaps leave room for a link: sets differ in at least as many shingles as bits."""
+    x = bits.select(F.col("key").alias("a"), *[F.col(p).alias(f"x{p}") for p in PARITY])
+    y = bits.select(F.col("key").alias("b"), *[F.col(p).alias(f"y{p}") for p in PARITY])
+    differ = sum((F.bit_count(F.col(f"x{p}").bitwiseXOR(F.col(f"y{p}"))) for p in PARITY), F.lit(0))
+    both = F.col("na") + F.col("nb")
+    return (pairs.join(x, "a").join(y, "b")
+            .where(differ <= both - 2 * F.ceil(both * num / F.lit(num + den))).select("a", "b").distinct())
+
+
 def _verify(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Links (u, v) between representatives among candidate key pairs (a, b), by their whole sets."""
     keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
@@ -254,7 +270,7 @@ def _verify(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int, num: int
 
 
 def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
-                  num: int = 80, den: int = 100) -> DataFrame:
+                  num: int = 80, den: int = 100, hubs: int = 3) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, representative.
 
     Texts are lower-cased (A-Z); a text with fewer than ``n`` words is one shingle; null, empty
@@ -268,20 +284,26 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     scan = cut(_scan(docs, n))
     level = _levels(scan.where("counts is not null").select("counts"))
     rows = scan.where("counts is null").select("doc_id", "n", F.col("k1").alias("key"), "k2")
+    bits = scan.where("doc_id is not null and n > 1").select(F.col("k1").alias("key"), "k2", *PARITY).dropDuplicates(["key", "k2"]).drop("k2")
     members = rows.where("doc_id is not null and n > 0")
     reps = members.groupBy("n", "key", "k2").agg(F.min("doc_id").alias("rep"))
 
     sigs = _signature_rows(docs, n, num, den, level)
     live = cut(sigs.repartition("sig").sortWithinPartitions("sig", "key").mapInArrow(_live, SIG_ROWS))
-    me = F.struct("key", "size")
-    hubs = live.groupBy("sig").agg(F.min(me).alias("lo"), F.max(me).alias("hi"))
-    hubbed = live.join(hubs, "sig")
-    pair = lambda a, b: [F.col(f"{a}key").alias("a"), F.col(f"{a}size").alias("na"), F.col(f"{b}key").alias("b"), F.col(f"{b}size").alias("nb")]
-    star = (hubbed.where("key > lo.key").select(pair("", "lo.")).union(hubbed.where("key < hi.key").select(pair("hi.", "")))
-            .where(_sizes_fit(num, den)).distinct())
+    crowd = live.groupBy("sig").agg(F.count(F.lit(1)).alias("crowd"))
+    central = live.join(crowd, "sig").groupBy("key", "size").agg(F.sum("crowd").alias("weight"))
+    order = Window.partitionBy("sig").orderBy(F.desc("weight"), "b")
+    middle = (live.join(central, ["key", "size"]).select("sig", F.col("key").alias("b"), F.col("size").alias("nb"), "weight")
+              .withColumn("place", F.row_number().over(order)).where(F.col("place") <= hubs).drop("weight", "place"))
+    star = (live.select("sig", F.col("key").alias("a"), F.col("size").alias("na")).join(middle, "sig")
+            .where(F.col("a") != F.col("b")).where(_sizes_fit(num, den))
+            .select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y"),
+                    F.when(F.col("a") > F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"),
+                    F.when(F.col("a") > F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"))
+            .withColumnsRenamed({"x": "a", "y": "b"}).distinct())
     mine, theirs = live.select("sig", "band", F.col("key").alias("a")), live.select("sig", F.col("key").alias("b"))
-    star = cut(star.join(mine, "a").join(theirs, ["sig", "b"]).where(_own_band()).groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared"))
-               .where(_enough_shared(num, den)).select("a", "b"))
+    star = cut(_alike(star.join(mine, "a").join(theirs, ["sig", "b"]).where(_own_band()).groupBy("a", "b", "na", "nb")
+                      .agg(F.count(F.lit(1)).alias("shared")).where(_enough_shared(num, den)), bits, num, den))
     links = cut(_verify(docs, reps, star, n, num, den).distinct())
 
     label = components(links)
@@ -292,9 +314,9 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rest = cut(placed.join(open_sigs, "sig"))
     one = rest.select("sig", F.col("key").alias("b"), F.col("size").alias("nb"), F.col("comp").alias("cb"))
     two = rest.select("sig", "band", F.col("key").alias("a"), F.col("size").alias("na"), "comp")
-    left_over = cut(one.join(two, "sig").where((F.col("a") > F.col("b")) & (F.col("comp") != F.col("cb")) & _sizes_fit(num, den) & _own_band())
-                    .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared")).where(_enough_shared(num, den))
-                    .select("a", "b").join(star, ["a", "b"], "left_anti"))
+    left_over = one.join(two, "sig").where((F.col("a") > F.col("b")) & (F.col("comp") != F.col("cb")) & _sizes_fit(num, den) & _own_band())
+    left_over = left_over.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared")).where(_enough_shared(num, den))
+    left_over = cut(_alike(left_over, bits, num, den).join(star, ["a", "b"], "left_anti"))
     more = _verify(docs, reps, left_over, n, num, den)
 
     # texts that share an id are one node
