@@ -51,6 +51,7 @@ from ledgerline.llm.words import mix, window_hashes, word_chunks
 SKETCH_BITS = 22
 BAND = math.log(1.25)
 PARITY = [f"p{i}" for i in range(8)]
+FOLDED = [f"f{i}" for i in range(4)]
 SIGS = ["sig", "key", "size", "band"]
 SIG_ROWS = "sig bigint, key bigint, size int, band int"
 
@@ -245,14 +246,18 @@ def _enough_shared(num: int, den: int):
     return F.col("shared") + behind >= overlap
 
 
+def _bits_fit(names: list[str], num: int, den: int):
+    """Sets differ in at least as many shingles as their parity bitmaps in bits."""
+    differ = sum((F.bit_count(F.col(f"x{p}").bitwiseXOR(F.col(f"y{p}"))) for p in names), F.lit(0))
+    both = F.col("na") + F.col("nb")
+    return differ <= both - 2 * F.ceil(both * num / F.lit(num + den))
+
+
 def _alike(pairs: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) whose parity bitmaps leave room for a link: sets differ in at least as many shingles as bits."""
+    """Pairs (a, b) whose parity bitmaps leave room for a link."""
     x = bits.select(F.col("key").alias("a"), *[F.col(p).alias(f"x{p}") for p in PARITY])
     y = bits.select(F.col("key").alias("b"), *[F.col(p).alias(f"y{p}") for p in PARITY])
-    differ = sum((F.bit_count(F.col(f"x{p}").bitwiseXOR(F.col(f"y{p}"))) for p in PARITY), F.lit(0))
-    both = F.col("na") + F.col("nb")
-    return (pairs.join(x, "a").join(y, "b")
-            .where(differ <= both - 2 * F.ceil(both * num / F.lit(num + den))).select("a", "b").distinct())
+    return pairs.join(x, "a").join(y, "b").where(_bits_fit(PARITY, num, den)).select("a", "b").distinct()
 
 
 def _verify(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -307,14 +312,16 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     links = cut(_verify(docs, reps, star, n, num, den).distinct())
 
     label = components(links)
-    known = (live.select("key").distinct().join(reps, "key").join(label, F.col("rep") == F.col("node"), "left")
-             .select("key", F.coalesce("component", "rep").alias("comp")))
-    placed = cut(live.join(known, "key"))
+    folded = [F.col(PARITY[i]).bitwiseXOR(F.col(PARITY[i + 4])).alias(f) for i, f in enumerate(FOLDED)]
+    known = (reps.join(label, F.col("rep") == F.col("node"), "left").join(bits.select("key", *folded), "key")
+             .select("key", F.coalesce("component", "rep").alias("comp"), *FOLDED))
+    placed = live.join(known, "key")
     open_sigs = placed.groupBy("sig").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("sig")
     rest = cut(placed.join(open_sigs, "sig"))
-    one = rest.select("sig", F.col("key").alias("b"), F.col("size").alias("nb"), F.col("comp").alias("cb"))
-    two = rest.select("sig", "band", F.col("key").alias("a"), F.col("size").alias("na"), "comp")
-    left_over = one.join(two, "sig").where((F.col("a") > F.col("b")) & (F.col("comp") != F.col("cb")) & _sizes_fit(num, den) & _own_band())
+    one = rest.select("sig", F.col("key").alias("b"), F.col("size").alias("nb"), F.col("comp").alias("cb"), *[F.col(f).alias(f"y{f}") for f in FOLDED])
+    two = rest.select("sig", "band", F.col("key").alias("a"), F.col("size").alias("na"), "comp", *[F.col(f).alias(f"x{f}") for f in FOLDED])
+    left_over = one.join(two, "sig").where((F.col("a") > F.col("b")) & (F.col("comp") != F.col("cb")) & _sizes_fit(num, den)
+                                           & _own_band() & _bits_fit(FOLDED, num, den))
     left_over = left_over.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared")).where(_enough_shared(num, den))
     left_over = cut(_alike(left_over, bits, num, den).join(star, ["a", "b"], "left_anti"))
     more = _verify(docs, reps, left_over, n, num, den)
