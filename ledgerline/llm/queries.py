@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ledgerline.llm.jaccard_join import ngram_jaccard
 from ledgerline.llm.lm_score import lm_scores
 from ledgerline.llm.packing import best_fit_packing
+from ledgerline.llm import quality, warc
+from ledgerline.llm.pii import BASE, find_pii
 from ledgerline.llm.substring_dedup import substring_dedup
 from ledgerline.llm.topk_search import exact_top_k
 
@@ -41,6 +43,44 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+B32 = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+OP3_SQL = f"""
+with p as (select page_id, coalesce(html, '') as payload from pages),
+d as (select page_id, octet_length(encode(payload)) as payload_bytes, sha1(payload) as x from p),
+b as (select *, max(page_id) over (partition by x) as first from d)
+select page_id, cast(payload_bytes as bigint) as payload_bytes,
+  {" || ".join(f"substr({B32}, 1 + ((cast('0x' || substr(x, {1 + 5 * i}, 5) as integer) >> {s}) & 31), 1)" for i in range(8) for s in (15, 10, 5, 0))} as payload_digest,
+  case when page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id <> first then first end as refers_to
+from b
+"""
+
+
+@register("op3_warc_round_trip", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _listing(spans):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@register("op4_pii")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    spans = F.col("pii_spans")
+    base = F.filter(spans, lambda s: s["kind"].isin(BASE))
+    count = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select("doc_id", *[count(k) for k in BASE], F.sha2(_listing(base), 256).alias("base_sha256"), _listing(spans).alias("spans"))
+
+
+@register("op5_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def pack(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
