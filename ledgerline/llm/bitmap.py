@@ -49,15 +49,15 @@ def test(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
 
 
-def keep_rows(df: DataFrame, column: str, bitmap: np.ndarray) -> DataFrame:
-    """Rows of ``df`` whose bigint ``column`` may be in the bitmap (null: dropped)."""
+def keep_rows(df: DataFrame, column: str, bitmap: np.ndarray, inside: bool = True) -> DataFrame:
+    """Rows of ``df`` whose bigint ``column`` may be in the bitmap; with ``inside`` False, all others (nulls among them)."""
     at = df.columns.index(column)
 
     def run(batches):
         for batch in batches:
             keys = batch.column(at)
             known = np.asarray(keys.is_valid())
-            hit = known & test(bitmap, keys.fill_null(0).to_numpy(zero_copy_only=False))
+            hit = (known & test(bitmap, keys.fill_null(0).to_numpy(zero_copy_only=False))) == inside
             if hit.any():
                 yield batch.filter(pa.array(hit))
 

@@ -336,3 +336,19 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("representative")))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each group of linked texts: that with the smallest id.
+
+    Rows with a null id stay.  Only rows that may have to go are shuffled; a bitmap of their ids
+    tells them from the rest, and the join decides.
+    """
+    found = cut(ngram_jaccard(docs, id_col, text_col, **options).select("doc_id", "component_id").where("doc_id is not null"))
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    marks = bitmap.build(gone.union(again))
+    tagged = docs.withColumn("_id", F.col(id_col).cast("bigint"))
+    safe = bitmap.keep_rows(tagged, "_id", marks, inside=False)
+    rest = bitmap.keep_rows(tagged, "_id", marks).join(gone, F.col("_id") == F.col("_gone"), "left_anti").dropDuplicates(["_id"])
+    return safe.union(rest).drop("_id")

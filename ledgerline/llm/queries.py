@@ -11,6 +11,8 @@ from ledgerline.llm.jaccard_join import ngram_jaccard
 from ledgerline.llm.lm_score import lm_scores
 from ledgerline.llm.packing import best_fit_packing
 from ledgerline.llm import quality, warc
+from ledgerline.llm.decontaminate import contaminated
+from ledgerline.llm.licenses import scan_licenses
 from ledgerline.llm.pii import BASE, find_pii
 from ledgerline.llm.substring_dedup import substring_dedup
 from ledgerline.llm.topk_search import exact_top_k
@@ -19,6 +21,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: A text counts as good from this score on.
+QUALITY_BAR = 0.3
+
+
 def register(name: str, oracle: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -78,7 +84,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model).select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return quality.score(docs, model).select("doc_id", "held_out", "score", (F.col("score") >= QUALITY_BAR).cast("int").alias("predicted"))
 
 
 def pack(docs: DataFrame) -> DataFrame:
@@ -117,3 +123,20 @@ from s qualify row_number() over (partition by query_id order by score desc, vec
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return exact_top_k(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+@register("op8_decontaminate")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op10_license_scan")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@register("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
