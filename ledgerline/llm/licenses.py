@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.native_words import bare, grams, held, raw_words
+from ledgerline.llm.native_words import cut_edges, grams, held, plain, raw_words
 
 K = 5
 
@@ -48,8 +48,10 @@ def default_templates(spark: SparkSession) -> DataFrame:
 
 def shingles(df: DataFrame, text_col: str, name: str) -> DataFrame:
     """``df`` with the five-word shingle hashes of a text in order; fewer words: the whole text as one."""
-    words = held(df, _words=F.transform(raw_words(F.col(text_col)), lambda w: F.xxhash64(F.lower(bare(w)))))
-    return held(words, **{name: grams(F.col("_words"), K)}).drop("_words")
+    words = held(df, _raw=raw_words(F.col(text_col)))
+    words = held(words, _low=F.transform(cut_edges(F.col("_raw")), F.lower))
+    words = held(words, _words=F.transform("_low", lambda w, i: F.xxhash64(plain(w, F.col("_raw"), i))))
+    return grams(words, "_words", K, name).drop("_raw", "_low", "_words")
 
 
 def min_hashes(hashes: Column, bands: int) -> Column:

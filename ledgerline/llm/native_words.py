@@ -14,17 +14,14 @@ def raw_words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text.cast("string"), F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
 
 
-def bare(word: Column) -> Column:
-    """A word without the punctuation at its ends; the word itself if nothing else is left."""
-    cut = F.btrim(word, F.lit(EDGES))
-    return F.when(cut == "", word).otherwise(cut)
+def cut_edges(words: Column) -> Column:
+    """Words without the punctuation at their ends; perhaps empty."""
+    return F.transform(words, lambda w: F.btrim(w, F.lit(EDGES)))
 
 
-def grams(hashes: Column, k: int) -> Column:
-    """Hash of each run of ``k`` elements; of the whole array if it is shorter (none if empty)."""
-    n = F.size(hashes)
-    runs = F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.xxhash64(F.slice(hashes, i, F.lit(k))))
-    return F.when(n == 0, F.array().cast("array<bigint>")).when(n < k, F.array(F.xxhash64(hashes))).otherwise(runs)
+def plain(low: Column, raw: Column, i: Column) -> Column:
+    """A lower-case word, or the word as it stands if it is punctuation only."""
+    return F.when(low == "", F.get(raw, i)).otherwise(low)
 
 
 def held(df: DataFrame, **columns: Column) -> DataFrame:
@@ -34,3 +31,22 @@ def held(df: DataFrame, **columns: Column) -> DataFrame:
     run again for every element; it does not move expressions out of a generator.
     """
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
+def grams(df: DataFrame, source: str, k: int, name: str) -> DataFrame:
+    """``df`` with the hash of each run of ``k`` elements of an array of hashes; one hash for a shorter array, none for an empty one.
+
+    Runs are doubled (1, 2, 4, ...) and joined, so an element costs about log2(k) small hashes.
+    """
+    width, have, step = 1, source, 0
+    joined: list[str] = []
+    while width < k:
+        grow = min(width, k - width)
+        step += 1
+        new = f"_{name}{step}"
+        ahead = lambda x, i: F.xxhash64(x, F.get(have, i + grow))  # noqa: B023,E731  called at once
+        df = held(df, **{new: F.transform(have, ahead)})
+        joined.append(new)
+        width, have = width + grow, new
+    n = F.size(source)
+    return held(df, **{name: F.slice(have, 1, F.greatest(n - k + 1, F.lit(1)))}).drop(*joined)
