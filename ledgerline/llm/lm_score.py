@@ -164,17 +164,20 @@ def _last(cls: np.ndarray, w: Words) -> np.ndarray:
     return np.where(full, cls[np.maximum(w.first[1:] - 1, 0)] if len(cls) else END, END)
 
 
-def train(pairs: np.ndarray, dims: int = 32, noise: int = 20, steps: int = 250, rate: float = 0.05, seed: int = 7) -> np.ndarray:
+def train(pairs: np.ndarray, dims: int = 32, noise: int = 20, steps: int = 250, rate: float = 0.05, prior: float = 100.0,
+          seed: int = 7) -> np.ndarray:
     """log10 P(class | previous class), normalised: rows are contexts.
 
     Each step takes the noise-contrastive gradient of all class bigrams at once: observed
-    pairs against ``noise`` draws from the unigrams per observation, in expectation.
+    pairs against ``noise`` draws from the unigrams per observation, in expectation.  Every context
+    has ``prior`` observations from the unigrams besides its own, so rare contexts stay near them.
     """
     size = len(pairs)
     rng = np.random.default_rng(seed)
     seen = pairs.astype(np.float32)
-    total = max(float(seen.sum()), 1.0)
     unigram = (seen.sum(0) + 0.5) / (seen.sum() + 0.5 * size)
+    seen = seen + np.float32(prior) * unigram[None, :]
+    total = float(seen.sum())
     fake = (noise * seen.sum(1)[:, None] * unigram[None, :] / total).astype(np.float32)
     real = seen / total
     offset = np.log(noise * unigram).astype(np.float32)
@@ -293,7 +296,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
         F.count_if(F.col("first") & (F.col("c") == 1)).alias("once")))
     v, once = sums.agg(F.coalesce(F.sum("v"), F.lit(0)), F.coalesce(F.sum("once"), F.lit(0))).first()
     types = len(lex.hash) + int(v) + (end_count > 0)
-    unseen = (int(once) + 1) / (int(class_counts[OWN:END].sum()) + 2)
+    once = int(once) + int(((counts == 1) & (lex.own < 0)).sum())
+    unseen = (once + 1) / (int(class_counts[OWN:END].sum()) + 2)
     log_total = math.log10(tokens + 0.1 * (types + 1))
 
     rows = _documents(docs, lex, counts, ending, table, class_counts, end_count, fold)

@@ -69,13 +69,13 @@ def test_warc_damage_is_reported(spark, tmp_path):
 
 ITEM = "In the town of Arden a baker sells 12 loaves each morning and 30 rolls each evening so how many goods are sold in 7 days"
 OTHER = "In the town of Boston a baker sells 15 loaves each morning and 44 rolls each evening so how many goods are sold in 9 days"
-CLASH = "In the town of Arden a baker sells 12 loaves each morning and 30 rolls each evening so how many goods are sold in 12 days"
+TWICE = "At the fair they sold {} on the first market day of spring and on the second market day once more they sold {} in all"
 
 
 def test_decontamination(spark, docs_of, edge_rows):
-    bench = spark.createDataFrame([(1, ITEM), (2, None), (3, ""), (None, ITEM), (4, "Was sold 5 and then 5 were sold again so what is left of 6 pears")], "item_id long, text string")
-    rows = [*edge_rows, (20, "Well. " + ITEM + " Yes."), (21, OTHER.upper() if False else "Hm, " + OTHER), (22, "nothing of the kind happens in this text at all, not even by chance"),
-            (23, "Was sold 8 and then 8 were sold again so what is left of 3 pears"), (24, "Was sold 8 and then 2 were sold again so what is left of 3 pears")]
+    bench = spark.createDataFrame([(1, ITEM), (2, None), (3, ""), (None, ITEM), (4, TWICE.format(5, 5))], "item_id long, text string")
+    rows = [*edge_rows, (20, "Well. " + ITEM + " Yes."), (21, "Hm, " + OTHER), (22, "nothing of the kind happens in this text at all, not even by chance"),
+            (23, TWICE.format(8, 8)), (24, TWICE.format(8, 2))]
     docs = docs_of(rows)
     got = {(r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()}
     assert got == {(20, 1), (21, 1), (23, 4)}
