@@ -254,10 +254,10 @@ def _bits_fit(names: list[str], num: int, den: int):
 
 
 def _alike(pairs: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) whose parity bitmaps leave room for a link."""
+    """Pairs (a, b, na, nb, ...) whose parity bitmaps leave room for a link."""
     x = bits.select(F.col("key").alias("a"), *[F.col(p).alias(f"x{p}") for p in PARITY])
     y = bits.select(F.col("key").alias("b"), *[F.col(p).alias(f"y{p}") for p in PARITY])
-    return pairs.join(x, "a").join(y, "b").where(_bits_fit(PARITY, num, den)).select("a", "b").distinct()
+    return pairs.join(x, "a").join(y, "b").where(_bits_fit(PARITY, num, den)).select(pairs.columns).distinct()
 
 
 def _verify(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -307,8 +307,8 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     F.when(F.col("a") > F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"))
             .withColumnsRenamed({"x": "a", "y": "b"}).distinct())
     mine, theirs = live.select("sig", "band", F.col("key").alias("a")), live.select("sig", F.col("key").alias("b"))
-    star = cut(_alike(star.join(mine, "a").join(theirs, ["sig", "b"]).where(_own_band()).groupBy("a", "b", "na", "nb")
-                      .agg(F.count(F.lit(1)).alias("shared")).where(_enough_shared(num, den)), bits, num, den))
+    star = cut(_alike(star, bits, num, den).join(mine, "a").join(theirs, ["sig", "b"]).where(_own_band()).groupBy("a", "b", "na", "nb")
+               .agg(F.count(F.lit(1)).alias("shared")).where(_enough_shared(num, den)).select("a", "b"))
     links = cut(_verify(docs, reps, star, n, num, den).distinct())
 
     label = components(links)
@@ -323,7 +323,7 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     left_over = one.join(two, "sig").where((F.col("a") > F.col("b")) & (F.col("comp") != F.col("cb")) & _sizes_fit(num, den)
                                            & _own_band() & _bits_fit(FOLDED, num, den))
     left_over = left_over.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared")).where(_enough_shared(num, den))
-    left_over = cut(_alike(left_over, bits, num, den).join(star, ["a", "b"], "left_anti"))
+    left_over = cut(_alike(left_over, bits, num, den).select("a", "b").join(star, ["a", "b"], "left_anti"))
     more = _verify(docs, reps, left_over, n, num, den)
 
     # texts that share an id are one node
