@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.plans.joins import checked_broadcast, key_set
+from ledgerline.plans.joins import key_set
 
 
 @dataclass(frozen=True)
@@ -104,7 +104,7 @@ def _stack(wide: DataFrame, tests: list[DataTest]) -> DataFrame:
 
 def parent_keys(parent: DataFrame, column: str) -> DataFrame:
     """Distinct ``(cycle, _key)`` of a parent column, broadcast behind a size check."""
-    return checked_broadcast(key_set(parent, column, alias="_key").withColumn("_hit", F.lit(True)))
+    return key_set(parent, column, alias="_key").withColumn("_hit", F.lit(True))
 
 
 def table_checks(child: DataFrame, tests: list[DataTest], parents: dict[tuple[str, str], DataFrame]) -> DataFrame:
@@ -147,7 +147,7 @@ def run_tests(
 ) -> DataFrame:
     """Union of the selected tests; ``table(name)`` returns a typed table.
 
-    ``parents`` memoizes the checked parent key sets across calls.
+    ``parents`` memoizes the parent key sets across calls.
     """
     chosen = [t for t in tests if t.test_name in kinds]
     out = []
@@ -157,7 +157,7 @@ def run_tests(
             out.append(unique_check(table(t.table).select("cycle", t.column), t))
         else:
             by_table.setdefault(t.table, []).append(t)
-    # One size-checked key set per distinct parent column (10 edges share 2 parents).
+    # One key set per distinct parent column (10 edges share 2 parents).
     parents = parents if parents is not None else {}
     for t in chosen:
         pk = (t.parent_table, t.parent_column)

@@ -11,7 +11,7 @@
 * totals per source page.
 
 The known-path set grows with the page table, so it is joined with a
-size-checked broadcast that falls back to a shuffle join.
+join that AQE sizes at run time.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.plans.joins import checked_broadcast
+
 
 # The href pattern (double-quoted | single-quoted alternative).
 HREF_PATTERN = r"""href\s*=\s*"([^"]+)"|href\s*=\s*'([^']+)'"""
@@ -63,9 +63,8 @@ def classify(links: DataFrame) -> DataFrame:
 
 def check_local(links: DataFrame, pages: DataFrame) -> DataFrame:
     """M3: ``ok`` / ``error`` for every link (only local links can fail)."""
-    known = checked_broadcast(
-        pages.select(host_of(F.col("url")).alias("_h"), path_of(F.col("url")).alias("_p")).distinct()
-        .withColumn("_hit", F.lit(True)))
+    known = (pages.select(host_of(F.col("url")).alias("_h"), path_of(F.col("url")).alias("_p")).distinct()
+             .withColumn("_hit", F.lit(True)))
     path_only = F.split(F.col("href"), "[?#]", 2).getItem(0)
     src_path = path_of(F.col("source_url"))
     base_dir = F.regexp_replace(src_path, "/[^/]*$", "")

@@ -26,10 +26,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.plans.joins import checked_broadcast
+
 from ledgerline.sources.layouts import DIMENSIONS, FACTS, LAYOUTS
 
 BASE_URL = "https://www.fec.gov/files/bulk-downloads"
@@ -44,12 +44,12 @@ class Coverage:
 
     def __post_init__(self):
         if self.coverage[0] > self.coverage[1] or self.facts[0] > self.facts[1]:
-            raise ValueError("start year must not be greater than end year")
+            raise ValueError("a year range ends before it starts")
         if self.facts[0] < self.coverage[0] or self.facts[1] > self.coverage[1]:
-            raise ValueError("facts range must be fully contained within coverage range")
+            raise ValueError("fact years lie outside the covered years")
         unknown = sorted(set(self.dimensions + self.fact_tables) - set(LAYOUTS))
         if unknown:
-            raise ValueError(f"Unknown table(s): {', '.join(unknown)}")
+            raise ValueError(f"no layout for {', '.join(unknown)}")
 
 
 def even_cycles(first_year: Column, last_year: Column) -> Column:
@@ -117,7 +117,6 @@ def coverage_gap(manifest: DataFrame, present: DataFrame) -> DataFrame:
 def load_history(manifest: DataFrame, present: DataFrame, rejects: DataFrame, loaded_at: str) -> DataFrame:
     """I4: one row per loaded target (manifest row that has data)."""
     j = manifest.join(present, ["table_name", "cycle"]).join(rejects, ["table_name", "cycle"], "left")
-    from pyspark.sql import Window
     w = Window.orderBy("cycle", "position")  # over loaded targets only: tables x cycles rows
     return j.select(
         F.row_number().over(w).cast("bigint").alias("load_id"), F.col("cycle").cast("bigint").alias("cycle"),
@@ -130,25 +129,22 @@ def load_history(manifest: DataFrame, present: DataFrame, rejects: DataFrame, lo
 def fetch_change_status(fetches: DataFrame) -> DataFrame:
     """Compare the latest two fetches of each (cycle, table_name).
 
-    ``fetches``: cycle, table_name, fetch_id, fetched_at, fetch_status, etag.
+    ``fetches``: cycle, table_name, fetch_id, fetched_at, fetch_status, etag.  A
+    not-modified answer is ``unchanged`` whatever its tag; without a tag on both
+    sides the file counts as changed.
     """
-    key = ["cycle", "table_name"]
-    order = F.struct("fetched_at", "fetch_id")
-    latest = fetches.groupBy(*key).agg(
-        F.max(order).alias("_t1"), F.max_by("etag", order).alias("etag"),
-        F.max_by("fetch_status", order).alias("fetch_status"), F.count(F.lit(1)).alias("n_fetches"))
-    bound = checked_broadcast(latest.select(*[F.col(k).alias(f"_{k}") for k in key], "_t1"))
-    prev = (fetches.join(bound, (F.col("cycle") == F.col("_cycle")) & (F.col("table_name") == F.col("_table_name")))
-            .where(order < F.col("_t1"))
-            .groupBy(*key).agg(F.max_by("etag", order).alias("previous_etag")))
-    j = latest.join(prev, key, "left")
+    w = Window.partitionBy("cycle", "table_name")
+    newest = w.orderBy(F.desc("fetched_at"), F.desc("fetch_id"))
     status = (F.when(F.col("fetch_status") == "error", "error")
               .when(F.col("n_fetches") == 1, "new")
-              .when(F.col("etag") == F.col("previous_etag"), "unchanged")
+              .when((F.col("fetch_status") == "not_modified") | (F.col("etag") == F.col("previous_etag")), "unchanged")
               .otherwise("changed"))
-    return j.select("cycle", "table_name", F.col("_t1.fetched_at").alias("last_fetched_at"),
+    return (fetches.withColumn("_rank", F.row_number().over(newest))
+            .withColumn("previous_etag", F.lead("etag").over(newest))
+            .withColumn("n_fetches", F.count(F.lit(1)).over(w)).where(F.col("_rank") == 1)
+            .select("cycle", "table_name", F.col("fetched_at").alias("last_fetched_at"),
                     F.col("n_fetches").cast("bigint").alias("n_fetches"), "etag", "previous_etag",
-                    status.alias("change_status"))
+                    status.alias("change_status")))
 
 
 def current_state(fetches: DataFrame, counts: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Snowflake model over the typed tables (K1..K13).
 
 Dimensions are small (one row per candidate / committee / code / day) and are
-broadcast only behind ``checked_broadcast``; facts are never shuffled just to
+broadcast only where Catalyst or AQE finds them small; facts are never shuffled just to
 meet a dimension.  The "who gives / who spends" star query aggregates with a
 map-side partial aggregate on ``(cycle, party, flow)`` -- a handful of groups
 -- so a committee that holds a third of all rows costs no skewed task.
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ledgerline.plans.joins import checked_broadcast
+
 
 MONEY = "decimal(38,2)"
 
@@ -168,7 +168,7 @@ def fact_transfers(oth: DataFrame, cm: DataFrame) -> DataFrame:
     The committee master plays two roles; its (cycle, CMTE_ID) keys are unique
     per cycle so the two left joins cannot multiply rows.
     """
-    names = checked_broadcast(cm.select("cycle", "CMTE_ID", "CMTE_NM"))
+    names = cm.select("cycle", "CMTE_ID", "CMTE_NM")
     src = names.select(F.col("cycle").alias("_sc"), F.col("CMTE_ID").alias("_sk"),
                        F.col("CMTE_NM").alias("source_committee_name"))
     dst = names.select(F.col("cycle").alias("_dc"), F.col("CMTE_ID").alias("_dk"),
@@ -215,8 +215,8 @@ def money_by_party(contributions: DataFrame, disbursements: DataFrame, cm: DataF
     """
     flows = contributions.select("cycle", "CMTE_ID", "TRANSACTION_AMT", F.lit("receipts").alias("flow")) \
         .unionByName(disbursements.select("cycle", "CMTE_ID", "TRANSACTION_AMT", F.lit("spending").alias("flow")))
-    party = checked_broadcast(cm.where(F.col("CMTE_ID").isNotNull()).select(
-        F.col("cycle").alias("_c"), F.col("CMTE_ID").alias("_k"), F.col("CMTE_PTY_AFFILIATION").alias("party")))
+    party = cm.where(F.col("CMTE_ID").isNotNull()).select(
+        F.col("cycle").alias("_c"), F.col("CMTE_ID").alias("_k"), F.col("CMTE_PTY_AFFILIATION").alias("party"))
     j = flows.join(party, (F.col("cycle") == F.col("_c")) & (F.col("CMTE_ID") == F.col("_k")), "left")
     return j.groupBy("cycle", "party", "flow").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_transactions"),

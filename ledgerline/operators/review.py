@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.plans.joins import checked_broadcast, materialize
+from ledgerline.plans.joins import materialize
 
 MONEY = "decimal(38,2)"
 
@@ -52,8 +52,8 @@ def _classify(n: F.Column) -> F.Column:
 
 def infer_candidate(pas2: DataFrame, ccl: DataFrame) -> DataFrame:
     """J2 rows: every NULL-``CAND_ID`` row with its inferred candidate."""
-    links = checked_broadcast(linkage_candidates(ccl).select(
-        F.col("cycle").alias("_cy"), F.col("CMTE_ID").alias("_cm"), "n_candidates", "_first"))
+    links = linkage_candidates(ccl).select(
+        F.col("cycle").alias("_cy"), F.col("CMTE_ID").alias("_cm"), "n_candidates", "_first")
     rows = pas2.where(F.col("CAND_ID").isNull()).select("cycle", "SUB_ID", "CMTE_ID", "OTHER_ID", "TRANSACTION_AMT")
     j = rows.join(links, (F.col("cycle") == F.col("_cy")) & (F.col("OTHER_ID") == F.col("_cm")), "left")
     n = F.coalesce(F.col("n_candidates"), F.lit(0)).cast("bigint")
@@ -76,8 +76,8 @@ def affected_by_committee(pas2: DataFrame) -> DataFrame:
 def infer_candidate_summary(pas2: DataFrame, ccl: DataFrame) -> DataFrame:
     """J2 summary: rows and amount per inference class (pre-aggregated both sides)."""
     per_cmte = affected_by_committee(pas2)
-    links = checked_broadcast(linkage_candidates(ccl).select(
-        F.col("cycle").alias("_cy"), F.col("CMTE_ID").alias("_cm"), "n_candidates"))
+    links = linkage_candidates(ccl).select(
+        F.col("cycle").alias("_cy"), F.col("CMTE_ID").alias("_cm"), "n_candidates")
     j = per_cmte.join(links, (F.col("cycle") == F.col("_cy")) & (F.col("OTHER_ID") == F.col("_cm")), "left")
     return j.groupBy("cycle", _classify(F.col("n_candidates")).alias("inference")).agg(
         F.sum("affected_rows").cast("bigint").alias("rows"),
@@ -94,11 +94,11 @@ def ambiguous_linkage(ccl: DataFrame) -> DataFrame:
 
 def committee_candidates(ccl: DataFrame, cn: DataFrame, weball: DataFrame) -> DataFrame:
     """Linkage x candidate master x candidate totals on ``(cycle, CAND_ID)``."""
-    cand = checked_broadcast(cn.select(
+    cand = cn.select(
         F.col("cycle").alias("_c1"), F.col("CAND_ID").alias("_k1"), "CAND_NAME", "CAND_OFFICE",
-        "CAND_OFFICE_ST", "CAND_OFFICE_DISTRICT", "CAND_ELECTION_YR", "CAND_ICI"))
-    tot = checked_broadcast(weball.select(
-        F.col("cycle").alias("_c2"), F.col("CAND_ID").alias("_k2"), "TTL_RECEIPTS"))
+        "CAND_OFFICE_ST", "CAND_OFFICE_DISTRICT", "CAND_ELECTION_YR", "CAND_ICI")
+    tot = weball.select(
+        F.col("cycle").alias("_c2"), F.col("CAND_ID").alias("_k2"), "TTL_RECEIPTS")
     j = (ccl.select("cycle", "CMTE_ID", "CAND_ID")
          .join(cand, (F.col("cycle") == F.col("_c1")) & (F.col("CAND_ID") == F.col("_k1")))
          .join(tot, (F.col("cycle") == F.col("_c2")) & (F.col("CAND_ID") == F.col("_k2"))))
@@ -192,25 +192,27 @@ def issue_rollup(t: dict[str, DataFrame]) -> DataFrame:
                       "latest_decision")
 
 
-def explains_closure(issue: DataFrame, edges: DataFrame, max_depth: int = 4) -> DataFrame:
-    """Transitive ``explains_part_of`` pairs up to ``max_depth`` hops, with the
+def explains_closure(issue: DataFrame, edges: DataFrame) -> DataFrame:
+    """Transitive ``explains_part_of`` pairs with their least number of hops and the
     share of the ancestor's rows that the descendant accounts for.
 
-    The closure is unrolled to a fixed depth (no driver loop, no action while
-    building); cycles in the graph only repeat pairs, which the final
-    ``min(depth)`` per pair removes.
+    Each round adds the pairs one hop further that were not seen before, until
+    there are none: chains of any length are followed whole, and cycles end
+    because a pair is visited once.  A pair of an issue with itself is left out.
     """
-    e = edges.where(F.col("relationship_type") == "explains_part_of").select(
-        F.col("from_issue_key").alias("descendant_key"), F.col("to_issue_key").alias("ancestor_key")).distinct()
-    level = e.withColumn("depth", F.lit(1))
-    paths = level
-    for d in range(2, max_depth + 1):
-        step = e.select(F.col("descendant_key").alias("_mid"), F.col("ancestor_key").alias("_up"))
-        level = level.join(step, F.col("ancestor_key") == F.col("_mid")).select(
-            "descendant_key", F.col("_up").alias("ancestor_key"), F.lit(d).alias("depth"))
-        paths = paths.unionByName(level)
-    pairs = paths.where(F.col("descendant_key") != F.col("ancestor_key")).groupBy(
-        "ancestor_key", "descendant_key").agg(F.min("depth").alias("depth"))
+    e = materialize(edges.where(F.col("relationship_type") == "explains_part_of").select(
+        F.col("from_issue_key").alias("descendant_key"), F.col("to_issue_key").alias("ancestor_key"))
+        .where("descendant_key <> ancestor_key").distinct())
+    step = e.select(F.col("descendant_key").alias("_mid"), F.col("ancestor_key").alias("_up"))
+    pairs = level = e.withColumn("depth", F.lit(1))
+    depth = 1
+    while not level.isEmpty():
+        depth += 1
+        level = materialize(level.join(step, F.col("ancestor_key") == F.col("_mid"))
+                            .select("descendant_key", F.col("_up").alias("ancestor_key"))
+                            .where("descendant_key <> ancestor_key").distinct()
+                            .join(pairs, ["descendant_key", "ancestor_key"], "left_anti").withColumn("depth", F.lit(depth)))
+        pairs = pairs.unionByName(level)
     rows = issue.select("issue_key", "detected_row_count")
     d = rows.select(F.col("issue_key").alias("_dk"), F.col("detected_row_count").alias("explained_rows"))
     a = rows.select(F.col("issue_key").alias("_ak"), F.col("detected_row_count").alias("ancestor_rows"))

@@ -1,11 +1,8 @@
-"""Join helpers with an explicit size check before any broadcast.
+"""Join helpers.
 
-``checked_broadcast`` broadcasts a frame only after proving it has at most
-``max_rows`` rows (a bounded ``limit(n+1).count()``); above that bound the
-frame is returned as is and the join stays a shuffle join (sort-merge, or
-whatever AQE re-plans at runtime from measured sizes, incl. skew splitting).
-It is used for dimension-side key sets (committees, candidates, links), whose
-size does not grow with the fact tables.
+Joins carry no broadcast hint and no row-count probe: Catalyst broadcasts a side whose
+estimated bytes are under ``spark.sql.autoBroadcastJoinThreshold``, and AQE decides again
+from the measured shuffle bytes, skew splitting included.
 """
 
 from __future__ import annotations
@@ -13,25 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_ROWS = 2_000_000
-_CONF_KEY = "ledgerline.broadcast.maxRows"
-
-
-def _max_rows(df: DataFrame, max_rows: int | None) -> int:
-    if max_rows is not None:
-        return max_rows
-    try:
-        return int(df.sparkSession.conf.get(_CONF_KEY, str(DEFAULT_MAX_ROWS)))
-    except Exception:  # noqa: BLE001 - conf access on a stopped session
-        return DEFAULT_MAX_ROWS
-
-
-def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` if ``df`` provably has <= max_rows rows, else ``df``."""
-    bound = _max_rows(df, max_rows)
-    n = df.limit(bound + 1).count()
-    return F.broadcast(df) if n <= bound else df
-
 
 def key_set(df: DataFrame, key: str, by: tuple[str, ...] = ("cycle",), alias: str = "_key") -> DataFrame:
     """Distinct non-null ``(by..., key)`` of a parent table, key renamed to ``alias``."""

@@ -151,7 +151,7 @@ FETCH_SQL = (
     f"order by fetched_at desc, fetch_id desc) as rn, count(*) over (partition by cycle, table_name) as n "
     f"from f) select a.cycle, a.table_name, a.fetched_at as last_fetched_at, a.n as n_fetches, a.etag, "
     f"b.etag as previous_etag, case when a.fetch_status = 'error' then 'error' when a.n = 1 then 'new' "
-    f"when a.etag = b.etag then 'unchanged' else 'changed' end as change_status from r a "
+    f"when a.fetch_status = 'not_modified' or a.etag = b.etag then 'unchanged' else 'changed' end as change_status from r a "
     f"left join r b on a.cycle = b.cycle and a.table_name = b.table_name and b.rn = 2 where a.rn = 1")
 
 CURRENT_SQL = (

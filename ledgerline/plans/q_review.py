@@ -77,7 +77,6 @@ from ledgerline.operators.checks import run_tests  # noqa: E402
 from ledgerline.plans.q_checks import _suite_sql  # noqa: E402
 
 _ALL_TESTS = ("not_null", "unique", "relationships")
-MAX_DEPTH = 4
 
 
 def _review_tables(spark, sf_dir):
@@ -115,7 +114,7 @@ EXPLAINS_SQL = (
     f"with recursive {ISSUES_CTE}, "
     f"closure(descendant_key, ancestor_key, depth) as (select descendant_key, ancestor_key, 1 from edges "
     f"union all select c.descendant_key, e.ancestor_key, c.depth + 1 from closure c "
-    f"join edges e on c.ancestor_key = e.descendant_key where c.depth < {MAX_DEPTH}), "
+    f"join edges e on c.ancestor_key = e.descendant_key), "
     f"pairs as (select ancestor_key, descendant_key, min(depth) as depth from closure "
     f"where ancestor_key <> descendant_key group by all) "
     f"select p.ancestor_key, p.descendant_key, cast(p.depth as integer) as depth, "
@@ -132,4 +131,4 @@ def issue_rollup(spark, sf_dir):
 @register("issue_explains", EXPLAINS_SQL)
 def issue_explains(spark, sf_dir):
     t = _review_tables(spark, sf_dir)
-    return R.explains_closure(t["issue"], t["issue_relationship"], MAX_DEPTH)
+    return R.explains_closure(t["issue"], t["issue_relationship"])

@@ -1,4 +1,4 @@
-"""Issue-graph closure on a hand-made chain with a cycle (depth cap, min depth per pair)."""
+"""Issue-graph closure on a hand-made chain with a cycle (least depth per pair, any length)."""
 
 from ledgerline.operators.review import explains_closure
 
@@ -11,13 +11,32 @@ def test_closure_chain_and_cycle(spark):
          ("d", "a", "explains_part_of"), ("x", "y", "duplicate_of")],
         "from_issue_key string, to_issue_key string, relationship_type string")
     got = {(r.descendant_key, r.ancestor_key): (r.depth, r.explained_share)
-           for r in explains_closure(issue, edges, max_depth=4).collect()}
+           for r in explains_closure(issue, edges).collect()}
     assert got == {
         ("a", "b"): (1, 0.25), ("a", "c"): (2, 0.125), ("b", "c"): (1, 0.5), ("c", "b"): (1, 2.0),
         ("d", "a"): (1, 0.5), ("d", "b"): (2, 0.125), ("d", "c"): (3, 0.0625),
     }
 
 
+def test_closure_follows_long_chains(spark):
+    keys = [f"k{i}" for i in range(8)]
+    issue = spark.createDataFrame([(k, 1) for k in keys], "issue_key string, detected_row_count bigint")
+    edges = spark.createDataFrame([(a, b, "explains_part_of") for a, b in zip(keys, keys[1:])],
+                                  "from_issue_key string, to_issue_key string, relationship_type string")
+    got = {(r.descendant_key, r.ancestor_key): r.depth for r in explains_closure(issue, edges).collect()}
+    assert got == {(keys[i], keys[j]): j - i for i in range(8) for j in range(i + 1, 8)} and len(got) == 28
+
+
+def test_not_modified_fetch_is_unchanged(spark):
+    from ledgerline.operators.manifest import fetch_change_status
+    rows = [(2024, "cm", 1, "2024-01-01", "ok", "a"), (2024, "cm", 2, "2024-01-02", "not_modified", "b"),
+            (2024, "cn", 3, "2024-01-01", "ok", None), (2024, "cn", 4, "2024-01-02", "ok", None),
+            (2024, "ccl", 5, "2024-01-01", "ok", "a"), (2026, "ccl", 6, "2024-01-01", "error", "a")]
+    f = spark.createDataFrame(rows, "cycle int, table_name string, fetch_id int, fetched_at string, fetch_status string, etag string")
+    got = {(r.cycle, r.table_name): (r.change_status, r.n_fetches) for r in fetch_change_status(f).collect()}
+    assert got == {(2024, "cm"): ("unchanged", 2), (2024, "cn"): ("changed", 2), (2024, "ccl"): ("new", 1), (2026, "ccl"): ("error", 1)}
+
+
 def test_seed_tables_roll_up(spark, tmp_path):
     """A6 seeds (header CSV, fixed schema) feed the same roll-up and closure operators."""
     import os
