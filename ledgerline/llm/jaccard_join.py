@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import bitmap
 from ledgerline.llm.graph import components
-from ledgerline.llm.stage import cut
+from ledgerline.llm.stage import cut, small_batches
 from ledgerline.llm.words import mix, window_hashes, word_chunks
 
 SKETCH_BITS = 22
@@ -140,7 +140,7 @@ def _scan(docs: DataFrame, n: int) -> DataFrame:
                 own[row] = (len(h), *set_keys(h), *parity(h))
                 np.add.at(counts, (h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), np.uint32(1))
             yield pa.record_batch([batch.column(0), *[pa.array(np.ascontiguousarray(c)) for c in own.T], pa.nulls(len(own), pa.binary())], names=names)
-        yield pa.record_batch([pa.nulls(1, pa.int64())] * (len(names) - 1) + [pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary())], names=names)
+        yield pa.record_batch([pa.nulls(1, pa.int64())] * (len(names) - 1) + [pa.array([zlib.compress(counts, 1)], pa.binary())], names=names)
 
     return docs.mapInArrow(run, schema)
 
@@ -151,7 +151,9 @@ def _levels(sketches: DataFrame) -> np.ndarray:
         if not a or not b:
             return a or b
         x, y = (np.frombuffer(zlib.decompress(z), np.uint32) for z in (a, b))
-        return zlib.compress(np.minimum(x.astype(np.uint64) + y, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1)
+        both = x + y
+        both[both < x] = 0xFFFFFFFF  # counters stay full
+        return zlib.compress(both, 1)
 
     total = sketches.rdd.map(lambda r: bytes(r[0])).treeAggregate(b"", add, add)
     if not total:
@@ -285,6 +287,7 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     that share an id but not a text are one node with the links of all its texts.  A null id takes
     no part: its component and representative are null.  Other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     scan = cut(_scan(docs, n))
     level = _levels(scan.where("counts is not null").select("counts"))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.stage import cut
+from ledgerline.llm.stage import cut, small_batches
 from ledgerline.llm.words import Words, mix, word_chunks
 
 #: Fixed sizes: words with a broadcast count, classes of single words, classes by word ending.
@@ -274,6 +274,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     the base score is that of the bare formula.  Other columns are ignored.
     """
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    small_batches(docs.sparkSession)
     lex = Lexicon(_listed(docs, fold))
     counts, ending, pairs = _statistics(docs, lex, fold)
     class_counts, end_count = pairs.sum(0), int(pairs[:, END].sum())

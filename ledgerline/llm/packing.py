@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.stage import cut
+from ledgerline.llm.stage import cut, small_batches
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -142,6 +142,7 @@ def best_fit_packing(docs: DataFrame, tokenizer_path: str, ranks_path: str, patt
     offset 0.  An empty table gives no rows.  Other columns are ignored.
     """
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    small_batches(docs.sparkSession)
     rows = cut(pieces(docs, size, tokenizer_path, ranks_path, pattern, end_id)
                .withColumn("part", F.spark_partition_id()).withColumn("row", F.monotonically_increasing_id()))
     by_part = rows.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))

@@ -14,6 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ledgerline.llm.stage import small_batches
+
 #: Kinds in order, their context words, and scores.
 KINDS = ["email", "ip", "card", "phone", "iban", "ssn"]
 BASE = KINDS[:4]
@@ -118,6 +120,7 @@ def find_pii(docs: DataFrame, text_col: str = "text", spans_col: str = "pii_span
     Null and empty texts have no spans; a null text stays null when masked.  Repeated rows and
     rows with nulls elsewhere come back as they are.  The new names must differ from the old ones.
     """
+    small_batches(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def run(batches):

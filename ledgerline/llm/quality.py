@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.stage import small_batches
 from ledgerline.llm.words import Words, mix, word_chunks
 
 #: Last characters that have a class of their own.
@@ -47,7 +48,7 @@ def _shapes(w: Words) -> np.ndarray:
 
 def term_counts(texts: pa.Array):
     """(first row, last row + 1, matrix of term counts) for runs of whole texts."""
-    for row, stop, w in word_chunks(texts):
+    for row, stop, w in word_chunks(texts, limit=250_000):
         n = stop - row
         shape = _shapes(w) if len(w.start) else np.empty(0, np.int64)
         doc = np.repeat(np.arange(n), np.diff(w.first))
@@ -102,6 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     Labels other than 0 and 1 and rows without an id are left out; an id labelled twice takes the larger label.
     """
+    small_batches(docs.sparkSession)
     known = (labels.select(F.col(id_col).cast("bigint").alias("i"), F.col(label_col).cast("int").alias("y"))
              .where(F.col("i").isNotNull() & F.col("y").isin(0, 1)).groupBy("i").agg(F.max("y").alias("y"))
              .where(F.crc32(F.col("i").cast("string").cast("binary")) % fold != 0))
@@ -130,6 +132,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     Null, empty and word-less texts are scored as texts without terms.  A null id is not held out.
     Repeated rows come back as they are; the new names must differ from the old ones.
     """
+    small_batches(docs.sparkSession)
     at, ids = docs.columns.index(text_col), docs.columns.index(id_col)
 
     def run(batches):

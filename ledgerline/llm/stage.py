@@ -20,3 +20,11 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` reliably to the shared checkpoint folder and go on from there."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Bound the Arrow batches of this session: a Python worker holds one batch of whole texts and its result."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))

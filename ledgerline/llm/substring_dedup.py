@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm import bitmap
-from ledgerline.llm.stage import cut
+from ledgerline.llm.stage import cut, small_batches
 from ledgerline.llm.words import Words, mix, window_hashes, word_chunks
 
 SEED = 16
@@ -178,6 +178,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     neither cut nor a reference.  Other columns are ignored.
     """
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    small_batches(docs.sparkSession)
     known = docs.where("doc_id is not null")
     names = _names(known, span).groupBy("name").agg(F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1"))
     shared = bitmap.build(names.where("d0 < d1").select("name"))
