@@ -5,8 +5,12 @@ The load semantics are those of the source engine's ``TRY_CAST`` and
 restates the behaviour with built-in expressions:
 
 * integers: ``'123.6' -> 124`` (round half away from zero, then range check);
-  Spark's ``try_cast('123.6' as bigint)`` is NULL, so parse through
-  DECIMAL(38,10), ``round`` (HALF_UP) and then narrow with ``try_cast``.
+  Spark's ``try_cast('123.6' as bigint)`` is NULL, so parse through a decimal,
+  ``round`` (HALF_UP) and then narrow with ``try_cast``.  The fraction is cut to
+  its first digit before the cast, which alone decides the rounding, so
+  ``'2.49999999999'`` stays 2; texts with an exponent go through DECIMAL(38,18).
+* ``'1_000' -> 1000`` (single underscores between digits), and for integers
+  ``'0x1F' -> 31`` and ``'0b11' -> 3``, unsigned and without blanks.
 * ``%m%d%Y``: the year takes one to four digits (``'010526' -> 0026-01-05``),
   month and day exactly two.  ``MMddyyyy`` would reject that, so the parts are
   cut out by position and re-joined as ``yyyy-MM-dd`` for the date cast.
@@ -22,6 +26,8 @@ from pyspark.sql import functions as F
 
 MDY_COMPACT = r"^[0-9]{5,8}$"  # MMdd + 1..4 year digits
 MDY_SLASHED = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{1,4}$"
+FRACTION_TAIL = r"^(\s*[+-]?[0-9]*\.[0-9])[0-9]+(\s*)$"
+DIGIT_GROUPS = "(?<=[0-9A-Fa-f])_(?=[0-9A-Fa-f])"
 
 
 def blank_to_null(c: Column) -> Column:
@@ -34,15 +40,24 @@ def trimmed(c: Column) -> Column:
     return blank_to_null(F.trim(c))
 
 
+def _ungrouped(c: Column) -> Column:
+    """Digit-group underscores removed; anything else is left for the cast to judge."""
+    return F.when(c.contains("_"), F.regexp_replace(c, DIGIT_GROUPS, "")).otherwise(c)
+
+
 def to_int(c: Column, type_name: str = "bigint") -> Column:
     """TRY_CAST of text to an integer type, rounding fractions half away from zero."""
-    as_dec = c.try_cast("decimal(38,10)")
-    return F.round(as_dec, 0).try_cast(type_name)
+    t = _ungrouped(c)
+    plain = F.when(t.contains("."), F.regexp_replace(t, FRACTION_TAIL, "$1$2")).otherwise(t)
+    number = F.round(plain.try_cast("decimal(38,18)"), 0)
+    coded = (F.when(t.rlike("^0[xX]0*[0-9A-Fa-f]{1,16}$"), F.conv(F.substring(t, 3, 1000), 16, 10))
+             .when(t.rlike("^0[bB]0*[01]{1,64}$"), F.conv(F.substring(t, 3, 1000), 2, 10)))
+    return F.when(t.rlike("^0[xXbB]"), coded.try_cast("decimal(38,0)")).otherwise(number).try_cast(type_name)
 
 
 def to_decimal(c: Column, precision: int = 14, scale: int = 2) -> Column:
     """TRY_CAST to DECIMAL(p,s): half-up rounding, overflow -> NULL."""
-    return c.try_cast(f"decimal({precision},{scale})")
+    return _ungrouped(c).try_cast(f"decimal({precision},{scale})")
 
 
 def to_money(c: Column) -> Column:

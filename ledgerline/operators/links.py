@@ -5,9 +5,9 @@
 * kind: ``anchor`` (``#...``, ``.``, ``..``), ``skip`` (mailto/tel/javascript/
   data, case-insensitive), ``remote`` (http/https, case-insensitive; not
   probed -> ok), ``local`` otherwise;
-* local check: path before ``?``/``#``, resolved against the source page's
-  directory unless site-absolute, must be the path of a known page of the
-  same host;
+* local check: path before ``?``/``#`` with dot segments resolved, relative to
+  the source page's directory unless site-absolute (no path at all is the page
+  itself), must be the path of a known page of the same host;
 * totals per source page.
 
 The known-path set grows with the page table, so it is joined with a
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 # The href pattern (double-quoted | single-quoted alternative).
 HREF_PATTERN = r"""href\s*=\s*"([^"]+)"|href\s*=\s*'([^']+)'"""
 SKIP_PATTERN = r"(?i)^(mailto:|tel:|javascript:|data:)"
-REMOTE_PATTERN = r"(?i)^(https?://)"
+REMOTE_PATTERN = r"(?i)^(https?://)"  # fixed value, as is the pattern above
 
 
 def _strip_ws(c: Column) -> Column:
@@ -40,6 +40,17 @@ def path_of(url: Column) -> Column:
     return F.when(p == "", "/").otherwise(p)
 
 
+def resolve_dots(path: Column) -> Column:
+    """Absolute path without ``.`` and ``..`` segments; ``..`` at the root stays at the root."""
+    parts = F.split(path, "/")
+    kept = F.aggregate(
+        F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"),
+        lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+        .when(s == ".", acc).otherwise(F.concat(acc, F.array(s))))
+    tail = F.when(path.rlike(r"/\.\.?$") & (F.size(kept) > 0), "/").otherwise("")
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), tail)
+
+
 def extract_links(pages: DataFrame) -> DataFrame:
     """M1: ``pages(page_id, url, html)`` -> ``(page_id, source_url, position, href)``."""
     g1 = F.regexp_extract_all("html", F.lit(HREF_PATTERN), 1)
@@ -68,7 +79,9 @@ def check_local(links: DataFrame, pages: DataFrame) -> DataFrame:
     path_only = F.split(F.col("href"), "[?#]", 2).getItem(0)
     src_path = path_of(F.col("source_url"))
     base_dir = F.regexp_replace(src_path, "/[^/]*$", "")
-    target = F.when(path_only.startswith("/"), path_only).otherwise(F.concat(base_dir, F.lit("/"), path_only))
+    joined = F.when(path_only.startswith("/"), path_only).otherwise(F.concat(base_dir, F.lit("/"), path_only))
+    target = (F.when(path_only == "", src_path)
+              .when(joined.contains("/."), resolve_dots(joined)).otherwise(joined))
     df = links.withColumn("target_path", F.when(F.col("kind") == "local", target)) \
         .withColumn("_host", host_of(F.col("source_url")))
     j = df.join(known, (F.col("_host") == F.col("_h")) & (F.col("target_path") == F.col("_p")), "left")

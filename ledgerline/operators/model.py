@@ -13,7 +13,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 
 
@@ -67,11 +66,22 @@ def canonical_columns(df: DataFrame) -> DataFrame:
 
 
 def latest_per_key(df: DataFrame, key: str) -> DataFrame:
-    """Latest-cycle row per key plus the number of cycles the key appears in."""
-    w = Window.partitionBy(key)
-    return (df.withColumn("_rn", F.row_number().over(w.orderBy(F.col("cycle").desc())))
-            .withColumn("n_cycles", F.count(F.lit(1)).over(w))
-            .where("_rn = 1").drop("_rn").withColumnRenamed("cycle", "latest_cycle"))
+    """Latest-cycle row per key plus the number of cycles the key appears in.
+
+    Of several rows of one cycle the largest counts, compared column by column
+    (nulls lowest).  Both steps aggregate before their shuffle.
+    """
+    rest = [c for c in df.columns if c not in (key, "cycle")]
+    per_cycle = df.groupBy(key, "cycle").agg(F.max(F.struct(*rest)).alias("_row"))
+    g = per_cycle.groupBy(key).agg(F.max(F.struct("cycle", "_row")).alias("_last"),
+                                   F.count(F.lit(1)).alias("n_cycles"))
+    return g.select(key, F.col("_last.cycle").alias("latest_cycle"),
+                    *[F.col(f"_last._row.{c}").alias(c) for c in rest], "n_cycles")
+
+
+def committee_names(cm: DataFrame, column: str) -> DataFrame:
+    """One row per ``(cycle, CMTE_ID)`` with the largest ``column``: joins to it cannot multiply rows."""
+    return cm.where(F.col("CMTE_ID").isNotNull()).groupBy("cycle", "CMTE_ID").agg(F.max(column).alias(column))
 
 
 def dim_candidate(cn: DataFrame) -> DataFrame:
@@ -165,10 +175,10 @@ def fact_disbursements(oppexp: DataFrame) -> DataFrame:
 def fact_transfers(oth: DataFrame, cm: DataFrame) -> DataFrame:
     """Committee-to-committee transfers with source and destination names.
 
-    The committee master plays two roles; its (cycle, CMTE_ID) keys are unique
-    per cycle so the two left joins cannot multiply rows.
+    The committee master plays two roles, reduced to one row per
+    (cycle, CMTE_ID) first, so the two left joins cannot multiply rows.
     """
-    names = cm.select("cycle", "CMTE_ID", "CMTE_NM")
+    names = committee_names(cm, "CMTE_NM")
     src = names.select(F.col("cycle").alias("_sc"), F.col("CMTE_ID").alias("_sk"),
                        F.col("CMTE_NM").alias("source_committee_name"))
     dst = names.select(F.col("cycle").alias("_dc"), F.col("CMTE_ID").alias("_dk"),
@@ -209,16 +219,20 @@ def fact_candidate_finance(weball: DataFrame) -> DataFrame:
 def money_by_party(contributions: DataFrame, disbursements: DataFrame, cm: DataFrame) -> DataFrame:
     """Receipts and spending per cycle x committee party.
 
-    Facts are tagged with a flow, unioned and joined to the committee master of
-    their cycle (broadcast behind a size check); unknown committees land in a
-    NULL-party group rather than being dropped.
+    Facts are tagged with a flow, unioned, counted per committee, and only then
+    joined to the committee master of their cycle, so a committee with a third
+    of all rows is one row at the join.  Unknown committees land in a NULL-party
+    group rather than being dropped.
     """
     flows = contributions.select("cycle", "CMTE_ID", "TRANSACTION_AMT", F.lit("receipts").alias("flow")) \
         .unionByName(disbursements.select("cycle", "CMTE_ID", "TRANSACTION_AMT", F.lit("spending").alias("flow")))
-    party = cm.where(F.col("CMTE_ID").isNotNull()).select(
+    per = flows.groupBy("cycle", "CMTE_ID", "flow").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("TRANSACTION_AMT").alias("amount"))
+    party = committee_names(cm, "CMTE_PTY_AFFILIATION").select(
         F.col("cycle").alias("_c"), F.col("CMTE_ID").alias("_k"), F.col("CMTE_PTY_AFFILIATION").alias("party"))
-    j = flows.join(party, (F.col("cycle") == F.col("_c")) & (F.col("CMTE_ID") == F.col("_k")), "left")
+    j = per.join(party, (F.col("cycle") == F.col("_c")) & (F.col("CMTE_ID") == F.col("_k")), "left")
+    # One row per committee is left in each group, so counting the non-null ids counts distinct ones.
     return j.groupBy("cycle", "party", "flow").agg(
-        F.count(F.lit(1)).cast("bigint").alias("n_transactions"),
-        F.sum("TRANSACTION_AMT").cast(MONEY).alias("total_amount"),
-        F.count_distinct("CMTE_ID").cast("bigint").alias("n_committees"))
+        F.sum("n").cast("bigint").alias("n_transactions"),
+        F.sum("amount").cast(MONEY).alias("total_amount"),
+        F.count("CMTE_ID").cast("bigint").alias("n_committees"))

@@ -94,11 +94,13 @@ def ambiguous_linkage(ccl: DataFrame) -> DataFrame:
 
 def committee_candidates(ccl: DataFrame, cn: DataFrame, weball: DataFrame) -> DataFrame:
     """Linkage x candidate master x candidate totals on ``(cycle, CAND_ID)``."""
-    cand = cn.select(
-        F.col("cycle").alias("_c1"), F.col("CAND_ID").alias("_k1"), "CAND_NAME", "CAND_OFFICE",
-        "CAND_OFFICE_ST", "CAND_OFFICE_DISTRICT", "CAND_ELECTION_YR", "CAND_ICI")
-    tot = weball.select(
-        F.col("cycle").alias("_c2"), F.col("CAND_ID").alias("_k2"), "TTL_RECEIPTS")
+    cols = ["CAND_NAME", "CAND_OFFICE", "CAND_OFFICE_ST", "CAND_OFFICE_DISTRICT", "CAND_ELECTION_YR", "CAND_ICI"]
+    # One row per (cycle, candidate) on both sides: repeated keys must not multiply links.
+    cand = (cn.where(F.col("CAND_ID").isNotNull()).groupBy(F.col("cycle").alias("_c1"), F.col("CAND_ID").alias("_k1"))
+            .agg(F.max(F.struct(*cols)).alias("_row")).select("_c1", "_k1", "_row.*"))
+    tot = (weball.where(F.col("CAND_ID").isNotNull())
+           .groupBy(F.col("cycle").alias("_c2"), F.col("CAND_ID").alias("_k2"))
+           .agg(F.max("TTL_RECEIPTS").alias("TTL_RECEIPTS")))
     j = (ccl.select("cycle", "CMTE_ID", "CAND_ID")
          .join(cand, (F.col("cycle") == F.col("_c1")) & (F.col("CAND_ID") == F.col("_k1")))
          .join(tot, (F.col("cycle") == F.col("_c2")) & (F.col("CAND_ID") == F.col("_k2"))))

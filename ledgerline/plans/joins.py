@@ -16,22 +16,19 @@ def key_set(df: DataFrame, key: str, by: tuple[str, ...] = ("cycle",), alias: st
     return df.where(F.col(key).isNotNull()).select(*by, F.col(key).alias(alias)).distinct()
 
 
-def spread_files(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Hash-spread an under-split file scan over the cluster's task slots.
-
-    An unsplittable source (a single-row-group parquet file, like every fixture
-    source) arrives as one partition and everything after it would run on one
-    core.  Decided from the file count (no physical planning): fewer files than
-    task slots means fewer splits than task slots.  Inputs with at least one file
-    per task slot (any large landed table) are returned untouched, so this adds
-    no shuffle at scale.
+SPREAD = "spark.ledgerline.fixturePartitions"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Fixture frames only: hash-spread over as many partitions as the session setting ``SPREAD`` names.
+
+    Unset, the default, the scan is left as it is: no shuffle and no listing of
+    files.  A single-row-group fixture file arrives as one partition, so a local
+    benchmark names its cores here.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= want:
-        return df
-    # Hash, not round-robin: deterministic on task retry without the extra sort
-    # that round-robin repartitioning needs for the same guarantee.
-    return df.repartition(want, F.xxhash64(*df.columns))
+    want = df.sparkSession.conf.get(SPREAD, None)
+    # Hash, not round-robin: deterministic on task retry without an extra sort.
+    return df.repartition(int(want), F.xxhash64(*df.columns)) if want else df
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -26,12 +26,19 @@ KINDS_SQL = f"select *, {KIND_SQL} as kind from ({EXTRACT_SQL}) e"
 _HOST = "regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)"
 _PATH = ("case when regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) = '' then '/' "
          "else regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) end")
+# Dot segments fold into a growing path text: ``..`` cuts its last segment, ``.`` adds nothing.
+_FOLDED = ("list_reduce(string_split(j, '/')[2:], lambda acc, x: case when x = '..' then "
+           "regexp_replace(acc, '/[^/]*$', '') when x = '.' then acc else acc || '/' || x end, '')")
+_DOTLESS = (f"case when {_FOLDED} = '' then '/' when regexp_matches(j, '/[.][.]?$') then {_FOLDED} || '/' "
+            f"else {_FOLDED} end")
 CHECK_SQL = (
-    f"with k as ({KINDS_SQL}), t as (select *, case when kind = 'local' then "
-    f"(case when starts_with(split_part(regexp_replace(href, '[?#].*$', ''), '?', 1), '/') "
-    f"then regexp_replace(href, '[?#].*$', '') else regexp_replace({_PATH.format(u='source_url')}, '/[^/]*$', '') "
-    f"|| '/' || regexp_replace(href, '[?#].*$', '') end) end as target_path, "
-    f"{_HOST.format(u='source_url')} as host from k), "
+    f"with k as ({KINDS_SQL}), bare as (select *, regexp_replace(href, '[?#].*$', '') as b, "
+    f"{_PATH.format(u='source_url')} as sp from k), "
+    f"joined as (select *, case when starts_with(b, '/') then b else regexp_replace(sp, '/[^/]*$', '') || '/' || b "
+    f"end as j from bare), "
+    f"t as (select * exclude (b, sp, j), case when kind <> 'local' then null when b = '' then sp "
+    f"when contains(j, '/.') then {_DOTLESS} else j end as target_path, "
+    f"{_HOST.format(u='source_url')} as host from joined), "
     f"known as (select distinct {_HOST.format(u='url')} as h, {_PATH.format(u='url')} as p from {PAGES} pg) "
     f"select page_id, source_url, position, href, kind, target_path, "
     f"(kind <> 'local' or exists (select 1 from known where known.h = t.host and known.p = t.target_path)) as ok, "

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.plans.joins import spread_files
+from ledgerline.plans.joins import spread
 from ledgerline.sources.layouts import ALL_TABLES
 
 _TABLE_OF_EVENT = "case event_id % 8 " + " ".join(
@@ -53,6 +53,9 @@ _FOOTER = (
     "<a href=\"HTTPS://ext' || cast(page_id % 5 as string) || '.example/a\">ext</a>"
     "<a href=\"http://mirror.example/p?id=' || cast(page_id as string) || '\">mirror</a>"
     "<a href=\"   \">blank</a>"
+    "<a href=\"?view=all\">view</a><a href=\"./' || cast(page_id % 11 as string) || '\">dot</a>"
+    "<a href=\"x/../' || cast(page_id % 11 as string) || '#c\">up</a><a href=\"../../up.html\">top</a>"
+    "<a href=\"x/..\">dir</a>"
     "<a href = \"  rel/page' || cast(page_id % 4 as string) || '.html \">rel</a>"
     "<a href=\"/' || cast(page_id % 13 as string) || '?q=1#frag\">self</a></footer>'"
 )
@@ -68,7 +71,7 @@ def fields_sql(fields: dict[str, str]) -> str:
 
 
 def _frame(spark: SparkSession, sf_dir: str, table: str, fields: dict[str, str]) -> DataFrame:
-    src = spread_files(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+    src = spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
     return src.select(*[F.expr(e).alias(n) for n, e in fields.items()])
 
 

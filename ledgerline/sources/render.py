@@ -23,7 +23,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.plans.joins import spread_files
+from ledgerline.plans.joins import spread
 
 # Cycles for which dimension files are rendered (fixture parameter).
 DIM_CYCLES = (1996, 2002)  # inclusive range, step 2
@@ -70,13 +70,16 @@ def _fact_common(dialect: str) -> dict[str, str]:
             f" when l_orderkey % 37 = 0 then substr({mdy}, 1, 4) || cast(year(l_shipdate) + 10 as string)"
             f" else {mdy} end"),
         "TRANSACTION_AMT": (f"case when l_partkey % 7 = 0 then '' when l_partkey % 11 = 0 then '1,000'"
+                            f" when l_partkey % 53 = 0 then '1_000.5' when l_partkey % 59 = 0 then '0x1F'"
                             f" else {_money('l_extendedprice')} end"),
         "OTHER_ID": f"case when l_linenumber = 1 then 'C' || {_k('l_partkey % 50')} else '' end",
         "TRAN_ID": "'SA' || cast(l_orderkey as string) || '-' || cast(l_linenumber as string)",
         "FILE_NUM": "cast(l_orderkey + 1000000 as string)",
         "MEMO_CD": "case when l_linenumber = 7 then 'X' else '' end",
         "MEMO_TEXT": "case when l_linenumber = 7 then 'EARMARKED' else '' end",
-        "SUB_ID": "case when l_partkey % 31 = 0 then '' else cast(l_orderkey * 10 + l_linenumber as string) end",
+        "SUB_ID": "case when l_partkey % 31 = 0 then '' when l_partkey % 61 = 0 then '0x1F' when l_partkey % 67 = 0 "
+                   "then cast(l_orderkey as string) || '.49999999999' when l_partkey % 71 = 0 then '1_0' || "
+                   "cast(l_orderkey as string) else cast(l_orderkey * 10 + l_linenumber as string) end",
     }
 
 
@@ -264,7 +267,7 @@ def render_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
         # The set is per source, not per table, so every table rendered from
         # one source shares one spread exchange (reused within a query).
         used = _source_text(source)
-        src = spread_files(src.select(*[c for c in src.columns if re.search(rf"\b{c}\b", used)]))
+        src = spread(src.select(*[c for c in src.columns if re.search(rf"\b{c}\b", used)]))
         if source != "lineitem":
             # A generator, not a join: each dimension row is emitted once per cycle.
             src = src.select("*", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.lit(2))).alias("cycle"))

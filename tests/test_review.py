@@ -82,3 +82,31 @@ def test_report_sinks(spark, tmp_path):
     assert back.columns == REPORT_COLUMNS and back.count() == 1
     sinks.write_report_json(df, os.path.join(str(tmp_path), "json"))
     assert spark.read.json(os.path.join(str(tmp_path), "json")).first().table_name == "pas2"
+
+
+def test_repeated_and_null_committees_do_not_multiply_rows(spark):
+    from ledgerline.operators import model as M
+    from ledgerline.operators import review as R
+    cm = spark.createDataFrame([(2000, "C1", "A", "DEM"), (2000, "C1", "B", None), (2000, None, "N", "REP")],
+                               "cycle int, CMTE_ID string, CMTE_NM string, CMTE_PTY_AFFILIATION string")
+    oth = spark.createDataFrame([(2000, 1, "C1", "C1", None, None), (2000, 2, None, "C9", None, None)],
+                                "cycle int, SUB_ID bigint, CMTE_ID string, OTHER_ID string, TRANSACTION_DT date, "
+                                "TRANSACTION_AMT decimal(14,2)")
+    got = {r.SUB_ID: (r.source_committee_name, r.destination_committee_name)
+           for r in M.fact_transfers(oth, cm).collect()}
+    assert got == {1: ("B", "B"), 2: (None, None)}
+    flows = M.money_by_party(oth, oth.limit(0), cm).collect()
+    assert {(r.party, r.n_transactions, r.n_committees) for r in flows} == {("DEM", 1, 1), (None, 1, 0)}
+
+    cn = spark.createDataFrame([(2000, "H1", n, "H", "CA", "01", 2000, "I") for n in ("X", "Y")],
+                               "cycle int, CAND_ID string, CAND_NAME string, CAND_OFFICE string, CAND_OFFICE_ST "
+                               "string, CAND_OFFICE_DISTRICT string, CAND_ELECTION_YR int, CAND_ICI string")
+    ccl = spark.createDataFrame([(2000, "C1", "H1"), (2000, "C2", None)], "cycle int, CMTE_ID string, CAND_ID string")
+    weball = spark.createDataFrame([(2000, "H1", 1), (2000, "H1", 2)], "cycle int, CAND_ID string, TTL_RECEIPTS int")
+    rows = R.committee_candidates(ccl, cn, weball).collect()
+    assert [(r.CMTE_ID, r.CAND_NAME, r.TTL_RECEIPTS) for r in rows] == [("C1", "Y", 2)]
+
+    twice = spark.createDataFrame([(1998, "H1", "X"), (2000, "H1", "X"), (2000, "H1", "Y")],
+                                  "cycle int, CAND_ID string, CAND_NAME string")
+    last = M.latest_per_key(twice, "CAND_ID").collect()
+    assert [(r.latest_cycle, r.CAND_NAME, r.n_cycles) for r in last] == [(2000, "Y", 2)]
