@@ -22,6 +22,9 @@ Definitions the templated audits leave open (chosen here, kept visible):
   unparseable, amount outside ``[lo, hi]``, date present but unparseable, date
   outside ``{cycle - 1, cycle}`` -- value = count / rows.
 
+``cycles`` names the expected cycles: one of them without rows yields ``pass``
+rows with zero counts instead of no rows at all.
+
 ``run_ts`` is a parameter (not ``now()``) so results are reproducible.
 
 Each audit is one aggregate pass per table (wide ``agg`` + ``stack``); the
@@ -37,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ledgerline.operators.checks import DATA_TESTS, parent_keys
-from ledgerline.plans.joins import materialize
+from ledgerline.plans.joins import every_cycle, materialize
 from ledgerline.sources.layouts import FACTS, LAYOUTS
 
 DEFAULT_RUN_ID = 1
@@ -86,14 +89,15 @@ def _stack_counts(wide: DataFrame, keys: list[str]) -> DataFrame:
     return wide.selectExpr("cycle", "rows", f"stack({len(keys)}, {pairs}) as (issue_key, issue_count)")
 
 
-def null_rate(df: DataFrame, table: str, run_id: int = DEFAULT_RUN_ID, run_ts: str = DEFAULT_RUN_TS) -> DataFrame:
+def null_rate(df: DataFrame, table: str, run_id: int = DEFAULT_RUN_ID, run_ts: str = DEFAULT_RUN_TS,
+              cycles: DataFrame | None = None) -> DataFrame:
     """H1 over every layout column of ``table``: one aggregate pass."""
     cols = LAYOUTS[table].names
     wide = df.groupBy("cycle").agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.count_if(F.col(c).isNull()).alias(f"c_{i}") for i, c in enumerate(cols)],
     )
-    return _metrics(_stack_counts(wide, cols), table, "null_rate", run_id, run_ts, "null_rows")
+    return _metrics(_stack_counts(every_cycle(wide, cycles), cols), table, "null_rate", run_id, run_ts, "null_rows")
 
 
 def duplicate_groups(df: DataFrame, key: str) -> DataFrame:
@@ -117,15 +121,15 @@ def duplicate_key_issues(df: DataFrame, table: str, run_id: int = DEFAULT_RUN_ID
     )
 
 
-def duplicate_key_summary(df: DataFrame, table: str, run_id: int = DEFAULT_RUN_ID,
-                          run_ts: str = DEFAULT_RUN_TS) -> DataFrame:
+def duplicate_key_summary(df: DataFrame, table: str, run_id: int = DEFAULT_RUN_ID, run_ts: str = DEFAULT_RUN_TS,
+                          cycles: DataFrame | None = None) -> DataFrame:
     """H2 summary: rows in duplicate groups per cycle; ``pass`` when there are none."""
     g = duplicate_groups(df, DUPLICATE_KEYS[table])
     dup = F.col("issue_count") > 1
-    per_cycle = g.groupBy("cycle").agg(
+    per_cycle = every_cycle(g.groupBy("cycle").agg(
         F.coalesce(F.sum(F.when(dup, F.col("issue_count"))), F.lit(0)).alias("dup_rows"),
         F.count_if(dup).alias("dup_groups"),
-    )
+    ), cycles)
     return per_cycle.select(
         F.lit(run_id).cast("bigint").alias("run_id"),
         F.col("cycle").cast("bigint").alias("cycle"),
@@ -140,7 +144,8 @@ def duplicate_key_summary(df: DataFrame, table: str, run_id: int = DEFAULT_RUN_I
 
 def referential_orphans(table: Callable[[str], DataFrame], child: str, run_id: int = DEFAULT_RUN_ID,
                         run_ts: str = DEFAULT_RUN_TS,
-                        parents: dict[tuple[str, str], DataFrame] | None = None) -> DataFrame:
+                        parents: dict[tuple[str, str], DataFrame] | None = None,
+                        cycles: DataFrame | None = None) -> DataFrame:
     """H3 for every relationship edge leaving ``child``, in one scan of the child."""
     edges = [t for t in DATA_TESTS if t.test_name == "relationships" and t.table == child]
     parents = parents if parents is not None else {}
@@ -159,7 +164,7 @@ def referential_orphans(table: Callable[[str], DataFrame], child: str, run_id: i
         aggs.append(F.count_if(F.col(t.column).isNotNull() & F.col(hit).isNull()).alias(f"o_{i}"))
         aggs.append(F.count_if(F.col(t.column).isNotNull()).alias(f"n_{i}"))
         keys.append(f"{child}.{t.column}->{t.parent_table}.{t.parent_column}")
-    wide = df.groupBy("cycle").agg(*aggs)
+    wide = every_cycle(df.groupBy("cycle").agg(*aggs), cycles)
     pairs = ", ".join(f"'{k}', `o_{i}`, `n_{i}`" for i, k in enumerate(keys))
     long = wide.selectExpr("cycle", f"stack({len(keys)}, {pairs}) as (issue_key, issue_count, rows)")
     return _metrics(long, child, "referential_orphan", run_id, run_ts, "orphan_rows")
@@ -167,7 +172,8 @@ def referential_orphans(table: Callable[[str], DataFrame], child: str, run_id: i
 
 def amount_date_domain(df: DataFrame, table: str, lo: float = 0.0, hi: float = 50000.0,
                        run_id: int = DEFAULT_RUN_ID, run_ts: str = DEFAULT_RUN_TS,
-                       amount: str = "TRANSACTION_AMT", date: str = "TRANSACTION_DT") -> DataFrame:
+                       amount: str = "TRANSACTION_AMT", date: str = "TRANSACTION_DT",
+                       cycles: DataFrame | None = None) -> DataFrame:
     """H4; ``df`` must carry ``<amount>_raw`` and ``<date>_raw`` (see ``parse_lines(keep_raw=...)``)."""
     amt, dt = F.col(amount), F.col(date)
     present = lambda raw: F.coalesce(F.trim(F.col(raw)), F.lit("")) != ""
@@ -183,7 +189,7 @@ def amount_date_domain(df: DataFrame, table: str, lo: float = 0.0, hi: float = 5
         F.count(F.lit(1)).alias("rows"),
         *[F.count_if(cond).alias(f"c_{i}") for i, cond in enumerate(rules.values())],
     )
-    return _metrics(_stack_counts(wide, list(rules)), table, "amount_date_domain", run_id, run_ts, "rows")
+    return _metrics(_stack_counts(every_cycle(wide, cycles), list(rules)), table, "amount_date_domain", run_id, run_ts, "rows")
 
 
 def summary(metrics: DataFrame) -> DataFrame:
@@ -253,11 +259,10 @@ def replace_slices(old: DataFrame, new: DataFrame, covered: DataFrame) -> DataFr
 def table_audit_metrics(table: Callable[..., DataFrame], name: str, run_id: int = DEFAULT_RUN_ID,
                         run_ts: str = DEFAULT_RUN_TS, lo: float = 0.0, hi: float = 50000.0,
                         parents: dict[tuple[str, str], DataFrame] | None = None,
-                        domain: bool = True) -> DataFrame:
+                        domain: bool = True, cycles: DataFrame | None = None) -> DataFrame:
     """Null-rate + referential-orphan + domain metrics of one table from **one** scan.
 
-    The child is left-joined to each parent's distinct key set (size-checked
-    broadcast), a single ``groupBy(cycle)`` computes every count, and the three
+    The child is left-joined to each parent's distinct key set, a single ``groupBy(cycle)`` computes every count, and the three
     metric families are ``stack``-ed from that one aggregate (its exchange is
     reused, so the table is read and partially aggregated once).
     ``table(name, keep_raw=...)`` returns a typed table.
@@ -295,7 +300,7 @@ def table_audit_metrics(table: Callable[..., DataFrame], name: str, run_id: int
         }
         rules = list(conds)
         aggs += [F.count_if(cond).alias(f"d_{i}") for i, cond in enumerate(conds.values())]
-    wide = df.groupBy("cycle").agg(*aggs)
+    wide = every_cycle(df.groupBy("cycle").agg(*aggs), cycles)
     # ONE generator over the one aggregate: every family reads the same wide row,
     # so column pruning cannot split the aggregate (and its scan) per family.
     entries = [("null_rate", c, f"n_{i}", "rows") for i, c in enumerate(cols)]

@@ -16,6 +16,17 @@ def key_set(df: DataFrame, key: str, by: tuple[str, ...] = ("cycle",), alias: st
     return df.where(F.col(key).isNotNull()).select(*by, F.col(key).alias(alias)).distinct()
 
 
+def every_cycle(counts: DataFrame, cycles: DataFrame | None) -> DataFrame:
+    """``counts`` (one row per cycle) with a row of zeros for each expected cycle that has none.
+
+    ``cycles``: the expected cycles (a bounded list), or None for those of the counts alone.
+    """
+    if cycles is None:
+        return counts
+    expected = cycles.select(F.col("cycle").cast("int").alias("cycle")).distinct()
+    return expected.join(counts, "cycle", "full").na.fill(0)
+
+
 SPREAD = "spark.ledgerline.fixturePartitions"
 
 

@@ -54,3 +54,14 @@ def typed_sql(table: str, keep_raw: tuple[str, ...] = ()) -> str:
 
 def lines_sql(table: str) -> str:
     return f"({render_sql(table)})"
+
+
+EXPECTED_CYCLES_SQL = (
+    "(select cast(unnest(range(lo + lo % 2, hi + 1, 2)) as integer) as cycle from "
+    "(select min(year(l_shipdate)) - 2 as lo, max(year(l_shipdate)) as hi from lineitem) yrs)")
+
+
+def every_cycle_sql(counts: str) -> str:
+    """Query ``counts`` (numeric columns, one row per cycle) with zeros for expected cycles without rows."""
+    return (f"select coalesce(columns(*), 0) from (select * from {EXPECTED_CYCLES_SQL} want "
+            f"full join ({counts}) have using (cycle)) both_")

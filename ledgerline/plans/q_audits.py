@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from ledgerline.operators import audits as A
 from ledgerline.operators.checks import DATA_TESTS
 from ledgerline.plans.catalog import register
-from ledgerline.plans.oracle_sql import typed_sql
+from ledgerline.plans.oracle_sql import every_cycle_sql, typed_sql
 from ledgerline.plans.tables import Tables
 from ledgerline.sources.layouts import ALL_TABLES, FACTS, LAYOUTS
 
@@ -28,7 +28,7 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def _null_rate(t: Tables) -> DataFrame:
-    return _union([A.null_rate(t.get(n), n) for n in ALL_TABLES])
+    return _union([A.null_rate(t.get(n), n, cycles=t.cycles) for n in ALL_TABLES])
 
 
 RAW = ("TRANSACTION_AMT", "TRANSACTION_DT")
@@ -44,25 +44,28 @@ def _dup_issues(t: Tables) -> DataFrame:
 
 
 def _dup_summary(t: Tables) -> DataFrame:
-    return _union([A.duplicate_key_summary(_table(t, n).select("cycle", A.DUPLICATE_KEYS[n]), n) for n in ALL_TABLES])
+    return _union([A.duplicate_key_summary(_table(t, n).select("cycle", A.DUPLICATE_KEYS[n]), n, cycles=t.cycles)
+                   for n in ALL_TABLES])
 
 
 def _orphans(t: Tables) -> DataFrame:
     children = sorted({d.table for d in DATA_TESTS if d.test_name == "relationships"})
-    return _union([A.referential_orphans(t.get, c, parents=t.parents) for c in children])
+    return _union([A.referential_orphans(t.get, c, parents=t.parents, cycles=t.cycles) for c in children])
 
 
 def _domain(t: Tables, hi: float = DOMAIN_HI) -> DataFrame:
     raw = ("TRANSACTION_AMT", "TRANSACTION_DT")
     return _union([
-        A.amount_date_domain(t.get(n, keep_raw=raw).select("cycle", *raw, *[f"{r}_raw" for r in raw]), n, hi=hi)
+        A.amount_date_domain(t.get(n, keep_raw=raw).select("cycle", *raw, *[f"{r}_raw" for r in raw]), n, hi=hi,
+                             cycles=t.cycles)
         for n in FACTS])
 
 
 def _all_metrics(t: Tables) -> DataFrame:
     """Null-rate, orphan and domain metrics of every table: one fused pass per table."""
     return _union([A.table_audit_metrics(lambda name, keep_raw=(): _table(t, name), n, RUN_ID, RUN_TS,
-                                         hi=DOMAIN_HI, parents=t.parents) for n in ALL_TABLES])
+                                         hi=DOMAIN_HI, parents=t.parents, cycles=t.cycles)
+                   for n in ALL_TABLES])
 
 
 def _issue_log(t: Tables) -> DataFrame:
@@ -141,7 +144,8 @@ def _metric_sql(table: str, metric: str, details: str, inner: str, rows_col: str
 def _null_rate_sql(table: str) -> str:
     cols = LAYOUTS[table].names
     counts = ", ".join(f'count(*) filter (where {c} is null) as "{c}"' for c in cols)
-    inner = (f"unpivot (select cycle, count(*) as rows, {counts} from {typed_sql(table)} s group by cycle) "
+    wide = every_cycle_sql(f"select cycle, count(*) as rows, {counts} from {typed_sql(table)} s group by cycle")
+    inner = (f"unpivot ({wide}) "
              f"on {', '.join(cols)} into name issue_key value issue_count")
     return _metric_sql(table, "null_rate", "null_rows", f"select * from ({inner})")
 
@@ -159,11 +163,12 @@ def _dup_issue_sql(table: str) -> str:
 
 
 def _dup_summary_sql(table: str) -> str:
+    per_cycle = (f"select cycle, sum(issue_count) filter (where issue_count > 1) as n "
+                 f"from ({_dup_groups_sql(table)}) g group by cycle")
     return (f"select {RUN_ID}::bigint as run_id, cycle::bigint as cycle, '{table}' as table_name, "
-            f"'duplicate_key' as metric_name, cast(coalesce(sum(issue_count) filter (where issue_count > 1), 0) "
-            f"as double) as metric_value, case when count(*) filter (where issue_count > 1) > 0 then 'warn' "
-            f"else 'pass' end as status, {TS_SQL} as computed_at, null::varchar as issue_key "
-            f"from ({_dup_groups_sql(table)}) g group by cycle")
+            f"'duplicate_key' as metric_name, cast(n as double) as metric_value, "
+            f"case when n > 0 then 'warn' else 'pass' end as status, {TS_SQL} as computed_at, "
+            f"null::varchar as issue_key from ({every_cycle_sql(per_cycle)}) e")
 
 
 def _orphan_sql(child: str) -> str:
@@ -172,27 +177,29 @@ def _orphan_sql(child: str) -> str:
         if t.test_name != "relationships" or t.table != child:
             continue
         key = f"{child}.{t.column}->{t.parent_table}.{t.parent_column}"
-        inner = (f"select c.cycle, '{key}' as issue_key, "
-                 f"count(*) filter (where c.{t.column} is not null and p.k is null) as issue_count, "
+        inner = (f"select c.cycle, count(*) filter (where c.{t.column} is not null and p.k is null) as issue_count, "
                  f"count(*) filter (where c.{t.column} is not null) as nn "
                  f"from {typed_sql(child)} c left join (select distinct cycle, {t.parent_column} as k "
                  f"from {typed_sql(t.parent_table)} pp where {t.parent_column} is not null) p "
                  f"on c.cycle = p.cycle and c.{t.column} = p.k group by c.cycle")
+        inner = f"select *, '{key}' as issue_key from ({every_cycle_sql(inner)}) e"
         parts.append(_metric_sql(child, "referential_orphan", "orphan_rows", inner, rows_col="nn"))
     return " union all ".join(parts)
 
 
 def _domain_sql(table: str, hi: float = DOMAIN_HI) -> str:
     src = typed_sql(table, ("TRANSACTION_AMT", "TRANSACTION_DT"))
-    inner = (
-        "unpivot (select cycle, count(*) as rows, "
+    wide = (
+        "select cycle, count(*) as rows, "
         "count(*) filter (where coalesce(trim(TRANSACTION_AMT_raw), '') <> '' and TRANSACTION_AMT is null) "
         "as amount_unparseable, "
         f"count(*) filter (where TRANSACTION_AMT < 0 or TRANSACTION_AMT > {hi}) as amount_out_of_range, "
         "count(*) filter (where coalesce(trim(TRANSACTION_DT_raw), '') <> '' and TRANSACTION_DT is null) "
         "as date_unparseable, "
         "count(*) filter (where TRANSACTION_DT is not null and year(TRANSACTION_DT) not in (cycle - 1, cycle)) "
-        f"as date_out_of_cycle from {src} s group by cycle) "
+        f"as date_out_of_cycle from {src} s group by cycle")
+    inner = (
+        f"unpivot ({every_cycle_sql(wide)}) "
         "on amount_unparseable, amount_out_of_range, date_unparseable, date_out_of_cycle "
         "into name issue_key value issue_count")
     return _metric_sql(table, "amount_date_domain", "rows", f"select * from ({inner})")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ledgerline.operators.checks import DATA_TESTS, run_tests
 from ledgerline.plans.catalog import register
-from ledgerline.plans.oracle_sql import typed_sql
+from ledgerline.plans.oracle_sql import every_cycle_sql, typed_sql
 from ledgerline.plans.tables import Tables
 
 
@@ -22,7 +22,7 @@ def _test_sql(t) -> str:
                 f"from {src} c left join (select distinct cycle, {t.parent_column} as k from "
                 f"{typed_sql(t.parent_table)} pp where {t.parent_column} is not null) p "
                 f"on c.cycle = p.cycle and c.{t.column} = p.k group by c.cycle")
-    return f"{head}, case when failures > 0 then '{t.severity}' else 'pass' end as status from ({body}) b"
+    return f"{head}, case when failures > 0 then '{t.severity}' else 'pass' end as status from ({every_cycle_sql(body)}) b"
 
 
 def _suite_sql(kinds: tuple[str, ...]) -> str:
@@ -32,7 +32,7 @@ def _suite_sql(kinds: tuple[str, ...]) -> str:
 def _suite(kinds: tuple[str, ...]):
     def build(spark, sf_dir):
         tables = Tables(spark, sf_dir)
-        return run_tests(tables.get, kinds, parents=tables.parents)
+        return run_tests(tables.get, kinds, parents=tables.parents, cycles=tables.cycles)
 
     return build
 

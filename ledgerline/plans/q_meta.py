@@ -10,7 +10,7 @@ from ledgerline.operators import manifest as I
 from ledgerline.operators import timing as L
 from ledgerline.plans.catalog import register
 from ledgerline.plans.oracle_sql import typed_sql
-from ledgerline.plans.tables import Tables, lines
+from ledgerline.plans.tables import Tables, lines, expected_cycles
 from ledgerline.sources import derived as D
 from ledgerline.sources.delimited import rejected_lines
 from ledgerline.sources.layouts import ALL_TABLES, DIMENSIONS, FACTS, LAYOUTS
@@ -24,16 +24,8 @@ LABEL, APPROACH = "bench", "spark"
 # ---------------------------------------------------------------- Spark side
 
 
-def requested_cycles(spark, sf_dir):
-    """Cycles to resolve: the even cycles from two years before the first ship year to the last."""
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    yrs = li.agg((F.min(F.year("l_shipdate")) - 2).alias("lo"), F.max(F.year("l_shipdate")).alias("hi"))
-    return yrs.select(F.explode(I.even_cycles(F.col("lo"), F.col("hi"))).alias("cycle")) \
-        .select(F.col("cycle").cast("int").alias("cycle"))
-
-
 def _manifest(spark, sf_dir):
-    return I.coverage_manifest(requested_cycles(spark, sf_dir), COVERAGE)
+    return I.coverage_manifest(expected_cycles(spark, sf_dir), COVERAGE)
 
 
 def _present(spark, sf_dir):

@@ -81,7 +81,7 @@ _ALL_TESTS = ("not_null", "unique", "relationships")
 
 def _review_tables(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return R.derive_issues(run_tests(t.get, _ALL_TESTS, parents=t.parents), R.ambiguous_linkage(t.ccl), R.affected_by_committee(t.pas2))
+    return R.derive_issues(run_tests(t.get, _ALL_TESTS, parents=t.parents, cycles=t.cycles), R.ambiguous_linkage(t.ccl), R.affected_by_committee(t.pas2))
 
 
 ISSUES_CTE = (

@@ -13,7 +13,9 @@ import weakref
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerline.operators.manifest import even_cycles
 from ledgerline.sources.delimited import parse_lines
 from ledgerline.sources.layouts import LAYOUTS
 from ledgerline.sources.render import render_lines
@@ -27,11 +29,19 @@ def typed(spark: SparkSession, sf_dir: str, table: str, keep_raw: Iterable[str]
     return parse_lines(lines(spark, sf_dir, table), LAYOUTS[table], keep_raw=keep_raw)
 
 
+def expected_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cycles asked for: the even cycles from two years before the first ship year to the last."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    yrs = li.agg((F.min(F.year("l_shipdate")) - 2).alias("lo"), F.max(F.year("l_shipdate")).alias("hi"))
+    return yrs.select(F.explode(even_cycles(F.col("lo"), F.col("hi"))).alias("cycle")) \
+        .select(F.col("cycle").cast("int").alias("cycle"))
+
+
 class Tables:
     """Lazy accessor: ``Tables(spark, sf_dir).pas2`` is the typed pas2 frame.
 
     One accessor per (session, ``sf_dir``): the typed-table plans and the
-    size-checked parent key sets are built once per session and shared by every
+    plans of the parent key sets are built once per session and shared by every
     query built on it.  A DataFrame is an immutable lazy plan, so sharing it
     only saves plan construction; each query still scans and computes its data.
     """
@@ -46,7 +56,8 @@ class Tables:
             inst.spark = spark
             inst.sf_dir = sf_dir
             inst._memo = {}
-            inst.parents = {}  # (parent table, column) -> checked key set, see operators.checks
+            inst.parents = {}  # (parent table, column) -> key set plan, see operators.checks
+            inst.cycles = expected_cycles(spark, sf_dir)
             per_session[sf_dir] = inst
         return inst
 

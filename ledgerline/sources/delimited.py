@@ -73,11 +73,14 @@ def parse_lines(
     return split.select(*keep, *typed, *raws)
 
 
+def rejected(value: Column, layout: Layout) -> Column:
+    """Whether the scan skips a line: blank, invalid UTF-8 or too many fields."""
+    return ~_usable(value) | ~line_shape_ok(value, len(layout.columns))
+
+
 def rejected_lines(lines: DataFrame, layout: Layout, value_col: str = "value") -> DataFrame:
     """Lines the scan skips: blank, invalid UTF-8 or too many fields."""
-    n = len(layout.columns)
-    v = F.col(value_col)
-    return lines.where(~_usable(v) | ~line_shape_ok(v, n))
+    return lines.where(rejected(F.col(value_col), layout))
 
 
 def read_text_lines(spark: SparkSession, paths: str | list[str], cycle: int | None = None) -> DataFrame:

@@ -18,6 +18,7 @@ re-run, and readers never see a half-written partition.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +43,14 @@ def write_table(df: DataFrame, root: str, table: str) -> None:
      .partitionBy("cycle").parquet(table_path(root, table)))
 
 
+def replace_cycles(df: DataFrame, root: str, table: str, empty: list[int]) -> None:
+    """A4 for a load of several cycles: those in ``df`` are replaced, those in ``empty`` cleared."""
+    write_table(df, root, table)
+    blank = df.sparkSession.createDataFrame([], df.schema)
+    for cycle in empty:  # bounded: cycles of one load
+        replace_cycle(blank, root, table, cycle)
+
+
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(table_path(root, table))
 
@@ -50,15 +59,42 @@ def _leaf(root: str, key: dict) -> str:
     return root.rstrip("/") + "/" + "/".join(f"{k}={key[k]}" for k in LOG_KEYS)
 
 
+def read_log(spark: SparkSession, root: str) -> DataFrame | None:
+    """The stored audit log, None where no run has written one yet."""
+    try:
+        return spark.read.parquet(root)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def last_issue_id(spark: SparkSession, covered: DataFrame, root: str) -> int:
+    """Largest issue id of the log at ``root`` outside the slices about to be replaced, 0 if none."""
+    log = read_log(spark, root)
+    if log is None or "issue_id" not in log.columns:
+        return 0
+    kept = log.join(covered.select(*LOG_KEYS).distinct(), list(LOG_KEYS), "left_anti")
+    return kept.agg(F.max("issue_id")).first()[0] or 0
+
+
 def replace_log_slices(new_rows: DataFrame, covered: DataFrame, root: str) -> None:
-    """Replace every covered slice of the partitioned audit log at ``root``."""
+    """Replace every covered slice of the partitioned audit log at ``root``.
+
+    ``new_rows`` may carry ``issue_id``.  A boolean ``has_rows`` in ``covered``
+    says which slices got rows and spares a second evaluation of ``new_rows``.
+    """
     spark = new_rows.sparkSession
-    rows = new_rows.select(*ISSUE_COLUMNS)
+    columns = (["issue_id"] if "issue_id" in new_rows.columns else []) + ISSUE_COLUMNS
+    rows = new_rows.select(*columns)
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*LOG_KEYS).parquet(root))
-    with_rows = rows.select(*LOG_KEYS).distinct()
-    empty = covered.select(*LOG_KEYS).distinct().join(with_rows, list(LOG_KEYS), "left_anti")
-    body_cols = [c for c in ISSUE_COLUMNS if c not in LOG_KEYS]
+    if "has_rows" in covered.columns:
+        empty = covered.groupBy(*LOG_KEYS).agg(F.max("has_rows").alias("_any")).where(~F.col("_any")).drop("_any")
+    else:
+        with_rows = rows.select(*LOG_KEYS).distinct()
+        empty = covered.select(*LOG_KEYS).distinct().join(with_rows, list(LOG_KEYS), "left_anti")
+    body_cols = [c for c in columns if c not in LOG_KEYS]
     blank = spark.createDataFrame([], rows.select(*body_cols).schema)
     for key in empty.collect():  # covered-but-empty slices: bounded metadata
         blank.write.mode("overwrite").parquet(_leaf(root, key.asDict()))

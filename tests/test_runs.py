@@ -4,6 +4,7 @@ import json
 import os
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import manifest as I
@@ -27,10 +28,18 @@ def test_load_audit_report(spark, sf, tmp_path):
             with zipfile.ZipFile(os.path.join(archives, rel), "w", zipfile.ZIP_DEFLATED) as zf:
                 zf.writestr(LAYOUTS[t].member_for(cycle), ("\r\n".join(vals) + "\r\n").encode())
             rows.append((cycle, t, rel, LAYOUTS[t].member_for(cycle), f"{t}_{cycle}", 0))
+    # Two over-long lines are rejected; one member has none but a blank line.
+    rel = "data/1998/pas298.zip"
+    with zipfile.ZipFile(os.path.join(archives, rel), "a", zipfile.ZIP_DEFLATED) as zf:
+        kept = zf.read(LAYOUTS["pas2"].member_for(1998))
+    with zipfile.ZipFile(os.path.join(archives, rel), "w", zipfile.ZIP_DEFLATED) as zf:
+        zf.writestr(LAYOUTS["pas2"].member_for(1998), kept + b"\n".join([b"|".join([b"x"] * 40)] * 2) + b"\n")
     manifest = spark.createDataFrame(
         rows, "cycle int, table_name string, zip_path string, source_entry string, target_table string, position int")
     wh = os.path.join(root, "warehouse")
-    hist = {(r.table_name, r.cycle): r.row_count for r in runs.load_cycle(spark, manifest, archives, wh).collect()}
+    loaded = runs.load_cycle(spark, manifest, archives, wh).collect()
+    hist = {(r.table_name, r.cycle): r.row_count for r in loaded}
+    assert {(r.table_name, r.cycle): r.rejected_rows for r in loaded if r.rejected_rows} == {("pas2", 1998): 2}
     expected = {(t, cy) for cy, t, *_ in rows}
     assert set(hist) == set(expected)
     typed_pas2 = spark.read.parquet(os.path.join(wh, "pas2"))
@@ -56,3 +65,15 @@ def test_load_audit_report(spark, sf, tmp_path):
     assert got[("fact", "pas2")] == (1500, "success")
     assert got[("dimension", "cm")] == (None, "success")
     assert got[("summary", "")] == (1500, "success")
+
+    # A reload of an empty member clears its cycle, and the next audit its issues.
+    empty = manifest.where("table_name = 'pas2' and cycle = 1998")
+    with zipfile.ZipFile(os.path.join(archives, "data/1998/pas298.zip"), "w", zipfile.ZIP_DEFLATED) as zf:
+        zf.writestr(LAYOUTS["pas2"].member_for(1998), b"\n")
+    again = runs.load_cycle(spark, empty, archives, wh).collect()
+    assert [(r.cycle, r.row_count) for r in again] == [(1998, 0)]
+    assert {r.cycle for r in spark.read.parquet(os.path.join(wh, "pas2")).select("cycle").distinct().collect()} == {2000}
+    runs.audit_run(spark, wh, log, summ, ["cm", "cn", "pas2"])
+    assert spark.read.parquet(log).where("run_id = 1 and table_name = 'pas2' and cycle = 1998").count() == 0
+    passed = spark.read.parquet(summ).where("run_id = 1 and table_name = 'pas2' and cycle = 1998")
+    assert {r.status for r in passed.collect()} == {"pass"} and passed.count() > 4

@@ -94,12 +94,19 @@ def test_streaming_ingest_is_incremental(spark, tmp_path):
 
 
 def test_render_scan_is_pruned_and_shared(spark, sf):
-    """Renders read only the used source columns, and tables of one source share one spread exchange."""
+    """Renders read only the used source columns and shuffle nothing; where the session asks for a spread,
+    tables of one source share one exchange."""
+    from ledgerline.plans.joins import SPREAD
     from ledgerline.plans.tables import lines
 
     plan = lines(spark, sf, "indiv")._jdf.queryExecution().executedPlan().toString()
     assert "l_orderkey" in plan and "l_comment" not in plan and "l_shipinstruct" not in plan
-    both = lines(spark, sf, "indiv").unionByName(lines(spark, sf, "oppexp"))
+    assert "Exchange" not in plan
+    spark.conf.set(SPREAD, "4")
+    try:
+        both = lines(spark, sf, "indiv").unionByName(lines(spark, sf, "oppexp"))
+    finally:
+        spark.conf.unset(SPREAD)
     both.write.format("noop").mode("overwrite").save()
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
