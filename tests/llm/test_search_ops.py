@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 import corpus_pipeline
 from ledgerline.llm import warc
 from ledgerline.llm.decontaminate import contaminated, decontaminate
-from ledgerline.llm.licenses import scan_licenses
+from ledgerline.llm.licenses import TEMPLATES, TEXTS, scan_licenses
 from ledgerline.llm.queries import ORACLE, QUERIES
 from ledgerline.llm.topk_search import exact_top_k
 
@@ -110,6 +110,34 @@ def test_license_edges(spark, docs_of, edge_rows):
     assert scan_licenses(docs_of(rows), none).collect() == []
 
 
+def test_license_headers_in_comments(spark, docs_of):
+    mit = (TEXTS / "MIT.txt").read_text()
+    rows = [(i, "import os " * 40 + "\n" + "".join(f"{mark} {line}\n" for line in mit.splitlines()) + "x = 1 " * 40) for i, mark in enumerate(("#", "//", " *", ";;"))]
+    gpl = "either version 3 of\n# the License, or\n# (at your option)\n# any later version."
+    rows += [(10, "# " + gpl), (11, "--- *** ---"), (12, " ".join((TEXTS / "GPL-3.0.txt").read_text().split()[:1000]))]
+    got = {(r.doc_id, r.license, r.template_id >= len(TEMPLATES)) for r in scan_licenses(docs_of(rows)).collect()}
+    assert got >= {(i, "MIT", True) for i in range(4)} | {(i, "MIT", False) for i in range(4)} | {(10, "GPL-3.0", False)}
+    assert not {g for g in got if g[0] == 11 or g[0] == 12 and g[2]}
+
+
+def test_license_full_texts(spark, docs_of):
+    """Every text is found in a document that holds it with words left out, inlined and shuffled alike."""
+    texts = {f.stem: f.read_text() for f in TEXTS.glob("*.txt")}
+    rows = [(i, "lead in " * 100 + " ".join(w for k, w in enumerate(t.split()) if k % 200 != 150) + " tail" * 100) for i, t in enumerate(texts.values())]
+    docs = docs_of(rows)
+    got = [{(r.doc_id, r.license, r.template_id, round(r.containment, 9), r.start) for r in scan_licenses(docs, inline=n).collect()} for n in (50_000, 0)]
+    assert got[0] == got[1]
+    assert {(i, name) for i, name in enumerate(texts)} <= {(i, name) for i, name, t, *_ in got[0] if t >= len(TEMPLATES)}
+
+
+def test_license_templates_without_a_cap(spark, docs_of):
+    words = [f"w{i}" for i in range(60_000)]
+    rows = [(k, f"L{k}", " ".join(words[k * 500:(k + 1) * 500])) for k in range(120)]
+    many = spark.createDataFrame(rows, "template_id int, license string, text string")
+    got = scan_licenses(docs_of([(1, rows[7][2]), (2, "x " * 300 + rows[100][2] + " y" * 9), (None, rows[3][2])]), many).collect()
+    assert {(r.doc_id, r.license) for r in got} == {(1, "L7"), (2, "L100"), (None, "L3")}
+
+
 def test_pipeline_decisions(spark, sf):
     """Every stage by brute force or by its own operator's rule, on its predecessor's rows."""
     docs = spark.read.parquet(f"{sf}/documents.parquet")
