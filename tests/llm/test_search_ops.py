@@ -86,6 +86,26 @@ def test_decontamination(spark, docs_of, edge_rows):
     assert shuffled == got
 
 
+SUMS = "3 + 5 = 8 and 7 * 6 = 42 and 90 - 41 = 49 and 12 / 4 = 3 and 15 + 16 = 31"
+SUMS2 = "4 + 5 = 9 and 8 * 6 = 48 and 91 - 41 = 50 and 16 / 4 = 4 and 15 + 17 = 32"
+TABLE = "12 km 13 km 15 miles 18 pounds 20 kg 25 kg 30 hours 31 days 40 cm 44 mm"
+NAMES = "Alice Arden Bruno Boston Clara Carlisle Dmitri Dover Elena Exeter Felix Falmouth"
+SHOUT = "WHICH OF THE FOUR RIVERS OF THE OLD PROVINCE FLOWS INTO THE NORTHERN SEA"
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_rows": 0, "inline_rows": 0}])
+def test_decontamination_of_placeholders_and_short_items(spark, docs_of, options):
+    items = {1: SUMS, 2: TABLE, 3: NAMES, 4: SHOUT, 5: "capital of the old province", 6: "a baker sells 12 loaves daily", 7: "12 loaves and 30 rolls"}
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    around = "it was said that {} and so it went on"
+    docs = [(i, around.format(t)) for i, t in items.items()] + [
+        (11, around.format(SUMS2)), (12, around.format("1 km 2 km 3 miles 4 pounds 5 kg 6 kg 7 hours 8 days 9 cm 10 mm")), (13, around.format("Anna Bath Carl Cork Dora Derby Egon Ely Fritz Fife")),
+        (14, around.format(SHOUT.lower())), (15, SHOUT.title()), (16, "the capital of the new province is not known"),
+        (17, around.format("a baker sells 15 loaves daily")), (18, around.format("15 loaves and 44 rolls")), (19, "15 loaves and 44 rolls"), (20, "loaves and 30"), (21, items[5])]
+    got = {(r.doc_id, r.item_id) for r in contaminated(docs_of(docs), bench, **options).collect()}
+    assert got == {(i, i) for i in items} | {(11, 1), (14, 4), (15, 4), (17, 6), (19, 7), (21, 5)}
+
+
 def test_decontamination_finds_whole_items(spark, sf, documents):
     bench = spark.read.parquet(f"{sf}/benchmark.parquet")
     items = {r.item_id: r.text for r in bench.collect()}
