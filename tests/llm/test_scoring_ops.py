@@ -110,6 +110,14 @@ def test_pii_cases():
     assert masked("mail a@b.cd now", find_spans("mail a@b.cd now")) == "mail [EMAIL] now"
 
 
+def test_pii_iban_before_capitals_or_digits():
+    for text, code in (("IBAN GB82WEST12345698765432 BIC NWBKGB2LXXX", "GB82WEST12345698765432"), ("DE89370400440532013000 EUR 500", "DE89370400440532013000"),
+                       ("GB82 WEST 1234 5698 7654 32 AND MORE", "GB82 WEST 1234 5698 7654 32"), ("REF AB12 IBAN GB82WEST12345698765432", "GB82WEST12345698765432")):
+        assert [text[s["start"]:s["end"]] for s in find_spans(text) if s["kind"] == "iban"] == [code]
+    both = "DE89370400440532013000 GB82WEST12345698765432"
+    assert [both[s["start"]:s["end"]] for s in find_spans(both) if s["kind"] == "iban"] == both.split()
+
+
 def test_pii_edges(docs_of, edge_rows):
     got = find_pii(docs_of(edge_rows), masked_col="m").collect()
     assert len(got) == len(edge_rows) and all(r.pii_spans == [] and r.m == r.text for r in got)
