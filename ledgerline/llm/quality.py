@@ -101,14 +101,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         fold: int = 5, sample: int = 4000, dims: int = 48) -> Model:
     """Model from at most ``sample`` labelled rows (a stable choice by hash of the id) whose crc32(id as text) mod ``fold`` is not 0.
 
-    Labels other than 0 and 1 and rows without an id are left out; an id labelled twice takes the larger label.
+    Labels other than 0 and 1 and rows without an id are left out; an id labelled twice takes the larger label,
+    and one with several texts the smallest.
     """
     small_batches(docs.sparkSession)
     known = (labels.select(F.col(id_col).cast("bigint").alias("i"), F.col(label_col).cast("int").alias("y"))
              .where(F.col("i").isNotNull() & F.col("y").isin(0, 1)).groupBy("i").agg(F.max("y").alias("y"))
              .where(F.crc32(F.col("i").cast("string").cast("binary")) % fold != 0))
     chosen = known.orderBy(F.xxhash64("i"), "i").limit(sample)
-    texts = docs.select(F.col(id_col).cast("bigint").alias("i"), F.col(text_col).cast("string").alias("t")).join(F.broadcast(chosen), "i").select("t", "y")
+    texts = docs.select(F.col(id_col).cast("bigint").alias("i"), F.col(text_col).cast("string").alias("t")).join(F.broadcast(chosen), "i").groupBy("i", "y").agg(F.min("t").alias("t")).select("t", "y")
 
     def run(batches):
         for batch in batches:
@@ -118,7 +119,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 yield pa.record_batch([pa.array(ys[row:stop], pa.int32()), pa.array([i.astype(np.uint16).tobytes() for i in sparse], pa.binary()),
                                        pa.array([c[i].astype(np.float32).tobytes() for c, i in zip(counts, sparse)], pa.binary())], names=["y", "terms", "counts"])
 
-    rows = sorted(texts.mapInArrow(run, "y int, terms binary, counts binary").toLocalIterator(), key=lambda r: (r.y, bytes(r.terms), bytes(r.counts)))[:2 * sample]
+    rows = sorted(texts.mapInArrow(run, "y int, terms binary, counts binary").toLocalIterator(), key=lambda r: (r.y, bytes(r.terms), bytes(r.counts)))
     x = np.zeros((len(rows), TERMS), np.float32)
     for at, r in enumerate(rows):
         x[at, np.frombuffer(r.terms, np.uint16)] = np.frombuffer(r.counts, np.float32)

@@ -77,6 +77,13 @@ def test_quality_edges(spark, docs_of, edge_rows):
     assert quality.score(docs_of([]), quality.fit(docs, labels), score_col="s", held_col="h").collect() == []
 
 
+def test_quality_repeated_rows_of_an_id(spark, docs_of):
+    labels = spark.createDataFrame([(i, int(i > 0)) for i in range(20)], "doc_id long, quality int")
+    rows = [(i, f"some good text of number {i} stands here.") for i in range(20)]
+    once, hot = (quality.fit(docs_of(x), labels) for x in (rows, rows + [(0, f"z spam {k}") for k in range(300)] * 30))
+    assert {0, 1} == set(once.labels) and sorted(once.labels) == sorted(hot.labels) and np.allclose(once.vectors, hot.vectors)
+
+
 def digits(s):
     return re.sub("[^0-9]", "", s)
 
