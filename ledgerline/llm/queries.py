@@ -13,6 +13,7 @@ from ledgerline.llm.packing import best_fit_packing
 from ledgerline.llm import quality, warc
 from ledgerline.llm.decontaminate import contaminated
 from ledgerline.llm.licenses import scan_licenses
+from ledgerline.llm.merkle import document_manifest
 from ledgerline.llm.pii import BASE, find_pii
 from ledgerline.llm.substring_dedup import substring_dedup
 from ledgerline.llm.topk_search import exact_top_k
@@ -135,6 +136,61 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+LETTERS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def _leaf_sql(text: str) -> str:
+    field = lambda c: f"coalesce(cast(octet_length(encode(cast({c} as varchar))) as varchar) || ':' || cast({c} as varchar), '-')"
+    return "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+OP11_SQL = f"""
+with recursive
+crc as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+          lambda a, x: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end)) as t),
+docs as (
+  select row_number() over () as r, doc_id, coalesce(':' || source, '') as tree, {_leaf_sql("text")} as h,
+    case when xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(cast(doc_id as varchar), ''), lambda c: ascii(c)::bigint)),
+                              lambda a, c: xor(a >> 8, t[1 + (xor(a, c) & 255)])), 4294967295) % 5 = 0
+         then {_leaf_sql(f"translate(text, '{LETTERS[0]}', '{LETTERS[1]}')")} end as h_now
+  from documents, crc),
+leaf as (select *, row_number() over (partition by tree order by doc_id nulls first, h) - 1 as i, count(*) over (partition by tree) as n from docs),
+low(tree, lvl, i, h, n) as (
+  select tree, 0, i, h, n from leaf
+  union all
+  select tree, lvl + 1, i // 16, sha256(string_agg(h, '' order by i)), (n + 15) // 16 from low where n > 1 group by tree, lvl, i // 16, n),
+subroot as (select tree, lvl, h, row_number() over (order by tree) - 1 as i, count(*) over () as n from low where n = 1),
+high(lvl, i, h, n) as (
+  select 0, i, h, n from subroot
+  union all
+  select lvl + 1, i // 16, sha256(string_agg(h, '' order by i)), (n + 15) // 16 from high where n > 1 group by lvl, i // 16, n),
+top as (select h from high where n = 1),
+node as (select tree, lvl, i, h from low where n > 1
+  union all select s.tree, s.lvl + g.lvl, g.i, g.h from subroot s cross join high g where g.n > 1),
+spot as (select l.r, w.tree, w.lvl, case when w.lvl < s.lvl then l.i // power(16, w.lvl)::bigint else s.i // power(16, w.lvl - s.lvl)::bigint end as i
+  from leaf l join subroot s using (tree) join (select distinct tree, lvl from node) w using (tree)),
+run as (select p.r, p.lvl, p.i, list(x.h order by x.i) as hs, list(x.i order by x.i) as js
+  from spot p join node x on x.tree = p.tree and x.lvl = p.lvl and x.i // 16 = p.i // 16 group by p.r, p.lvl, p.i),
+proof as (select r, string_agg(array_to_string(list_transform(list_filter(list_zip(hs, js), lambda z: z[2] <> i), lambda z: z[1]), ''), '' order by lvl) as p
+  from run group by r),
+folded(r, lvl, h) as (
+  select r, 0, coalesce(h_now, h) from leaf
+  union all
+  select f.r, f.lvl + 1, sha256(array_to_string(list_transform(list_zip(u.hs, u.js), lambda z: case when z[2] = u.i then f.h else z[1] end), ''))
+  from folded f join run u on u.r = f.r and u.lvl = f.lvl),
+last as (select r, max_by(h, lvl) as h from folded group by r)
+select l.doc_id, l.h as leaf, s.h as subroot, top.h as root, sha256(coalesce(p.p, '')) as proof_sha256, z.h as folded_root, z.h = top.h as verified
+from leaf l join subroot s using (tree) cross join top left join proof p on p.r = l.r join last z on z.r = l.r
+"""
+
+
+@register("op11_merkle_manifest", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    suspect = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    found = document_manifest(table(spark, sf_dir, "documents"), suspect, {"text": F.translate("text", *LETTERS)})
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 @register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
