@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.jaccard_join import ngram_jaccard
 from ledgerline.llm.lm_score import lm_scores
 from ledgerline.llm.packing import best_fit_packing
-from ledgerline.llm import quality, warc
+from ledgerline.llm import bpe, quality, warc
 from ledgerline.llm.decontaminate import contaminated
 from ledgerline.llm.licenses import scan_licenses
 from ledgerline.llm.merkle import document_manifest
@@ -191,6 +191,15 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
 
 
+@register("op12_bpe")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
