@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.jaccard_join import ngram_jaccard
 from ledgerline.llm.lm_score import lm_scores
 from ledgerline.llm.packing import best_fit_packing
+from ledgerline.llm.align import align, link_counts
 from ledgerline.llm import bpe, quality, warc
 from ledgerline.llm.decontaminate import contaminated
 from ledgerline.llm.licenses import scan_licenses
@@ -200,6 +201,16 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@register("op13_align")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    aligned = align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
+    found = link_counts(aligned.withColumn("groups_sha256", digest).drop("groups"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 @register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline

@@ -95,3 +95,98 @@ def test_query_on_documents(spark, sf, documents, library):
         text = lib.decode(ids, skip_special_tokens=False)
         want.add((i, len(ids), sha256(np.array(ids, "<u4").tobytes()).hexdigest(), sha256(text.encode()).hexdigest()))
     assert {tuple(r) for r in op12(spark, sf).collect()} == want
+
+
+# alignment
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def spans(tokens):
+    at, out = 0, []
+    for t in tokens:
+        out.append((at, at + len(t)))
+        at += len(t)
+    return out
+
+
+def expected_alignment(rows, lib_a, lib_b):
+    """Counter of (doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups), token by token."""
+    inverse = {i: t for t, i in lib_a.get_vocab().items()}
+    letters = bpe.byte_letters()
+    per_row, documents = [], Counter()
+    for i, text in rows:
+        a = lib_a.encode(" " + (text or ""), add_special_tokens=False).ids if text else []
+        b = lib_b.encode(text) if text else []
+        a_bytes = [bytes(letters[c] for c in inverse[x]) for x in a]
+        b_bytes = [bytes([lib_b.id_to_piece(x)[3:5] and int(lib_b.id_to_piece(x)[3:5], 16)]) if lib_b.is_byte(x)
+                   else lib_b.id_to_piece(x).replace("▁", " ").encode() for x in b]
+        want = b" " + (text or "").encode()
+        if b"".join(a_bytes) != want or b"".join(b_bytes) != want:
+            per_row.append((i, [], [], "", []))
+            continue
+        sa, sb = spans(a_bytes), spans(b_bytes)
+        links, k = [], 0
+        for x, (lo, hi) in zip(a, sa):
+            while sb[k][1] <= lo:
+                k += 1
+            m = k
+            while m < len(sb) and sb[m][0] < hi:
+                links.append((x, b[m]))
+                m += 1
+        shared = {e for _, e in sa} & {e for _, e in sb}
+        groups, last = [], 0
+        for e in sorted(shared):
+            groups.append(",".join(str(x) for x, (lo, hi) in zip(a, sa) if last <= lo and hi <= e) + "|"
+                          + ",".join(str(x) for x, (lo, hi) in zip(b, sb) if last <= lo and hi <= e)) if len(a) < 3000 else groups.append(None)
+            last = e
+        documents.update(set(links))
+        per_row.append((i, a, b, None if None in groups else ";".join(groups), links))
+    top = defaultdict(int)
+    for (x, _), n in documents.items():
+        top[x] = max(top[x], n)
+    return per_row, documents, top
+
+
+def check_alignment(got, rows, lib_a, lib_b):
+    per_row, documents, top = expected_alignment(rows, lib_a, lib_b)
+    want = Counter((i, len(a), len(b), len(links), sum(documents[p] == top[p[0]] for p in links), sum(documents[p] for p in links)) for i, a, b, _, links in per_row)
+    assert Counter((r.doc_id, r.n_a, r.n_b, r.n_links, r.n_best, r.count_sum) for r in got) == want
+    text = Counter((i, g) for i, _, _, g, _ in per_row if g is not None)
+    assert Counter((r.doc_id, r.groups) for r in got if (r.doc_id, r.groups) in text) == text
+    assert all(r.n_groups == (r.groups.count(";") + 1 if r.groups else 0) for r in got)
+
+
+@pytest.mark.parametrize("head", [0, 50, 1 << 18])
+def test_alignment_of_hard_rows(docs_of, edge_rows, library, head):
+    import sentencepiece
+
+    from ledgerline.llm.align import align, link_counts
+
+    rows = edge_rows + [(100 + i, t) for i, t in enumerate(HARD)] + [(500 + i, t) for i, t in enumerate(mixed_texts(200))]
+    got = link_counts(align(docs_of(rows).repartition(3), BYTES, PIECES), head).collect()
+    check_alignment(got, rows, library(False), sentencepiece.SentencePieceProcessor(model_file=PIECES))
+    assert any(r.n_a == 0 for r in got if r.doc_id and r.doc_id >= 100)
+
+
+def test_alignment_of_no_rows(docs_of):
+    from ledgerline.llm.align import align, link_counts
+
+    assert link_counts(align(docs_of([]), BYTES, PIECES)).count() == 0
+
+
+def test_alignment_query_on_documents(spark, sf, documents, library):
+    import sentencepiece
+
+    from ledgerline.llm.queries import op13
+
+    rows = [tuple(r) for r in documents.select("doc_id", "text").collect()]
+    per_row, counts, top = expected_alignment(rows, library(False), sentencepiece.SentencePieceProcessor(model_file=PIECES))
+    got = {r.doc_id: r for r in op13(spark, sf).collect()}
+    assert len(got) == len(rows)
+    for i, a, b, groups, links in per_row:
+        r = got[i]
+        assert (r.n_a, r.n_b, r.n_links) == (len(a), len(b), len(links))
+        assert r.count_sum == sum(counts[p] for p in links) and r.n_best == sum(counts[p] == top[p[0]] for p in links)
+        if groups is not None:
+            assert r.groups_sha256 == (sha256(groups.encode()).hexdigest() if groups else "")
