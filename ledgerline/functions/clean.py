@@ -46,7 +46,15 @@ def _ungrouped(c: Column) -> Column:
 
 
 def to_int(c: Column, type_name: str = "bigint") -> Column:
-    """TRY_CAST of text to an integer type, rounding fractions half away from zero."""
+    """TRY_CAST of text to an integer type, rounding fractions half away from zero.
+
+    Plain digits, nearly all values, end at the first cast; the rest is only tried behind it.
+    """
+    return F.coalesce(c.try_cast(type_name), _rare_int(c, type_name))
+
+
+def _rare_int(c: Column, type_name: str) -> Column:
+    """Fractions, exponents, digit groups, hexadecimal and binary texts."""
     t = _ungrouped(c)
     plain = F.when(t.contains("."), F.regexp_replace(t, FRACTION_TAIL, "$1$2")).otherwise(t)
     number = F.round(plain.try_cast("decimal(38,18)"), 0)

@@ -7,7 +7,9 @@ from the measured shuffle bytes, skew splitting included.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -42,6 +44,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(int(want), F.xxhash64(*df.columns)) if want else df
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder that ``spark.checkpoint.dir`` names; a local one only where none is set (tests)."""
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="ledgerline-shared-"))
+    return named or sc.getCheckpointDir()
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute a small, reused intermediate once.
 

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ledgerline.functions import clean as C
 from ledgerline.plans.catalog import register
+from ledgerline.plans.joins import shared_folder
 from ledgerline.plans.oracle_sql import duck_clean, lines_sql, typed_sql
 from ledgerline.plans.tables import lines, typed
 from ledgerline.sources.delimited import field_count_ok, split_fields
 from ledgerline.sources.layouts import LAYOUTS
+from ledgerline.sources.quoted import parse_records, read_records
+from ledgerline.sources.render import QUOTED_CYCLE, quotable_sql, write_quoted_files
 
 # --- B1..B8: one typed load per layout -------------------------------------------------
 
@@ -47,6 +52,28 @@ def scan_delimited(spark, sf_dir):
     )
 
 
+# --- A1: files with quoted fields, one dialect per file ----------------------------------------
+
+
+def _quoted_sql() -> str:
+    """Fields straight from the rows where files are quoted, split at each delimiter where they are literal."""
+    cycle, fields = quotable_sql()
+    lay = LAYOUTS["indiv"]
+    n = len(lay.columns)
+    typed_cols = ", ".join(f"{duck_clean(k, f'f[{i + 1}]')} as {c}" for i, (c, k) in enumerate(lay.columns))
+    return (f"with r as (select {cycle} as cycle, [{', '.join(fields)}] as f from lineitem), "
+            f"s as (select cycle, case when {QUOTED_CYCLE} then f else string_split(array_to_string(f, '|'), '|') end as f from r) "
+            f"select cycle, {typed_cols} from s where len(f) <= {n} or (len(f) = {n + 1} and f[{n + 1}] = '')")
+
+
+@register("load_quoted", _quoted_sql())
+def load_quoted(spark, sf_dir):
+    """indiv rows read back from text files with delimiters, quotes and line ends inside quoted fields."""
+    place = f"{shared_folder(spark)}/quoted-{uuid.uuid4().hex}"
+    write_quoted_files(spark, sf_dir, place)
+    return parse_records(read_records(spark, place), LAYOUTS["indiv"])
+
+
 # --- C: cleaning functions over every raw value of a landing column ----------------------
 
 _CLEAN_CASES = {

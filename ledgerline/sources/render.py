@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.plans.joins import spread
+from ledgerline.sources.layouts import LAYOUTS
 
 # Cycles for which dimension files are rendered (fixture parameter).
 DIM_CYCLES = (1996, 2002)  # inclusive range, step 2
@@ -280,3 +281,40 @@ def render_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
         part = src.select(F.expr(cyc).cast("int").alias("cycle"), F.explode(F.array(F.expr(line))).alias("value"))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+# --- files with quoted fields -------------------------------------------------------------
+
+# Cycles whose files are written with quotes; the others hold stray quotes and are literal.
+QUOTED_CYCLE = "cycle % 4 = 0"
+
+
+def _quotable_fields(dialect: str) -> list[str]:
+    """Fields of indiv lines: delimiters, quotes and line ends where files are quoted, stray quotes elsewhere."""
+    c = _indiv(dialect)
+    at = {name: i for i, name in enumerate(LAYOUTS["indiv"].names)}
+    key = "cast(l_partkey as string)"
+    quoted = FACT_CYCLE + " % 4 = 0"
+    c[at["NAME"]] = (
+        f"case when {quoted} then case l_partkey % 6 when 0 then 'DONOR \"' || {key} || '\" | SONS' when 1 then '|' || chr(10) || chr(10) || {key}"
+        f" when 2 then '\"' when 3 then '\"\"|' || {key} else 'DONOR \"' || {key} || '\"' end"
+        f" else case l_partkey % 6 when 0 then '\"Q\" S ' || {key} when 1 then '\"A|B\" ' || {key} when 2 then '\"open ' || {key}"
+        f" else 'DONOR \"' || {key} || '\"' end end")
+    c[at["MEMO_TEXT"]] = f"case when {quoted} and l_linenumber = 2 then 'FIRST' || chr(10) || '\"SECOND\"|' || chr(10) else '' end"
+    return c
+
+
+def quotable_sql(dialect: str = "duckdb") -> tuple[str, list[str]]:
+    """(cycle expression, field expressions) of the rows behind the files with quotes."""
+    return FACT_CYCLE, _quotable_fields(dialect)
+
+
+def write_quoted_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """One text file per cycle below ``path`` (``cycle=Y``): quoted or literal, see QUOTED_CYCLE."""
+    fields = _quotable_fields("spark")
+    li = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    row = li.select(F.expr(FACT_CYCLE).alias("cycle"), F.expr(f"array({', '.join(fields)})").alias("fields"))
+    written = F.transform("fields", lambda x: F.when(x.rlike('[|"\n]'), F.concat(F.lit('"'), F.replace(x, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(x))
+    value = F.array_join(F.when(F.expr(QUOTED_CYCLE), written).otherwise(F.col("fields")), "|")
+    # the text writer ends a row with a line feed and leaves those inside as they are
+    row.select("cycle", value.alias("value")).repartition(16, "cycle").write.partitionBy("cycle").text(path)
