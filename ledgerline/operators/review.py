@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.operators.asof import as_of
 from ledgerline.plans.joins import materialize
 
 MONEY = "decimal(38,2)"
@@ -110,19 +111,13 @@ def committee_candidates(ccl: DataFrame, cn: DataFrame, weball: DataFrame) -> Da
 
 # ---------------------------------------------------------------- issue tables
 
-DECIDED_AT = "2026-01-01 00:00:00"
-
-
 def derive_issues(suite: DataFrame, ambiguous: DataFrame, affected: DataFrame) -> dict[str, DataFrame]:
-    """Review tables derived from findings (the reference keeps them as hand-written seeds).
+    """Issues and their entities, derived from findings.
 
     * one issue per failing data test and cycle (``data_quality_test``);
-    * one issue per ambiguous committee that has NULL-candidate rows
-      (``duplicate_id``), which ``explains_part_of`` the NULL ``pas2.CAND_ID``
-      issue of its cycle;
-    * entities (table + column, or committee + each candidate), one evidence
-      row, metrics, and decisions (an ``investigate`` followed by the final one).
-    All frames are keyed by ``issue_key``; sizes follow the number of findings.
+    * one issue per ambiguous committee that has NULL-candidate rows (``duplicate_id``);
+    * entities: table and column, or committee and each candidate.
+    Both frames are keyed by ``issue_key``; sizes follow the number of findings.
     """
     fail = materialize(suite.where(F.col("failures") > 0))  # findings: tiny, reused by every table below
     test_key = F.concat_ws("_", F.col("cycle").cast("string"), "table_name", "test_name", "column_name")
@@ -136,7 +131,8 @@ def derive_issues(suite: DataFrame, ambiguous: DataFrame, affected: DataFrame) -
         dup_key.alias("issue_key"), F.lit("duplicate_id").alias("issue_type"), F.lit("low").alias("severity"),
         F.col("cycle").cast("bigint").alias("cycle"), F.col("affected_rows").cast("bigint").alias("detected_row_count"),
         F.col("affected_amount").cast(MONEY).alias("detected_amount"), "CMTE_ID", "candidate_ids")
-    cols = ["issue_key", "issue_type", "severity", "cycle", "detected_row_count", "detected_amount"]
+    dups = dups.withColumn("table_name", F.lit("ccl"))
+    cols = ["issue_key", "issue_type", "severity", "cycle", "table_name", "detected_row_count", "detected_amount"]
     issue = tests.select(*cols).unionByName(dups.select(*cols))
 
     ent = tests.select("issue_key", F.explode(F.array(
@@ -148,29 +144,35 @@ def derive_issues(suite: DataFrame, ambiguous: DataFrame, affected: DataFrame) -
                 F.lit("candidate").alias("entity_type"), c.alias("entity_id"))))).alias("e"))) \
         .select("issue_key", "e.entity_type", "e.entity_id")
 
-    evidence = issue.select("issue_key", F.lit("query_result").alias("evidence_type"),
-                            F.concat(F.col("detected_row_count").cast("string"), F.lit(" rows")).alias("observed_value"))
-    metric = tests.select("issue_key", F.lit("failures").alias("metric_name"),
-                          F.col("detected_row_count").cast("double").alias("metric_value")).unionByName(
-        dups.select("issue_key", F.explode(F.array(
-            F.struct(F.lit("affected_row_count").alias("n"), F.col("detected_row_count").cast("double").alias("v")),
-            F.struct(F.lit("affected_amount").alias("n"), F.col("detected_amount").cast("double").alias("v"))))
-            .alias("m")).select("issue_key", F.col("m.n").alias("metric_name"), F.col("m.v").alias("metric_value")))
-    final = F.when(F.col("issue_type") == "duplicate_id", "accept") \
-        .when(F.col("severity") == "warn", "keep_warning").otherwise("investigate_load")
-    ts = F.lit(DECIDED_AT).cast("timestamp_ntz")
-    decision = issue.select("issue_key", F.explode(F.array(
-        F.struct(F.lit(1).alias("seq"), F.lit("investigate").alias("decision")),
-        F.struct(F.lit(2).alias("seq"), final.alias("decision")))).alias("d")).select(
-        "issue_key", F.col("d.seq").alias("decision_seq"), "d.decision",
-        (ts + F.make_interval(mins=F.col("d.seq"))).alias("decided_at"))
-    parent = tests.where(F.col("test_id") == "G20").select(F.col("cycle").alias("_cy"),
-                                                          F.col("issue_key").alias("to_issue_key"))
-    relationship = dups.join(parent, F.col("cycle") == F.col("_cy")).select(
-        F.col("issue_key").alias("from_issue_key"), "to_issue_key",
-        F.lit("explains_part_of").alias("relationship_type"))
-    return {"issue": issue, "issue_entity": ent, "issue_evidence": evidence, "issue_metric": metric,
-            "issue_decision": decision, "issue_relationship": relationship}
+    return {"issue": issue, "issue_entity": ent}
+
+
+def issue_status(issue: DataFrame, entity: DataFrame, log: DataFrame, as_of_time: str) -> DataFrame:
+    """Every issue with what its review log says between its opening and ``as_of_time``.
+
+    ``issue`` has (issue_key, cycle, table_name, opened_at, ...), ``log`` (cycle, table_name, log_id, logged_at,
+    kind, decision) with kind evidence, metric or decision; an entry concerns the issues of its cycle and
+    table.  Counts are those of entries after the opening up to the time asked; ``inherited_decision`` was
+    in force when the issue was opened, ``latest_decision`` is the last one made since.  No issue meets the log
+    row by row: what lies before the opening is an as-of lookup, the rest one total per cycle and table.
+    """
+    by = ["cycle", "table_name"]
+    moment = F.lit(as_of_time).cast("timestamp_ntz")
+    past = log.where(F.col("logged_at") <= moment)
+    counts = {f"n_{k}": F.col("kind") == k for k in ("evidence", "metric", "decision")}
+    made = F.when(F.col("kind") == "decision", F.col("decision"))
+    opened = as_of(issue, past, by, "opened_at", "logged_at", "log_id", counts, {"inherited_decision": made})
+    total = past.groupBy(*by).agg(
+        *[F.count_if(c).alias(f"_{n}") for n, c in counts.items()],
+        F.max(F.when(made.isNotNull(), F.struct("logged_at", "log_id", "decision"))).alias("_last"))
+    entities = entity.groupBy("issue_key").agg(F.count(F.lit(1)).alias("n_entities"))
+    out = opened.join(total, by, "left").join(entities, "issue_key", "left")
+    since = F.col("_last.logged_at") > F.col("opened_at")
+    own = [c for c in issue.columns if c not in ("table_name",)]
+    return out.select(
+        *own, F.coalesce("n_entities", F.lit(0)).cast("bigint").alias("n_entities"),
+        *[(F.coalesce(f"_{n}", F.lit(0)) - F.col(n)).cast("bigint").alias(n) for n in counts],
+        "inherited_decision", F.when(since, F.col("_last.decision")).alias("latest_decision"), F.when(since, F.col("_last.logged_at")).alias("decided_at"))
 
 
 def issue_rollup(t: dict[str, DataFrame]) -> DataFrame:
@@ -194,9 +196,8 @@ def issue_rollup(t: dict[str, DataFrame]) -> DataFrame:
                       "latest_decision")
 
 
-def explains_closure(issue: DataFrame, edges: DataFrame) -> DataFrame:
-    """Transitive ``explains_part_of`` pairs with their least number of hops and the
-    share of the ancestor's rows that the descendant accounts for.
+def closure_pairs(edges: DataFrame) -> DataFrame:
+    """(descendant_key, ancestor_key, depth): transitive ``explains_part_of`` pairs and their least number of hops.
 
     Each round adds the pairs one hop further that were not seen before, until
     there are none: chains of any length are followed whole, and cycles end
@@ -215,6 +216,14 @@ def explains_closure(issue: DataFrame, edges: DataFrame) -> DataFrame:
                             .where("descendant_key <> ancestor_key").distinct()
                             .join(pairs, ["descendant_key", "ancestor_key"], "left_anti").withColumn("depth", F.lit(depth)))
         pairs = pairs.unionByName(level)
+    return pairs
+
+
+def explains_closure(issue: DataFrame, edges: DataFrame) -> DataFrame:
+    """Transitive pairs of issues of which only row counts are known (hand-kept seeds), with the
+    descendant's rows over the ancestor's.  Shares of overlapping parts need the rows: ``explain``.
+    """
+    pairs = closure_pairs(edges)
     rows = issue.select("issue_key", "detected_row_count")
     d = rows.select(F.col("issue_key").alias("_dk"), F.col("detected_row_count").alias("explained_rows"))
     a = rows.select(F.col("issue_key").alias("_ak"), F.col("detected_row_count").alias("ancestor_rows"))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ledgerline.operators import review as R
+from ledgerline.operators.explain import explain_missing_candidates
 from ledgerline.plans.catalog import register
 from ledgerline.plans.oracle_sql import typed_sql
 from ledgerline.plans.tables import Tables
+from ledgerline.sources.derived import review_log, review_log_sql
 
 PAS2, CCL, CN, WEBALL = typed_sql("pas2"), typed_sql("ccl"), typed_sql("cn"), typed_sql("weball")
 
@@ -90,45 +94,71 @@ ISSUES_CTE = (
     f"cast(sum(TRANSACTION_AMT) as decimal(38,2)) as affected_amount from {PAS2} p where CAND_ID is null group by all), "
     f"tests as (select cycle || '_' || table_name || '_' || test_name || '_' || column_name as issue_key, "
     f"'data_quality_test' as issue_type, severity, cast(cycle as bigint) as cycle, "
-    f"cast(failures as bigint) as detected_row_count, cast(null as decimal(38,2)) as detected_amount, test_id "
+    f"cast(failures as bigint) as detected_row_count, cast(null as decimal(38,2)) as detected_amount, test_id, table_name "
     f"from suite where failures > 0), "
     f"dups as (select l.cycle || '_' || l.CMTE_ID || '_duplicate_candidate_ids' as issue_key, "
     f"'duplicate_id' as issue_type, 'low' as severity, cast(l.cycle as bigint) as cycle, "
     f"cast(a.affected_rows as bigint) as detected_row_count, a.affected_amount as detected_amount, l.candidate_ids "
     f"from links l join aff a on l.cycle = a.cycle and l.CMTE_ID = a.CMTE_ID where l.n_candidates > 1), "
-    f"issue as (select issue_key, issue_type, severity, cycle, detected_row_count, detected_amount from tests "
-    f"union all select issue_key, issue_type, severity, cycle, detected_row_count, detected_amount from dups), "
-    f"edges as (select d.issue_key as descendant_key, t.issue_key as ancestor_key from dups d "
-    f"join tests t on t.cycle = d.cycle and t.test_id = 'G20')")
+    f"issue as (select issue_key, issue_type, severity, cycle, table_name, detected_row_count, detected_amount, cast(2 as bigint) as n_entities "
+    f"from tests union all select issue_key, issue_type, severity, cycle, 'ccl', detected_row_count, detected_amount, "
+    f"cast(1 + len(string_split(candidate_ids, ',')) as bigint) from dups)")
+
+#: The issues are looked at as of this time; each one was opened so many days after its cycle's first log entry.
+STATUS_AT = "2024-01-21 12:00:00"
 
 ROLLUP_SQL = (
-    f"with {ISSUES_CTE} "
-    f"select issue_key, issue_type, severity, cycle, detected_row_count, detected_amount, "
-    f"cast(2 as bigint) as n_entities, cast(1 as bigint) as n_evidence, cast(1 as bigint) as n_metrics, "
-    f"case when severity = 'warn' then 'keep_warning' else 'investigate_load' end as latest_decision from tests "
-    f"union all select issue_key, issue_type, severity, cycle, detected_row_count, detected_amount, "
-    f"cast(1 + len(string_split(candidate_ids, ',')) as bigint), cast(1 as bigint), cast(2 as bigint), 'accept' "
-    f"from dups")
+    f"with {ISSUES_CTE}, log as (select * from {review_log_sql()} l), "
+    f"first as (select cycle, min(logged_at) as first_at from log group by cycle), "
+    f"opened as (select i.*, f.first_at + to_days(cast(detected_row_count % 25 as integer)) as opened_at from issue i left join first f using (cycle)), "
+    f"past as (select * from log where logged_at <= timestamp '{STATUS_AT}') "
+    f"select o.issue_key, o.issue_type, o.severity, o.cycle, o.detected_row_count, o.detected_amount, o.opened_at, o.n_entities, "
+    f"count(*) filter (where l.kind = 'evidence' and l.logged_at > o.opened_at) as n_evidence, "
+    f"count(*) filter (where l.kind = 'metric' and l.logged_at > o.opened_at) as n_metric, "
+    f"count(*) filter (where l.kind = 'decision' and l.logged_at > o.opened_at) as n_decision, "
+    f"arg_max(l.decision, (l.logged_at, l.log_id)) filter (where l.kind = 'decision' and l.logged_at <= o.opened_at) as inherited_decision, "
+    f"arg_max(l.decision, (l.logged_at, l.log_id)) filter (where l.kind = 'decision' and l.logged_at > o.opened_at) as latest_decision, "
+    f"max(l.logged_at) filter (where l.kind = 'decision' and l.logged_at > o.opened_at) as decided_at "
+    f"from opened o left join past l on l.cycle = o.cycle and l.table_name = o.table_name group by all")
+
+#: Rows without a candidate and the issues they belong to, row by row.
+MEMBERS_CTE = (
+    f"links as ({LINKS_SQL}), missing as (select row_number() over () as rid, p.cycle, p.OTHER_ID, p.RPT_TP, p.STATE, p.AMNDT_IND, "
+    f"coalesce(l.n_candidates, 0) as n from {PAS2} p left join links l on p.cycle = l.cycle and p.OTHER_ID = l.CMTE_ID where p.CAND_ID is null), "
+    f"kinds as (select rid, cycle || '_null_candidate' as k0, case when n <> 1 then cycle || '_unresolved' end as k1, "
+    f"case when n > 1 then cycle || '_' || OTHER_ID end as k2, case when n > 1 then cycle || '_' || OTHER_ID || '_' || RPT_TP end as k3, "
+    f"cycle || '_state_' || STATE as k4, case when AMNDT_IND = 'A' then cycle || '_amended' end as k5 from missing), "
+    f"member as (select distinct rid, unnest([k0, k1, k2, k3, k4, k5]) as issue_key from kinds), "
+    f"edges as (select distinct e.f, e.t from (select unnest([{{'f': k3, 't': k2}}, {{'f': k2, 't': k1}}, {{'f': k1, 't': k0}}, {{'f': k4, 't': k0}}, "
+    f"{{'f': k4, 't': k2}}, {{'f': k5, 't': k0}}, {{'f': k1, 't': k5}}, {{'f': k5, 't': k1}}]) as e from kinds) where e.f is not null and e.t is not null)")
 
 EXPLAINS_SQL = (
-    f"with recursive {ISSUES_CTE}, "
-    f"closure(descendant_key, ancestor_key, depth) as (select descendant_key, ancestor_key, 1 from edges "
-    f"union all select c.descendant_key, e.ancestor_key, c.depth + 1 from closure c "
-    f"join edges e on c.ancestor_key = e.descendant_key), "
-    f"pairs as (select ancestor_key, descendant_key, min(depth) as depth from closure "
-    f"where ancestor_key <> descendant_key group by all) "
-    f"select p.ancestor_key, p.descendant_key, cast(p.depth as integer) as depth, "
-    f"d.detected_row_count as explained_rows, a.detected_row_count as ancestor_rows, "
-    f"case when a.detected_row_count > 0 then d.detected_row_count / a.detected_row_count end as explained_share "
-    f"from pairs p join issue d on d.issue_key = p.descendant_key join issue a on a.issue_key = p.ancestor_key")
+    f"with recursive {MEMBERS_CTE}, "
+    f"walk(d, a, depth) as (select f, t, 1 from edges union select w.d, e.t, w.depth + 1 from walk w join edges e on w.a = e.f where w.depth < 8), "
+    f"pairs as (select a, d, min(depth) as depth from walk where a <> d group by all), "
+    f"held as (select * from member where issue_key is not null), "
+    f"size as (select issue_key, count(*) as n from held group by all), "
+    f"common as (select p.a, p.d, x.rid from pairs p join held x on x.issue_key = p.d join held y on y.issue_key = p.a and y.rid = x.rid), "
+    f"part as (select a, d, count(*) as n from common group by all), whole as (select a, count(distinct rid) as n from common group by all) "
+    f"select p.a as ancestor_key, p.d as descendant_key, cast(p.depth as integer) as depth, s.n as ancestor_rows, coalesce(c.n, 0) as explained_rows, "
+    f"coalesce(w.n, 0) as union_rows, coalesce(c.n, 0) / s.n as explained_share, coalesce(w.n, 0) / s.n as union_share "
+    f"from pairs p join size s on s.issue_key = p.a left join part c on c.a = p.a and c.d = p.d left join whole w on w.a = p.a")
 
 
 @register("issue_rollup", ROLLUP_SQL)
 def issue_rollup(spark, sf_dir):
-    return R.issue_rollup(_review_tables(spark, sf_dir))
+    """Issues derived from findings, with their review log as of STATUS_AT."""
+    t = _review_tables(spark, sf_dir)
+    log = review_log(spark, sf_dir)
+    first = log.groupBy("cycle").agg(F.min("logged_at").alias("_first"))  # one row per cycle
+    days = F.make_dt_interval(days=(F.col("detected_row_count") % 25).cast("int"))
+    issue = t["issue"].join(first, "cycle", "left").withColumn("opened_at", F.col("_first") + days).drop("_first")
+    out = R.issue_status(issue, t["issue_entity"], log, STATUS_AT)
+    return out.select("issue_key", "issue_type", "severity", "cycle", "detected_row_count", "detected_amount", "opened_at", "n_entities", "n_evidence",
+                      "n_metric", "n_decision", "inherited_decision", "latest_decision", "decided_at")
 
 
 @register("issue_explains", EXPLAINS_SQL)
 def issue_explains(spark, sf_dir):
-    t = _review_tables(spark, sf_dir)
-    return R.explains_closure(t["issue"], t["issue_relationship"])
+    t = Tables(spark, sf_dir)
+    return explain_missing_candidates(t.pas2, t.ccl)

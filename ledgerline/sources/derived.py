@@ -3,6 +3,8 @@
 * fetch log: every ``events`` row is one conditional fetch attempt of a bulk
   archive (cycle from the user, table from the event id, status from the
   event type, ETag from the value) -- the input of freshness and current-state;
+* review log: every ``events`` row is one entry (evidence, metric or decision) on the issues of a
+  cycle and table -- the input of the issue status as of a time;
 * run results: every ``events`` row is one run-results JSON document with one
   result (``model.*`` ids for the eight tables, plus ``test.*`` / ``seed.*``
   ids that the parser must skip; error events carry a non-numeric time);
@@ -33,6 +35,16 @@ FETCH_FIELDS = {
     "etag": "'W/' || cast(cast(floor(value) as bigint) % 3 as string)",
 }
 
+REVIEW_FIELDS = {
+    "cycle": "cast(1996 + 2 * (user_id % 4) as bigint)",
+    "table_name": _TABLE_OF_EVENT,
+    "log_id": "event_id",
+    "logged_at": "cast(ts as {naive})",
+    "kind": "case event_type when 'error' then 'decision' when 'view' then 'evidence' else 'metric' end",
+    "decision": ("case when event_type = 'error' then case cast(floor(value) as bigint) % 4 when 0 then 'accept' "
+                 "when 1 then 'keep_warning' when 2 then 'investigate_load' else 'reopen' end end"),
+}
+
 _RUN_ID = "case event_id % 10 " + " ".join(
     f"when {i} then 'model.ledger.{t}'" for i, t in enumerate(ALL_TABLES)) + \
     " when 8 then 'test.ledger.not_null_cm_CMTE_ID' else 'seed.ledger.issue' end"
@@ -79,6 +91,14 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _frame(spark, sf_dir, "events", FETCH_FIELDS)
 
 
+def review_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _frame(spark, sf_dir, "events", {k: e.replace("{naive}", "timestamp_ntz") for k, e in REVIEW_FIELDS.items()})
+
+
+def review_log_sql() -> str:
+    return f"(select {fields_sql(REVIEW_FIELDS).replace('{naive}', 'timestamp')} from events)"
+
+
 def run_results_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _frame(spark, sf_dir, "events", RUN_FIELDS)
 
