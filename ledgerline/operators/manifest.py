@@ -10,8 +10,7 @@
 * load history: one row per loaded (table, cycle) with row and reject counts;
 * freshness: latest vs previous fetch of each (cycle, table) -> ``new`` /
   ``changed`` / ``unchanged`` / ``error`` (top-2 per key with two partial
-  aggregations, never a per-key sort of the whole log);
-* current state: latest operation per entity.
+  aggregations, never a per-key sort of the whole log).
 
 Tables x cycles is a small frame; it is produced by generators (``explode``)
 rather than a cross join.
@@ -29,7 +28,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
 from ledgerline.sources.layouts import DIMENSIONS, FACTS, LAYOUTS
 
 BASE_URL = "https://www.fec.gov/files/bulk-downloads"
@@ -74,7 +72,7 @@ def coverage_manifest(cycles: DataFrame, cfg: Coverage, base_url: str = BASE_URL
             .select("cycle", "e.table_name", "e.table_group", "e.position"))
     # order-preserving de-dup: first position of each (cycle, table)
     rows = rows.groupBy("cycle", "table_name").agg(F.min("position").alias("position"),
-                                                   F.first("table_group").alias("table_group"))
+                                                   F.min_by("table_group", "position").alias("table_group"))
     yy = F.substring(c.cast("string"), -2, 2)
     stem = F.concat(F.col("table_name"), yy)
     member = F.lit(None).cast("string")
@@ -126,38 +124,36 @@ def load_history(manifest: DataFrame, present: DataFrame, rejects: DataFrame, lo
         F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"))
 
 
+def http_date(c: Column) -> Column:
+    """An HTTP date (``Tue, 02 Jan 2024 10:00:00 GMT``) as a time; anything else is NULL."""
+    day = F.regexp_extract(c, r"^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun), (\d{2} [A-Z][a-z]{2} \d{4} \d{2}:\d{2}:\d{2}) GMT$", 1)
+    return F.try_to_timestamp(F.nullif(day, F.lit("")), F.lit("dd MMM yyyy HH:mm:ss")).cast("timestamp_ntz")
+
+
 def fetch_change_status(fetches: DataFrame) -> DataFrame:
     """Compare the latest two fetches of each (cycle, table_name).
 
-    ``fetches``: cycle, table_name, fetch_id, fetched_at, fetch_status, etag.  A
-    not-modified answer is ``unchanged`` whatever its tag; without a tag on both
-    sides the file counts as changed.
+    ``fetches``: cycle, table_name, fetch_id, fetched_at, fetch_status, etag and perhaps last_modified.  A
+    not-modified answer is ``unchanged``.  Otherwise entity tags decide where both fetches have one, compared
+    weakly (a leading ``W/`` is not part of the tag); else the times of last modification where both are valid:
+    the file is unchanged unless the newer one is later.  Without such a pair it counts as changed.
     """
-    w = Window.partitionBy("cycle", "table_name")
-    newest = w.orderBy(F.desc("fetched_at"), F.desc("fetch_id"))
-    status = (F.when(F.col("fetch_status") == "error", "error")
-              .when(F.col("n_fetches") == 1, "new")
-              .when((F.col("fetch_status") == "not_modified") | (F.col("etag") == F.col("previous_etag")), "unchanged")
-              .otherwise("changed"))
-    return (fetches.withColumn("_rank", F.row_number().over(newest))
-            .withColumn("previous_etag", F.lead("etag").over(newest))
-            .withColumn("n_fetches", F.count(F.lit(1)).over(w)).where(F.col("_rank") == 1)
-            .select("cycle", "table_name", F.col("fetched_at").alias("last_fetched_at"),
-                    F.col("n_fetches").cast("bigint").alias("n_fetches"), "etag", "previous_etag",
-                    status.alias("change_status")))
-
-
-def current_state(fetches: DataFrame, counts: DataFrame) -> DataFrame:
-    """Latest operation per (entity_type, cycle, table_name) with its row count."""
+    if "last_modified" not in fetches.columns:
+        fetches = fetches.withColumn("last_modified", F.lit(None).cast("string"))
+    tag = F.nullif(F.regexp_replace(F.trim("etag"), "^W/", ""), F.lit(""))
+    answer = F.struct("fetched_at", "fetch_id", "fetch_status", "etag", tag.alias("tag"), http_date(F.col("last_modified")).alias("modified"))
+    # The two newest answers by two partial aggregations: a key's whole log is never sorted.
     key = ["cycle", "table_name"]
-    order = F.struct("fetched_at", "fetch_id")
-    latest = fetches.groupBy(*key).agg(
-        F.max_by(F.struct("fetch_status", "http_status", "etag", "fetched_at"), order).alias("s"))
-    j = latest.join(counts, key, "left")
-    return j.select(
-        F.lit("source_file").alias("entity_type"), F.col("cycle").cast("bigint").alias("cycle"), "table_name",
-        F.concat("table_name", F.lit("_"), F.col("cycle").cast("string")).alias("entity_name"),
-        F.lit("fetch").alias("last_operation"), F.col("s.fetch_status").alias("operation_status"),
-        F.when(F.col("row_count").isNull(), "not_loaded").otherwise("loaded").alias("quality_status"),
-        F.col("s.http_status").alias("http_status"), F.col("s.etag").alias("etag"), "row_count",
-        F.col("s.fetched_at").alias("updated_at"))
+    newest = fetches.groupBy(*key).agg(F.max(answer).alias("now"), F.count(F.lit(1)).alias("n_fetches"))
+    earlier = (fetches.select(*key, answer.alias("_a")).join(newest.select(*key, "now"), key).where(F.col("_a") < F.col("now"))
+               .groupBy(*key).agg(F.max("_a").alias("before")))
+    both = newest.join(earlier, key, "left")
+    status = (F.when(F.col("now.fetch_status") == "error", "error")
+              .when(F.col("before").isNull(), "new")
+              .when(F.col("now.fetch_status") == "not_modified", "unchanged")
+              .when(F.col("now.tag").isNotNull() & F.col("before.tag").isNotNull(),
+                    F.when(F.col("now.tag") == F.col("before.tag"), "unchanged").otherwise("changed"))
+              .when(F.col("now.modified") <= F.col("before.modified"), "unchanged").otherwise("changed"))
+    return both.select(*key, F.col("now.fetched_at").alias("last_fetched_at"), F.col("n_fetches").cast("bigint").alias("n_fetches"),
+                       F.col("now.etag").alias("etag"), F.col("before.etag").alias("previous_etag"),
+                       F.col("now.modified").alias("modified_at"), F.col("before.modified").alias("previous_modified_at"), status.alias("change_status"))

@@ -5,7 +5,9 @@
   anything else (strings, null);
 * metric join: expected targets left-joined to durations and row counts,
   status ``success`` when the target has a row count, else ``missing``;
-* report rows: one ``summary`` row per cycle plus one ``fact`` / ``dimension``
+* runs: results of a cycle whose times overlap, or follow each other within a gap, are one run
+  (session windows); its wall time is its span, not the sum of its results;
+* report rows: one ``summary`` row per cycle (its latest run) plus one ``fact`` / ``dimension``
   row per table, in the fixed 12-column report layout;
 * fact subtotal: sum of fact durations (NULL as 0), fact table list, failures.
 
@@ -27,9 +29,9 @@ _NUMERIC = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
 
 
 def read_run_results(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Whole run-results JSON files -> ``(path, json_text)`` (one row per file)."""
+    """Whole run-results JSON files -> ``(path, json_text, written_at)`` (one row per file)."""
     return spark.read.option("wholetext", True).text(paths).select(
-        F.input_file_name().alias("path"), F.col("value").alias("json_text"))
+        F.input_file_name().alias("path"), F.col("value").alias("json_text"), F.col("_metadata.file_modification_time").alias("written_at"))
 
 
 def run_result_metrics(docs: DataFrame, keep: tuple[str, ...] = ("cycle", "run_id")) -> DataFrame:
@@ -51,6 +53,38 @@ def latest_durations(metrics: DataFrame) -> DataFrame:
     return metrics.groupBy("cycle", "table_name").agg(F.max_by("duration_ms", "run_id").alias("duration_ms"))
 
 
+def run_events(docs: DataFrame) -> DataFrame:
+    """``docs(json_text, cycle, run_id, started_at)`` -> one row per result of any kind: when, how long, whether it failed.
+
+    A result without a numeric time failed and takes no time.
+    """
+    v = F.try_parse_json("json_text")
+    results = docs.select("cycle", "started_at", F.explode(F.try_variant_get(v, "$.results", "array<variant>")).alias("r"))
+    et = F.variant_get("r", "$.execution_time", "variant")
+    numeric = F.schema_of_variant(et).rlike(_NUMERIC)
+    ms = F.when(numeric, (F.try_variant_get(et, "$", "double") * 1000).cast("bigint"))
+    return results.select("cycle", "started_at", F.coalesce(ms, F.lit(0)).alias("duration_ms"), F.coalesce(~numeric, F.lit(True)).alias("failed"))
+
+
+def latest_runs(events: DataFrame, gap_ms: int = 1_800_000) -> DataFrame:
+    """The latest run of each cycle: (cycle, started_at, duration_ms, n_results, return_code).
+
+    A run is a session: each result opens a window of its own time plus the gap, and windows that overlap
+    are one.  ``spark.sql.sessionWindow.merge.sessions.in.local.partition`` lets tasks merge sessions before
+    the shuffle, so that a cycle with most of the results arrives as its sessions.
+    """
+    spark = events.sparkSession
+    spark.conf.set("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
+    window = F.session_window("started_at", F.concat((F.col("duration_ms") + gap_ms).cast("string"), F.lit(" milliseconds")))
+    ended = F.unix_micros(F.col("started_at").cast("timestamp")) + F.col("duration_ms") * 1000
+    runs = events.where(F.col("started_at").isNotNull()).groupBy("cycle", window.alias("w")).agg(
+        F.min("started_at").alias("started_at"), F.max(ended).alias("_end"), F.count(F.lit(1)).alias("n_results"), F.count_if("failed").alias("_failed"))
+    span = F.col("_end") - F.unix_micros(F.col("started_at").cast("timestamp"))
+    rows = runs.select("cycle", F.struct("started_at", (span / 1000).cast("bigint").alias("duration_ms"), "n_results",
+                                         F.when(F.col("_failed") > 0, 1).otherwise(0).alias("return_code")).alias("run"))
+    return rows.groupBy("cycle").agg(F.max_by("run", "run.started_at").alias("run")).select("cycle", "run.*")
+
+
 def load_metrics(targets: DataFrame, durations: DataFrame) -> DataFrame:
     """L2: ``targets(cycle, table_name, row_count)`` x durations -> status per table."""
     j = targets.join(durations, ["cycle", "table_name"], "left")
@@ -61,9 +95,14 @@ def load_metrics(targets: DataFrame, durations: DataFrame) -> DataFrame:
         F.when(F.col("row_count").isNotNull(), "success").otherwise("missing").alias("status"))
 
 
-def load_report(metrics: DataFrame, label: str, approach: str, measured_at: str,
+def load_report(metrics: DataFrame, label: str, approach: str, measured_at: str, runs: DataFrame | None = None,
                 log_path: str = "logs/load-timing/run.log", db_path: str = "warehouse") -> DataFrame:
-    """L3: summary row per cycle + one row per table (12-column layout)."""
+    """L3: summary row per cycle + one row per table (12-column layout).
+
+    With ``runs`` (see ``latest_runs``) the summary is the wall time of the cycle's latest run and
+    ``success`` or ``failed(code)``; a cycle without a run has no time and is ``missing``.  Without, only
+    durations are known: their sum, ``incomplete`` if a table is missing.
+    """
     common = [F.lit(label).alias("label"), F.lit(approach).alias("approach")]
     tail = [F.lit(log_path).alias("log_path"), F.lit(db_path).alias("db_path"),
             F.lit("").alias("metadata_db_path"), F.lit(measured_at).alias("measured_at_utc")]
@@ -77,7 +116,12 @@ def load_report(metrics: DataFrame, label: str, approach: str, measured_at: str,
         F.col("cycle").cast("bigint").alias("cycle"), *common, F.lit("summary").alias("scope"),
         F.lit("").alias("table_name"), "duration_ms", F.lit(None).cast("bigint").alias("row_count"),
         F.when(F.col("_missing") == 0, "success").otherwise("incomplete").alias("status"), *tail)
-    return summary.unionByName(per_table).select(*REPORT_COLUMNS)
+    if runs is not None:
+        known = runs.select(F.col("cycle").cast("bigint").alias("cycle"), F.col("duration_ms").alias("_ms"), "return_code")
+        status = F.when(F.col("return_code") == 0, "success").otherwise(
+            F.coalesce(F.concat(F.lit("failed("), F.col("return_code").cast("string"), F.lit(")")), F.lit("missing")))
+        summary = (summary.join(known, "cycle", "left").withColumn("duration_ms", F.col("_ms")).withColumn("status", status))
+    return summary.select(*REPORT_COLUMNS).unionByName(per_table.select(*REPORT_COLUMNS))
 
 
 def fact_subtotal(metrics: DataFrame) -> DataFrame:

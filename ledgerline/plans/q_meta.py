@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import functions as F
 
 from ledgerline.operators import manifest as I
+from ledgerline.operators import state as S
 from ledgerline.operators import timing as L
 from ledgerline.plans.catalog import register
+from ledgerline.plans.joins import shared_folder
 from ledgerline.plans.oracle_sql import typed_sql
 from ledgerline.plans.tables import Tables, lines, expected_cycles
 from ledgerline.sources import derived as D
@@ -72,13 +75,18 @@ def fetch_change_status(spark, sf_dir):
 
 @register("current_state")
 def current_state(spark, sf_dir):
-    counts = _present(spark, sf_dir)
-    return I.current_state(D.fetch_log(spark, sf_dir), counts)
+    """State of every source file after a first batch of operations and a second one of late arrivals."""
+    root = f"{shared_folder(spark)}/state-{uuid.uuid4().hex}"
+    every = D.operations(spark, sf_dir)
+    late = (F.col("op_id") % 7 == 0) & (F.col("cycle") > 1994)
+    S.apply_batch(spark, root, every.where(~late))
+    S.apply_batch(spark, root, every.where(late))
+    return S.state_rows(S.read_state(spark, root), _manifest(spark, sf_dir))
 
 
 @register("run_result_metrics")
 def run_result_metrics(spark, sf_dir):
-    return L.run_result_metrics(D.run_results_docs(spark, sf_dir))
+    return L.run_result_metrics(D.run_results_docs(spark, sf_dir).drop("started_at"))
 
 
 @register("load_metrics")
@@ -88,7 +96,8 @@ def load_metrics(spark, sf_dir):
 
 @register("load_report")
 def load_report(spark, sf_dir):
-    return L.load_report(_metrics(spark, sf_dir), LABEL, APPROACH, RUN_TS)
+    runs = L.latest_runs(L.run_events(D.run_results_docs(spark, sf_dir)))
+    return L.load_report(_metrics(spark, sf_dir), LABEL, APPROACH, RUN_TS, runs)
 
 
 @register("load_fact_subtotal")
@@ -139,21 +148,27 @@ LOAD_HISTORY_SQL = (
     f"on m.cycle = p.cycle and m.table_name = p.table_name")
 
 FETCH_SQL = (
-    f"with f as {D.fetch_log_sql()}, r as (select *, row_number() over (partition by cycle, table_name "
+    f"with f as (select *, nullif(regexp_replace(trim(etag), '^W/', ''), '') as tag, "
+    f"try_strptime(last_modified, '%a, %d %b %Y %H:%M:%S GMT') as modified from {D.fetch_log_sql()} x), "
+    f"r as (select *, row_number() over (partition by cycle, table_name "
     f"order by fetched_at desc, fetch_id desc) as rn, count(*) over (partition by cycle, table_name) as n "
     f"from f) select a.cycle, a.table_name, a.fetched_at as last_fetched_at, a.n as n_fetches, a.etag, "
-    f"b.etag as previous_etag, case when a.fetch_status = 'error' then 'error' when a.n = 1 then 'new' "
-    f"when a.fetch_status = 'not_modified' or a.etag = b.etag then 'unchanged' else 'changed' end as change_status from r a "
+    f"b.etag as previous_etag, a.modified as modified_at, b.modified as previous_modified_at, "
+    f"case when a.fetch_status = 'error' then 'error' when a.n = 1 then 'new' "
+    f"when a.fetch_status = 'not_modified' then 'unchanged' "
+    f"when a.tag is not null and b.tag is not null then case when a.tag = b.tag then 'unchanged' else 'changed' end "
+    f"when a.modified <= b.modified then 'unchanged' else 'changed' end as change_status from r a "
     f"left join r b on a.cycle = b.cycle and a.table_name = b.table_name and b.rn = 2 where a.rn = 1")
 
 CURRENT_SQL = (
-    f"with f as {D.fetch_log_sql()}, r as (select *, row_number() over (partition by cycle, table_name "
-    f"order by fetched_at desc, fetch_id desc) as rn from f) "
-    f"select 'source_file' as entity_type, cast(r.cycle as bigint) as cycle, r.table_name, "
-    f"r.table_name || '_' || r.cycle as entity_name, 'fetch' as last_operation, "
-    f"r.fetch_status as operation_status, case when p.row_count is null then 'not_loaded' else 'loaded' end "
-    f"as quality_status, r.http_status, r.etag, p.row_count, r.fetched_at as updated_at from r "
-    f"left join ({PRESENT_SQL}) p on r.cycle = p.cycle and r.table_name = p.table_name where r.rn = 1")
+    f"with o as (select * from {D.operations_sql()} x), s as (select cycle, table_name, "
+    + ", ".join(f"arg_max({c}, (op_time, op_id)) filter (where {c} is not null) as {c}" for c in S.FOLDED)
+    + f", max(op_time) as updated_at from o group by cycle, table_name) "
+    f"select row_number() over (order by s.cycle, s.table_name) as state_id, 'source_file' as entity_type, cast(s.cycle as bigint) as cycle, s.table_name, "
+    f"s.table_name || '_' || s.cycle as entity_name, s.last_operation, s.operation_status, s.quality_status, m.url as source_url, "
+    f"m.zip_path as source_zip_path, m.source_entry as source_entry_name, m.target_table as target_table_name, s.http_status, s.content_length, "
+    f"s.row_count, s.duration_ms, s.response_date, s.last_modified, s.etag, nullif(s.error_text, '') as error_text, s.updated_at "
+    f"from s left join ({MANIFEST_SQL}) m on m.cycle = s.cycle and m.table_name = s.table_name")
 
 RUN_METRICS_SQL = (
     f"with d as {D.run_results_sql()}, e as (select cycle, run_id, unnest(from_json(json_text::json -> '$.results', "
@@ -175,11 +190,20 @@ METRICS_SQL = (
 _TAIL = f"'logs/load-timing/run.log' as log_path, 'warehouse' as db_path, '' as metadata_db_path, " \
         f"'{RUN_TS}' as measured_at_utc"
 REPORT_SQL = (
-    f"with m as ({METRICS_SQL}) "
-    f"select cast(cycle as bigint) as cycle, '{LABEL}' as label, '{APPROACH}' as approach, 'summary' as scope, "
-    f"'' as table_name, cast(sum(coalesce(duration_ms, 0)) as bigint) as duration_ms, null::bigint as row_count, "
-    f"case when count(*) filter (where status = 'missing') = 0 then 'success' else 'incomplete' end as status, "
-    f"{_TAIL} from m group by cycle "
+    f"with m as ({METRICS_SQL}), d as {D.run_results_sql()}, "
+    f"x as (select cycle, started_at, unnest(from_json(json_text::json -> '$.results', '[\"JSON\"]')) as r from d), "
+    f"e as (select cycle, started_at, json_type(r, '$.execution_time') in ('DOUBLE', 'UBIGINT', 'BIGINT') as ok, "
+    f"case when ok then cast(trunc(cast(r ->> '$.execution_time' as double) * 1000) as bigint) else 0 end as ms from x), "
+    f"g as (select *, max(started_at + to_milliseconds(ms + 1800000)) over (partition by cycle order by started_at "
+    f"rows between unbounded preceding and 1 preceding) as open_until from e), "
+    f"i as (select *, count(*) filter (where open_until is null or started_at > open_until) over (partition by cycle order by started_at) as run from g), "
+    f"runs as (select cycle, run, cast(floor(epoch_us(max(started_at + to_milliseconds(ms)) - min(started_at)) / 1000) as bigint) as duration_ms, "
+    f"count(*) filter (where not coalesce(ok, false)) as failed from i group by cycle, run), "
+    f"last as (select * from runs qualify row_number() over (partition by cycle order by run desc) = 1) "
+    f"select cast(c.cycle as bigint) as cycle, '{LABEL}' as label, '{APPROACH}' as approach, 'summary' as scope, "
+    f"'' as table_name, l.duration_ms, null::bigint as row_count, "
+    f"case when l.cycle is null then 'missing' when l.failed > 0 then 'failed(1)' else 'success' end as status, "
+    f"{_TAIL} from (select distinct cycle from m) c left join last l on l.cycle = c.cycle "
     f"union all select cast(cycle as bigint), '{LABEL}', '{APPROACH}', scope, table_name, "
     f"cast(duration_ms as bigint), cast(row_count as bigint), status, {_TAIL} from m")
 

@@ -124,7 +124,7 @@ def timing_report(spark: SparkSession, run_results_paths: str | list[str], manif
     """Benchmark-load report rows from run-result files and the stored tables."""
     docs = L.read_run_results(spark, run_results_paths)
     docs = docs.withColumn("cycle", F.regexp_extract("path", r"/(\d{4})/", 1).cast("int")) \
-        .withColumn("run_id", F.xxhash64("path"))
+        .withColumn("run_id", F.struct("written_at", "path"))
     durations = L.latest_durations(L.run_result_metrics(docs))
     names = sorted(r.table_name for r in manifest.select("table_name").distinct().collect())
     present = I.present_counts({t: sinks.read_table(spark, warehouse, t) for t in names})

@@ -32,7 +32,33 @@ FETCH_FIELDS = {
     "fetch_status": ("case event_type when 'error' then 'error' when 'view' then 'not_modified' "
                      "else 'downloaded' end"),
     "http_status": "cast(case event_type when 'error' then 500 when 'view' then 304 else 200 end as bigint)",
-    "etag": "'W/' || cast(cast(floor(value) as bigint) % 3 as string)",
+    "etag": ("case when event_id % 5 < 2 then null when event_id % 5 = 2 then '' else case when event_id % 2 = 0 then 'W/' else '' end "
+             "|| cast(cast(floor(value) as bigint) % 3 as string) end"),
+    "last_modified": ("case when event_id % 7 = 0 then null when event_id % 11 = 0 then 'yesterday' else case cast(floor(value) as bigint) % 3 "
+                      "when 0 then 'Mon, 01 Jan 2024 10:00:00 GMT' when 1 then 'Tue, 02 Jan 2024 10:00:00 GMT' else 'Wed, 03 Jan 2024 09:59:59 GMT' end end"),
+}
+
+#: Operations on source files: fetches, loads and audits, each silent about the other kinds' columns.
+_KIND = "case event_type when 'signup' then 'load' when 'purchase' then 'audit' else 'fetch' end"
+_FETCHED = "event_type = 'click'"
+OPERATION_FIELDS = {
+    "cycle": "cast(1994 + 2 * (user_id % 4) as int)",
+    "table_name": _TABLE_OF_EVENT,
+    "op_id": "event_id",
+    "op_time": "cast(ts as {naive})",
+    "last_operation": _KIND,
+    "operation_status": ("case event_type when 'error' then 'error' when 'view' then 'not_modified' when 'click' then 'downloaded' "
+                         "when 'signup' then case when event_id % 6 = 0 then 'failed' else 'success' end "
+                         "else case when event_id % 3 = 0 then 'warn' else 'pass' end end"),
+    "quality_status": "case when event_type = 'purchase' then case when event_id % 3 = 0 then 'warn' else 'pass' end end",
+    "http_status": f"cast(case when {_KIND} = 'fetch' then case event_type when 'error' then 500 when 'view' then 304 else 200 end end as bigint)",
+    "content_length": f"case when {_FETCHED} then cast(floor(value) as bigint) * 1000 + event_id % 1000 end",
+    "row_count": "case when event_type = 'signup' and event_id % 6 <> 0 then cast(floor(value) as bigint) + event_id % 100 end",
+    "duration_ms": "case when event_type = 'signup' then cast(floor(value) as bigint) * 7 end",
+    "response_date": f"case when {_KIND} = 'fetch' then 'day ' || cast(event_id % 30 as string) end",
+    "last_modified": f"case when {_FETCHED} and event_id % 4 <> 0 then 'day ' || cast(event_id % 28 as string) end",
+    "etag": f"case when {_FETCHED} then 'W/' || cast(event_id % 1000 as string) end",
+    "error_text": "case when event_type = 'error' then 'HTTP 500' when event_type = 'signup' and event_id % 6 = 0 then 'load stopped' else '' end",
 }
 
 REVIEW_FIELDS = {
@@ -53,6 +79,7 @@ _EXEC_TIME = ("case when event_type = 'error' then '\"n/a\"' when value is null
 RUN_FIELDS = {
     "cycle": "cast(1994 + 2 * (user_id % 4) as int)",
     "run_id": "event_id",
+    "started_at": "ts",
     "json_text": "'{\"results\":[{\"unique_id\":\"' || " + _RUN_ID + " || '\",\"execution_time\":' || "
                  + _EXEC_TIME + " || '}]}'",
 }
@@ -91,6 +118,14 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _frame(spark, sf_dir, "events", FETCH_FIELDS)
 
 
+def operations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _frame(spark, sf_dir, "events", {k: e.replace("{naive}", "timestamp_ntz") for k, e in OPERATION_FIELDS.items()})
+
+
+def operations_sql() -> str:
+    return f"(select {fields_sql(OPERATION_FIELDS).replace('{naive}', 'timestamp')} from events)"
+
+
 def review_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _frame(spark, sf_dir, "events", {k: e.replace("{naive}", "timestamp_ntz") for k, e in REVIEW_FIELDS.items()})
 
