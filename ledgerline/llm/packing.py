@@ -30,7 +30,7 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 
 class Encoder:
     """Ids of a byte-level BPE.  The rank file holds the vocabulary of the tokenizer file;
-    texts with one of the tokenizer's special strings go to the tokenizer itself."""
+    texts with one of the tokenizer's special strings, and those it cannot cut, go to the tokenizer itself."""
 
     def __init__(self, tokenizer_path: str, ranks_path: str, pattern: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -46,7 +46,10 @@ class Encoder:
     def ids(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-        return np.asarray(self.bpe.encode_to_numpy(text, disallowed_special=()), "<u4")
+        try:
+            return np.asarray(self.bpe.encode_to_numpy(text, disallowed_special=()), "<u4")
+        except ValueError:  # its pattern gives up on a million blanks in a row
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
 
 def cut_points(n: int, size: int) -> list[tuple[int, int]]:

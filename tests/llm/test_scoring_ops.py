@@ -173,3 +173,23 @@ def test_patterns_use_every_piece():
         assert sum(bin_) <= 2048
         left.update({k: v * times for k, v in collections.Counter(bin_).items()})
     assert left == counts
+
+
+def test_hard_texts_take_seconds(docs_of):
+    import time
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from ledgerline.llm.packing import Encoder
+    from ledgerline.llm.pii import find_spans
+
+    t0 = time.time()
+    assert find_spans("7" * 1_000_000) == [] and find_spans("1." * 300_000) != [] and find_spans("0" * 10_000 + ".1.2.3")[0]["kind"] == "ip"
+    assert find_spans("+1" + "(" * 500_000) == [] and find_spans("a@" + "b" * 500_000) == []
+    assert [(s["start"], s["end"]) for s in find_spans("x 12.3.4.5.6.7.8.9") if s["kind"] == "ip"] == [(2, 10), (11, 18)]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, plain = Encoder(path, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN), Tokenizer.from_file(path)
+    for text in (" " * 1_200_000, "\n" * 1_200_000 + "x"):
+        assert encoder.ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert time.time() - t0 < 60
