@@ -28,7 +28,7 @@ KEEP, PATTERN_SCORE, CHECK_SCORE, CONTEXT_SCORE, NEAR = 0.7, 0.5, 0.4, 0.3, 40
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++){3}")  # a match can only begin where digits begin: linear in a run of them
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
@@ -89,7 +89,7 @@ def proposals(text: str):
     for a, b in emails(text):
         yield "email", a, b, False
     for m in IP.finditer(text):
-        if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m.group().split(".")):
+        if all(len(x) <= 3 and int(x or "0") <= 255 for x in (y.lstrip("0") for y in m.group().split("."))):
             yield "ip", m.start(), m.end(), False
     for m in CARD.finditer(text):
         d = digits_of(m.group())
