@@ -92,19 +92,21 @@ def _candidates(docs: DataFrame, span: int, shared: np.ndarray) -> DataFrame:
 
 
 def _first_places(batches):
-    """Of windows sorted by (hash, doc, place): those of later documents, with the first place.  State: one row."""
-    held = None
+    """Of windows sorted by (hash, doc, place): those of later documents, once each, with the first place.  State: two rows."""
+    held = None  # the first place of the hash at hand, and the row before
     for batch in batches:
         h, doc, at = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
         if held is not None:
-            h, doc, at = (np.concatenate(([x], y)) for x, y in zip(held, (h, doc, at)))
+            h, doc, at = (np.concatenate((x, y)) for x, y in zip(held, (h, doc, at)))
         if not len(h):
             continue
         new = np.ones(len(h), bool)
         new[1:] = h[1:] != h[:-1]
         lead = np.flatnonzero(new)[np.cumsum(new) - 1]
         hit = doc > doc[lead]
-        held = (h[lead[-1]], doc[lead[-1]], at[lead[-1]])
+        hit[1:] &= new[1:] | (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])  # repeated rows have one place
+        hit[:0 if held is None else 2] = False
+        held = tuple(x[[lead[-1], len(x) - 1]] for x in (h, doc, at))
         if hit.any():
             src = lead[hit]
             yield pa.record_batch([pa.array(doc[hit]), pa.array(at[hit]), pa.array(doc[src]), pa.array(at[src])],

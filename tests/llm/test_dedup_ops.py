@@ -101,3 +101,14 @@ def test_substring_dedup_factors_and_edges(docs_of, edge_rows):
     assert got == sorted([(1, n, 0), (2, n, n), (2, n, n), (3, 0, 0), (4, 0, 0), (5, 0, 0), (None, n, 0), (None, 0, 0), (6, 60_000, 0), (7, 2, 0)], key=str)
     assert substring_dedup(docs_of([])).collect() == []
     assert hashlib.sha256(out[10].kept_text.encode()).hexdigest() == hashlib.sha256(b"a b c d e f g h").hexdigest()
+
+
+def test_a_thousand_repeated_rows_in_seconds(docs_of):
+    import time
+
+    text = " ".join(f"w{i}" for i in range(150))
+    rows = [(1, text)] + [(2, text)] * 1000
+    t0 = time.time()
+    got = substring_dedup(docs_of(rows)).select("doc_id", "n_removed", "factors").collect()
+    assert sorted({(r.doc_id, r.n_removed, len(r.factors)) for r in got}) == [(1, 0, 0), (2, 150, 1)] and len(got) == 1001
+    assert time.time() - t0 < 60
