@@ -3,11 +3,12 @@
 Words lose their outer punctuation and case; numbers, units and names become typed
 placeholders.  Each run of ``k`` template words is hashed together with the pattern of
 equal values among its slots, and documents meet benchmark items in a hash join on it.
-Matches are lined up by item and offset.  A line-up counts only if its slots agree: one
-value of the item stands for one value of the document wherever it occurs.  So a question
+Matches are lined up by item and offset.  The templates of a line-up count only if their slots
+agree: one value of the item stands for one value of the document wherever it occurs.  So a question
 asked again with other numbers or names is found, and unrelated text that merely has
 numbers in the same places is not.  Each run is also hashed by its plain words, so windows
-of mostly placeholders, and texts in other capitals, are found where they stand word for word.
+of mostly placeholders, and texts in other capitals, are found where they stand word for word;
+such matches count whatever the slots of other windows say.
 """
 
 from __future__ import annotations
@@ -70,7 +71,8 @@ def _windows(table: DataFrame, key: str, text_col: str, k: int, most: int, whole
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                  item_text: str = "text", k: int = 8, literal: int = 4, share: float = 0.3, broadcast_rows: int = 500_000,
                  inline_rows: int = 50_000) -> DataFrame:
-    """(doc_id, item_id, n_matched, n_windows, share): documents that hold at least ``share`` of an item's windows.
+    """(doc_id, item_id, n_matched, n_windows, share): documents that hold at least ``share`` of an item's windows,
+    word for word or as templates whose slots agree along the line-up.
 
     An item of fewer than ``k`` words is one window, sought among the windows of its own length.  Windows
     with fewer than ``literal`` words that are not placeholders are found only word for word, in any
@@ -107,9 +109,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         F.min("slot.d").alias("lo"), F.max("slot.d").alias("hi"))
     lined = values.groupBy("doc_id", "item_id", "offset", "i").agg(
         F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_set("i_pos").alias("at"), F.first("i_windows").alias("i_windows"))
+    # rows without a slot value are windows found word for word
     agreed = (lined.groupBy("doc_id", "item_id", "offset").agg(
         F.bool_and(F.col("i").isNull() | (F.col("lo") == F.col("hi"))).alias("agree"),
-        F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"), F.first("i_windows").alias("n_windows")).where("agree"))
+        F.flatten(F.collect_list(F.when(F.col("i").isNull(), F.col("at")))).alias("exact"),
+        F.flatten(F.collect_list(F.when(F.col("i").isNotNull(), F.col("at")))).alias("template"), F.first("i_windows").alias("n_windows"))
+        .withColumn("at", F.array_distinct(F.when(F.col("agree"), F.concat("exact", "template")).otherwise(F.col("exact")))))
     found = agreed.select("doc_id", "item_id", "n_windows", F.explode("at").alias("at")).groupBy("doc_id", "item_id", "n_windows").agg(
         F.count_distinct("at").alias("n_matched"))
     part = F.col("n_matched") / F.col("n_windows")

@@ -71,16 +71,19 @@ ITEM = "In the town of Arden a baker sells 12 loaves each morning and 30 rolls e
 OTHER = "In the town of Boston a baker sells 15 loaves each morning and 44 rolls each evening so how many goods are sold in 9 days"
 TWICE = "At the fair they sold {} on the first market day of spring and on the second market day once more they sold {} in all"
 
+DENSE = "then one gave {} apples to us and {} pears to them and {} plums to her and {} figs to him"
+
 
 def test_decontamination(spark, docs_of, edge_rows):
-    bench = spark.createDataFrame([(1, ITEM), (2, None), (3, ""), (None, ITEM), (4, TWICE.format(5, 5))], "item_id long, text string")
+    bench = spark.createDataFrame([(1, ITEM), (2, None), (3, ""), (None, ITEM), (4, TWICE.format(5, 5)), (5, DENSE.format(5, 5, 5, 5))], "item_id long, text string")
     rows = [*edge_rows, (20, "Well. " + ITEM + " Yes."), (21, "Hm, " + OTHER), (22, "nothing of the kind happens in this text at all, not even by chance"),
-            (23, TWICE.format(8, 8)), (24, TWICE.format(8, 2))]
+            (23, TWICE.format(8, 8)), (24, TWICE.format(8, 2)), (25, TWICE.format(5, 6)), (26, DENSE.format(8, 8, 8, 8)), (27, DENSE.format(8, 2, 7, 1))]
     docs = docs_of(rows)
     got = {(r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()}
-    assert got == {(20, 1), (21, 1), (23, 4)}
+    # 24 and 25 hold most windows word for word; in 27 every window has a slot, and they disagree
+    assert got == {(20, 1), (21, 1), (23, 4), (24, 4), (25, 4), (26, 5)}
     kept = decontaminate(docs, bench)
-    assert kept.columns == docs.columns and kept.count() == len(rows) - 3
+    assert kept.columns == docs.columns and kept.count() == len(rows) - 6
     assert contaminated(docs_of([]), bench).collect() == [] and contaminated(docs, bench.limit(0)).collect() == []
     shuffled = {(r.doc_id, r.item_id) for r in contaminated(docs, bench, broadcast_rows=0, inline_rows=0).collect()}
     assert shuffled == got
