@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.stage import cut
 
+#: A star step at most doubles its edges, so a task holds a few megabytes.
+ONE_TASK = 50_000
+
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One star step over pairs (u, v): hang neighbours on the smallest node of each neighbourhood."""
@@ -29,9 +32,12 @@ def components(edges: DataFrame) -> DataFrame:
 
     Nodes of no edge are not returned.  Every step is two joins on the node, its
     result is checkpointed, and it ends when a round changes nothing; the number
-    of rounds grows with the logarithm of the longest path.
+    of rounds grows with the logarithm of the longest path.  At most ``ONE_TASK`` edges are
+    one partition, so that their steps need no shuffle; more are dealt out as usual.
     """
     edges = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    if edges.count() <= ONE_TASK:
+        edges = edges.coalesce(1)
     seen = None
     while True:
         edges = cut(_star(_star(edges, True), False))
