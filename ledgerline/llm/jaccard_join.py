@@ -23,9 +23,9 @@ others, so the middle of a group of copies); after
 components are known, only pairs of members that still lie in *different*
 components are counted, so no link that could join two components is lost.  These meet in
 cells: a signature's members are dealt into blocks of bounded size by hash, a cell is a pair of
-blocks, and pairs are tested inside the task before a row of theirs is written.  A first pass
-only names the members that pass a test with anyone; a second one tests those again with
-parity bits in proportion to their size and writes the pairs that are left.
+blocks, and pairs are tested inside the task before a row of theirs is written.  Signatures
+with the same first member share their cells, so a task meets most signatures of a pair and
+writes one row with their number.
 
 Before the sets of a pair are fetched, three bounds that every link meets are
 applied: on the sizes, on the number of shared signatures and on the difference of
@@ -59,6 +59,8 @@ FOLDED = [f"f{i}" for i in range(4)]
 SIGS = ["sig", "key", "size", "band"]
 #: Members of a signature that one cell pairs with as many others at most (about: blocks are dealt by hash).
 BLOCK = 256
+#: Pairs that a task holds while it counts their signatures.
+PAIRS = 400_000
 SIG_ROWS = "sig bigint, key bigint, size int, band int"
 
 
@@ -268,31 +270,13 @@ def _alike(pairs: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").where(_bits_fit(PARITY, num, den)).select(pairs.columns).distinct()
 
 
-def _sized_parity(h: np.ndarray) -> bytes:
-    """Parity bits as in ``parity``, about four for each shingle."""
-    bits = min(16, max(9, (4 * len(h) - 1).bit_length()))
-    odd = (np.bincount((mix(h) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits) & 1).astype(np.uint8)
-    return np.packbits(odd).tobytes()
-
-
-def _fold(bits: int, width: int, to: int) -> int:
-    """Parity bits of ``width`` brought to ``to``: neighbouring slots that fall together add up."""
-    while width > to:
-        # slots are leading bits of a hash: a slot of the coarser table is two neighbours of the finer one
-        raw = np.unpackbits(np.frombuffer(bits.to_bytes(width // 8, "big"), np.uint8))
-        bits, width = int.from_bytes(np.packbits(raw[::2] ^ raw[1::2]).tobytes(), "big"), width // 2
-    return bits
-
-
 def _in_cells(rest: DataFrame) -> DataFrame:
-    """``rest`` (with ``crowd``, the members of the signature) once for each cell of its block."""
-    blocks = F.ceil(F.col("crowd") / F.lit(BLOCK)).cast("int")
-    own = rest.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("key"), "blocks").cast("int")).drop("crowd")
+    """``rest`` (with ``anchor`` and ``blocks``) once for each cell of its block, in the order of the cells."""
+    own = rest.withColumn("own", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
     cells = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keys = ["sig", "lo", "hi"]
-    cells = cells.select("sig", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own",
-                         *[c for c in rest.columns if c not in ("sig", "crowd")])
-    return cells.repartition(*keys).sortWithinPartitions(*keys)
+    cells = cells.select("anchor", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "sig", "own",
+                         *[c for c in rest.columns if c not in ("anchor", "blocks", "sig")])
+    return cells.repartition("anchor", "lo", "hi").sortWithinPartitions("anchor", "lo", "hi", "sig")
 
 
 def _cell_pairs(cell: dict[str, np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
@@ -322,7 +306,7 @@ def _cell_pairs(cell: dict[str, np.ndarray], num: int, den: int) -> tuple[np.nda
 
 
 def _cells_of(batches, names: list[str]):
-    """Cells, whole, of rows sorted by (sig, lo, hi); state: the rows of one cell."""
+    """The rows of each signature within a cell, whole; state: those of one."""
     held: list[dict] = []
 
     def joined():
@@ -333,89 +317,60 @@ def _cells_of(batches, names: list[str]):
             continue
         cols = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in names}
         new = np.zeros(batch.num_rows, bool)
-        for c in ("sig", "lo", "hi"):
+        for c in ("anchor", "lo", "hi", "sig"):
             new[1:] |= cols[c][1:] != cols[c][:-1]
             if held:
                 new[0] |= held[-1][c][-1] != cols[c][0]
         at = 0
-        for cut_at in [*np.flatnonzero(new).tolist(), batch.num_rows]:
-            if cut_at > at:
-                held.append({n: c[at:cut_at] for n, c in cols.items()})
-            if held and cut_at < batch.num_rows:
+        for end in [*np.flatnonzero(new).tolist(), batch.num_rows]:
+            if end > at:
+                held.append({n: c[at:end] for n, c in cols.items()})
+            if held and end < batch.num_rows:
                 yield joined()
                 held = []
-            at = cut_at
+            at = end
     if held:
         yield joined()
 
 
-def _near_keys(rest: DataFrame, num: int, den: int) -> DataFrame:
-    """Keys that may link with a member of another component."""
-    cells = _in_cells(rest)
-    names = cells.columns
-
-    def run(batches):
-        keys: set[int] = set()
-        for cell in _cells_of(batches, names):
-            i, j = _cell_pairs(cell, num, den)
-            keys.update(cell["key"][np.concatenate((i, j))].tolist())
-            if len(keys) > 100_000:
-                yield pa.record_batch([pa.array(list(keys), pa.int64())], names=["key"])
-                keys = set()
-        yield pa.record_batch([pa.array(list(keys), pa.int64())], names=["key"])
-
-    return cells.mapInArrow(run, "key bigint").distinct()
+def _merged(rows: np.ndarray) -> np.ndarray:
+    """Rows (a, b, na, nb, shared) with equal pairs added up."""
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    first = np.ones(len(rows), bool)
+    first[1:] = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
+    at = np.flatnonzero(first)
+    out = rows[at]
+    out[:, 4] = np.add.reduceat(rows[:, 4], at)
+    return out
 
 
 def _near_pairs(rest: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b, na, nb), once per shared signature, of rows that also carry ``bits``, their sized parity."""
+    """(a, b, na, nb, shared): pairs of other components that may link, with the signatures a task saw them share."""
     cells = _in_cells(rest)
     names = cells.columns
+    out_names = ["a", "b", "na", "nb", "shared"]
 
     def run(batches):
+        held, size = [], 0
         for cell in _cells_of(batches, names):
             i, j = _cell_pairs(cell, num, den)
             if not len(i):
                 continue
-            size, key = cell["size"].astype(np.int64), cell["key"]
-            known: dict[tuple[int, int], int] = {}
-
-            def parity_of(k: int, width: int) -> int:
-                if (k, width) not in known:
-                    whole = cell["bits"][k]  # noqa: B023  called at once
-                    known[k, width] = _fold(int.from_bytes(whole, "big"), 8 * len(whole), width)  # noqa: B023
-                return known[k, width]  # noqa: B023
-
-            keep = []
-            for x, y in zip(i.tolist(), j.tolist()):
-                width = 8 * min(len(cell["bits"][x]), len(cell["bits"][y]))
-                both = int(size[x] + size[y])
-                keep.append((parity_of(x, width) ^ parity_of(y, width)).bit_count() <= both - 2 * -(-both * num // (num + den)))
-            i, j = i[keep], j[keep]
+            n, key = cell["size"].astype(np.int64), cell["key"]
             up = key[i] > key[j]
             a, b = np.where(up, i, j), np.where(up, j, i)
-            yield pa.record_batch([pa.array(key[a]), pa.array(key[b]), pa.array(size[a]), pa.array(size[b])], names=["a", "b", "na", "nb"])
-
-    return cells.mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint")
-
-
-def _sized_bits(docs: DataFrame, reps: DataFrame, keys: DataFrame, n: int) -> DataFrame:
-    """(key, bits) of the sets named by ``keys``."""
-    wanted = cut(keys.join(reps, "key").select("key", "k2", "rep"))
-    ids = wanted.select(F.col("rep").alias("doc_id")).distinct()
-    texts = bitmap.keep_rows(docs, "doc_id", bitmap.build(ids))
-
-    def run(batches):
-        for batch in batches:
-            rows, a, b, bits = [], [], [], []
-            for row, h in shingle_sets(batch.column(1), n):
-                own = set_keys(h)
-                rows.append(row), a.append(own[0]), b.append(own[1]), bits.append(_sized_parity(h))
-            yield pa.record_batch([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(bits, pa.binary())],
-                                  names=["rep", "key", "k2", "bits"])
+            held.append(np.stack((key[a], key[b], n[a], n[b], np.ones(len(a), np.int64)), axis=1))
+            size += len(a)
+            if size > PAIRS:
+                held = [_merged(np.concatenate(held))]
+                size = len(held[0])
+                if size > PAIRS // 2:
+                    yield pa.record_batch([pa.array(np.ascontiguousarray(c)) for c in held[0].T], names=out_names)
+                    held, size = [], 0
+        if held:
+            yield pa.record_batch([pa.array(np.ascontiguousarray(c)) for c in _merged(np.concatenate(held)).T], names=out_names)
 
-    found = texts.mapInArrow(run, "rep bigint, key bigint, k2 bigint, bits binary")
-    return found.join(wanted, ["rep", "key", "k2"]).dropDuplicates(["key"]).select("key", "bits")
+    return cells.mapInArrow(run, ", ".join(f"{c} bigint" for c in out_names))
 
 
 def _verify(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -475,12 +430,14 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     known = (reps.join(label, F.col("rep") == F.col("node"), "left").join(bits.select("key", *folded), "key")
              .select("key", F.coalesce("component", "rep").alias("comp"), *FOLDED))
     placed = live.join(known, "key")
-    open_sigs = placed.groupBy("sig").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("crowd"))
-    rest = cut(placed.join(open_sigs.where("c0 < c1").select("sig", "crowd"), "sig"))
-    near = cut(_near_keys(rest, num, den))
-    rest = rest.join(near, "key").join(cut(_sized_bits(docs, reps, near, n)), "key")
-    left_over = _near_pairs(rest, num, den).groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared")).where(_enough_shared(num, den))
-    left_over = cut(left_over.select("a", "b").join(star, ["a", "b"], "left_anti"))
+    # signatures with the same first member mostly have the same members: they share cells, and tasks count their pairs
+    open_sigs = (placed.groupBy("sig").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min("key").alias("anchor"), F.count(F.lit(1)).alias("crowd"))
+                 .where("c0 < c1").select("sig", "anchor", "crowd"))
+    blocks = open_sigs.groupBy("anchor").agg(F.ceil(F.max("crowd") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    rest = placed.join(open_sigs.join(blocks, "anchor").select("sig", "anchor", "blocks"), "sig")
+    left_over = (_near_pairs(rest, num, den).groupBy("a", "b", "na", "nb").agg(F.sum("shared").alias("shared"))
+                 .where(_enough_shared(num, den)))
+    left_over = cut(_alike(left_over, bits, num, den).select("a", "b").join(star, ["a", "b"], "left_anti"))
     more = _verify(docs, reps, left_over, n, num, den)
 
     # texts that share an id are one node
