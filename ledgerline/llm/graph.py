@@ -11,10 +11,10 @@ from ledgerline.llm.stage import cut
 ONE_TASK = 50_000
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, whole) -> DataFrame:
     """One star step over pairs (u, v): hang neighbours on the smallest node of each neighbourhood."""
     if large:
-        arcs = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        arcs = whole(edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
     else:
         arcs = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     low = arcs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -22,8 +22,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     if large:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
-        out = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
-            low.select("u", F.col("m").alias("v")))
+        out = whole(joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
+            low.select("u", F.col("m").alias("v"))))
     return out.where("u <> v").distinct()
 
 
@@ -36,14 +36,14 @@ def components(edges: DataFrame) -> DataFrame:
     one partition, so that their steps need no shuffle; more are dealt out as usual.
     """
     edges = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    if edges.count() <= ONE_TASK:
-        edges = edges.coalesce(1)
+    few = edges.count() <= ONE_TASK
+    whole = (lambda df: df.coalesce(1)) if few else (lambda df: df)
     seen = None
     while True:
-        edges = cut(_star(_star(edges, True), False))
+        edges = whole(cut(_star(_star(whole(edges), True, whole), False, whole)))
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             break
         seen = now
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+    return whole(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots))
