@@ -39,7 +39,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ledgerline.operators.checks import DATA_TESTS, parent_keys
+from ledgerline.operators.checks import DATA_TESTS
+from ledgerline.operators.edges import edge_counts, edges_of, parents_of
 from ledgerline.plans.joins import every_cycle, materialize
 from ledgerline.sources.layouts import FACTS, LAYOUTS
 
@@ -142,30 +143,21 @@ def duplicate_key_summary(df: DataFrame, table: str, run_id: int = DEFAULT_RUN_I
     )
 
 
+def edge_name(t) -> str:
+    return f"{t.table}.{t.column}->{t.parent_table}.{t.parent_column}"
+
+
 def referential_orphans(table: Callable[[str], DataFrame], child: str, run_id: int = DEFAULT_RUN_ID,
                         run_ts: str = DEFAULT_RUN_TS,
                         parents: dict[tuple[str, str], DataFrame] | None = None,
                         cycles: DataFrame | None = None) -> DataFrame:
     """H3 for every relationship edge leaving ``child``, in one scan of the child."""
-    edges = [t for t in DATA_TESTS if t.test_name == "relationships" and t.table == child]
-    parents = parents if parents is not None else {}
-    cols = sorted({"cycle"} | {t.column for t in edges})
-    df = table(child).select(*cols)
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    keys = []
-    for i, t in enumerate(edges):
-        pk = parents.get((t.parent_table, t.parent_column))
-        if pk is None:
-            pk = parent_keys(table(t.parent_table), t.parent_column)
-            parents[(t.parent_table, t.parent_column)] = pk
-        c, k, hit = f"_c{i}", f"_k{i}", f"_h{i}"
-        df = df.join(pk.select(F.col("cycle").alias(c), F.col("_key").alias(k), F.col("_hit").alias(hit)),
-                     (F.col("cycle") == F.col(c)) & (F.col(t.column) == F.col(k)), "left").drop(c, k)
-        aggs.append(F.count_if(F.col(t.column).isNotNull() & F.col(hit).isNull()).alias(f"o_{i}"))
-        aggs.append(F.count_if(F.col(t.column).isNotNull()).alias(f"n_{i}"))
-        keys.append(f"{child}.{t.column}->{t.parent_table}.{t.parent_column}")
-    wide = every_cycle(df.groupBy("cycle").agg(*aggs), cycles)
-    pairs = ", ".join(f"'{k}', `o_{i}`, `n_{i}`" for i, k in enumerate(keys))
+    edges = edges_of(child, DATA_TESTS)
+    parents = parents_of(edges, table, parents)
+    df = table(child).select(*sorted({"cycle"} | {t.column for t in edges}))
+    wide = every_cycle(edge_counts(df, edges, parents), cycles)
+    keys = [edge_name(t) for t in edges]
+    pairs = ", ".join(f"'{k}', `orphans_{i}`, `present_{i}`" for i, k in enumerate(keys))
     long = wide.selectExpr("cycle", f"stack({len(keys)}, {pairs}) as (issue_key, issue_count, rows)")
     return _metrics(long, child, "referential_orphan", run_id, run_ts, "orphan_rows")
 
@@ -262,31 +254,18 @@ def table_audit_metrics(table: Callable[..., DataFrame], name: str, run_id: int
                         domain: bool = True, cycles: DataFrame | None = None) -> DataFrame:
     """Null-rate + referential-orphan + domain metrics of one table from **one** scan.
 
-    The child is left-joined to each parent's distinct key set, a single ``groupBy(cycle)`` computes every count, and the three
-    metric families are ``stack``-ed from that one aggregate (its exchange is
-    reused, so the table is read and partially aggregated once).
+    Key counts of every edge carry the null and domain counts beside them
+    (``operators.edges``), and the three metric families are ``stack``-ed from the
+    one row per cycle, so the table is read and partially aggregated once.
     ``table(name, keep_raw=...)`` returns a typed table.
     """
     cols = LAYOUTS[name].names
-    edges = [t for t in DATA_TESTS if t.test_name == "relationships" and t.table == name]
+    edges = edges_of(name, DATA_TESTS)
     with_domain = domain and name in FACTS
     raw = ("TRANSACTION_AMT", "TRANSACTION_DT") if with_domain else ()
     df = table(name, keep_raw=raw) if raw else table(name)
-    parents = parents if parents is not None else {}
-    aggs = [F.count(F.lit(1)).alias("rows")] + [F.count_if(F.col(c).isNull()).alias(f"n_{i}")
-                                               for i, c in enumerate(cols)]
-    edge_keys = []
-    for j, t in enumerate(edges):
-        pk = parents.get((t.parent_table, t.parent_column))
-        if pk is None:
-            pk = parent_keys(table(t.parent_table), t.parent_column)
-            parents[(t.parent_table, t.parent_column)] = pk
-        c, k, h = f"_pc{j}", f"_pk{j}", f"_ph{j}"
-        df = df.join(pk.select(F.col("cycle").alias(c), F.col("_key").alias(k), F.col("_hit").alias(h)),
-                     (F.col("cycle") == F.col(c)) & (F.col(t.column) == F.col(k)), "left").drop(c, k)
-        aggs += [F.count_if(F.col(t.column).isNotNull() & F.col(h).isNull()).alias(f"o_{j}"),
-                 F.count_if(F.col(t.column).isNotNull()).alias(f"nn_{j}")]
-        edge_keys.append(f"{name}.{t.column}->{t.parent_table}.{t.parent_column}")
+    parents = parents_of(edges, table, parents)
+    beside = {"rows": None} | {f"n_{i}": F.col(c).isNull() for i, c in enumerate(cols)}
     rules: list[str] = []
     if with_domain:
         amt, dt = F.col("TRANSACTION_AMT"), F.col("TRANSACTION_DT")
@@ -299,12 +278,12 @@ def table_audit_metrics(table: Callable[..., DataFrame], name: str, run_id: int
             "date_out_of_cycle": dt.isNotNull() & ~F.year(dt).isin(F.col("cycle") - 1, F.col("cycle")),
         }
         rules = list(conds)
-        aggs += [F.count_if(cond).alias(f"d_{i}") for i, cond in enumerate(conds.values())]
-    wide = every_cycle(df.groupBy("cycle").agg(*aggs), cycles)
+        beside |= {f"d_{i}": cond for i, cond in enumerate(conds.values())}
+    wide = every_cycle(edge_counts(df, edges, parents, beside), cycles)
     # ONE generator over the one aggregate: every family reads the same wide row,
     # so column pruning cannot split the aggregate (and its scan) per family.
     entries = [("null_rate", c, f"n_{i}", "rows") for i, c in enumerate(cols)]
-    entries += [("referential_orphan", k, f"o_{j}", f"nn_{j}") for j, k in enumerate(edge_keys)]
+    entries += [("referential_orphan", edge_name(t), f"orphans_{j}", f"present_{j}") for j, t in enumerate(edges)]
     entries += [("amount_date_domain", r, f"d_{i}", "rows") for i, r in enumerate(rules)]
     pairs = ", ".join(f"'{fam}', '{key}', `{cnt}`, `{rows}`" for fam, key, cnt, rows in entries)
     long = wide.selectExpr("cycle", f"stack({len(entries)}, {pairs}) as (metric_name, issue_key, issue_count, rows)")

@@ -10,10 +10,9 @@ Generic semantics (public definitions of these generic tests):
 All tests run per ``cycle`` (each cycle is its own set of tables).
 
 Physical shape: every not_null and relationships test of one child table is
-evaluated in **one** scan -- the child is left-joined to each parent's
-distinct key set and a single
-``groupBy(cycle)`` aggregate counts all failures at once, then ``stack``
-turns the wide row into one row per test.  ``unique`` needs a shuffle on the
+evaluated in **one** scan of key counts (``operators.edges``), whatever the
+size of the parents, then ``stack`` turns the wide row per cycle into one row
+per test.  ``unique`` needs a shuffle on the
 key; partial aggregation collapses hot keys map-side before the exchange.
 """
 
@@ -25,7 +24,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.plans.joins import every_cycle, key_set
+from ledgerline.operators.edges import Parents, edge_counts, edges_of, parents_of
+from ledgerline.plans.joins import every_cycle
 
 
 @dataclass(frozen=True)
@@ -102,34 +102,20 @@ def _stack(wide: DataFrame, tests: list[DataTest]) -> DataFrame:
     ).withColumn("status", F.when(F.col("failures") > 0, F.col("severity")).otherwise(F.lit("pass")))
 
 
-def parent_keys(parent: DataFrame, column: str) -> DataFrame:
-    """Distinct ``(cycle, _key)`` of a parent column."""
-    return key_set(parent, column, alias="_key").withColumn("_hit", F.lit(True))
-
-
-def table_checks(child: DataFrame, tests: list[DataTest], parents: dict[tuple[str, str], DataFrame],
+def table_checks(child: DataFrame, tests: list[DataTest], parents: Parents,
                  cycles: DataFrame | None = None) -> DataFrame:
     """All not_null + relationships tests of one child table in one scan.
 
     ``parents[(table, column)]`` is that column's ``parent_keys`` frame.
     """
-    df = child
-    aggs = []
     for t in tests:
-        if t.test_name == "not_null":
-            aggs.append(F.count_if(F.col(t.column).isNull()).alias(f"f_{t.test_id}"))
-        elif t.test_name == "relationships":
-            c, k, hit = f"_c_{t.test_id}", f"_k_{t.test_id}", f"_hit_{t.test_id}"
-            keys = parents[(t.parent_table, t.parent_column)].select(
-                F.col("cycle").alias(c), F.col("_key").alias(k), F.col("_hit").alias(hit))
-            # Parent keys are distinct per cycle: the left join cannot fan out.
-            cond = (F.col("cycle") == F.col(c)) & (F.col(t.column) == F.col(k))
-            df = df.join(keys, cond, "left").drop(c, k)
-            aggs.append(
-                F.count_if(F.col(t.column).isNotNull() & F.col(f"_hit_{t.test_id}").isNull()).alias(f"f_{t.test_id}"))
-        else:
+        if t.test_name not in ("not_null", "relationships"):
             raise ValueError(t.test_name)
-    return _stack(every_cycle(df.groupBy("cycle").agg(*aggs), cycles), tests)
+    edges = edges_of(child=tests[0].table, tests=tests)
+    beside = {f"f_{t.test_id}": F.col(t.column).isNull() for t in tests if t.test_name == "not_null"}
+    wide = edge_counts(child, edges, parents, beside)
+    wide = wide.withColumnsRenamed({f"orphans_{i}": f"f_{t.test_id}" for i, t in enumerate(edges)})
+    return _stack(every_cycle(wide, cycles), tests)
 
 
 def unique_check(df: DataFrame, t: DataTest, cycles: DataFrame | None = None) -> DataFrame:
@@ -148,7 +134,7 @@ def run_tests(
 ) -> DataFrame:
     """Union of the selected tests; ``table(name)`` returns a typed table.
 
-    ``parents`` memoizes the parent key sets across calls.  ``cycles``: expected
+    ``parents`` memoizes the parent key frames across calls.  ``cycles``: expected
     cycles; a test over a cycle without rows passes with zero failures.
     """
     chosen = [t for t in tests if t.test_name in kinds]
@@ -159,12 +145,8 @@ def run_tests(
             out.append(unique_check(table(t.table).select("cycle", t.column), t, cycles))
         else:
             by_table.setdefault(t.table, []).append(t)
-    # One key set per distinct parent column (10 edges share 2 parents).
-    parents = parents if parents is not None else {}
-    for t in chosen:
-        pk = (t.parent_table, t.parent_column)
-        if t.parent_table and pk not in parents:
-            parents[pk] = parent_keys(table(t.parent_table), t.parent_column)
+    # One key frame per distinct parent column (10 edges share 2 parents).
+    parents = parents_of([t for t in chosen if t.parent_table], table, parents)
     for name, ts in by_table.items():
         cols = {"cycle"} | {t.column for t in ts}
         out.append(table_checks(table(name).select(*sorted(cols)), ts, parents, cycles))

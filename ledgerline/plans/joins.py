@@ -13,11 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def key_set(df: DataFrame, key: str, by: tuple[str, ...] = ("cycle",), alias: str = "_key") -> DataFrame:
-    """Distinct non-null ``(by..., key)`` of a parent table, key renamed to ``alias``."""
-    return df.where(F.col(key).isNotNull()).select(*by, F.col(key).alias(alias)).distinct()
-
-
 def every_cycle(counts: DataFrame, cycles: DataFrame | None) -> DataFrame:
     """``counts`` (one row per cycle) with a row of zeros for each expected cycle that has none.
 
