@@ -7,7 +7,7 @@
   tables; de-duplicated keeping first position; cycles outside coverage get
   nothing.  Adds archive path, member name and download URL per row;
 * gap: expected (manifest) minus present tables, status ``missing``;
-* load history: one row per loaded (table, cycle) with row and reject counts;
+* load history: one row per loaded (table, cycle) with row and reject counts; per archive also digest and duration;
 * freshness: latest vs previous fetch of each (cycle, table) -> ``new`` /
   ``changed`` / ``unchanged`` / ``error`` (top-2 per key with two partial
   aggregations, never a per-key sort of the whole log).
@@ -124,6 +124,21 @@ def load_history(manifest: DataFrame, present: DataFrame, rejects: DataFrame, lo
         F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"))
 
 
+def archive_history(stats: DataFrame, loaded_at: str) -> DataFrame:
+    """I4 for tables published as several archives: one row per loaded archive with its digest and duration.
+
+    ``stats``: table_name, cycle, zip_path, source_entry, row_count, rejected_rows, source_file_hash, duration_ms.
+    """
+    order = F.array_position(F.array(*[F.lit(t) for t in LAYOUTS]), F.col("table_name"))
+    w = Window.orderBy("cycle", order, "zip_path")  # one row per archive: bounded
+    return stats.select(
+        F.row_number().over(w).cast("bigint").alias("load_id"), F.col("cycle").cast("bigint").alias("cycle"),
+        "table_name", F.col("zip_path").alias("source_zip_path"), F.col("source_entry").alias("source_entry_name"),
+        "source_file_hash", F.concat(F.col("table_name"), F.lit("_"), F.col("cycle").cast("string")).alias("target_table_name"),
+        F.col("row_count").cast("bigint").alias("row_count"), F.col("rejected_rows").cast("bigint").alias("rejected_rows"),
+        F.col("duration_ms").cast("bigint").alias("duration_ms"), F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"))
+
+
 def http_date(c: Column) -> Column:
     """An HTTP date (``Tue, 02 Jan 2024 10:00:00 GMT``) as a time; anything else is NULL."""
     day = F.regexp_extract(c, r"^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun), (\d{2} [A-Z][a-z]{2} \d{4} \d{2}:\d{2}:\d{2}) GMT$", 1)

@@ -28,5 +28,5 @@ def register(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import the modules that register queries."""
     from ledgerline.plans import (  # noqa: F401
-        q_loads, q_checks, q_audits, q_review, q_model, q_meta, q_links,
+        q_loads, q_checks, q_audits, q_review, q_model, q_meta, q_links, q_refresh,
     )

@@ -246,8 +246,10 @@ ISSUE_IDS_UNIQUE_SQL = (
     f"issue_key nulls first) as bigint) as issue_id, log.* from ({ISSUE_LOG_SQL}) log"
 )
 
+RERUN_OLD_SQL = _u([_issue_sql(NULL_RATE_SQL), _issue_sql(_u([_domain_sql(n, RERUN_OLD_HI) for n in FACTS]))])
+
 RERUN_SQL = (
-    f"with old as ({_u([_issue_sql(NULL_RATE_SQL), _issue_sql(_u([_domain_sql(n, RERUN_OLD_HI) for n in FACTS]))])}), "
+    f"with old as ({RERUN_OLD_SQL}), "
     f"newm as ({DOMAIN_SQL}), "
     f"covered as (select distinct run_id, cycle, table_name, metric_name as issue_type from newm) "
     f"select * from old where not exists (select 1 from covered c where c.run_id = old.run_id and "

@@ -318,3 +318,24 @@ def write_quoted_files(spark: SparkSession, sf_dir: str, path: str) -> None:
     value = F.array_join(F.when(F.expr(QUOTED_CYCLE), written).otherwise(F.col("fields")), "|")
     # the text writer ends a row with a line feed and leaves those inside as they are
     row.select("cycle", value.alias("value")).repartition(16, "cycle").write.partitionBy("cycle").text(path)
+
+
+# --- lines of archives ------------------------------------------------------------------------
+
+# Lines planted after a line of such a length: with bytes that are no UTF-8, with too many fields, empty.
+BAD_BYTES, OVER_LONG, BLANK = (f"length(value) % {m} = 0" for m in (17, 19, 23))
+
+
+def archived_lines(spark: SparkSession, sf_dir: str, tables: list[str]) -> DataFrame:
+    """``(table_name, cycle, raw)``: landing lines in bytes with planted bad ones; CRLF where 4 divides the cycle."""
+    end = F.when(F.col("cycle") % 4 == 0, F.lit(b"\r\n")).otherwise(F.lit(b"\n"))
+    text = F.encode("value", "UTF-8")
+    over = F.encode(F.concat("value", F.lit("|x" * 40)), "UTF-8")
+    raws = F.array(F.concat(text, end), F.when(F.expr(BAD_BYTES), F.concat(text, F.lit(b"\xc3\x28"), end)),
+                   F.when(F.expr(OVER_LONG), F.concat(over, end)), F.when(F.expr(BLANK), end))
+    out = None
+    for t in tables:
+        part = render_lines(spark, sf_dir, t).select(
+            F.lit(t).alias("table_name"), "cycle", F.explode(F.filter(raws, lambda x: x.isNotNull())).alias("raw"))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -17,6 +17,7 @@ line number per row).
 from __future__ import annotations
 
 import os
+import time
 import zipfile
 from collections.abc import Iterator
 
@@ -25,12 +26,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerline.sources.delimited import parse_lines
-from ledgerline.sources.layouts import Layout
+from ledgerline.sources.archives import file_hash, mounted
+from ledgerline.sources.delimited import parse_lines, rejected
+from ledgerline.sources.layouts import LAYOUTS, Layout
 
 LINES_SCHEMA = "cycle int, zip_path string, source_entry string, line_no bigint, raw binary"
 _OUT = pa.schema([("cycle", pa.int32()), ("zip_path", pa.string()), ("source_entry", pa.string()),
                   ("line_no", pa.int64()), ("raw", pa.binary())])
+MEMBERS_SCHEMA = LINES_SCHEMA + ", table_name string, source_file_hash string, duration_ms bigint"
+_MEMBERS = pa.schema([*_OUT, ("table_name", pa.string()), ("source_file_hash", pa.string()), ("duration_ms", pa.int64())])
 BATCH_LINES = 65536
 BLOCK_BYTES = 8 << 20
 
@@ -58,19 +62,31 @@ def _member_blocks(path: str, member: str) -> Iterator[tuple[int, list[bytes]]]:
         yield no, [carry[:-1] if carry.endswith(b"\r") else carry]
 
 
-def _extract(root: str):
+def _extract(root: str, members: bool = False):
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():  # manifest rows: one archive member each
+                began = time.monotonic()
                 path = os.path.join(root, row["zip_path"]) if root else row["zip_path"]
                 for first, lines in _member_blocks(path, row["source_entry"]):
                     for s in range(0, len(lines), BATCH_LINES):
                         part = lines[s:s + BATCH_LINES]
-                        yield _batch(row, range(first + s, first + s + len(part)), part)
+                        out = _batch(row, range(first + s, first + s + len(part)), part)
+                        yield _of_member(out, row) if members else out
+                if members:
+                    digest = file_hash(path)
+                    yield _of_member(_batch(row, range(-1, 0), [None]), row, digest, int((time.monotonic() - began) * 1000))
 
     return fn
 
 
+def _of_member(lines: pa.RecordBatch, row: dict, digest: str | None = None, ms: int | None = None) -> pa.RecordBatch:
+    n = lines.num_rows
+    return pa.RecordBatch.from_arrays([
+        *lines.columns, pa.array([row["table_name"]] * n, pa.string()), pa.array([digest] * n, pa.string()),
+        pa.array([ms] * n, pa.int64())], schema=_MEMBERS)
+
+
 def _batch(row: dict, nos: range, raws: list[bytes]) -> pa.RecordBatch:
     n = len(raws)
     return pa.RecordBatch.from_arrays([
@@ -79,22 +95,49 @@ def _batch(row: dict, nos: range, raws: list[bytes]) -> pa.RecordBatch:
         pa.array(raws, pa.binary())], schema=_OUT)
 
 
-def zip_lines(spark: SparkSession, manifest: DataFrame, root: str = "",
-              spread_to: int | None = None) -> DataFrame:
-    """``manifest(cycle, zip_path, source_entry)`` -> ``(cycle, zip_path, source_entry, line_no, value)``."""
-    m = manifest.select(F.col("cycle").cast("int").alias("cycle"), "zip_path", "source_entry")
+def _one_per_task(m: DataFrame) -> tuple[DataFrame, int]:
+    """``m`` with one archive per partition, and the number of archives."""
     n_archives = max(1, m.count())  # manifest size: one row per archive (metadata, bounded)
     # Dense index over the (bounded) manifest, range-placed: one archive per task,
     # where hash placement would pile two large archives onto one task.
     idx = m.withColumn("_i", F.row_number().over(Window.orderBy("zip_path", "source_entry")))
-    one_per_task = idx.repartitionByRange(n_archives, "_i").drop("_i")
-    raw = one_per_task.mapInArrow(_extract(root), LINES_SCHEMA)
+    return idx.repartitionByRange(n_archives, "_i").drop("_i"), n_archives
+
+
+def zip_lines(spark: SparkSession, manifest: DataFrame, root: str = "",
+              spread_to: int | None = None) -> DataFrame:
+    """``manifest(cycle, zip_path, source_entry)`` -> ``(cycle, zip_path, source_entry, line_no, value)``."""
+    m, n_archives = _one_per_task(manifest.select(F.col("cycle").cast("int").alias("cycle"), "zip_path", "source_entry"))
+    raw = m.mapInArrow(_extract(mounted(root)), LINES_SCHEMA)
     lines = raw.select("cycle", "zip_path", "source_entry", "line_no", F.col("raw").cast("string").alias("value"))
     want = spread_to or spark.sparkContext.defaultParallelism
     # Hash on the line's identity: balanced and deterministic on task retry.
     return lines.repartition(want, "zip_path", "source_entry", "line_no") if want > n_archives else lines
 
 
+def zip_members(spark: SparkSession, manifest: DataFrame, root: str = "") -> DataFrame:
+    """``manifest(table_name, cycle, zip_path, source_entry)`` -> the lines of ``zip_lines`` and one row per member.
+
+    That row has no ``value`` and a ``line_no`` of -1; it carries the archive's sha256 and
+    the milliseconds from its opening until its last line was handed on and its bytes were
+    digested.  Lines and digest come from one task and one pass of the job.
+    """
+    m, _ = _one_per_task(manifest.select("table_name", F.col("cycle").cast("int").alias("cycle"), "zip_path", "source_entry"))
+    raw = m.mapInArrow(_extract(mounted(root), members=True), MEMBERS_SCHEMA)
+    return raw.withColumn("value", F.col("raw").cast("string")).drop("raw")
+
+
+def member_stats(members: DataFrame) -> DataFrame:
+    """One row per archive member of ``zip_members``: accepted and rejected lines, sha256, milliseconds."""
+    bad = F.lit(None).cast("boolean")
+    for t in LAYOUTS.values():
+        bad = F.when(F.col("table_name") == t.name, rejected(F.col("value"), t)).otherwise(bad)
+    line = F.col("value").isNotNull()
+    return members.groupBy("table_name", "cycle", "zip_path", "source_entry").agg(
+        F.count_if(line & ~bad).alias("row_count"), F.count_if(line & bad).alias("rejected_rows"),
+        F.max("source_file_hash").alias("source_file_hash"), F.max("duration_ms").alias("duration_ms"))
+
+
 def write_bronze(lines: DataFrame, path: str) -> None:
     """Persist extracted lines (cuts lineage: the parse re-reads this, not the archives)."""
     lines.write.mode("overwrite").partitionBy("cycle").parquet(path)
