@@ -10,13 +10,21 @@ with a log-bilinear P(class | previous class): a context vector is mapped by a
 matrix and multiplied with the target vectors, plus a target bias.  It is trained
 in numpy with noise-contrastive estimation (noise: the class unigrams) on the
 class-bigram counts of *all* training tokens, which are a sufficient statistic
-for one word of context, and normalised by batched matrix products.  Inside a
+for one word of context, and normalised by batched matrix products.
+
+The number of classes has no cap: it grows with the sixth root of the training
+tokens, ``growth`` words with a class of their own per unit of the root and a third as
+many classes by ending, so the table of class bigrams grows with the cube root:
+about 1,000 classes for 10^7 tokens, 10,000 for 10^13.  Inside a
 class of many words, P(token | class) is ``(1 - u) * c / class count`` for known
 words and ``u`` for the unknown one, where ``u`` is the share of words seen once.
 
 Word counts that every text needs are exact.  The counts of the ``listed`` most
 frequent words are broadcast (a fixed number); all other words meet their counts in
-a shuffle by word.  Which words are listed only decides the road, not the result.
+a shuffle by word.  The words with classes of their own are the most frequent of the
+listed by exact counts, ties to the smaller hash.  A word of at least 1.5 / ``listed`` of
+all training tokens is always listed; where such words are fewer than the classes (texts
+without frequent words), the partitioning may decide on the last of them.
 """
 
 from __future__ import annotations
@@ -32,23 +40,21 @@ from pyspark.sql import functions as F
 from ledgerline.llm.stage import cut, small_batches
 from ledgerline.llm.words import Words, mix, word_chunks
 
-#: Fixed sizes: words with a broadcast count, classes of single words, classes by word ending.
-LISTED, OWN, ENDINGS = 131_072, 767, 256
-CLASSES = OWN + ENDINGS + 1
-END = CLASSES - 1
+#: Words with a broadcast count; words with a class of their own for each unit of the sixth root of the training tokens.
+LISTED, GROWTH = 131_072, 48.0
 
 
 def held_out(doc_id: int | None, fold: int) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % fold == 0
 
 
-def endings(w: Words) -> np.ndarray:
+def endings(w: Words, lex: Lexicon) -> np.ndarray:
     """Class of each word by its last three bytes."""
     key = np.zeros(len(w.start), np.uint64)
     for back in (1, 2, 3):
         at = w.end - back
         key = key * np.uint64(257) + np.where(at >= w.start, w.data[np.maximum(at, 0)].astype(np.uint64) + np.uint64(1), np.uint64(0))
-    return OWN + (mix(key) >> np.uint64(33)).astype(np.int64) % ENDINGS
+    return lex.own_classes + (mix(key) >> np.uint64(33)).astype(np.int64) % lex.endings
 
 
 def text_prints(w: Words) -> np.ndarray:
@@ -59,17 +65,22 @@ def text_prints(w: Words) -> np.ndarray:
 
 
 class Lexicon:
-    """Listed words (sorted hashes) with their classes."""
-
-    def __init__(self, hashes: list[int]):
-        h = np.array(hashes, np.int64).view(np.uint64)
-        own = np.where(np.arange(len(h)) < OWN, np.arange(len(h)), -1)
-        by = np.argsort(h)
-        self.hash, self.own = h[by], own[by]
+    """Listed words (sorted hashes) with their classes, of which there are as many as the training tokens ask for."""
+
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, tokens: int, growth: float = GROWTH):
+        self.own_classes = max(1, int(growth * max(tokens, 1) ** (1 / 6)))
+        self.endings = max(1, self.own_classes // 3)
+        self.end = self.own_classes + self.endings
+        self.classes = self.end + 1
+        by = np.argsort(hashes)
+        self.hash, self.counts = hashes[by], counts[by]
+        rank = np.empty(len(by), np.int64)
+        rank[np.lexsort((self.hash, -self.counts))] = np.arange(len(by))
+        self.own = np.where((rank < self.own_classes) & (self.counts > 0), rank, -1)
 
     def find(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
         """(place in the list or -1, class) of each word."""
-        cls = endings(w)
+        cls = endings(w, self)
         if not len(self.hash):
             return np.full(len(cls), -1), cls
         at = np.minimum(np.searchsorted(self.hash, w.hash), len(self.hash) - 1)
@@ -82,10 +93,10 @@ def _folds(batch, fold: int) -> np.ndarray:
     return np.array([held_out(i, fold) for i in batch.column(0).to_pylist()], bool)
 
 
-def _listed(docs: DataFrame, fold: int) -> list[int]:
-    """Hashes of the most frequent training words, most frequent first."""
+def _listed(docs: DataFrame, fold: int) -> tuple[np.ndarray, int]:
+    """Sorted hashes of the most frequent training words, and the number of training tokens, ends included."""
     def run(batches):
-        total, hashes, counts = 0, [], []
+        total, ends, hashes, counts = 0, 0, [], []
 
         def packed():
             h, back = np.unique(np.concatenate(hashes), return_inverse=True)
@@ -96,7 +107,7 @@ def _listed(docs: DataFrame, fold: int) -> list[int]:
             for row, stop, w in word_chunks(batch.column(1), lower=True):
                 keep = np.repeat(~out[row:stop], np.diff(w.first))
                 h, c = np.unique(w.hash[keep], return_counts=True)
-                total += int(keep.sum())
+                total, ends = total + int(keep.sum()), ends + int((~out[row:stop]).sum())
                 hashes.append(h), counts.append(c)
                 if sum(map(len, hashes)) > 2_000_000:
                     h, c = packed()
@@ -105,41 +116,79 @@ def _listed(docs: DataFrame, fold: int) -> list[int]:
             h, c = packed()
             often = c * LISTED >= total // 2  # any word that may be among the listed of this share of the texts
             yield pa.record_batch([pa.array(h[often].view(np.int64)), pa.array(c[often])], names=["h", "c"])
+        yield pa.record_batch([pa.array([None], pa.int64()), pa.array([total + ends], pa.int64())], names=["h", "c"])
 
     rows = (docs.mapInArrow(run, "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c"))
-            .orderBy(F.desc("c"), "h").limit(LISTED).collect())
-    return [r.h for r in rows]
+            .orderBy(F.col("h").isNotNull(), F.desc("c"), "h").limit(LISTED + 1).collect())
+    found = np.array([r.h for r in rows if r.h is not None], np.int64).view(np.uint64)
+    return np.sort(found), sum(r.c for r in rows if r.h is None)
 
 
-def _statistics(docs: DataFrame, lex: Lexicon, fold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Exact counts and ending classes of the listed words, and exact counts of class bigrams over all training tokens (fixed sizes, tree-reduced)."""
-    n, cells = len(lex.hash), CLASSES * CLASSES
+def _exact(docs: DataFrame, hashes: np.ndarray, fold: int) -> np.ndarray:
+    """Exact counts of the listed words in all training texts (a fixed number, tree-reduced)."""
+    n = len(hashes)
 
     def run(batches):
-        counts, pairs, ending = np.zeros(n + 1, np.int64), np.zeros(cells, np.int64), np.zeros(n + 1, np.int64)
+        counts = np.zeros(n + 1, np.int64)
         for batch in batches:
             out = _folds(batch, fold)
             for row, stop, w in word_chunks(batch.column(1), lower=True):
-                train = ~out[row:stop]
-                at, cls = lex.find(w)
-                keep = np.repeat(train, np.diff(w.first))
-                counts += np.bincount(at[keep] + 1, minlength=n + 1)
-                ending[at] = endings(w)
-                before = _before(cls, w)
-                pairs += np.bincount(before[keep] * CLASSES + cls[keep], minlength=cells)
-                last = _last(cls, w)[train]
-                pairs += np.bincount(last * CLASSES + END, minlength=cells)
-        yield pa.record_batch([pa.array([_pack(np.concatenate((counts[1:], ending[:n], pairs)))], pa.binary())], names=["stats"])
+                h = w.hash[np.repeat(~out[row:stop], np.diff(w.first))]
+                at = np.searchsorted(hashes, h)
+                at = np.where(hashes[np.minimum(at, n - 1)] == h, at, n) if n else np.full(len(h), n)
+                counts += np.bincount(at, minlength=n + 1)
+        yield pa.record_batch([pa.array([_pack(counts[:n])], pa.binary())], names=["counts"])
 
     def add(a: bytes, b: bytes) -> bytes:
-        if not a or not b:
-            return a or b
-        x, y = _unpack(a), _unpack(b)
-        return _pack(np.concatenate((x[:n] + y[:n], np.maximum(x[n:2 * n], y[n:2 * n]), x[2 * n:] + y[2 * n:])))
+        return _pack(_unpack(a) + _unpack(b)) if a and b else a or b
+
+    total = docs.mapInArrow(run, "counts binary").rdd.map(lambda r: bytes(r[0])).treeAggregate(b"", add, add)
+    return _unpack(total) if total else np.zeros(n, np.int64)
+
+
+def _statistics(docs: DataFrame, lex: Lexicon, fold: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ending classes of the listed words, and exact counts of class bigrams over all training tokens.
+
+    Tasks send the pairs they saw; these are summed by a shuffle, and only the sums (as many as the
+    table has cells, at most) come to the driver.
+    """
+    size, n = lex.classes, len(lex.hash)
 
-    total = docs.mapInArrow(run, "stats binary").rdd.map(lambda r: bytes(r[0])).treeAggregate(b"", add, add)
-    stats = _unpack(total) if total else np.zeros(2 * n + cells, np.int64)
-    return stats[:n], np.clip(stats[n:2 * n], OWN, END - 1), stats[2 * n:].reshape(CLASSES, CLASSES)
+    def run(batches):
+        cells, counts, ending = [], [], np.full(n + 1, -1, np.int64)
+
+        def packed():
+            if not cells:
+                return np.empty(0, np.int64), np.empty(0, np.int64)
+            cell, back = np.unique(np.concatenate(cells), return_inverse=True)
+            return cell, np.bincount(back, np.concatenate(counts)).astype(np.int64)
+
+        for batch in batches:
+            out = _folds(batch, fold)
+            for row, stop, w in word_chunks(batch.column(1), lower=True):
+                train = ~out[row:stop]
+                at, cls = lex.find(w)
+                keep = np.repeat(train, np.diff(w.first))
+                ending[at] = endings(w, lex)
+                seen = np.concatenate((_before(cls, w, lex.end)[keep] * size + cls[keep], _last(cls, w, lex.end)[train] * size + lex.end))
+                cell, count = np.unique(seen, return_counts=True)
+                cells.append(cell), counts.append(count)
+                if sum(map(len, cells)) > 2_000_000:
+                    cell, count = packed()
+                    cells, counts = [cell], [count]
+        cell, count = packed()
+        known = np.flatnonzero(ending[:n] >= 0)
+        # a listed word has one ending class: it is told by a negative cell
+        yield pa.record_batch([pa.array(np.concatenate((cell, -1 - known))), pa.array(np.concatenate((count, ending[known]))),
+                               pa.array(np.arange(len(cell) + len(known)) >= len(cell))], names=["cell", "n", "listed"])
+
+    rows = docs.mapInArrow(run, "cell bigint, n bigint, listed boolean").groupBy("cell").agg(
+        F.when(F.first("listed"), F.max("n")).otherwise(F.sum("n")).alias("n")).toArrow()
+    cell, count = (rows.column(c).to_numpy() for c in ("cell", "n"))
+    pairs, ending = np.zeros(size * size, np.int64), np.full(n, lex.own_classes, np.int64)
+    pairs[cell[cell >= 0]] = count[cell >= 0]
+    ending[-1 - cell[cell < 0]] = count[cell < 0]
+    return ending, pairs.reshape(size, size)
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -150,18 +199,18 @@ def _unpack(x: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(x), np.int64)
 
 
-def _before(cls: np.ndarray, w: Words) -> np.ndarray:
+def _before(cls: np.ndarray, w: Words, end: int) -> np.ndarray:
     """Class of the token before each word; the start of a text counts as an end."""
     out = np.empty(len(cls), np.int64)
     out[1:] = cls[:-1]
-    out[w.first[:-1][w.first[:-1] < w.first[1:]]] = END
+    out[w.first[:-1][w.first[:-1] < w.first[1:]]] = end
     return out
 
 
-def _last(cls: np.ndarray, w: Words) -> np.ndarray:
-    """Class of the last word of each text (END: none)."""
+def _last(cls: np.ndarray, w: Words, end: int) -> np.ndarray:
+    """Class of the last word of each text (the end's: none)."""
     full = w.first[1:] > w.first[:-1]
-    return np.where(full, cls[np.maximum(w.first[1:] - 1, 0)] if len(cls) else END, END)
+    return np.where(full, cls[np.maximum(w.first[1:] - 1, 0)] if len(cls) else end, end)
 
 
 def train(pairs: np.ndarray, dims: int = 32, noise: int = 20, steps: int = 250, rate: float = 0.05, prior: float = 100.0,
@@ -207,10 +256,10 @@ def train(pairs: np.ndarray, dims: int = 32, noise: int = 20, steps: int = 250,
     return out
 
 
-def _documents(docs: DataFrame, lex: Lexicon, counts: np.ndarray, ending: np.ndarray, table: np.ndarray,
+def _documents(docs: DataFrame, lex: Lexicon, ending: np.ndarray, table: np.ndarray,
                class_counts: np.ndarray, end_count: int, fold: int) -> DataFrame:
     """Per row: what its listed words and its end add to the sums."""
-    own = lex.own >= 0
+    own, counts = lex.own >= 0, lex.counts
     base_of = np.append(np.log10(counts + 0.1), 0.0)
     inner = np.append(np.where(own, 0.0, np.log10(np.maximum(counts, 1) / np.maximum(class_counts[ending], 1))), 0.0)
     shared = np.append((~own).astype(np.float64), 0.0)
@@ -226,7 +275,7 @@ def _documents(docs: DataFrame, lex: Lexicon, counts: np.ndarray, ending: np.nda
                 size = np.diff(w.first)
                 doc = np.repeat(np.arange(len(size)), size)
                 per = lambda x: np.bincount(doc, x, minlength=len(size))
-                lm = per(table[_before(cls, w), cls].astype(np.float64) + inner[at]) + table[_last(cls, w), END]
+                lm = per(table[_before(cls, w, lex.end), cls].astype(np.float64) + inner[at]) + table[_last(cls, w, lex.end), lex.end]
                 for c, x in zip(cols, (text_prints(w), size + 1, per((at >= 0).astype(float)) + (end_count > 0), per(base_of[at]) + end_base, lm, per(shared[at]))):
                     c.append(x)
             arrays = [np.concatenate(c) if c else np.empty(0) for c in cols]
@@ -259,12 +308,12 @@ def _rare(docs: DataFrame, lex: Lexicon, fold: int) -> DataFrame:
                 tf = np.diff(np.append(first, len(h)))
                 d = doc[first]
                 yield pa.record_batch([pa.array(h[first].view(np.int64)), ids.take(pa.array(row + d)), pa.array(text_prints(w)[d]),
-                                       pa.array(tf.astype(np.int32)), pa.array(cls[first].astype(np.int16)), pa.array(~out[row + d])], names=names)
+                                       pa.array(tf.astype(np.int32)), pa.array(cls[first].astype(np.int32)), pa.array(~out[row + d])], names=names)
 
-    return docs.mapInArrow(run, "h bigint, doc_id bigint, print bigint, tf int, cls smallint, train boolean")
+    return docs.mapInArrow(run, "h bigint, doc_id bigint, print bigint, tf int, cls int, train boolean")
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold: int = 10) -> DataFrame:
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold: int = 10, growth: float = GROWTH) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Rows whose crc32(id as text) mod ``fold`` is 0 are held out; all others, also those
@@ -275,13 +324,14 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     """
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     small_batches(docs.sparkSession)
-    lex = Lexicon(_listed(docs, fold))
-    counts, ending, pairs = _statistics(docs, lex, fold)
-    class_counts, end_count = pairs.sum(0), int(pairs[:, END].sum())
+    hashes, tokens = _listed(docs, fold)
+    lex = Lexicon(hashes, _exact(docs, hashes, fold), tokens, growth)
+    ending, pairs = _statistics(docs, lex, fold)
+    class_counts, end_count = pairs.sum(0), int(pairs[:, lex.end].sum())
     table = train(pairs)
-    tokens = int(pairs.sum())
+    by_ending = class_counts[lex.own_classes:lex.end]
 
-    shares = F.array(*[F.lit(float(math.log10(max(1, x)))) for x in class_counts[OWN:END]])
+    shares = F.array(*[F.lit(float(math.log10(max(1, x)))) for x in by_ending])
     word = Window.partitionBy("h")
     rare = (_rare(docs, lex, fold)
             .withColumn("c", F.sum(F.when(F.col("train"), F.col("tf"))).over(word))
@@ -292,16 +342,16 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
         F.sum(F.col("tf") * F.log10(F.col("c") + 0.1)).alias("r_base"),
         F.sum(F.col("tf").cast("bigint")).alias("r_all"),
         F.sum(F.when(known, F.col("tf")).otherwise(0)).alias("r_known"),
-        F.sum(F.when(known, F.col("tf") * (F.log10("c") - F.element_at(shares, F.col("cls").cast("int") - OWN + 1))).otherwise(0.0)).alias("r_lm"),
+        F.sum(F.when(known, F.col("tf") * (F.log10("c") - F.element_at(shares, F.col("cls") - lex.own_classes + 1))).otherwise(0.0)).alias("r_lm"),
         F.count_if(F.col("first") & known).alias("v"),
         F.count_if(F.col("first") & (F.col("c") == 1)).alias("once")))
     v, once = sums.agg(F.coalesce(F.sum("v"), F.lit(0)), F.coalesce(F.sum("once"), F.lit(0))).first()
-    types = len(lex.hash) + int(v) + (end_count > 0)
-    once = int(once) + int(((counts == 1) & (lex.own < 0)).sum())
-    unseen = (once + 1) / (int(class_counts[OWN:END].sum()) + 2)
+    types = int((lex.counts > 0).sum()) + int(v) + (end_count > 0)
+    once = int(once) + int(((lex.counts == 1) & (lex.own < 0)).sum())
+    unseen = (once + 1) / (int(by_ending.sum()) + 2)
     log_total = math.log10(tokens + 0.1 * (types + 1))
 
-    rows = _documents(docs, lex, counts, ending, table, class_counts, end_count, fold)
+    rows = _documents(docs, lex, ending, table, class_counts, end_count, fold)
     both = rows.alias("d").join(sums.alias("r"), F.expr("d.doc_id <=> r.doc_id and d.print = r.print"), "left").select(
         "d.*", *[F.coalesce(F.col(f"r.{c}"), F.lit(0)).alias(c) for c in ("r_base", "r_all", "r_known", "r_lm")])
     same = F.count(F.lit(1)).over(Window.partitionBy("doc_id", "print"))  # repeated rows share their sums

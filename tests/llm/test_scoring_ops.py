@@ -51,13 +51,37 @@ def test_lm_edges(docs_of, edge_rows):
 
 
 def test_lm_table_is_normalised():
-    pairs = np.zeros((lm_score.CLASSES, lm_score.CLASSES), np.int64)
+    pairs = np.zeros((1024, 1024), np.int64)
     pairs[0, 1], pairs[1, 0], pairs[2, 3] = 900, 900, 100
     table = lm_score.train(pairs, steps=60)
     assert np.allclose((10.0 ** table.astype(float)).sum(1), 1, atol=1e-3)
     assert table[0, 1] > table[0, 3] and table[2, 3] > table[2, 0]
 
 
+def test_lm_classes_grow_with_the_tokens():
+    """No cap: a million times the tokens give ten times the classes; ranks by exact count, ties to the smaller hash."""
+    words = np.arange(100_000, dtype=np.uint64)
+    sizes = [lm_score.Lexicon(words, np.ones(len(words), np.int64), n).classes for n in (10**4, 10**7, 10**10, 10**13)]
+    assert all(b > 3 * a for a, b in zip(sizes, sizes[1:])) and sizes[1] < 1100 and sizes[3] < 10_000
+    lex = lm_score.Lexicon(np.array([9, 4, 7, 5], np.uint64), np.array([3, 8, 3, 0]), 1)
+    assert lex.own_classes == 48 and list(lex.hash) == [4, 5, 7, 9] and list(lex.own) == [0, -1, 1, 2]
+
+
+def test_lm_scores_do_not_depend_on_the_partitioning(spark, documents):
+    """Statistics are exact whatever the tasks saw; the scores equal those of one partition."""
+    docs = documents.select("doc_id", "text")
+    one, many = ({r.doc_id: (r.base_score, r.score) for r in lm_score.lm_scores(docs.repartition(n)).collect()} for n in (1, 7))
+    assert one.keys() == many.keys()
+    for i in one:
+        assert np.allclose(one[i], many[i], rtol=1e-9)
+
+
+def test_lm_more_classes_score_held_out_texts_higher(spark, sf):
+    docs = spark.read.parquet(f"{sf[:-5]}0.01/documents.parquet").select("doc_id", "text")
+    few, many = (sum(r.score for r in lm_score.lm_scores(docs, growth=g).collect() if r.held_out) for g in (4, lm_score.GROWTH))
+    assert many > few
+
+
 def test_quality_held_out(spark, sf):
     docs, labels = (spark.read.parquet(f"{sf[:-5]}0.01/{t}.parquet") for t in ("documents", "labels"))
     model = quality.fit(docs, labels)
