@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -135,6 +135,74 @@ def dim_election(facts: list[DataFrame]) -> DataFrame:
         F.col("n_rows").cast("bigint").alias("n_rows"))
 
 
+# Names of election types and offices.
+ELECTION_TYPES = {"C": "Convention", "E": "Recount", "G": "General", "O": "Other", "P": "Primary", "R": "Runoff",
+                  "S": "Special"}
+OFFICES = {"H": "House", "P": "President", "S": "Senate"}
+
+
+def _named(code: str, names: dict[str, str]) -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), F.col(code))
+
+
+def dim_election_type(facts: list[DataFrame]) -> DataFrame:
+    """K5: election types, the named ones and any other letter that a transaction carries (its name is NULL)."""
+    named = F.explode(F.array(*[F.lit(c) for c in ELECTION_TYPES])).alias("election_type")
+    counts = dim_election(facts).groupBy("election_type").agg(
+        F.count(F.lit(1)).alias("n_elections"), F.sum("n_rows").alias("n_rows"))
+    every = facts[0].sparkSession.range(1).select(named).join(counts, "election_type", "full")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+    return every.select("election_type", _named("election_type", ELECTION_TYPES).alias("type_name"),
+                        zero("n_elections"), zero("n_rows"))
+
+
+def office_key(office: str, state: str) -> Column:
+    """``<office>-<state>``; NULL without an office."""
+    return F.when(F.col(office).isNotNull(), F.concat_ws("-", office, state))
+
+
+def dim_office(cn: DataFrame) -> DataFrame:
+    """K5: offices that candidates ran for, by state."""
+    return cn.where(F.col("CAND_OFFICE").isNotNull()).groupBy("CAND_OFFICE", "CAND_OFFICE_ST").agg(
+        F.count_distinct("CAND_ID").alias("n_candidates")).select(
+        office_key("CAND_OFFICE", "CAND_OFFICE_ST").alias("office_key"), F.col("CAND_OFFICE").alias("office"),
+        _named("CAND_OFFICE", OFFICES).alias("office_name"), F.col("CAND_OFFICE_ST").alias("state"),
+        F.col("n_candidates").cast("bigint").alias("n_candidates"))
+
+
+def dim_contest(facts: dict[str, DataFrame], cm: DataFrame, cn: DataFrame) -> DataFrame:
+    """K5 as a snowflake: one row per election code and office, keyed to ``dim_election_type`` and ``dim_office``.
+
+    The office is that of the transaction's candidate, or of its committee's candidate
+    where the layout names none; without one ``office_key`` is NULL.  Every transaction
+    with an election code belongs to exactly one row.  Facts are counted per code and
+    candidate or committee before any join, and the masters come down to one row per key.
+    """
+    parts = []
+    for f in facts.values():
+        own = F.col("CAND_ID") if "CAND_ID" in f.columns else F.lit(None).cast("string")
+        parts.append(f.where(F.col("TRANSACTION_PGI").isNotNull()).select(
+            "cycle", F.col("TRANSACTION_PGI").alias("election_code"), own.alias("_cand"),
+            F.when(own.isNull(), F.col("CMTE_ID")).alias("_cmte")))
+    counted = reduce(lambda a, b: a.unionByName(b), parts).groupBy("cycle", "election_code", "_cand", "_cmte").agg(
+        F.count(F.lit(1)).alias("n"))
+    of_committee = committee_names(cm, "CAND_ID").select(
+        "cycle", F.col("CMTE_ID").alias("_cmte"), F.col("CAND_ID").alias("_of_cmte"))
+    office = cn.where(F.col("CAND_ID").isNotNull()).groupBy("cycle", "CAND_ID").agg(
+        F.max(F.struct("CAND_OFFICE", "CAND_OFFICE_ST")).alias("o")).select(
+        "cycle", F.col("CAND_ID").alias("_cand"), "o.CAND_OFFICE", "o.CAND_OFFICE_ST")
+    # Committees are resolved and counted again, so a candidate is one row a code at the second join.
+    by_candidate = counted.join(of_committee, ["cycle", "_cmte"], "left").groupBy(
+        "cycle", "election_code", F.coalesce("_cand", "_of_cmte").alias("_cand")).agg(F.sum("n").alias("n"))
+    g = by_candidate.join(office, ["cycle", "_cand"], "left").groupBy(
+        "election_code", office_key("CAND_OFFICE", "CAND_OFFICE_ST").alias("office_key")).agg(F.sum("n").alias("n"))
+    return g.select(
+        F.concat_ws("/", "election_code", F.coalesce("office_key", F.lit("-"))).alias("contest_key"), "election_code",
+        F.substring("election_code", 1, 1).alias("election_type"),
+        F.substring("election_code", 2, 4).try_cast("int").alias("election_year"), "office_key",
+        F.col("n").cast("bigint").alias("n_rows"))
+
+
 def dim_codes(tables: dict[str, DataFrame]) -> DataFrame:
     """K6: generic ``(domain, code, n_rows)`` for every code domain, one pass per table."""
     per_table: dict[str, list[tuple[str, str]]] = {}

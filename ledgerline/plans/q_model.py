@@ -47,6 +47,30 @@ DIM_ELECTION_SQL = (
     f"select c as election_code, substr(c, 1, 1) as election_type, try_cast(substr(c, 2, 4) as integer) "
     f"as election_year, count(*) as n_rows from ({_ALL_PGI}) u where c is not null group by c")
 
+_NAMED = lambda code, names: f"case {code} " + " ".join(f"when '{k}' then '{v}'" for k, v in names.items()) + " end"
+_TYPES = ", ".join(f"('{t}')" for t in M.ELECTION_TYPES)
+DIM_TYPE_SQL = (
+    f"select election_type, {_NAMED('election_type', M.ELECTION_TYPES)} as type_name, "
+    f"coalesce(n_elections, 0) as n_elections, cast(coalesce(n_rows, 0) as bigint) as n_rows from (values {_TYPES}) t(election_type) "
+    f"full join (select election_type, count(*) as n_elections, sum(n_rows) as n_rows from ({DIM_ELECTION_SQL}) e "
+    f"group by election_type) c using (election_type)")
+
+_OFFICE_KEY = "case when CAND_OFFICE is not null then concat_ws('-', CAND_OFFICE, CAND_OFFICE_ST) end"
+DIM_OFFICE_SQL = (
+    f"select {_OFFICE_KEY} as office_key, CAND_OFFICE as office, {_NAMED('CAND_OFFICE', M.OFFICES)} as office_name, "
+    f"CAND_OFFICE_ST as state, count(distinct CAND_ID) as n_candidates from {T['cn']} c where CAND_OFFICE is not null "
+    f"group by CAND_OFFICE, CAND_OFFICE_ST")
+
+_CONTEST_ROWS = " union all ".join(
+    f"select cycle, TRANSACTION_PGI as code, CMTE_ID, {'CAND_ID' if 'CAND_ID' in LAYOUTS[f].names else 'null::varchar as CAND_ID'} "
+    f"from {T[f]} x{i} where TRANSACTION_PGI is not null" for i, f in enumerate(FACTS))
+DIM_CONTEST_SQL = (
+    f"with f as ({_CONTEST_ROWS}), r as (select f.cycle, f.code, coalesce(f.CAND_ID, m.CAND_ID) as CAND_ID from f left join "
+    f"{T['cm']} m on f.CAND_ID is null and m.cycle = f.cycle and m.CMTE_ID = f.CMTE_ID), "
+    f"o as (select r.code, {_OFFICE_KEY} as office_key from r left join {T['cn']} n on n.cycle = r.cycle and n.CAND_ID = r.CAND_ID) "
+    f"select code || '/' || coalesce(office_key, '-') as contest_key, code as election_code, substr(code, 1, 1) as election_type, "
+    f"try_cast(substr(code, 2, 4) as integer) as election_year, office_key, count(*) as n_rows from o group by code, office_key")
+
 DIM_CODES_SQL = (
     "select domain, code, count(*) as n_rows, null::varchar as name from ("
     + " union all ".join(f"select '{d}' as domain, {c} as code from {T[t]} x{i}"
@@ -122,6 +146,23 @@ def dim_election(spark, sf_dir):
     return M.dim_election([t.get(f) for f in FACTS])
 
 
+@register("dim_election_type", DIM_TYPE_SQL)
+def dim_election_type(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return M.dim_election_type([t.get(f) for f in FACTS])
+
+
+@register("dim_office", DIM_OFFICE_SQL)
+def dim_office(spark, sf_dir):
+    return M.dim_office(Tables(spark, sf_dir).cn)
+
+
+@register("dim_contest", DIM_CONTEST_SQL)
+def dim_contest(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return M.dim_contest({f: t.get(f) for f in FACTS}, t.cm, t.cn)
+
+
 @register("dim_codes", DIM_CODES_SQL)
 def dim_codes(spark, sf_dir):
     t = Tables(spark, sf_dir)
