@@ -207,10 +207,10 @@ def assign_issue_ids(issues: DataFrame, mode: str = "batch", existing_max: int =
 
     ``unique`` gives ``max + row_number() over (order by audit, table_name,
     cycle, issue_key nulls first)`` without funnelling the log through one
-    task: the log is range-partitioned on that order and sorted within each
-    partition, ``monotonically_increasing_id`` gives each row's position in
-    its partition, and a prefix sum over the per-partition counts (one row per
-    partition: bounded by the partition count, not the data) offsets them.
+    task: the log is range-partitioned on that order, ``row_number`` gives each
+    row's position in its partition, and a prefix sum over the per-partition
+    counts (one row per partition: bounded by the partition count, not the data)
+    offsets them.
     ``(audit, table, cycle, issue_key)`` is unique in the log, so the order is
     total.  The ranked log is materialized (checkpoint in the shared folder)
     before it is read twice, so both reads see one range partitioning.
@@ -227,17 +227,15 @@ def assign_issue_ids(issues: DataFrame, mode: str = "batch", existing_max: int =
     n = partitions or int(issues.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     df = materialize(df)  # the range exchange samples its input before shuffling it: read the log once
     keys = [F.col("_batch"), F.col("table_name"), F.col("cycle"), F.col("issue_key").asc_nulls_first()]
-    # Computed once: the counts and the positions must come from the same range
+    # Stored once: the counts and the positions must come from the same range
     # partitioning (two plans would each sample their own range bounds).
-    ranked = materialize(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-                         .withColumn("_pid", F.spark_partition_id())
-                         .withColumn("_pos", F.monotonically_increasing_id()
-                                     - F.shiftleft(F.col("_pid").cast("bigint"), 33)))
-    sizes = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))  # one row per partition
+    dealt = materialize(df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id()))
+    ranked = dealt.withColumn("_pos", F.row_number().over(Window.partitionBy("_pid").orderBy(*keys)))
+    sizes = dealt.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))  # one row per partition
     offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     return ranked.join(F.broadcast(offsets), "_pid").select(
-        (F.lit(existing_max) + F.col("_off") + F.col("_pos") + 1).cast("bigint").alias("issue_id"), *issues.columns)
+        (F.lit(existing_max) + F.col("_off") + F.col("_pos")).cast("bigint").alias("issue_id"), *issues.columns)
 
 
 def replace_slices(old: DataFrame, new: DataFrame, covered: DataFrame) -> DataFrame:

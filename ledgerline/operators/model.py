@@ -65,6 +65,15 @@ def canonical_columns(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in CANONICAL_NAMES.items() if k in df.columns})
 
 
+def canonical_union(tables: dict[str, DataFrame]) -> DataFrame:
+    """K1 over several tables: their rows under canonical names, one column per name, with ``source_table`` in front.
+
+    A column that a table lacks is NULL; equal names must have equal types.
+    """
+    parts = [canonical_columns(df).select(F.lit(name).alias("source_table"), "*") for name, df in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def latest_per_key(df: DataFrame, key: str) -> DataFrame:
     """Latest-cycle row per key plus the number of cycles the key appears in.
 

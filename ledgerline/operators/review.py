@@ -43,7 +43,6 @@ def linkage_candidates(ccl: DataFrame) -> DataFrame:
     return ccl.where(F.col("CMTE_ID").isNotNull() & F.col("CAND_ID").isNotNull()).groupBy("cycle", "CMTE_ID").agg(
         F.count_distinct("CAND_ID").alias("n_candidates"),
         F.min("CAND_ID").alias("_first"),
-        F.sort_array(F.collect_set("CAND_ID")).alias("_all"),
     )
 
 
@@ -87,10 +86,11 @@ def infer_candidate_summary(pas2: DataFrame, ccl: DataFrame) -> DataFrame:
 
 
 def ambiguous_linkage(ccl: DataFrame) -> DataFrame:
-    """Committees linked to more than one distinct candidate."""
-    return linkage_candidates(ccl).where(F.col("n_candidates") > 1).select(
-        "cycle", "CMTE_ID", F.col("n_candidates").cast("bigint").alias("n_candidates"),
-        F.array_join("_all", ",").alias("candidate_ids"))
+    """Committees linked to more than one distinct candidate, a row per candidate with its number of links."""
+    keyed = ccl.where(F.col("CMTE_ID").isNotNull() & F.col("CAND_ID").isNotNull())
+    pairs = keyed.groupBy("cycle", "CMTE_ID", "CAND_ID").agg(F.count(F.lit(1)).alias("n_links"))
+    several = pairs.groupBy("cycle", "CMTE_ID").agg(F.count(F.lit(1)).alias("n_candidates")).where("n_candidates > 1")
+    return pairs.join(several, ["cycle", "CMTE_ID"]).select("cycle", "CMTE_ID", "CAND_ID", "n_candidates", "n_links")
 
 
 def committee_candidates(ccl: DataFrame, cn: DataFrame, weball: DataFrame) -> DataFrame:
@@ -127,10 +127,10 @@ def derive_issues(suite: DataFrame, ambiguous: DataFrame, affected: DataFrame) -
         F.lit(None).cast(MONEY).alias("detected_amount"), "table_name", "column_name", "test_id")
     amb = materialize(ambiguous.join(affected.withColumnRenamed("OTHER_ID", "CMTE_ID"), ["cycle", "CMTE_ID"]))
     dup_key = F.concat_ws("_", F.col("cycle").cast("string"), "CMTE_ID", F.lit("duplicate_candidate_ids"))
-    dups = amb.select(
+    dups = amb.select("cycle", "CMTE_ID", "affected_rows", "affected_amount").distinct().select(
         dup_key.alias("issue_key"), F.lit("duplicate_id").alias("issue_type"), F.lit("low").alias("severity"),
         F.col("cycle").cast("bigint").alias("cycle"), F.col("affected_rows").cast("bigint").alias("detected_row_count"),
-        F.col("affected_amount").cast(MONEY).alias("detected_amount"), "CMTE_ID", "candidate_ids")
+        F.col("affected_amount").cast(MONEY).alias("detected_amount"), "CMTE_ID")
     dups = dups.withColumn("table_name", F.lit("ccl"))
     cols = ["issue_key", "issue_type", "severity", "cycle", "table_name", "detected_row_count", "detected_amount"]
     issue = tests.select(*cols).unionByName(dups.select(*cols))
@@ -138,10 +138,8 @@ def derive_issues(suite: DataFrame, ambiguous: DataFrame, affected: DataFrame) -
     ent = tests.select("issue_key", F.explode(F.array(
         F.struct(F.lit("table").alias("entity_type"), F.col("table_name").alias("entity_id")),
         F.struct(F.lit("column").alias("entity_type"), F.col("column_name").alias("entity_id")))).alias("e")) \
-        .unionByName(dups.select("issue_key", F.explode(F.concat(
-            F.array(F.struct(F.lit("committee").alias("entity_type"), F.col("CMTE_ID").alias("entity_id"))),
-            F.transform(F.split("candidate_ids", ","), lambda c: F.struct(
-                F.lit("candidate").alias("entity_type"), c.alias("entity_id"))))).alias("e"))) \
+        .unionByName(dups.select("issue_key", F.struct(F.lit("committee").alias("entity_type"), F.col("CMTE_ID").alias("entity_id")).alias("e"))) \
+        .unionByName(amb.select(dup_key.alias("issue_key"), F.struct(F.lit("candidate").alias("entity_type"), F.col("CAND_ID").alias("entity_id")).alias("e"))) \
         .select("issue_key", "e.entity_type", "e.entity_id")
 
     return {"issue": issue, "issue_entity": ent}

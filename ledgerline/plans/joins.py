@@ -40,29 +40,20 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder that ``spark.checkpoint.dir`` names; a local one only where none is set (tests)."""
+    """The shared folder that ``spark.checkpoint.dir`` names.  Unset: a local one on a local master (tests), else an error."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
+        if named is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="ledgerline-shared-"))
     return named or sc.getCheckpointDir()
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute a small, reused intermediate once.
+    """Compute a small, reused intermediate once and cut its lineage: a reliable checkpoint in ``shared_folder``.
 
-    With ``spark.checkpoint.dir`` set (the cluster's shared folder) the frame
-    is reliably checkpointed there, which also cuts its lineage; without it
-    the frame is cached, and a lost executor's blocks are recomputed from
-    lineage.  Only used for findings-sized frames (tests, issues), never facts.
+    Only used for findings-sized frames (tests, issues), never facts.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(folder)
-        return df.checkpoint(eager=True)
-    cached = df.cache()
-    cached.count()
-    return cached
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)

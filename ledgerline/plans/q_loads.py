@@ -74,32 +74,66 @@ def load_quoted(spark, sf_dir):
     return parse_records(read_records(spark, place), LAYOUTS["indiv"])
 
 
-# --- C: cleaning functions over every raw value of a landing column ----------------------
-
-_CLEAN_CASES = {
-    # name: (kind, [(table, column), ...])
-    "clean_postal5": ("z", [("indiv", "ZIP_CODE"), ("cm", "CMTE_ZIP"), ("cn", "CAND_ZIP")]),
-    "clean_year4": ("y", [("cn", "CAND_ELECTION_YR"), ("ccl", "FEC_ELECTION_YR")]),
-    "clean_smallint": ("h", [("oppexp", "RPT_YR")]),
-    "clean_bigint": ("b", [("pas2", "SUB_ID"), ("pas2", "FILE_NUM"), ("ccl", "LINKAGE_ID")]),
-    "clean_money": ("m", [("pas2", "TRANSACTION_AMT"), ("weball", "TTL_RECEIPTS"), ("weball", "DEBTS_OWED_BY")]),
-    "clean_percent": ("p", [("weball", "GEN_ELECTION_PRECENT")]),
-    "clean_date_mdy": ("d", [("indiv", "TRANSACTION_DT")]),
-    "clean_date_two_format": ("D", [("weball", "CVG_END_DT")]),
+# --- A1: every slot of every layout ------------------------------------------------------------
+
+
+def _fields_sql() -> str:
+    parts = " union all ".join(
+        f"select '{t}' as table_name, cycle, string_split(value, '|') as f, {len(lay.columns)} as n from {lines_sql(t)} l{i} "
+        f"where value <> ''" for i, (t, lay) in enumerate(LAYOUTS.items()))
+    return (f"with s as (select * from ({parts}) u where len(f) <= n or (len(f) = n + 1 and f[n + 1] = '')), "
+            "v as (select table_name, cycle, unnest(range(1, len(f) + 1)) as slot, unnest(f) as v from s) "
+            "select table_name, cycle, cast(slot as integer) as slot, count(*) as n_rows, count(nullif(v, '')) as n_filled, "
+            "cast(sum(length(v)) as bigint) as n_chars, min(nullif(v, '')) as least, max(nullif(v, '')) as greatest, "
+            "count(distinct nullif(v, '')) as n_distinct from v group by all")
+
+
+@register("scan_fields", _fields_sql())
+def scan_fields(spark, sf_dir):
+    """Every slot of all eight layouts per cycle: rows, filled rows, characters, extremes, distinct texts.
+
+    Fields are counted per distinct text first, so a slot with one text in every row is one row of the shuffle.
+    """
+    slots = None
+    for table, lay in LAYOUTS.items():
+        rows = split_fields(lines(spark, sf_dir, table)).where(field_count_ok(F.col("_parts"), len(lay.columns)))
+        own = rows.select(F.lit(table).alias("table_name"), "cycle", F.posexplode("_parts").alias("at", "text"))
+        own = own.groupBy("table_name", "cycle", "at", "text").agg(F.count(F.lit(1)).alias("n"))
+        slots = own if slots is None else slots.unionByName(own)
+    filled = C.blank_to_null(F.col("text"))
+    return slots.groupBy("table_name", "cycle", (F.col("at") + 1).cast("int").alias("slot")).agg(
+        F.sum("n").alias("n_rows"), F.coalesce(F.sum(F.when(filled.isNotNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("n_filled"),
+        F.sum(F.length("text") * F.col("n")).cast("bigint").alias("n_chars"), F.min(filled).alias("least"), F.max(filled).alias("greatest"),
+        F.count(filled).alias("n_distinct"))
+
+
+# --- C: cleaning functions over every raw value of every landing column of their kind ----------
+
+_CLEAN_KINDS = {
+    "clean_postal5": "z",
+    "clean_year4": "y",
+    "clean_smallint": "h",
+    "clean_bigint": "b",
+    "clean_money": "m",
+    "clean_percent": "p",
+    "clean_date_mdy": "d",
+    "clean_date_two_format": "D",
 }
 
 
-def _clean_query(kind: str, sources: list[tuple[str, str]]):
+def _places(kind: str) -> dict[str, list[int]]:
+    """Positions of the columns of a kind, by table."""
+    found = {t: [i for i, (_, k) in enumerate(lay.columns) if k == kind] for t, lay in LAYOUTS.items()}
+    return {t: at for t, at in found.items() if at}
+
+
+def _clean_query(kind: str):
     def build(spark, sf_dir):
         raw = None
-        for table, col in sources:
-            lay = LAYOUTS[table]
-            i = lay.names.index(col)
-            part = (
-                split_fields(lines(spark, sf_dir, table))
-                .where(field_count_ok(F.col("_parts"), len(lay.columns)))
-                .select(F.get(F.col("_parts"), i).alias("raw_value"))
-            )
+        for table, at in _places(kind).items():
+            parts = F.col("_parts")
+            rows = split_fields(lines(spark, sf_dir, table)).where(field_count_ok(parts, len(LAYOUTS[table].columns)))
+            part = rows.select(F.explode(F.array(*[F.get(parts, i) for i in at])).alias("raw_value"))
             raw = part if raw is None else raw.unionByName(part)
         # Clean each distinct raw text once: partial aggregation keeps the shuffle
         # at (#distinct values), and the cleaning runs after it on fewer rows.
@@ -109,14 +143,13 @@ def _clean_query(kind: str, sources: list[tuple[str, str]]):
     return build
 
 
-def _clean_oracle(kind: str, sources: list[tuple[str, str]]) -> str:
+def _clean_oracle(kind: str) -> str:
     unions = []
-    for table, col in sources:
-        lay = LAYOUTS[table]
-        n = len(lay.columns)
-        i = lay.names.index(col) + 1
+    for table, at in _places(kind).items():
+        n = len(LAYOUTS[table].columns)
+        values = ", ".join(f"f[{i + 1}]" for i in at)
         unions.append(
-            f"select f[{i}] as raw_value from (select string_split(value, '|') as f from {lines_sql(table)} l "
+            f"select unnest([{values}]) as raw_value from (select string_split(value, '|') as f from {lines_sql(table)} l "
             f"where value <> '') s where len(f) <= {n} or (len(f) = {n + 1} and f[{n + 1}] = '')"
         )
     return (
@@ -125,5 +158,5 @@ def _clean_oracle(kind: str, sources: list[tuple[str, str]]) -> str:
     )
 
 
-for _name, (_kind, _src) in _CLEAN_CASES.items():
-    register(_name, _clean_oracle(_kind, _src))(_clean_query(_kind, _src))
+for _name, _kind in _CLEAN_KINDS.items():
+    register(_name, _clean_oracle(_kind))(_clean_query(_kind))

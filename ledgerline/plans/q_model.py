@@ -6,7 +6,7 @@ from ledgerline.operators import model as M
 from ledgerline.plans.catalog import register
 from ledgerline.plans.oracle_sql import typed_sql
 from ledgerline.plans.tables import Tables
-from ledgerline.sources.layouts import FACTS, LAYOUTS
+from ledgerline.sources.layouts import DIMENSIONS, FACTS, LAYOUTS
 
 T = {n: typed_sql(n) for n in LAYOUTS}
 
@@ -16,6 +16,11 @@ def _canon_sql() -> str:
     return "select " + ", ".join(f"{c} as {M.CANONICAL_NAMES.get(c, c)}" for c in cols) + f" from {T['pas2']} p"
 
 
+def _canon_union_sql(tables) -> str:
+    renamed = lambda n: ", ".join(f"{c} as {M.CANONICAL_NAMES.get(c, c)}" for c in ["cycle"] + LAYOUTS[n].names)
+    return " union all by name ".join(f"select '{n}' as source_table, {renamed(n)} from {T[n]} x{i}" for i, n in enumerate(tables))
+
+
 def _latest_sql(table: str, key: str, select: str) -> str:
     return (f"select {select}, cycle as latest_cycle, n_cycles from (select *, row_number() over "
             f"(partition by {key} order by cycle desc) as rn, count(*) over (partition by {key}) as n_cycles "
@@ -124,6 +129,20 @@ def canonical_columns(spark, sf_dir):
     return M.canonical_columns(Tables(spark, sf_dir).pas2)
 
 
+@register("canonical_facts", _canon_union_sql(FACTS))
+def canonical_facts(spark, sf_dir):
+    """All four fact tables as one table of canonical columns."""
+    t = Tables(spark, sf_dir)
+    return M.canonical_union({n: t.get(n) for n in FACTS})
+
+
+@register("canonical_entities", _canon_union_sql(DIMENSIONS))
+def canonical_entities(spark, sf_dir):
+    """Committees, candidates, linkages and totals as one table of canonical columns."""
+    t = Tables(spark, sf_dir)
+    return M.canonical_union({n: t.get(n) for n in DIMENSIONS})
+
+
 @register("dim_candidate", DIM_CANDIDATE_SQL)
 def dim_candidate(spark, sf_dir):
     return M.dim_candidate(Tables(spark, sf_dir).cn)

@@ -59,8 +59,9 @@ def affected_by_committee(spark, sf_dir):
 
 
 @register("ambiguous_linkage",
-          f"select cycle, CMTE_ID, cast(n_candidates as bigint) as n_candidates, candidate_ids "
-          f"from ({LINKS_SQL}) l where n_candidates > 1")
+          f"select * from (select cycle, CMTE_ID, CAND_ID, count(*) over (partition by cycle, CMTE_ID) as n_candidates, n_links "
+          f"from (select cycle, CMTE_ID, CAND_ID, count(*) as n_links from {CCL} l where CMTE_ID is not null and CAND_ID is not null "
+          f"group by cycle, CMTE_ID, CAND_ID) p) q where n_candidates > 1")
 def ambiguous_linkage(spark, sf_dir):
     return R.ambiguous_linkage(Tables(spark, sf_dir).ccl)
 

@@ -1,5 +1,7 @@
 """Issue-graph closure on a hand-made chain with a cycle (least depth per pair, any length)."""
 
+from ledgerline.operators import model as M
+from ledgerline.operators import review as R
 from ledgerline.operators.review import explains_closure
 
 
@@ -110,3 +112,19 @@ def test_repeated_and_null_committees_do_not_multiply_rows(spark):
                                   "cycle int, CAND_ID string, CAND_NAME string")
     last = M.latest_per_key(twice, "CAND_ID").collect()
     assert [(r.latest_cycle, r.CAND_NAME, r.n_cycles) for r in last] == [(2000, "Y", 2)]
+
+
+def test_ambiguous_linkage_rows(spark):
+    rows = [(2000, "C1", "X"), (2000, "C1", "X"), (2000, "C1", "Y"), (2000, "C2", "X"), (2002, "C1", "X"), (2000, "C3", None), (2000, None, "X"), (2000, None, "Y")]
+    ccl = spark.createDataFrame(rows, "cycle int, CMTE_ID string, CAND_ID string")
+    got = sorted(tuple(r) for r in R.ambiguous_linkage(ccl).collect())
+    assert got == [(2000, "C1", "X", 2, 2), (2000, "C1", "Y", 2, 1)]
+    assert R.ambiguous_linkage(ccl.where("false")).count() == 0
+
+
+def test_canonical_union_keeps_every_row_and_column(spark):
+    a = spark.createDataFrame([(2000, "C1", 1)], "cycle int, CMTE_ID string, SUB_ID bigint")
+    b = spark.createDataFrame([(2002, "C2", "H1"), (2002, "C2", "H1")], "cycle int, CMTE_ID string, CAND_ID string")
+    got = M.canonical_union({"a": a, "b": b})
+    assert got.columns == ["source_table", "election_cycle", "committee_id", "transaction_id", "candidate_id"]
+    assert sorted(map(tuple, got.collect()), key=repr) == [("a", 2000, "C1", 1, None), ("b", 2002, "C2", None, "H1"), ("b", 2002, "C2", None, "H1")]
