@@ -1,15 +1,18 @@
 """Exact top-k search by inner product with a KD-tree per shard.
 
-Vectors are quantised to integers and dealt into shards of a bounded number of rows;
-queries are dealt into blocks of a bounded number.  Each shard is one packed row, over
-which a KD-tree is built in the task: the widest dimension is split at the median, and
-every node keeps its tight bounding box.  A query walks the tree best-first: the score
-bound of a box is the sum of ``max(q * low, q * high)``, and the walk ends when the best
-bound left is below the kth score.  Every block first searches one home shard; the kth
-scores found there are handed to its searches of all other shards, which begin with them.
-
-Blocks meet shards in an equi-join on the shard number, so neither side is broadcast or
-collected.
+Vectors are quantised to integers and dealt into shards of a bounded number of rows.  A top tree
+of median splits, learned from a bounded sample, names the cell of every row, and each cell is
+one shard or several; so shards lie apart and their tight boxes are small.  Each shard is one
+packed row, over which a KD-tree is built in the task: the widest dimension is split at the
+median, and every node keeps its tight bounding box.  A query walks the tree best-first: the
+score bound of a box is the sum of ``max(q * low, q * high)``, and the walk ends when the best
+bound left is below the kth score.
+
+Queries are packed into blocks by the same cells.  Every block first searches one home shard, that
+with the greatest bounds.  The kth scores found there go on with the block, and a query is
+sent only to those other shards whose box can still reach its kth score.  Blocks meet packs of
+boxes in an equi-join, and queries meet shards by the shard number: a shard's rows come first in
+its task and the queries stream past them.  Nothing that grows with the input is broadcast or collected.
 """
 
 from __future__ import annotations
@@ -18,12 +21,15 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.stage import cut
+from ledgerline.llm.words import mix
 
-PACK = "pack int, ids binary, vectors binary"
+PACK = "pack bigint, ids binary, vectors binary, low binary, high binary"
+PART_BITS = 24
 BIG = 1 << 62
 
 
@@ -102,30 +108,84 @@ def search(tree: Tree, ids: np.ndarray, q: np.ndarray, bounds: np.ndarray, own:
     return best_ids, best
 
 
-def _packed(rows: DataFrame, dims: int) -> DataFrame:
-    """One row per pack number from rows (pack, vec_id, embedding); a pack is bounded."""
-    def run(batches):
-        held: list = []
-        pack = None
+class Cells:
+    """Top tree of median splits in heap order, learned from a sample of the rows; its leaves are cells."""
+
+    def __init__(self, sample: np.ndarray, depth: int):
+        self.depth = depth
+        self.dim, self.cut = np.zeros((1 << depth) - 1, np.int64), np.full((1 << depth) - 1, np.inf)
+        rows = {0: sample}
+        for node in range(len(self.dim)):
+            x = rows.pop(node)
+            left = right = x[:0]
+            if len(x) > 1 and x.shape[1]:
+                wide = int(np.argmax(x.max(0) - x.min(0)))
+                self.dim[node], self.cut[node] = wide, np.median(x[:, wide])
+                up = x[:, wide] >= self.cut[node]
+                left, right = x[~up], x[up]
+            rows[2 * node + 1], rows[2 * node + 2] = left, right
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        node, at = np.zeros(len(x), np.int64), np.arange(len(x))
+        for _ in range(self.depth):
+            node = 2 * node + 1 + (x[at, self.dim[node]] >= self.cut[node])
+        return node - len(self.dim)
+
+
+def matrix(lists: pa.Array, dims: int) -> np.ndarray:
+    """Rows of a list column, padded with zeros."""
+    x = np.zeros((len(lists), dims))
+    size = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(lists)), size)
+    x[row, np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)] = pc.list_flatten(lists).to_numpy(zero_copy_only=False)
+    return x
+
+
+def _dealt(rows: DataFrame, cells: Cells, dims: int, limit: int) -> DataFrame:
+    """One row per pack of (vec_id, embedding) rows of one cell, at most ``2 * limit`` of them.  A pack has its tight box."""
+    def sizes(batches):
+        total = np.zeros(1 << cells.depth, np.int64)
+        for batch in batches:
+            total += np.bincount(cells.of(matrix(batch.column(1), dims)), minlength=len(total))
+        yield pa.record_batch([pa.array(np.arange(len(total))), pa.array(total)], names=["cell", "n"])
+
+    counted = rows.mapInArrow(sizes, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect()  # a row per cell: bounded
+    packs = np.ones(1 << cells.depth, np.int64)
+    for r in counted:
+        packs[r.cell] = max(1, -(-r.n // limit))
+    before = np.cumsum(packs) - packs
+
+    def place(batches):
+        for batch in batches:
+            cell = cells.of(matrix(batch.column(1), dims))
+            spot = mix(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)) % packs[cell].astype(np.uint64)
+            yield pa.record_batch([pa.array(before[cell] + spot.astype(np.int64)), batch.column(0), batch.column(1)], names=["pack", "vec_id", "embedding"])
+
+    def pack(batches):
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        now, part, size = None, 0, 0
 
         def give():
-            x = np.zeros((len(held), dims))
-            for at, (_, v) in enumerate(held):
-                x[at, :len(v)] = v
-            return pa.record_batch([pa.array([pack], pa.int32()), pa.array([np.array([i for i, _ in held], np.int64).tobytes()], pa.binary()),
-                                    pa.array([x.tobytes()], pa.binary())], names=["pack", "ids", "vectors"])
+            ids, x = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
+            one = [ids.tobytes(), x.tobytes(), x.min(0).tobytes(), x.max(0).tobytes()]
+            return pa.record_batch([pa.array([now << PART_BITS | part]), *[pa.array([v], pa.binary()) for v in one]], names=["pack", "ids", "vectors", "low", "high"])
 
         for batch in batches:
-            for p, i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                if p != pack and held:
+            own, ids, x = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False), matrix(batch.column(2), dims)
+            at = 0
+            while at < len(own):
+                if held and (own[at] != now or size == 2 * limit):
                     yield give()
-                    held = []
-                pack = p
-                held.append((i, v))
+                    held, size, part = [], 0, part + 1 if own[at] == now else 0
+                now = int(own[at])
+                end = min(int(np.searchsorted(own, now, "right")), at + 2 * limit - size)
+                held.append((ids[at:end], x[at:end]))
+                size, at = size + end - at, end
         if held:
             yield give()
 
-    return rows.repartition("pack").sortWithinPartitions("pack").mapInArrow(run, PACK)
+    placed = rows.mapInArrow(place, "pack bigint, vec_id bigint, embedding array<double>")
+    return placed.repartition("pack").sortWithinPartitions("pack", "vec_id").mapInArrow(pack, PACK)
 
 
 def _unpack(ids: bytes, vectors: bytes, dims: int, scale: int) -> tuple[np.ndarray, np.ndarray]:
@@ -133,34 +193,94 @@ def _unpack(ids: bytes, vectors: bytes, dims: int, scale: int) -> tuple[np.ndarr
     return i, quantise(np.frombuffer(vectors, np.float64).reshape(len(i), dims), scale)
 
 
-def _meet(pairs: DataFrame, dims: int, scale: int, k: int, leaf: int) -> DataFrame:
-    """Search rows (shard, ids, vectors, q_ids, q_vectors, kths): one row (query_id, kth, vec_id, score) per hit."""
+def _routes(blocks: DataFrame, boxes: DataFrame, n_packs: int, dims: int, scale: int, schema: str, rows_of) -> DataFrame:
+    """``rows_of(block row, shards, bounds)`` for every block of queries and every pack of boxes."""
+    def run(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                r = batch.slice(at, 1).to_pylist()[0]
+                _, q = _unpack(r["ids"], r["vectors"], dims, scale)
+                low, high = (quantise(np.frombuffer(b"".join(b[side] for b in r["boxes"])).reshape(len(r["boxes"]), dims), scale) for side in ("low", "high"))
+                both = suited(q, np.concatenate((low, high)))
+                if both[0].dtype == object:  # beyond exact floats: every shard may hold a hit
+                    bounds = np.full((len(q), len(low)), np.inf)
+                else:
+                    zero = both[0].dtype.type(0)
+                    bounds = np.maximum(both[0], zero) @ both[1][len(low):].T + np.minimum(both[0], zero) @ both[1][:len(low)].T
+                yield from rows_of(r, np.array([b["shard"] for b in r["boxes"]], np.int64), bounds)
+
+    spread = blocks.withColumn("pack", F.explode(F.sequence(F.lit(0), F.lit(n_packs - 1))))
+    return spread.join(boxes, "pack").mapInArrow(run, schema)
+
+
+def _home(r: dict, shards: np.ndarray, bounds: np.ndarray):
+    total = bounds.sum(0, dtype=np.float64)
+    best = int(np.argmax(total))
+    yield pa.record_batch([pa.array([r["block"]]), pa.array([shards[best]]), pa.array([float(total[best])])], names=["block", "shard", "total"])
+
+
+ASKED = "shard bigint, block bigint, ids binary, vectors binary, kths array<bigint>"
+
+
+def _reached(dims: int, some: int = 32):
+    """Rows ASKED: the queries of a block whose kth score a shard can reach, for each shard but the block's home."""
+    def rows_of(r: dict, shards: np.ndarray, bounds: np.ndarray):
+        ids, x = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["vectors"]).reshape(-1, dims) if dims else np.empty((len(r["ids"]) // 8, 0))
+        of = dict(r["kth_of"] or ())
+        kths = [of.get(i) for i in ids.tolist()]
+        floor = np.array([-np.inf if v is None else v for v in kths], np.float64)
+        open_ = (bounds >= floor[:, None]) & (shards != r["home"])
+        out: list[tuple] = []
+        for at in np.flatnonzero(open_.any(0)).tolist():
+            who = np.flatnonzero(open_[:, at])
+            out.append((int(shards[at]), r["block"], ids[who].tobytes(), x[who].tobytes(), [kths[i] for i in who.tolist()]))
+            if len(out) == some:
+                yield _asked(out)
+                out = []
+        if out:
+            yield _asked(out)
+
+    return rows_of
+
+
+def _asked(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+    return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["shard", "block", "ids", "vectors", "kths"])
+
+
+def _meet(shards: DataFrame, asked: DataFrame, dims: int, scale: int, k: int, leaf: int) -> DataFrame:
+    """One row (block, query_id, vec_id, score) per hit of the rows ASKED in their shards; a shard is sent once."""
     def run(batches):
-        shard, tree, ids, m = None, None, None, None
+        tree, ids, m = None, None, None
         for batch in batches:
-            for r in batch.to_pylist():
-                q_ids, raw = _unpack(r["q_ids"], r["q_vectors"], dims, scale)
-                if r["shard"] != shard:
-                    shard, (ids, m) = r["shard"], _unpack(r["ids"], r["vectors"], dims, scale)
-                    tree = None
+            for at in range(batch.num_rows):
+                r = batch.slice(at, 1).to_pylist()[0]
+                own, raw = _unpack(r["ids"], r["vectors"], dims, scale)
+                if r["block"] is None:
+                    ids, m, tree = own, raw, None
+                    continue
                 q, mine = suited(raw, m)
                 if tree is None or tree.rows.dtype != mine.dtype:
                     tree = Tree(mine, leaf)
                 bounds = tree.bounds(q)
-                kths = r["kths"] or [None] * len(q_ids)
+                kths = r["kths"] or [None] * len(own)
                 cols: list[list] = [[], [], []]
-                for at, own in enumerate(q_ids):
-                    kth = None if kths[at] is None else q.dtype.type(kths[at]) if q.dtype != object else int(kths[at])
-                    near, score = search(tree, ids, q[at], bounds[at], int(own), k, kth)
-                    cols[0].append(np.full(len(near), own)), cols[1].append(near)
+                for i, asker in enumerate(own):
+                    kth = None if kths[i] is None else q.dtype.type(kths[i]) if q.dtype != object else int(kths[i])
+                    near, score = search(tree, ids, q[i], bounds[i], int(asker), k, kth)
+                    cols[0].append(np.full(len(near), asker)), cols[1].append(near)
                     cols[2].append(np.array([max(-BIG * 2, min(BIG * 2 - 1, int(s))) for s in score], np.int64))
-                yield pa.record_batch([pa.array(np.concatenate(c).astype(np.int64)) for c in cols], names=["query_id", "vec_id", "score"])
+                found = [np.concatenate(c).astype(np.int64) for c in cols]
+                yield pa.record_batch([pa.array(c) for c in (np.full(len(found[0]), r["block"], np.int64), *found)], names=["block", "query_id", "vec_id", "score"])
 
-    return pairs.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
+    both = (shards.selectExpr("shard", "cast(null as bigint) as block", "ids", "vectors", "cast(null as array<bigint>) as kths")
+            .union(asked.select("shard", "block", "ids", "vectors", "kths")))
+    return (both.repartition("shard").sortWithinPartitions("shard", F.col("block").asc_nulls_first())
+            .mapInArrow(run, "block bigint, query_id bigint, vec_id bigint, score bigint"))
 
 
 def exact_top_k(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20,
-                scale: int = 64, shard_rows: int = 4096, block_rows: int = 512, leaf: int = 128) -> DataFrame:
+                scale: int = 64, shard_rows: int = 4096, block_rows: int = 512, leaf: int = 128, sample: int = 20_000, box_rows: int = 2048) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` rows of ``vectors`` with the largest inner products for each query.
 
     Both tables have an id and an array; components become floor(scale * x).  Rows with a null id,
@@ -168,7 +288,10 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id",
     with zeros.  A query never finds rows of its own id.  Repeated rows of ``vectors`` are candidates
     each; a query id in several rows is asked once, with its smallest vector.  Ties go to the
     smaller id; scores beyond 64 bits saturate.  Empty tables give no rows.  Other columns are ignored.
+    At most ``sample`` rows choose the splits between shards; every row is indexed, and the splits
+    decide only the time.
     """
+    spark = vectors.sparkSession
     finite = f"forall({vector_col}, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))"
     some = lambda t: (t.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"))
                       .where(f"vec_id is not null and embedding is not null and {finite.replace(vector_col, 'embedding')}"))
@@ -176,35 +299,30 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id",
     asked = some(queries).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     n, dims = base.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
     n_asked, q_dims = asked.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
-    dims = max(dims or 0, q_dims or 0)
-    shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-n_asked // block_rows))
-    dealt = lambda t, packs: t.select(F.pmod(F.xxhash64("vec_id"), F.lit(packs)).cast("int").alias("pack"), "vec_id", "embedding")
-    shard = cut(_packed(dealt(base, shards), dims).withColumnRenamed("pack", "shard"))
-    block = cut(_packed(dealt(asked, blocks), dims).select(F.col("pack").alias("block"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors")))
-
-    home = F.pmod(F.col("block"), F.lit(shards))
-    none = F.lit(None).cast("array<bigint>").alias("kths")
-    order = ["shard", "ids", "vectors", "q_ids", "q_vectors", "kths"]
-    near = cut(_meet(block.withColumn("shard", home).withColumn("kths", none).join(shard, "shard").select(order), dims, scale, k, leaf))
+    if not n or not n_asked:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
+    dims = max(dims, q_dims)
+    share = -(-n // sample)
+    drawn = base.where(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(share)) == 0).limit(sample).select("embedding").toArrow()["embedding"]
+    drawn = matrix(drawn.combine_chunks(), dims)
+    depth = max(0, min(n // shard_rows, len(drawn) // 16).bit_length() - 1) if dims else 0
+    cells = Cells(drawn, depth)
+    shard = cut(_dealt(base, cells, dims, shard_rows).withColumnRenamed("pack", "shard"))
+    block = cut(_dealt(asked, cells, dims, block_rows).select(F.col("pack").alias("block"), "ids", "vectors"))
+
+    n_packs = max(1, -(-shard.count() // box_rows))
+    boxes = (shard.select(F.pmod(F.xxhash64("shard"), F.lit(n_packs)).cast("int").alias("pack"), F.struct("shard", "low", "high").alias("box"))
+             .groupBy("pack").agg(F.collect_list("box").alias("boxes")))
+    homes = (_routes(block, boxes, n_packs, dims, scale, "block bigint, shard bigint, total double", _home)
+             .groupBy("block").agg(F.max(F.struct("total", "shard")).alias("best")).select("block", F.col("best.shard").alias("home")))
+    block = cut(block.join(homes, "block"))
+    first = block.select(F.col("home").alias("shard"), "block", "ids", "vectors", F.lit(None).cast("array<bigint>").alias("kths"))
+    near = cut(_meet(shard, first, dims, scale, k, leaf))
 
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    kth = near.withColumn("r", F.row_number().over(best)).where(F.col("r") == k).select("query_id", F.col("score").alias("kth"))
-    names = asked.select("vec_id", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"))
-    known = (names.join(kth, names.vec_id == kth.query_id, "left").groupBy("block")
-             .agg(F.map_from_entries(F.collect_list(F.struct("vec_id", "kth"))).alias("kth_of")))
-    others = (block.join(known, "block")
-              .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where(F.col("shard") != home))
-    far = _meet(_with_kths(others.join(shard, "shard").select("shard", "ids", "vectors", "q_ids", "q_vectors", "kth_of")), dims, scale, k, leaf)
+    kth = near.withColumn("r", F.row_number().over(best)).where(F.col("r") == k)
+    known = kth.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("query_id", "score"))).alias("kth_of"))  # a block is bounded
+    onward = _routes(block.join(known, "block", "left"), boxes, n_packs, dims, scale, ASKED, _reached(dims))
+    far = _meet(shard, onward, dims, scale, k, leaf)
     return (near.union(far).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
-
-
-def _with_kths(pairs: DataFrame) -> DataFrame:
-    """The kth scores as an array in the order of the block's queries."""
-    def run(batches):
-        for batch in batches:
-            of = [dict(x) for x in batch.column(5).to_pylist()]
-            kths = [[m.get(i) for i in np.frombuffer(q, np.int64).tolist()] for m, q in zip(of, batch.column(3).to_pylist())]
-            yield pa.record_batch([*batch.columns[:5], pa.array(kths, pa.list_(pa.int64()))], names=["shard", "ids", "vectors", "q_ids", "q_vectors", "kths"])
-
-    return pairs.sortWithinPartitions("shard").mapInArrow(run, "shard int, ids binary, vectors binary, q_ids binary, q_vectors binary, kths array<bigint>")

@@ -1,6 +1,7 @@
 """Top-k search, archives, decontamination, licenses and the pipeline."""
 import gzip
 
+import numpy as np
 import pytest
 from pyspark.sql import types as T
 
@@ -9,7 +10,7 @@ from ledgerline.llm import warc
 from ledgerline.llm.decontaminate import contaminated, decontaminate
 from ledgerline.llm.licenses import TEMPLATES, TEXTS, scan_licenses
 from ledgerline.llm.queries import ORACLE, QUERIES
-from ledgerline.llm.topk_search import exact_top_k
+from ledgerline.llm.topk_search import _reached, exact_top_k
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -37,6 +38,29 @@ def test_top_k_edges(spark):
     assert exact_top_k(v.limit(0), v.limit(0)).collect() == []
 
 
+def test_top_k_of_many_shards(spark):
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(3000, 6)) * 0.3 + rng.normal(size=(12, 6))[rng.integers(0, 12, 3000)], 3)
+    ids = [7 if i < 900 else i for i in range(3000)]  # an id in many rows
+    v = spark.createDataFrame([(i, r) for i, r in zip(ids, x.tolist())], "vec_id long, embedding array<double>").repartition(5)
+    got = exact_top_k(v, v.where("vec_id % 20 = 0"), k=5, shard_rows=64, block_rows=16, leaf=8, sample=1000, box_rows=8).collect()
+    z = np.floor(64 * x).astype(int)
+    want = []
+    for q in range(900, 3000, 20):
+        near = sorted((-int(s), i, at) for at, (i, s) in enumerate(zip(ids, z @ z[q])) if i != q)[:5]
+        want += [(q, r + 1, i, -s) for r, (s, i, _) in enumerate(near)]
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == want
+
+
+def test_top_k_asks_only_shards_that_can_hold_a_hit():
+    low, high = np.array([[0.0, 0.0], [4.0, 4.0], [-3.0, -3.0]]), np.array([[1.0, 1.0], [5.0, 5.0], [-2.0, -2.0]])
+    q = np.array([[1.0, 1.0], [-1.0, -1.0]])
+    bounds = np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T
+    row = {"ids": np.array([10, 11]).tobytes(), "vectors": q.tobytes(), "kth_of": [(10, 3), (11, 5)], "home": 1, "block": 4}
+    out = [r for b in _reached(2)(row, np.arange(3), bounds) for r in b.to_pylist()]
+    assert [(r["shard"], np.frombuffer(r["ids"], np.int64).tolist(), r["kths"]) for r in out] == [(2, [11], [5])]
+
+
 PAGES = [(1, "x" * 100_000 + "é€" * 40_000, "http://a"), (2, None, None), (3, "", "http://c\r\nX: y"), (4, "<p>\r\n\r\nWARC/1.1</p>", "d"), (5, "<p>\r\n\r\nWARC/1.1</p>", "e"),
          (None, "only", "f"), (5, "<p>\r\n\r\nWARC/1.1</p>", "e")]
 
