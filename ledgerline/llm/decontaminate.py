@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.native_words import cut_edges, grams, held, plain, raw_words
-from ledgerline.llm.stage import cut
+from ledgerline.llm.stage import cut, free_name
 
 #: Fixed value: words that name a unit.
 UNITS = ["mm", "cm", "m", "km", "mg", "g", "kg", "ml", "l", "s", "sec", "second", "seconds", "min", "minute", "minutes", "h", "hour", "hours",
@@ -126,7 +126,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     The ids to drop are broadcast if there are at most ``broadcast_rows``, else both sides are shuffled.
     """
-    bad = cut(contaminated(docs, benchmark, id_col, broadcast_rows=broadcast_rows, **options).select(F.col("doc_id").alias("_contaminated")).distinct())
+    name = free_name(docs, "contaminated")
+    bad = cut(contaminated(docs, benchmark, id_col, broadcast_rows=broadcast_rows, **options).select(F.col("doc_id").alias(name)).distinct())
     if bad.count() <= broadcast_rows:
         bad = F.broadcast(bad)
-    return docs.join(bad, F.col(id_col).cast("bigint") == F.col("_contaminated"), "left_anti")
+    return docs.join(bad, F.col(id_col).cast("bigint") == F.col(name), "left_anti")

@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import bitmap
 from ledgerline.llm.graph import components
-from ledgerline.llm.stage import cut, small_batches
+from ledgerline.llm.stage import cut, free_name, small_batches
 from ledgerline.llm.words import mix, window_hashes, word_chunks
 
 SKETCH_BITS = 22
@@ -455,14 +455,19 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each group of linked texts: that with the smallest id.
 
-    Rows with a null id stay.  Only rows that may have to go are shuffled; a bitmap of their ids
-    tells them from the rest, and the join decides.
+    Rows with a null id stay; of several rows with one id that with the smallest text does (nulls last, then by
+    the row as JSON).  Only rows that may have to go are shuffled; a bitmap of their ids tells them from the
+    rest, and the join decides.
     """
     found = cut(ngram_jaccard(docs, id_col, text_col, **options).select("doc_id", "component_id").where("doc_id is not null"))
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    own = free_name(docs, "own_id")
+    tagged = docs.withColumn(own, F.col(id_col).cast("bigint"))
+    place = free_name(tagged, "place")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(own)).distinct()
     again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
     marks = bitmap.build(gone.union(again))
-    tagged = docs.withColumn("_id", F.col(id_col).cast("bigint"))
-    safe = bitmap.keep_rows(tagged, "_id", marks, inside=False)
-    rest = bitmap.keep_rows(tagged, "_id", marks).join(gone, F.col("_id") == F.col("_gone"), "left_anti").dropDuplicates(["_id"])
-    return safe.union(rest).drop("_id")
+    safe = bitmap.keep_rows(tagged, own, marks, inside=False)
+    order = Window.partitionBy(own).orderBy(F.col(text_col).asc_nulls_last(), F.to_json(F.struct(*docs.columns)))
+    rest = (bitmap.keep_rows(tagged, own, marks).join(gone, own, "left_anti").select(*tagged.columns)
+            .withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place))
+    return safe.union(rest).drop(own)

@@ -84,7 +84,10 @@ class Model:
         return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
 
     def scores(self, counts: np.ndarray, neighbours: int) -> np.ndarray:
-        """Share of label 1 among the nearest labelled vectors, weighted by similarity; 0.5 without any."""
+        """Share of label 1 among the nearest labelled vectors, weighted by similarity; 0.5 without any.
+
+        A text without terms has no neighbours: it gets the share of label 1 among all labelled vectors.
+        """
         out = np.full(len(counts), 0.5)
         if not len(self.labels):
             return out
@@ -94,6 +97,7 @@ class Model:
             top = np.argpartition(-near, k - 1, axis=1)[:, :k]
             w = np.maximum(np.take_along_axis(near, top, 1), 1e-6).astype(np.float64) ** 8
             out[at:at + 256] = (w * self.labels[top]).sum(1) / w.sum(1)
+        out[~counts.any(1)] = self.labels.mean(dtype=np.float64)
         return np.clip(out, 0, 1)
 
 
@@ -130,7 +134,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
           held_col: str = "held_out", neighbours: int = 25, fold: int = 5) -> DataFrame:
     """``docs`` with ``held_col`` and ``score_col`` (0 to 1; higher: label 1 is likelier) for every whole text.
 
-    Null, empty and word-less texts are scored as texts without terms.  A null id is not held out.
+    Null, empty and word-less texts get the share of label 1 among the labelled texts.  A null id is not held out.
     Repeated rows come back as they are; the new names must differ from the old ones.
     """
     small_batches(docs.sparkSession)

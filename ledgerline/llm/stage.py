@@ -8,12 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one only where none is set (tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``.  Unset: a local one on a local master (tests), else an error."""
     sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="llm-checkpoint-"))
-    return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    return named or sc.getCheckpointDir()
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def cut(df: DataFrame) -> DataFrame:

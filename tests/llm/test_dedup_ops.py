@@ -68,6 +68,14 @@ def test_keep_one(docs_of, edge_rows):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([1, 3, 4, 5, None, None, 6, 7], key=str)
 
 
+def test_keep_one_keeps_columns_of_any_name(docs_of):
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "z y x"), (3, "k l m"), (3, None)]
+    docs = docs_of(rows).selectExpr("doc_id", "text", "'x' as own_id", "'y' as Place", "'z' as _id", "'w' as _gone")
+    kept = keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.collect()) == [(1, "a b c d e f g", "x", "y", "z", "w"), (3, "k l m", "x", "y", "z", "w")]
+
+
 def brute_removed(rows, span):
     first = {}
     for i, t in sorted(rows):

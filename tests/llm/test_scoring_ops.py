@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from ledgerline.llm import lm_score, packing, quality
@@ -91,6 +92,28 @@ def test_quality_held_out(spark, sf):
     assert len(rows) > 50 and right >= 0.95 * len(rows)
 
 
+def test_quality_votes_recomputed(spark, documents, sf):
+    model = quality.fit(documents, spark.read.parquet(f"{sf}/labels.parquet"))
+    rows = documents.select("doc_id", "text").collect()
+    got = {r.doc_id: r.score for r in quality.score(documents.select("doc_id", "text"), model).collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        (_, _, counts), = quality.term_counts(pa.array([r.text]))
+        terms = {int(t): math.sqrt(counts[0][t] / counts[0].sum()) * float(model.weight[t]) for t in np.flatnonzero(counts[0])}
+        v = sum((w * model.basis[t].astype(float) for t, w in terms.items()), np.zeros(model.basis.shape[1]))
+        v = v / np.linalg.norm(v)
+        near = sorted(((float(v @ m), int(y)) for m, y in zip(model.vectors.astype(float), model.labels)), reverse=True)
+        votes = [(max(s, 1e-6) ** 8, y) for s, y in near[:25]]
+        assert abs(got[r.doc_id] - sum(w * y for w, y in votes) / sum(w for w, _ in votes)) < 2e-3
+
+
+def test_quality_of_texts_without_terms_is_the_label_share(spark, docs_of):
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(40)], "doc_id long, quality int")
+    model = quality.fit(docs_of([(i, f"text {i} " * (1 + i % 3)) for i in range(40)]), labels)
+    got = quality.score(docs_of([(1, None), (2, ""), (3, " \n")]), model, score_col="s", held_col="h").collect()
+    assert {r.s for r in got} == {float(model.labels.mean(dtype=np.float64))}
+
+
 def test_quality_edges(spark, docs_of, edge_rows):
     labels = spark.createDataFrame([(1, 1, 0), (3, 0, 0), (None, 1, 0), (7, None, 0), (2, 5, 0)], "doc_id long, quality int, toxic int")
     docs = docs_of(edge_rows)

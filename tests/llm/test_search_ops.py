@@ -1,5 +1,6 @@
 """Top-k search, archives, decontamination, licenses and the pipeline."""
 import gzip
+import re
 
 import numpy as np
 import pytest
@@ -8,7 +9,8 @@ from pyspark.sql import types as T
 import corpus_pipeline
 from ledgerline.llm import warc
 from ledgerline.llm.decontaminate import contaminated, decontaminate
-from ledgerline.llm.licenses import TEMPLATES, TEXTS, scan_licenses
+from ledgerline.llm.licenses import TEMPLATES, TEXTS, default_templates, scan_licenses
+from ledgerline.llm.native_words import EDGES
 from ledgerline.llm.queries import ORACLE, QUERIES
 from ledgerline.llm.topk_search import _reached, exact_top_k
 
@@ -147,6 +149,39 @@ def test_license_scan(documents):
     assert want and {r.doc_id for r in scan_licenses(documents).collect()} == want
 
 
+def brute_licenses(rows, templates):
+    """(doc, license, template, containment, start) of the best window of every text, by plain sets of words."""
+    def words(text):
+        low = [w.strip(EDGES).lower() for w in re.split("[ \\x09-\\x0d]+", text or "") if w]
+        at = [i for i, w in enumerate(low) if w]
+        w = [low[i] for i in at]
+        return at, [tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))] if w else []
+
+    known = [(t, name, set(words(text)[1]), len(words(text)[1])) for t, name, text in templates]
+    out = set()
+    for i, text in rows:
+        at, grams = words(text)
+        inside = set(grams)
+        for t, name, own, n in known:
+            if len(own & inside) < 0.8 * len(own):
+                continue
+            size = 1 << (n - 1).bit_length()
+            best = max((len(own & set(grams[s:s + 2 * size])) / len(own), -s) for s in range(0, len(grams), size))
+            if best[0] >= 0.8:
+                out.add((i, name, t, best[0], at[-best[1]]))
+    return out
+
+
+def test_license_scan_against_brute_force(spark, documents):
+    templates = [(r.template_id, r.license, r.text) for r in default_templates(spark).collect()]
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    full = max((t for _, _, t in templates), key=len)
+    rows += [(10_000 + t, f"some words before it {text} and after") for t, _, text in templates]
+    rows += [(20_000, "# " + "\n# ".join(full.split("\n"))), (20_001, full[:len(full) // 2]), (20_002, templates[1][2].replace("License", "Licence", 1))]
+    got = {tuple(r) for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_licenses(rows, templates)
+
+
 def test_license_edges(spark, docs_of, edge_rows):
     text = "pad " * 333 + "You may NOT use this file except in compliance with the License. You may obtain a copy of the license at once " + "pad " * 50
     rows = [*edge_rows, (30, text), (31, "Released under the MIT License."), (31, "Released under the MIT License.")]
@@ -205,3 +240,17 @@ def test_pipeline_decisions(spark, sf):
     assert safe.keys() == clean.keys() and all(not brute_spans(r.text) and r.n_chars == len(r.text) for r in safe.values())
     packed = corpus_pipeline.run(spark, sf).collect()
     check_packing([(i, r.text) for i, r in safe.items()], packed)
+
+
+def test_pipeline_of_hard_rows_and_none(spark, sf, edge_rows, tmp_path):
+    """Nulls, empty and long texts, repeated rows, clashing extra columns; and empty tables."""
+    extra = "array(1) as spans, 'm' as masked, true as held_out, 0.5D as score, 'i' as own_id, 'p' as place, 'c' as contaminated"
+    docs = spark.createDataFrame(edge_rows, "doc_id long, text string").selectExpr("doc_id", "text", "cast(length(text) as bigint) as n_chars", *extra.split(", "))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns and stage(spark, docs.limit(0), sf).collect() == [], name
+    assert stage(spark, docs, sf).count() == len(edge_rows)
+    docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
