@@ -18,14 +18,15 @@ from ledgerline.llm.decontaminate import decontaminate
 from ledgerline.llm.jaccard_join import keep_one
 from ledgerline.llm.pii import find_pii
 from ledgerline.llm.queries import QUALITY_BAR, pack, table
-from ledgerline.llm.stage import ensure_checkpoint_dir
+from ledgerline.llm.stage import ensure_checkpoint_dir, free_name
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score(docs, model, score_col="_score", held_col="_held")
-    return scored.where(F.col("_score") >= QUALITY_BAR).drop("_score", "_held")
+    score, held = free_name(docs, "score"), free_name(docs, "held_out")
+    scored = quality.score(docs, model, score_col=score, held_col=held)
+    return scored.where(F.col(score) >= QUALITY_BAR).drop(score, held)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,10 +41,11 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind; n_chars follows the text."""
-    found = find_pii(docs, spans_col="_spans", masked_col="_masked")
-    new = {"text": F.col("_masked")}
+    spans, masked = free_name(docs, "spans"), free_name(docs, "masked")
+    found = find_pii(docs, spans_col=spans, masked_col=masked)
+    new = {"text": F.col(masked)}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.size("_spans") > 0, F.length("_masked").cast("bigint")).otherwise(F.col("n_chars"))
+        new["n_chars"] = F.when(F.size(spans) > 0, F.length(masked).cast("bigint")).otherwise(F.col("n_chars"))
     return found.withColumns(new).select(docs.columns)
 
 
