@@ -64,8 +64,11 @@ def _rare_int(c: Column, type_name: str) -> Column:
 
 
 def to_decimal(c: Column, precision: int = 14, scale: int = 2) -> Column:
-    """TRY_CAST to DECIMAL(p,s): half-up rounding, overflow -> NULL."""
-    return _ungrouped(c).try_cast(f"decimal({precision},{scale})")
+    """TRY_CAST to DECIMAL(p,s): half-up rounding, overflow -> NULL.
+
+    No number holds a comma; the cast would find out by an exception with its stack trace.
+    """
+    return F.when(~c.contains(","), _ungrouped(c).try_cast(f"decimal({precision},{scale})"))
 
 
 def to_money(c: Column) -> Column:

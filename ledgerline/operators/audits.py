@@ -102,9 +102,12 @@ def null_rate(df: DataFrame, table: str, run_id: int = DEFAULT_RUN_ID, run_ts: s
 
 
 def duplicate_groups(df: DataFrame, key: str) -> DataFrame:
-    """``(cycle, issue_key, issue_count)`` for every key group (NULL key included)."""
-    return df.groupBy("cycle", F.col(key).cast("string").alias("issue_key")).agg(
-        F.count(F.lit(1)).alias("issue_count"))
+    """``(cycle, issue_key, issue_count)`` for every key group (NULL key included).
+
+    Grouped by the typed key, written as text only afterwards: an integer and its text name the same group.
+    """
+    return df.groupBy("cycle", F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("issue_count")).select(
+        "cycle", F.col("_key").cast("string").alias("issue_key"), "issue_count")
 
 
 def duplicate_key_issues(df: DataFrame, table: str, run_id: int = DEFAULT_RUN_ID) -> DataFrame:

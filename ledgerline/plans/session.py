@@ -6,6 +6,20 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+# HotSpot interprets methods of more bytecode than this for good.
+JIT_BYTES = 8000
+
+
+def compiled_methods(spark: SparkSession) -> None:
+    """Lower the session's limit for generated methods to what the JVM compiles.
+
+    A wide render or parse in one whole-stage method exceeds it and would run interpreted;
+    behind the limit Spark runs the stage operator by operator, each expression in methods of its own.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(name)) > JIT_BYTES:
+        spark.conf.set(name, str(JIT_BYTES))
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerline") -> SparkSession:
     spark = (
@@ -18,9 +32,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        # HotSpot does not JIT methods over 8000 bytes of bytecode; fall back to
-        # per-expression codegen instead of running one huge method interpreted.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.sql.codegen.hugeMethodLimit", str(JIT_BYTES))
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )

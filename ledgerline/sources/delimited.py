@@ -35,8 +35,11 @@ def field_count_ok(parts: Column, n: int) -> Column:
 
 
 def line_shape_ok(value: Column, n: int) -> Column:
-    """The same rule from the raw line: count delimiters instead of splitting."""
-    delims = F.length(value) - F.length(F.translate(value, "|", ""))
+    """The same rule from the raw line: count delimiters instead of splitting.
+
+    In bytes: a delimiter is one, and neither ``octet_length`` nor ``replace`` walks characters.
+    """
+    delims = F.octet_length(value) - F.octet_length(F.replace(value, F.lit("|"), F.lit("")))
     return (delims <= n - 1) | ((delims == n) & value.endswith("|"))
 
 

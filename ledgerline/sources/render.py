@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.plans.joins import spread
+from ledgerline.plans.session import compiled_methods
 from ledgerline.sources.layouts import LAYOUTS
 
 # Cycles for which dimension files are rendered (fixture parameter).
@@ -260,6 +261,7 @@ def render_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """Spark frame of the landing lines of ``table`` as ``(cycle, value)``."""
     lo, hi = DIM_CYCLES
     out = None
+    compiled_methods(spark)
     for source, cyc, where, line in render_branches(table, "spark"):
         src = spark.read.parquet(f"{sf_dir}/{source}.parquet")
         # Prune to the columns the renders read *before* spreading: the spread
@@ -272,13 +274,16 @@ def render_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
         if source != "lineitem":
             # A generator, not a join: each dimension row is emitted once per cycle.
             src = src.select("*", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.lit(2))).alias("cycle"))
-        # explode(array(line)) is a one-row generator used as an optimization
+        # explode(array(value)) is a one-row generator used as an optimization
         # barrier: filters on ``value`` (blank / UTF-8 / field count) cannot be
         # inlined below it, so the wide render expression is evaluated once per
-        # row instead of once per predicate inside one huge codegen method.
+        # row instead of once per predicate.  The line is projected before it:
+        # an expression inside a generator is walked node by node outside of
+        # whole-stage code.
         if where != "true":
             src = src.where(F.expr(where))
-        part = src.select(F.expr(cyc).cast("int").alias("cycle"), F.explode(F.array(F.expr(line))).alias("value"))
+        line_of = src.select(F.expr(cyc).cast("int").alias("cycle"), F.expr(line).alias("value"))
+        part = line_of.select("cycle", F.explode(F.array("value")).alias("value"))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -310,14 +315,18 @@ def quotable_sql(dialect: str = "duckdb") -> tuple[str, list[str]]:
 
 
 def write_quoted_files(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """One text file per cycle below ``path`` (``cycle=Y``): quoted or literal, see QUOTED_CYCLE."""
+    """Text files per cycle below ``path`` (``cycle=Y``): quoted or literal, see QUOTED_CYCLE.
+
+    A cycle's rows are dealt to tasks by size, so that none holds a whole cycle; each task writes a file of its own.
+    """
+    compiled_methods(spark)
     fields = _quotable_fields("spark")
     li = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
     row = li.select(F.expr(FACT_CYCLE).alias("cycle"), F.expr(f"array({', '.join(fields)})").alias("fields"))
     written = F.transform("fields", lambda x: F.when(x.rlike('[|"\n]'), F.concat(F.lit('"'), F.replace(x, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(x))
     value = F.array_join(F.when(F.expr(QUOTED_CYCLE), written).otherwise(F.col("fields")), "|")
     # the text writer ends a row with a line feed and leaves those inside as they are
-    row.select("cycle", value.alias("value")).repartition(16, "cycle").write.partitionBy("cycle").text(path)
+    row.select("cycle", value.alias("value")).hint("rebalance", "cycle").write.partitionBy("cycle").text(path)
 
 
 # --- lines of archives ------------------------------------------------------------------------
