@@ -11,7 +11,7 @@ from ledgerline.plans.catalog import register
 from ledgerline.plans.joins import shared_folder
 from ledgerline.plans.oracle_sql import duck_clean, lines_sql, typed_sql
 from ledgerline.plans.tables import lines, typed
-from ledgerline.sources.delimited import field_count_ok, split_fields
+from ledgerline.sources.delimited import shaped_fields
 from ledgerline.sources.layouts import LAYOUTS
 from ledgerline.sources.quoted import parse_records, read_records
 from ledgerline.sources.render import QUOTED_CYCLE, quotable_sql, write_quoted_files
@@ -44,7 +44,7 @@ for _t in LAYOUTS:
 def scan_delimited(spark, sf_dir):
     """pas2 lines split on ``|``: field count, first/16th/last field, and the padded slot 23."""
     parts = F.col("_parts")
-    df = split_fields(lines(spark, sf_dir, "pas2")).where(field_count_ok(parts, 22))
+    df = shaped_fields(lines(spark, sf_dir, "pas2"), 22)
     return df.select(
         "cycle",
         F.size(parts).cast("bigint").alias("n_fields"),
@@ -96,7 +96,7 @@ def scan_fields(spark, sf_dir):
     """
     slots = None
     for table, lay in LAYOUTS.items():
-        rows = split_fields(lines(spark, sf_dir, table)).where(field_count_ok(F.col("_parts"), len(lay.columns)))
+        rows = shaped_fields(lines(spark, sf_dir, table), len(lay.columns))
         own = rows.select(F.lit(table).alias("table_name"), "cycle", F.posexplode("_parts").alias("at", "text"))
         own = own.groupBy("table_name", "cycle", "at", "text").agg(F.count(F.lit(1)).alias("n"))
         slots = own if slots is None else slots.unionByName(own)
@@ -132,7 +132,7 @@ def _clean_query(kind: str):
         raw = None
         for table, at in _places(kind).items():
             parts = F.col("_parts")
-            rows = split_fields(lines(spark, sf_dir, table)).where(field_count_ok(parts, len(LAYOUTS[table].columns)))
+            rows = shaped_fields(lines(spark, sf_dir, table), len(LAYOUTS[table].columns))
             part = rows.select(F.explode(F.array(*[F.get(parts, i) for i in at])).alias("raw_value"))
             raw = part if raw is None else raw.unionByName(part)
         # Clean each distinct raw text once: partial aggregation keeps the shuffle

@@ -51,6 +51,11 @@ def split_fields(lines: DataFrame, value_col: str = "value") -> DataFrame:
     return lines.where(_usable(F.col(value_col))).withColumn(_PARTS, F.split(F.col(value_col), r"\|", -1))
 
 
+def shaped_fields(lines: DataFrame, n: int, value_col: str = "value") -> DataFrame:
+    """``split_fields`` of the lines with the shape of ``n`` fields: a rule on the array would split again in the pushed filter."""
+    return split_fields(lines.where(line_shape_ok(F.col(value_col), n)), value_col)
+
+
 def parse_lines(
     lines: DataFrame,
     layout: Layout,

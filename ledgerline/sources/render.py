@@ -274,16 +274,16 @@ def render_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
         if source != "lineitem":
             # A generator, not a join: each dimension row is emitted once per cycle.
             src = src.select("*", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.lit(2))).alias("cycle"))
-        # explode(array(value)) is a one-row generator used as an optimization
-        # barrier: filters on ``value`` (blank / UTF-8 / field count) cannot be
-        # inlined below it, so the wide render expression is evaluated once per
-        # row instead of once per predicate.  The line is projected before it:
-        # an expression inside a generator is walked node by node outside of
-        # whole-stage code.
+        # A one-row generator is used as an optimization barrier: filters on
+        # ``value`` (blank / UTF-8 / field count) cannot be inlined below it, so
+        # the wide render expression is evaluated once per row instead of once
+        # per predicate.  The line is projected before it, since expressions of a
+        # generator are walked node by node; the lambda, which has no generated
+        # code, ends the stage there, so what reads the lines is compiled by itself.
         if where != "true":
             src = src.where(F.expr(where))
         line_of = src.select(F.expr(cyc).cast("int").alias("cycle"), F.expr(line).alias("value"))
-        part = line_of.select("cycle", F.explode(F.array("value")).alias("value"))
+        part = line_of.select("cycle", F.explode(F.transform(F.array("value"), lambda x: x)).alias("value"))
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.clean import to_money
 from ledgerline.plans.session import JIT_BYTES
-from ledgerline.sources.delimited import line_shape_ok
+from ledgerline.sources.delimited import field_count_ok, line_shape_ok, shaped_fields, split_fields
 from ledgerline.sources.render import render_lines, write_quoted_files
 
 LIMIT = "spark.sql.codegen.hugeMethodLimit"
@@ -66,3 +66,12 @@ def test_a_cycle_with_quotes_is_written_by_several_tasks(spark, lineitem, tmp_pa
         spark.conf.set(size, before)
     for cycle in (1996, 1998):
         assert len(glob.glob(f"{tmp_path}/out/cycle={cycle}/part-*")) > 1
+
+
+def test_shaped_lines_are_split_once(spark):
+    texts = ["a|b|c", "a|b|c|", "a|b|c|d", "", "a", "|||"]
+    df = shaped_fields(spark.createDataFrame([(t,) for t in texts], "value string"), 3)
+    old = split_fields(spark.createDataFrame([(t,) for t in texts], "value string")).where(field_count_ok(F.col("_parts"), 3))
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, old.collect()))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
