@@ -39,6 +39,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(int(want), F.xxhash64(*df.columns)) if want else df
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Fixture frames of narrow rows that many lines are made of: dealt by hash over all cores, or as ``spread`` says.
+
+    A file of less than a row group (a million rows) is one task otherwise, whatever is computed from its rows.
+    """
+    want = df.sparkSession.conf.get(SPREAD, None) or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(int(want), F.xxhash64(*df.columns))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The shared folder that ``spark.checkpoint.dir`` names.  Unset: a local one on a local master (tests), else an error."""
     sc = spark.sparkContext

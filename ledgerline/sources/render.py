@@ -23,7 +23,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.plans.joins import spread
+from ledgerline.plans.joins import dealt, spread
 from ledgerline.plans.session import compiled_methods
 from ledgerline.sources.layouts import LAYOUTS
 
@@ -270,7 +270,8 @@ def render_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
         # The set is per source, not per table, so every table rendered from
         # one source shares one spread exchange (reused within a query).
         used = _source_text(source)
-        src = spread(src.select(*[c for c in src.columns if re.search(rf"\b{c}\b", used)]))
+        src = src.select(*[c for c in src.columns if re.search(rf"\b{c}\b", used)])
+        src = spread(src) if source == "lineitem" else dealt(src)
         if source != "lineitem":
             # A generator, not a join: each dimension row is emitted once per cycle.
             src = src.select("*", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.lit(2))).alias("cycle"))
