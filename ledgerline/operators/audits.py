@@ -29,11 +29,13 @@ rows with zero counts instead of no rows at all.
 
 Each audit is one aggregate pass per table (wide ``agg`` + ``stack``); the
 duplicate audit shuffles on the key once, with partial aggregation first.
+``audit_pass`` does several audits of all tables with one scan per table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -134,6 +136,10 @@ def duplicate_key_summary(df: DataFrame, table: str, run_id: int = DEFAULT_RUN_I
         F.coalesce(F.sum(F.when(dup, F.col("issue_count"))), F.lit(0)).alias("dup_rows"),
         F.count_if(dup).alias("dup_groups"),
     ), cycles)
+    return _duplicate_summary(per_cycle, table, run_id, run_ts)
+
+
+def _duplicate_summary(per_cycle: DataFrame, table: str, run_id: int, run_ts: str) -> DataFrame:
     return per_cycle.select(
         F.lit(run_id).cast("bigint").alias("run_id"),
         F.col("cycle").cast("bigint").alias("cycle"),
@@ -165,21 +171,25 @@ def referential_orphans(table: Callable[[str], DataFrame], child: str, run_id: i
     return _metrics(long, child, "referential_orphan", run_id, run_ts, "orphan_rows")
 
 
-def amount_date_domain(df: DataFrame, table: str, lo: float = 0.0, hi: float = 50000.0,
-                       run_id: int = DEFAULT_RUN_ID, run_ts: str = DEFAULT_RUN_TS,
-                       amount: str = "TRANSACTION_AMT", date: str = "TRANSACTION_DT",
-                       cycles: DataFrame | None = None) -> DataFrame:
-    """H4; ``df`` must carry ``<amount>_raw`` and ``<date>_raw`` (see ``parse_lines(keep_raw=...)``)."""
+def domain_rules(lo: float, hi: float, amount: str = "TRANSACTION_AMT", date: str = "TRANSACTION_DT") -> dict[str, Column]:
+    """H4: the condition that breaks each rule."""
     amt, dt = F.col(amount), F.col(date)
     present = lambda raw: F.coalesce(F.trim(F.col(raw)), F.lit("")) != ""
     lo_c, hi_c = F.lit(lo).cast("decimal(14,2)"), F.lit(hi).cast("decimal(14,2)")
-    year = F.year(dt)
-    rules = {
+    return {
         "amount_unparseable": present(f"{amount}_raw") & amt.isNull(),
         "amount_out_of_range": amt.isNotNull() & ((amt < lo_c) | (amt > hi_c)),
         "date_unparseable": present(f"{date}_raw") & dt.isNull(),
-        "date_out_of_cycle": dt.isNotNull() & ~year.isin(F.col("cycle") - 1, F.col("cycle")),
+        "date_out_of_cycle": dt.isNotNull() & ~F.year(dt).isin(F.col("cycle") - 1, F.col("cycle")),
     }
+
+
+def amount_date_domain(df: DataFrame, table: str, lo: float = 0.0, hi: float = 50000.0,
+                       run_id: int = DEFAULT_RUN_ID, run_ts: str = DEFAULT_RUN_TS,
+                       amount: str = "TRANSACTION_AMT", date: str = "TRANSACTION_DT",
+                       cycles: DataFrame | None = None) -> DataFrame:
+    """H4; ``df`` must carry ``<amount>_raw`` and ``<date>_raw`` (see ``parse_lines(keep_raw=...)``)."""
+    rules = domain_rules(lo, hi, amount, date)
     wide = df.groupBy("cycle").agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.count_if(cond).alias(f"c_{i}") for i, cond in enumerate(rules.values())],
@@ -248,46 +258,106 @@ def replace_slices(old: DataFrame, new: DataFrame, covered: DataFrame) -> DataFr
     return old.join(covered.select(*keys).distinct(), keys, "left_anti").unionByName(new)
 
 
+# ---------------------------------------------------------------- several audits in one scan per table
+
+#: ``_kind`` of a group: the rows themselves by the conditions they meet, a relationship edge (0, 1, ...), the duplicate key.
+ROWS, DUPLICATES = -1, -2
+_GROUP = ["cycle", "_kind", "_key", "_id"]
 
-def table_audit_metrics(table: Callable[..., DataFrame], name: str, run_id: int = DEFAULT_RUN_ID,
-                        run_ts: str = DEFAULT_RUN_TS, lo: float = 0.0, hi: float = 50000.0,
-                        parents: dict[tuple[str, str], DataFrame] | None = None,
-                        domain: bool = True, cycles: DataFrame | None = None) -> DataFrame:
-    """Null-rate + referential-orphan + domain metrics of one table from **one** scan.
 
-    Key counts of every edge carry the null and domain counts beside them
-    (``operators.edges``), and the three metric families are ``stack``-ed from the
-    one row per cycle, so the table is read and partially aggregated once.
-    ``table(name, keep_raw=...)`` returns a typed table.
+def _conditions(name: str, ranges: dict[str, tuple[float, float]]) -> dict[str, Column]:
+    """Condition of every null count and, per amount range of a fact, of every domain rule; by the name of its count."""
+    conds = {f"n_{i}": F.col(c).isNull() for i, c in enumerate(LAYOUTS[name].names)}
+    if name in FACTS:
+        for family, (lo, hi) in ranges.items():
+            conds |= {f"{family}_{i}": cond for i, cond in enumerate(domain_rules(lo, hi).values())}
+    return conds
+
+
+def audit_groups(df: DataFrame, name: str, conds: dict[str, Column], edges: list, duplicates: bool) -> DataFrame:
+    """``(table_name, cycle, _kind, _key, _id, n)``: what all audits of a table count, from one scan and one exchange.
+
+    Each row is a line of its conditions as bits, one per edge value and one of its duplicate key; lines
+    are counted.  An integer duplicate key stays one (``_id``); groups of one row are dropped.
     """
-    cols = LAYOUTS[name].names
-    edges = edges_of(name, DATA_TESTS)
-    with_domain = domain and name in FACTS
-    raw = ("TRANSACTION_AMT", "TRANSACTION_DT") if with_domain else ()
-    df = table(name, keep_raw=raw) if raw else table(name)
-    parents = parents_of(edges, table, parents)
-    beside = {"rows": None} | {f"n_{i}": F.col(c).isNull() for i, c in enumerate(cols)}
-    rules: list[str] = []
-    if with_domain:
-        amt, dt = F.col("TRANSACTION_AMT"), F.col("TRANSACTION_DT")
-        present = lambda r: F.coalesce(F.trim(F.col(r)), F.lit("")) != ""
-        lo_c, hi_c = F.lit(lo).cast("decimal(14,2)"), F.lit(hi).cast("decimal(14,2)")
-        conds = {
-            "amount_unparseable": present("TRANSACTION_AMT_raw") & amt.isNull(),
-            "amount_out_of_range": amt.isNotNull() & ((amt < lo_c) | (amt > hi_c)),
-            "date_unparseable": present("TRANSACTION_DT_raw") & dt.isNull(),
-            "date_out_of_cycle": dt.isNotNull() & ~F.year(dt).isin(F.col("cycle") - 1, F.col("cycle")),
-        }
-        rules = list(conds)
-        beside |= {f"d_{i}": cond for i, cond in enumerate(conds.values())}
-    wide = every_cycle(edge_counts(df, edges, parents, beside), cycles)
-    # ONE generator over the one aggregate: every family reads the same wide row,
-    # so column pruning cannot split the aggregate (and its scan) per family.
-    entries = [("null_rate", c, f"n_{i}", "rows") for i, c in enumerate(cols)]
-    entries += [("referential_orphan", edge_name(t), f"orphans_{j}", f"present_{j}") for j, t in enumerate(edges)]
-    entries += [("amount_date_domain", r, f"d_{i}", "rows") for i, r in enumerate(rules)]
+    bits = [F.when(c, F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint")) for i, c in enumerate(conds.values())]
+    text, number = "cast(null as string)", "cast(null as bigint)"
+    lines = [f"{ROWS}, {text}, _bits"] + [f"{i}, cast({t.column} as string), {number}" for i, t in enumerate(edges)]
+    key = DUPLICATE_KEYS[name]
+    if duplicates:
+        lines.append(f"{DUPLICATES}, " + (f"{text}, {key}" if LAYOUTS[name].kind(key) == "b" else f"{key}, {number}"))
+    used = {t.column for t in edges} | ({key} if duplicates else set())
+    rows = df.select("cycle", reduce(Column.bitwiseOR, bits).alias("_bits"), *sorted(used))
+    tagged = rows.selectExpr("cycle", f"stack({len(lines)}, {', '.join(lines)}) as (_kind, _key, _id)")
+    counted = tagged.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("n"))
+    if duplicates:
+        counted = counted.where((F.col("_kind") != DUPLICATES) | (F.col("n") > 1))
+    return counted.select(F.lit(name).alias("table_name"), *_GROUP, "n")
+
+
+def audit_pass(table: Callable[[str], DataFrame], names: Iterable[str], ranges: dict[str, tuple[float, float]],
+               parents: dict[tuple[str, str], DataFrame] | None = None, edges: bool = True,
+               duplicates: bool = True) -> tuple[DataFrame, DataFrame]:
+    """All audits of ``names``, each table scanned once: ``(groups, wide)``, both checkpointed.
+
+    ``groups``: findings-sized, see ``audit_groups``.  ``wide``: one row per table and cycle with ``rows``, the count
+    of every condition (``n_<column>``, ``<range>_<rule>``), ``orphans_<edge>``, ``present_<edge>``, and rows and
+    number of duplicate groups.  ``table(name)`` returns a typed table, facts with raw amount and date.
+    """
+    names = list(names)
+    own = {n: edges_of(n, DATA_TESTS) if edges else [] for n in names}
+    conds = {n: _conditions(n, ranges) for n in names}
+    groups = materialize(reduce(DataFrame.unionByName, [
+        audit_groups(table(n), n, conds[n], own[n], duplicates) for n in names]))
+    kind, n = F.col("_kind"), F.col("n")
+    # The parent column of an edge group; parent keys carry the same number.
+    known = parents_of([t for ts in own.values() for t in ts], table, parents) if edges else {}
+    at = {parent: i for i, parent in enumerate(known)}
+    parent = F.lit(None).cast("int")
+    for name, ts in own.items():
+        for i, t in enumerate(ts):
+            parent = F.when((F.col("table_name") == name) & (kind == i), F.lit(at[t.parent_table, t.parent_column])).otherwise(parent)
+    counted = groups.withColumn("_hit", F.lit(None).cast("boolean"))
+    if known:
+        keys = reduce(DataFrame.unionByName, [
+            f.select("cycle", F.lit(at[p]).alias("_parent"), "_key") for p, f in known.items()]).distinct()
+        met = groups.where(kind >= 0).withColumn("_parent", parent).join(
+            keys.withColumn("_hit", F.lit(True)), ["cycle", "_parent", "_key"], "left")
+        counted = counted.where(kind < 0).unionByName(met.select(*counted.columns))
+    total = lambda cond, alias: F.sum(F.when(cond, n).otherwise(0)).alias(alias)
+    bits: dict[str, dict[int, list[str]]] = {}  # the place of a condition among the bits differs by table
+    for name, ts in conds.items():
+        for i, c in enumerate(ts):
+            bits.setdefault(c, {}).setdefault(i, []).append(name)
+    meets = lambda c: reduce(Column.__or__, [
+        F.col("table_name").isin(ts) & (F.col("_id").bitwiseAND(F.lit(1 << i).cast("bigint")) != 0) for i, ts in bits[c].items()])
+    out = [total(kind == ROWS, "rows")] + [total((kind == ROWS) & meets(c), c) for c in bits]
+    for i in range(max(map(len, own.values()))):
+        present = (kind == i) & F.col("_key").isNotNull()
+        out += [total(present & F.col("_hit").isNull(), f"orphans_{i}"), total(present, f"present_{i}")]
+    out += [total(kind == DUPLICATES, "dup_rows"), F.count_if(kind == DUPLICATES).alias("dup_groups")]
+    return groups, materialize(counted.groupBy("table_name", "cycle").agg(*out))
+
+
+def pass_metrics(wide: DataFrame, name: str, families: Iterable[str], run_id: int = DEFAULT_RUN_ID,
+                 run_ts: str = DEFAULT_RUN_TS, domain: str = "d", cycles: DataFrame | None = None) -> DataFrame | None:
+    """Metric rows of ``name`` from the ``wide`` of ``audit_pass``: the audits in ``families``, None if it has none of them.
+
+    ``domain`` names the amount range of the domain audit.
+    """
+    entries = []
+    if "null_rate" in families:
+        entries += [("null_rate", c, f"n_{i}", "rows") for i, c in enumerate(LAYOUTS[name].names)]
+    if "referential_orphan" in families:
+        entries += [("referential_orphan", edge_name(t), f"orphans_{j}", f"present_{j}")
+                    for j, t in enumerate(edges_of(name, DATA_TESTS))]
+    if "amount_date_domain" in families and name in FACTS:
+        entries += [("amount_date_domain", r, f"{domain}_{i}", "rows") for i, r in enumerate(domain_rules(0, 0))]
+    if not entries:
+        return None
     pairs = ", ".join(f"'{fam}', '{key}', `{cnt}`, `{rows}`" for fam, key, cnt, rows in entries)
-    long = wide.selectExpr("cycle", f"stack({len(entries)}, {pairs}) as (metric_name, issue_key, issue_count, rows)")
+    own = every_cycle(wide.where(F.col("table_name") == name).drop("table_name"), cycles)
+    long = own.selectExpr("cycle", f"stack({len(entries)}, {pairs}) as (metric_name, issue_key, issue_count, rows)")
     details = (F.when(F.col("metric_name") == "null_rate", "null_rows")
                .when(F.col("metric_name") == "referential_orphan", "orphan_rows").otherwise("rows"))
     value = F.when(F.col("rows") > 0, F.col("issue_count") / F.col("rows")).otherwise(F.lit(0.0))
@@ -297,3 +367,25 @@ def table_audit_metrics(table: Callable[..., DataFrame], name: str, run_id: int
         F.when(F.col("issue_count") > 0, "warn").otherwise("pass").alias("status"),
         _ts(run_ts).alias("computed_at"), "issue_key", F.col("issue_count").cast("bigint").alias("issue_count"),
         F.concat(details, F.lit("="), F.col("issue_count").cast("string")).alias("issue_details"))
+
+
+def pass_duplicate_issues(groups: DataFrame, run_id: int = DEFAULT_RUN_ID) -> DataFrame:
+    """H2 issue rows of every table from the ``groups`` of ``audit_pass``."""
+    found = groups.where(F.col("_kind") == DUPLICATES).withColumn("issue_key", F.coalesce("_key", F.col("_id").cast("string")))
+    return found.select(
+        F.lit(run_id).cast("bigint").alias("run_id"),
+        F.col("cycle").cast("bigint").alias("cycle"),
+        "table_name",
+        F.lit("duplicate_key").alias("issue_type"),
+        F.lit("warn").alias("severity"),
+        "issue_key",
+        F.col("n").cast("bigint").alias("issue_count"),
+        F.concat(F.lit("duplicate_rows="), F.col("n").cast("string")).alias("issue_details"),
+    )
+
+
+def pass_duplicate_summary(wide: DataFrame, name: str, run_id: int = DEFAULT_RUN_ID, run_ts: str = DEFAULT_RUN_TS,
+                           cycles: DataFrame | None = None) -> DataFrame:
+    """H2 summary of ``name`` from the ``wide`` of ``audit_pass``."""
+    own = wide.where(F.col("table_name") == name).select("cycle", "dup_rows", "dup_groups")
+    return _duplicate_summary(every_cycle(own, cycles), name, run_id, run_ts)

@@ -61,15 +61,29 @@ def _domain(t: Tables, hi: float = DOMAIN_HI) -> DataFrame:
         for n in FACTS])
 
 
-def _all_metrics(t: Tables) -> DataFrame:
-    """Null-rate, orphan and domain metrics of every table: one fused pass per table."""
-    return _union([A.table_audit_metrics(lambda name, keep_raw=(): _table(t, name), n, RUN_ID, RUN_TS,
-                                         hi=DOMAIN_HI, parents=t.parents, cycles=t.cycles)
-                   for n in ALL_TABLES])
+FAMILIES = ("null_rate", "referential_orphan", "amount_date_domain")
+
+
+def _pass(t: Tables, ranges=None, **options) -> tuple[DataFrame, DataFrame]:
+    """Groups and counts of every table from one scan each."""
+    return A.audit_pass(lambda n: _table(t, n), ALL_TABLES, ranges or {"d": (0.0, DOMAIN_HI)}, parents=t.parents, **options)
+
+
+def _metrics(t: Tables, wide: DataFrame, families=FAMILIES, domain: str = "d") -> DataFrame:
+    parts = [A.pass_metrics(wide, n, families, RUN_ID, RUN_TS, domain=domain, cycles=t.cycles) for n in ALL_TABLES]
+    return _union([p for p in parts if p is not None])
 
 
 def _issue_log(t: Tables) -> DataFrame:
-    return A.issue_log(_all_metrics(t)).unionByName(_dup_issues(t).withColumn("detected_at", A._ts(RUN_TS)))
+    groups, wide = _pass(t)
+    return A.issue_log(_metrics(t, wide)).unionByName(A.pass_duplicate_issues(groups).withColumn("detected_at", A._ts(RUN_TS)))
+
+
+def rerun_metrics(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Metrics of null rate, of the domain audit with a tighter range and of the domain audit: one scan per table."""
+    _, wide = _pass(t, {"d": (0.0, DOMAIN_HI), "old": (0.0, RERUN_OLD_HI)}, edges=False, duplicates=False)
+    domain = ("amount_date_domain",)
+    return _metrics(t, wide, ("null_rate",)), _metrics(t, wide, domain, "old"), _metrics(t, wide, domain)
 
 
 @register("qa_null_rate")
@@ -100,7 +114,8 @@ def qa_amount_date_domain(spark, sf_dir):
 @register("qa_run_summary")
 def qa_run_summary(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return A.summary(_all_metrics(t)).unionByName(_dup_summary(t))
+    _, wide = _pass(t)
+    return A.summary(_metrics(t, wide)).unionByName(_union([A.pass_duplicate_summary(wide, n, cycles=t.cycles) for n in ALL_TABLES]))
 
 
 @register("qa_issue_log")
@@ -122,8 +137,8 @@ def qa_issue_ids_unique(spark, sf_dir):
 def qa_rerun_replace(spark, sf_dir):
     """Old log (null-rate + domain with a tighter range) re-run for the domain audit."""
     t = Tables(spark, sf_dir)
-    old = A.issue_log(_null_rate(t)).unionByName(A.issue_log(_domain(t, hi=RERUN_OLD_HI)))
-    new_metrics = _domain(t)
+    old_null, old_domain, new_metrics = rerun_metrics(t)
+    old = A.issue_log(old_null).unionByName(A.issue_log(old_domain))
     covered = new_metrics.select("run_id", "cycle", "table_name", new_metrics["metric_name"].alias("issue_type"))
     return A.replace_slices(old, A.issue_log(new_metrics), covered)
 

@@ -92,10 +92,9 @@ def refresh_issue_log(spark, sf_dir):
     """The audit log stored in slices, then the domain audit re-run: its slices replaced, ids going on from the rest."""
     root = _folder(spark, "issue-log")
     t = Tables(spark, sf_dir)
-    old_null, old_domain = Q._null_rate(t), Q._domain(t, hi=Q.RERUN_OLD_HI)
+    old_null, old_domain, again = Q.rerun_metrics(t)
     first = A.assign_issue_ids(A.issue_log(old_null).unionByName(A.issue_log(old_domain)))
     sinks.replace_log_slices(first, _covered(old_null.unionByName(old_domain)), root)
-    again = Q._domain(t)
     covered = _covered(again)
     last = sinks.last_issue_id(spark, covered, root)
     sinks.replace_log_slices(A.assign_issue_ids(A.issue_log(again), existing_max=last), covered, root)
