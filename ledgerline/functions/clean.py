@@ -21,6 +21,9 @@ restates the behaviour with built-in expressions:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,17 +48,35 @@ def _ungrouped(c: Column) -> Column:
     return F.when(c.contains("_"), F.regexp_replace(c, DIGIT_GROUPS, "")).otherwise(c)
 
 
+def _bound(c: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(c)`` with ``c`` evaluated once, outside the generated code.
+
+    For texts that are rare: an expression that names its text often is generated once for each
+    time, and a method beyond what the JVM compiles slows down the plain texts beside it.
+    """
+    return F.get(F.transform(F.array(c), body), 0)
+
+
+def _holds_none(c: Column, letters: str) -> Column:
+    return reduce(Column.__and__, [~c.contains(x) for x in letters])
+
+
 def to_int(c: Column, type_name: str = "bigint") -> Column:
     """TRY_CAST of text to an integer type, rounding fractions half away from zero.
 
-    Plain digits, nearly all values, end at the first cast; the rest is only tried behind it.
+    Plain digits, nearly all values, end at the first cast; the rest is only tried behind it.  A text with one of
+    ``._xX`` is none, which the cast would find out by an exception with its stack trace.
     """
-    return F.coalesce(c.try_cast(type_name), _rare_int(c, type_name))
+    rare = F.when(c.isNotNull(), _bound(c, lambda t: _rare_int(t, type_name)))
+    return F.coalesce(F.when(_holds_none(c, "._xX"), c.try_cast(type_name)), rare)
 
 
 def _rare_int(c: Column, type_name: str) -> Column:
     """Fractions, exponents, digit groups, hexadecimal and binary texts."""
-    t = _ungrouped(c)
+    return _bound(_ungrouped(c), lambda t: _rare_ungrouped(t, type_name))
+
+
+def _rare_ungrouped(t: Column, type_name: str) -> Column:
     plain = F.when(t.contains("."), F.regexp_replace(t, FRACTION_TAIL, "$1$2")).otherwise(t)
     number = F.round(plain.try_cast("decimal(38,18)"), 0)
     coded = (F.when(t.rlike("^0[xX]0*[0-9A-Fa-f]{1,16}$"), F.conv(F.substring(t, 3, 1000), 16, 10))
@@ -66,9 +87,11 @@ def _rare_int(c: Column, type_name: str) -> Column:
 def to_decimal(c: Column, precision: int = 14, scale: int = 2) -> Column:
     """TRY_CAST to DECIMAL(p,s): half-up rounding, overflow -> NULL.
 
-    No number holds a comma; the cast would find out by an exception with its stack trace.
+    No number holds a comma or an x; the cast would find out by an exception with its stack trace.
     """
-    return F.when(~c.contains(","), _ungrouped(c).try_cast(f"decimal({precision},{scale})"))
+    kind = f"decimal({precision},{scale})"
+    grouped = _bound(c, lambda t: F.regexp_replace(t, DIGIT_GROUPS, "").try_cast(kind))
+    return F.when(_holds_none(c, ",xX"), F.when(c.contains("_"), grouped).otherwise(c.try_cast(kind)))
 
 
 def to_money(c: Column) -> Column:
@@ -101,11 +124,13 @@ def date_mdy(c: Column) -> Column:
 
     One digit-shape check, then fixed substrings (month 2, day 2, year 1..4
     digits) re-joined as ISO text for the cast parser -- no per-part regex and
-    no pattern formatter on the hot path.
+    no pattern formatter on the hot path.  Month and day are whole here, so only
+    the year is padded; a month 13 ends before the cast.
     """
-    t = trimmed(c)
-    return F.when(t.rlike(MDY_COMPACT),
-                  _ymd_date(F.substring(t, 5, 4), F.substring(t, 1, 2), F.substring(t, 3, 2)))
+    t = F.trim(c)
+    m, d = F.substring(t, 1, 2), F.substring(t, 3, 2)
+    iso = F.concat(F.lpad(F.substring(t, 5, 4), 4, "0"), F.lit("-"), m, F.lit("-"), d)
+    return F.when(t.rlike(MDY_COMPACT) & m.between("01", "12") & d.between("01", "31"), iso.try_cast("date"))
 
 
 def date_mdy_slashed(c: Column) -> Column:
