@@ -162,13 +162,13 @@ def dim_time(spark, sf_dir):
 @register("dim_election", DIM_ELECTION_SQL)
 def dim_election(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return M.dim_election([t.get(f) for f in FACTS])
+    return M.dim_election([t.get(f, filtered=True) for f in FACTS])
 
 
 @register("dim_election_type", DIM_TYPE_SQL)
 def dim_election_type(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return M.dim_election_type([t.get(f) for f in FACTS])
+    return M.dim_election_type([t.get(f, filtered=True) for f in FACTS])
 
 
 @register("dim_office", DIM_OFFICE_SQL)
@@ -179,7 +179,7 @@ def dim_office(spark, sf_dir):
 @register("dim_contest", DIM_CONTEST_SQL)
 def dim_contest(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return M.dim_contest({f: t.get(f) for f in FACTS}, t.cm, t.cn)
+    return M.dim_contest({f: t.get(f, filtered=True) for f in FACTS}, t.cm, t.cn)
 
 
 @register("dim_codes", DIM_CODES_SQL)
@@ -213,7 +213,7 @@ def fact_transfers(spark, sf_dir):
 @register("fact_filings", FILINGS_SQL)
 def fact_filings(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return M.fact_filings({f: t.get(f) for f in FACTS})
+    return M.fact_filings({f: t.get(f, filtered=True) for f in FACTS})
 
 
 @register("fact_candidate_finance", FINANCE_SQL)

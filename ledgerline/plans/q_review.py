@@ -37,7 +37,7 @@ def null_key_profile(spark, sf_dir):
           f"where p.CAND_ID is null")
 def infer_candidate(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return R.infer_candidate(t.pas2, t.ccl)
+    return R.infer_candidate(t.get("pas2", filtered=True), t.ccl)
 
 
 @register("infer_candidate_summary",
@@ -47,7 +47,7 @@ def infer_candidate(spark, sf_dir):
           f"where p.CAND_ID is null group by all")
 def infer_candidate_summary(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return R.infer_candidate_summary(t.pas2, t.ccl)
+    return R.infer_candidate_summary(t.get("pas2", filtered=True), t.ccl)
 
 
 @register("affected_by_committee",
@@ -55,7 +55,7 @@ def infer_candidate_summary(spark, sf_dir):
           f"cast(sum(TRANSACTION_AMT) as decimal(38,2)) as affected_amount from {PAS2} p "
           f"where CAND_ID is null group by cycle, OTHER_ID")
 def affected_by_committee(spark, sf_dir):
-    return R.affected_by_committee(Tables(spark, sf_dir).pas2)
+    return R.affected_by_committee(Tables(spark, sf_dir).get("pas2", filtered=True))
 
 
 @register("ambiguous_linkage",
@@ -86,7 +86,7 @@ _ALL_TESTS = ("not_null", "unique", "relationships")
 
 def _review_tables(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return R.derive_issues(run_tests(t.get, _ALL_TESTS, parents=t.parents, cycles=t.cycles), R.ambiguous_linkage(t.ccl), R.affected_by_committee(t.pas2))
+    return R.derive_issues(run_tests(t.get, _ALL_TESTS, parents=t.parents, cycles=t.cycles), R.ambiguous_linkage(t.ccl), R.affected_by_committee(t.get("pas2", filtered=True)))
 
 
 ISSUES_CTE = (

@@ -25,8 +25,9 @@ def lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return render_lines(spark, sf_dir, table)
 
 
-def typed(spark: SparkSession, sf_dir: str, table: str, keep_raw: Iterable[str] = ()) -> DataFrame:
-    return parse_lines(lines(spark, sf_dir, table), LAYOUTS[table], keep_raw=keep_raw)
+def typed(spark: SparkSession, sf_dir: str, table: str, keep_raw: Iterable[str] = (),
+          filtered: bool = False) -> DataFrame:
+    return parse_lines(lines(spark, sf_dir, table), LAYOUTS[table], keep_raw=keep_raw, filtered=filtered)
 
 
 def expected_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,9 +67,9 @@ class Tables:
             return self.get(name)
         raise AttributeError(name)
 
-    def get(self, name: str, keep_raw: Iterable[str] = ()) -> DataFrame:
-        """Typed table; the same (lazy) DataFrame object is reused for the session."""
-        key = (name, tuple(keep_raw))
+    def get(self, name: str, keep_raw: Iterable[str] = (), filtered: bool = False) -> DataFrame:
+        """Typed table; the same (lazy) DataFrame object is reused for the session.  ``filtered``: see ``parse_lines``."""
+        key = (name, tuple(keep_raw), filtered)
         if key not in self._memo:
-            self._memo[key] = typed(self.spark, self.sf_dir, name, key[1])
+            self._memo[key] = typed(self.spark, self.sf_dir, name, *key[1:])
         return self._memo[key]

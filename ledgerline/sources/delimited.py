@@ -35,12 +35,11 @@ def field_count_ok(parts: Column, n: int) -> Column:
 
 
 def line_shape_ok(value: Column, n: int) -> Column:
-    """The same rule from the raw line: count delimiters instead of splitting.
+    """The same rule from the raw line, without splitting: what comes before the ``n``-th delimiter is the line, or all but its end.
 
-    In bytes: a delimiter is one, and neither ``octet_length`` nor ``replace`` walks characters.
+    In bytes; a line of fewer delimiters is returned as it is, not copied.
     """
-    delims = F.octet_length(value) - F.octet_length(F.replace(value, F.lit("|"), F.lit("")))
-    return (delims <= n - 1) | ((delims == n) & value.endswith("|"))
+    return F.octet_length(value) - F.octet_length(F.substring_index(value, "|", n)) <= 1
 
 
 def _usable(value: Column) -> Column:
@@ -63,18 +62,28 @@ def parse_lines(
     value_col: str = "value",
     keep: Iterable[str] = ("cycle",),
     keep_raw: Iterable[str] = (),
+    filtered: bool = False,
 ) -> DataFrame:
     """Typed rows of ``layout`` from a frame of raw lines.
 
     ``keep`` columns of ``lines`` (e.g. ``cycle``) pass through in front.
     ``keep_raw`` adds ``<col>_raw`` = the untrimmed text field for audits that
-    must tell "blank" from "unparseable".
+    must tell "blank" from "unparseable".  ``filtered`` is for queries that
+    filter on typed columns: the same rows, at the price of one more operator.
     """
     n = len(layout.columns)
     keep = [c for c in keep if c in lines.columns]
     parts = F.col(_PARTS)
     v = F.col(value_col)
-    split = lines.where(_usable(v) & line_shape_ok(v, n)).select(*keep, F.split(v, r"\|", -1).alias(_PARTS))
+    if filtered:
+        # One generated row a line, none if its shape is wrong.  Filters stay above a generator and read the parts; inlined
+        # below a projection they would split the line again for each time that they name a field.  Its lambda ends the
+        # compiled stage, so that what counts the rows is compiled by itself.  A split ends behind field n + 1, which is
+        # empty or makes the row too long.
+        shaped = F.filter(F.array(F.split(v, r"\|", n + 1)), lambda p: field_count_ok(p, n))
+        split = lines.where(_usable(v)).select(*keep, F.explode(shaped).alias(_PARTS))
+    else:
+        split = lines.where(_usable(v) & line_shape_ok(v, n)).select(*keep, F.split(v, r"\|", -1).alias(_PARTS))
     typed = [clean(kind, F.get(parts, i)).alias(name) for i, (name, kind) in enumerate(layout.columns)]
     pos = {name: i for i, (name, _) in enumerate(layout.columns)}
     raws = [F.get(parts, pos[c]).alias(f"{c}_raw") for c in keep_raw]
