@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ledgerline.functions import clean as C
+from ledgerline.operators.slots import slot_profile
 from ledgerline.plans.catalog import register
 from ledgerline.plans.joins import shared_folder
 from ledgerline.plans.oracle_sql import duck_clean, lines_sql, typed_sql
@@ -14,7 +15,7 @@ from ledgerline.plans.tables import lines, typed
 from ledgerline.sources.delimited import shaped_fields
 from ledgerline.sources.layouts import LAYOUTS
 from ledgerline.sources.quoted import parse_records, read_records
-from ledgerline.sources.render import QUOTED_CYCLE, quotable_sql, write_quoted_files
+from ledgerline.sources.render import QUOTED_CYCLE, quotable_sql, render_tables, write_quoted_files
 
 # --- B1..B8: one typed load per layout -------------------------------------------------
 
@@ -90,21 +91,8 @@ def _fields_sql() -> str:
 
 @register("scan_fields", _fields_sql())
 def scan_fields(spark, sf_dir):
-    """Every slot of all eight layouts per cycle: rows, filled rows, characters, extremes, distinct texts.
-
-    Fields are counted per distinct text first, so a slot with one text in every row is one row of the shuffle.
-    """
-    slots = None
-    for table, lay in LAYOUTS.items():
-        rows = shaped_fields(lines(spark, sf_dir, table), len(lay.columns))
-        own = rows.select(F.lit(table).alias("table_name"), "cycle", F.posexplode("_parts").alias("at", "text"))
-        own = own.groupBy("table_name", "cycle", "at", "text").agg(F.count(F.lit(1)).alias("n"))
-        slots = own if slots is None else slots.unionByName(own)
-    filled = C.blank_to_null(F.col("text"))
-    return slots.groupBy("table_name", "cycle", (F.col("at") + 1).cast("int").alias("slot")).agg(
-        F.sum("n").alias("n_rows"), F.coalesce(F.sum(F.when(filled.isNotNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("n_filled"),
-        F.sum(F.length("text") * F.col("n")).cast("bigint").alias("n_chars"), F.min(filled).alias("least"), F.max(filled).alias("greatest"),
-        F.count(filled).alias("n_distinct"))
+    """Every slot of all eight layouts per cycle: rows, filled rows, characters, extremes, distinct texts."""
+    return slot_profile(render_tables(spark, sf_dir, LAYOUTS))
 
 
 # --- C: cleaning functions over every raw value of every landing column of their kind ----------

@@ -42,12 +42,12 @@ def line_shape_ok(value: Column, n: int) -> Column:
     return F.octet_length(value) - F.octet_length(F.substring_index(value, "|", n)) <= 1
 
 
-def _usable(value: Column) -> Column:
+def usable(value: Column) -> Column:
     return (value != F.lit("")) & F.is_valid_utf8(value)
 
 
 def split_fields(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    return lines.where(_usable(F.col(value_col))).withColumn(_PARTS, F.split(F.col(value_col), r"\|", -1))
+    return lines.where(usable(F.col(value_col))).withColumn(_PARTS, F.split(F.col(value_col), r"\|", -1))
 
 
 def shaped_fields(lines: DataFrame, n: int, value_col: str = "value") -> DataFrame:
@@ -81,9 +81,9 @@ def parse_lines(
         # compiled stage, so that what counts the rows is compiled by itself.  A split ends behind field n + 1, which is
         # empty or makes the row too long.
         shaped = F.filter(F.array(F.split(v, r"\|", n + 1)), lambda p: field_count_ok(p, n))
-        split = lines.where(_usable(v)).select(*keep, F.explode(shaped).alias(_PARTS))
+        split = lines.where(usable(v)).select(*keep, F.explode(shaped).alias(_PARTS))
     else:
-        split = lines.where(_usable(v) & line_shape_ok(v, n)).select(*keep, F.split(v, r"\|", -1).alias(_PARTS))
+        split = lines.where(usable(v) & line_shape_ok(v, n)).select(*keep, F.split(v, r"\|", -1).alias(_PARTS))
     typed = [clean(kind, F.get(parts, i)).alias(name) for i, (name, kind) in enumerate(layout.columns)]
     pos = {name: i for i, (name, _) in enumerate(layout.columns)}
     raws = [F.get(parts, pos[c]).alias(f"{c}_raw") for c in keep_raw]
@@ -92,7 +92,7 @@ def parse_lines(
 
 def rejected(value: Column, layout: Layout) -> Column:
     """Whether the scan skips a line: blank, invalid UTF-8 or too many fields."""
-    return ~_usable(value) | ~line_shape_ok(value, len(layout.columns))
+    return ~usable(value) | ~line_shape_ok(value, len(layout.columns))
 
 
 def rejected_lines(lines: DataFrame, layout: Layout, value_col: str = "value") -> DataFrame:

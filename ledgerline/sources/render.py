@@ -19,6 +19,7 @@ text scan of ``data/<cycle>/<table><yy>.zip`` yields (plus its cycle).
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -230,13 +231,18 @@ def _line(fields: list[str]) -> str:
     return "concat_ws('|', " + ", ".join(fields) + ")"
 
 
-def render_branches(table: str, dialect: str) -> list[tuple[str, str, str, str]]:
-    """``[(source, cycle_sql, where_sql, line_sql)]``; dims carry a ``cycle`` column."""
+def _branches(table: str, dialect: str) -> list[tuple[str, str, str, list[str]]]:
+    """``[(source, cycle_sql, where_sql, field_sqls)]``; dims carry a ``cycle`` column."""
     if table == "ccl":
-        return [("supplier", "cycle", w, _line(f)) for w, f in _ccl_branches(dialect)]
+        return [("supplier", "cycle", w, f) for w, f in _ccl_branches(dialect)]
     source, fn = _SOURCES[table]
     cyc = FACT_CYCLE if source == "lineitem" else "cycle"
-    return [(source, cyc, "true", _line(fn(dialect)))]
+    return [(source, cyc, "true", fn(dialect))]
+
+
+def render_branches(table: str, dialect: str) -> list[tuple[str, str, str, str]]:
+    """``[(source, cycle_sql, where_sql, line_sql)]`` of the same."""
+    return [(source, cyc, where, _line(fields)) for source, cyc, where, fields in _branches(table, dialect)]
 
 
 def render_sql(table: str) -> str:
@@ -257,24 +263,29 @@ def _source_text(source: str) -> str:
                     for src, cyc, where, line in render_branches(t, "spark") if src == source)
 
 
+def _read_source(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    """Rows that lines are rendered from; those of dimensions once per cycle of ``DIM_CYCLES``."""
+    lo, hi = DIM_CYCLES
+    src = spark.read.parquet(f"{sf_dir}/{source}.parquet")
+    # Prune to the columns the renders read *before* spreading: the spread
+    # hashes its input's columns, which would otherwise pin every column of
+    # the source (long comments included) into the scan and the shuffle.
+    # The set is per source, not per table, so every table rendered from
+    # one source shares one spread exchange (reused within a query).
+    used = _source_text(source)
+    src = src.select(*[c for c in src.columns if re.search(rf"\b{c}\b", used)])
+    if source == "lineitem":
+        return spread(src)
+    # A generator, not a join: each dimension row is emitted once per cycle.
+    return dealt(src).select("*", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.lit(2))).alias("cycle"))
+
+
 def render_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """Spark frame of the landing lines of ``table`` as ``(cycle, value)``."""
-    lo, hi = DIM_CYCLES
     out = None
     compiled_methods(spark)
     for source, cyc, where, line in render_branches(table, "spark"):
-        src = spark.read.parquet(f"{sf_dir}/{source}.parquet")
-        # Prune to the columns the renders read *before* spreading: the spread
-        # hashes its input's columns, which would otherwise pin every column of
-        # the source (long comments included) into the scan and the shuffle.
-        # The set is per source, not per table, so every table rendered from
-        # one source shares one spread exchange (reused within a query).
-        used = _source_text(source)
-        src = src.select(*[c for c in src.columns if re.search(rf"\b{c}\b", used)])
-        src = spread(src) if source == "lineitem" else dealt(src)
-        if source != "lineitem":
-            # A generator, not a join: each dimension row is emitted once per cycle.
-            src = src.select("*", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.lit(2))).alias("cycle"))
+        src = _read_source(spark, sf_dir, source)
         # A one-row generator is used as an optimization barrier: filters on
         # ``value`` (blank / UTF-8 / field count) cannot be inlined below it, so
         # the wide render expression is evaluated once per row instead of once
@@ -289,6 +300,32 @@ def render_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return out
 
 
+def render_tables(spark: SparkSession, sf_dir: str, tables: Iterable[str]) -> DataFrame:
+    """The landing lines of several tables as ``(table_name, cycle, value)``, each source read once.
+
+    Tables of one source share most of their fields: a field is rendered once a row and joined into the line of each table.
+    """
+    compiled_methods(spark)
+    made: dict[str, list[tuple[str, str, str, list[str]]]] = {}
+    for t in tables:
+        for source, cyc, where, fields in _branches(t, "spark"):
+            made.setdefault(source, []).append((t, cyc, where, fields))
+    out = None
+    for source, branches in made.items():
+        texts = list(dict.fromkeys(x for *_, where, fields in branches for x in (where, *fields)))
+        at = {x: f"_f{i}" for i, x in enumerate(texts)}
+        row = _read_source(spark, sf_dir, source).select(
+            F.expr(branches[0][1]).cast("int").alias("cycle"), *[F.expr(x).alias(at[x]) for x in texts])
+        own = [F.when(F.col(at[where]), F.struct(F.lit(t).alias("table_name"), F.expr(_line([at[x] for x in fields])).alias("value")))
+               for t, _, where, fields in branches]
+        # the lines of a row as an array: its lambda ends the compiled stage and keeps filters above, as in ``render_lines``
+        lines = row.select("cycle", F.array(*own).alias("lines"))
+        lines = lines.select("cycle", F.explode(F.filter("lines", lambda x: x.isNotNull())).alias("line"))
+        part = lines.select("line.table_name", "cycle", "line.value")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # --- files with quoted fields -------------------------------------------------------------
 
 # Cycles whose files are written with quotes; the others hold stray quotes and are literal.
