@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -10,13 +11,13 @@ from ledgerline.operators import audits as A
 from ledgerline.operators import manifest as I
 from ledgerline.plans import q_audits as Q
 from ledgerline.plans.catalog import register
-from ledgerline.plans.joins import shared_folder
+from ledgerline.plans.joins import materialize, shared_folder
 from ledgerline.plans.oracle_sql import lines_sql, typed_sql
 from ledgerline.plans.tables import Tables
 from ledgerline.sources import sinks
-from ledgerline.sources.archives import write_archives
+from ledgerline.sources.archives import remove_archives, write_archives
 from ledgerline.sources.layouts import ALL_TABLES, LAYOUTS
-from ledgerline.sources.render import BAD_BYTES, BLANK, OVER_LONG, archived_lines
+from ledgerline.sources.render import BAD_BYTES, BLANK, OVER_LONG, archived_lines, rendered_cycles
 from ledgerline.sources.zipped import load_zip, member_stats, zip_members
 
 LOADED_AT = "2026-01-01 00:00:00"
@@ -56,10 +57,16 @@ def _archive_sql() -> str:
 @register("archive_load_history", _archive_sql())
 def archive_load_history(spark, sf_dir):
     """Load history of all tables' archives, by table and cycle: the digest read is the digest written."""
-    root = _folder(spark, "archives")
-    archives = write_archives(archived_lines(spark, sf_dir, list(ALL_TABLES)), root)
-    history = I.archive_history(member_stats(zip_members(spark, archives, root)), LOADED_AT)
-    written = archives.select(F.col("zip_path").alias("source_zip_path"), "written_hash")
+    lines, stats, written = archived_lines(spark, sf_dir, list(ALL_TABLES)), [], []
+    for cycle in rendered_cycles(spark, sf_dir):
+        # A cycle's archives are written, read and counted before those of the next, so the disk holds one cycle at a time.
+        root = _folder(spark, "archives")
+        archives = write_archives(lines.where(F.col("cycle").eqNullSafe(F.lit(cycle).cast("int"))), root)
+        stats.append(materialize(member_stats(zip_members(spark, archives, root))))
+        remove_archives(archives, root)
+        written.append(archives.select(F.col("zip_path").alias("source_zip_path"), "written_hash"))
+    stats, written = (reduce(lambda a, b: a.unionByName(b), parts) for parts in (stats, written))
+    history = I.archive_history(stats, LOADED_AT)
     return history.join(written, "source_zip_path").groupBy("table_name", "cycle").agg(
         F.sum("row_count").alias("row_count"), F.sum("rejected_rows").alias("rejected_rows"),
         F.bool_and(F.col("source_file_hash").eqNullSafe(F.col("written_hash"))).alias("hash_agrees"),

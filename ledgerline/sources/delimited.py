@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.clean import clean
-from ledgerline.sources.layouts import Layout
+from ledgerline.sources.layouts import LAYOUTS, Layout
 
 _PARTS = "_parts"
 
@@ -34,12 +34,21 @@ def field_count_ok(parts: Column, n: int) -> Column:
     return (F.size(parts) <= n) | ((F.size(parts) == n + 1) & (F.get(parts, n) == F.lit("")))
 
 
-def line_shape_ok(value: Column, n: int) -> Column:
+def line_shape_ok(value: Column, n: int | Column) -> Column:
     """The same rule from the raw line, without splitting: what comes before the ``n``-th delimiter is the line, or all but its end.
 
     In bytes; a line of fewer delimiters is returned as it is, not copied.
     """
-    return F.octet_length(value) - F.octet_length(F.substring_index(value, "|", n)) <= 1
+    head = F.call_function("substring_index", value, F.lit("|"), n if isinstance(n, Column) else F.lit(n))
+    return F.octet_length(value) - F.octet_length(head) <= 1
+
+
+def width_of(table_name: Column) -> Column:
+    """Number of columns of the layout that ``table_name`` names; NULL if there is none."""
+    n = F.lit(None).cast("int")
+    for lay in LAYOUTS.values():
+        n = F.when(table_name == lay.name, len(lay.columns)).otherwise(n)
+    return n
 
 
 def usable(value: Column) -> Column:

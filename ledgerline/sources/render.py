@@ -376,13 +376,15 @@ BAD_BYTES, OVER_LONG, BLANK = (f"length(value) % {m} = 0" for m in (17, 19, 23))
 def archived_lines(spark: SparkSession, sf_dir: str, tables: list[str]) -> DataFrame:
     """``(table_name, cycle, raw)``: landing lines in bytes with planted bad ones; CRLF where 4 divides the cycle."""
     end = F.when(F.col("cycle") % 4 == 0, F.lit(b"\r\n")).otherwise(F.lit(b"\n"))
-    text = F.encode("value", "UTF-8")
-    over = F.encode(F.concat("value", F.lit("|x" * 40)), "UTF-8")
+    text = F.col("value").cast("binary")
+    over = F.concat("value", F.lit("|x" * 40)).cast("binary")
     raws = F.array(F.concat(text, end), F.when(F.expr(BAD_BYTES), F.concat(text, F.lit(b"\xc3\x28"), end)),
                    F.when(F.expr(OVER_LONG), F.concat(over, end)), F.when(F.expr(BLANK), end))
-    out = None
-    for t in tables:
-        part = render_lines(spark, sf_dir, t).select(
-            F.lit(t).alias("table_name"), "cycle", F.explode(F.filter(raws, lambda x: x.isNotNull())).alias("raw"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    return render_tables(spark, sf_dir, tables).select(
+        "table_name", "cycle", F.explode(F.filter(raws, lambda x: x.isNotNull())).alias("raw"))
+
+
+def rendered_cycles(spark: SparkSession, sf_dir: str) -> list[int | None]:
+    """Cycles that have landing lines (a bounded list); NULL is one where a fact has no ship date."""
+    found = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.expr(FACT_CYCLE).alias("cycle")).distinct().collect()
+    return sorted({r.cycle for r in found} | set(range(DIM_CYCLES[0], DIM_CYCLES[1] + 1, 2)), key=lambda c: (c is None, c or 0))

@@ -21,14 +21,15 @@ import time
 import zipfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerline.sources.archives import file_hash, mounted
-from ledgerline.sources.delimited import parse_lines, rejected
-from ledgerline.sources.layouts import LAYOUTS, Layout
+from ledgerline.sources.delimited import line_shape_ok, parse_lines, usable, width_of
+from ledgerline.sources.layouts import Layout
 
 LINES_SCHEMA = "cycle int, zip_path string, source_entry string, line_no bigint, raw binary"
 _OUT = pa.schema([("cycle", pa.int32()), ("zip_path", pa.string()), ("source_entry", pa.string()),
@@ -83,16 +84,14 @@ def _extract(root: str, members: bool = False):
 def _of_member(lines: pa.RecordBatch, row: dict, digest: str | None = None, ms: int | None = None) -> pa.RecordBatch:
     n = lines.num_rows
     return pa.RecordBatch.from_arrays([
-        *lines.columns, pa.array([row["table_name"]] * n, pa.string()), pa.array([digest] * n, pa.string()),
-        pa.array([ms] * n, pa.int64())], schema=_MEMBERS)
+        *lines.columns, *(pa.repeat(pa.scalar(v, t), n) for v, t in zip((row["table_name"], digest, ms), _MEMBERS.types[-3:]))], schema=_MEMBERS)
 
 
 def _batch(row: dict, nos: range, raws: list[bytes]) -> pa.RecordBatch:
     n = len(raws)
     return pa.RecordBatch.from_arrays([
-        pa.array([row["cycle"]] * n, pa.int32()), pa.array([row["zip_path"]] * n, pa.string()),
-        pa.array([row["source_entry"]] * n, pa.string()), pa.array(nos, pa.int64()),
-        pa.array(raws, pa.binary())], schema=_OUT)
+        *(pa.repeat(pa.scalar(row[c], t), n) for c, t in zip(_OUT.names[:3], _OUT.types)),
+        pa.array(np.arange(nos.start, nos.stop)), pa.array(raws, pa.binary())], schema=_OUT)
 
 
 def _one_per_task(m: DataFrame) -> tuple[DataFrame, int]:
@@ -129,13 +128,13 @@ def zip_members(spark: SparkSession, manifest: DataFrame, root: str = "") -> Dat
 
 def member_stats(members: DataFrame) -> DataFrame:
     """One row per archive member of ``zip_members``: accepted and rejected lines, sha256, milliseconds."""
-    bad = F.lit(None).cast("boolean")
-    for t in LAYOUTS.values():
-        bad = F.when(F.col("table_name") == t.name, rejected(F.col("value"), t)).otherwise(bad)
-    line = F.col("value").isNotNull()
-    return members.groupBy("table_name", "cycle", "zip_path", "source_entry").agg(
-        F.count_if(line & ~bad).alias("row_count"), F.count_if(line & bad).alias("rejected_rows"),
-        F.max("source_file_hash").alias("source_file_hash"), F.max("duration_ms").alias("duration_ms"))
+    width = width_of(F.col("table_name"))
+    line = F.col("value").isNotNull() & width.isNotNull()
+    rows = members.withColumn("bad", ~usable(F.col("value")) | ~line_shape_ok(F.col("value"), width))
+    # The digest is on one row of a member: collected, since the largest of texts would sort all lines first.
+    return rows.groupBy("table_name", "cycle", "zip_path", "source_entry").agg(
+        (F.count_if(line) - F.count_if(line & F.col("bad"))).alias("row_count"), F.count_if(line & F.col("bad")).alias("rejected_rows"),
+        F.array_max(F.collect_list("source_file_hash")).alias("source_file_hash"), F.max("duration_ms").alias("duration_ms"))
 
 
 def write_bronze(lines: DataFrame, path: str) -> None:
