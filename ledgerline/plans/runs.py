@@ -28,6 +28,7 @@ from ledgerline.sources.layouts import FACTS, LAYOUTS
 from ledgerline.sources.zipped import write_bronze, zip_lines
 
 RAW_COLUMNS = ("TRANSACTION_AMT", "TRANSACTION_DT")
+AMOUNTS = (0.0, 50000.0)  # range of the domain audit
 # Stated, not inferred: a load without any line still has a readable schema.
 BRONZE_SCHEMA = "zip_path string, source_entry string, line_no bigint, value string, cycle int"
 
@@ -73,9 +74,8 @@ def audit_metrics(table, run_id: int, run_ts: str, names: list[str], cycles: Dat
     Every parent table of a relationship must be readable, and fact tables must carry their raw
     amount and date texts; a missing one raises instead of leaving its audit out.
     """
-    parents: dict = {}
-    parts = [A.table_audit_metrics(lambda name, keep_raw=(): table(name), n, run_id, run_ts,
-                                   parents=parents, cycles=cycles) for n in names]
+    _, wide = A.audit_pass(table, names, {"d": AMOUNTS}, duplicates=False)
+    parts = [A.pass_metrics(wide, n, ("null_rate", "referential_orphan", "amount_date_domain"), run_id, run_ts, cycles=cycles) for n in names]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

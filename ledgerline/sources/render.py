@@ -385,6 +385,6 @@ def archived_lines(spark: SparkSession, sf_dir: str, tables: list[str]) -> DataF
 
 
 def rendered_cycles(spark: SparkSession, sf_dir: str) -> list[int | None]:
-    """Cycles that have landing lines (a bounded list); NULL is one where a fact has no ship date."""
+    """Cycles that have landing lines (a bounded list); NULL is one where a fact has no ship date, and comes first."""
     found = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.expr(FACT_CYCLE).alias("cycle")).distinct().collect()
-    return sorted({r.cycle for r in found} | set(range(DIM_CYCLES[0], DIM_CYCLES[1] + 1, 2)), key=lambda c: (c is None, c or 0))
+    return sorted({r.cycle for r in found} | set(range(DIM_CYCLES[0], DIM_CYCLES[1] + 1, 2)), key=lambda c: (c is not None, c or 0))

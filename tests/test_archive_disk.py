@@ -5,6 +5,8 @@ import random
 import uuid
 import zipfile
 
+import pytest
+
 import __spark_entry__ as E
 from ledgerline.plans import q_refresh
 from ledgerline.sources.archives import remove_archives, write_archives
@@ -64,3 +66,13 @@ def test_one_cycle_at_a_time(spark, sf, duck, tmp_path, monkeypatch):
     cur = duck.execute(E.oracle_sql()["archive_load_history"])
     at = [d[0] for d in cur.description]
     assert sorted(tuple(r[c] for c in at) for r in got.collect()) == sorted(cur.fetchall())
+
+
+def test_no_ship_date_is_refused(spark, sf, tmp_path):
+    for t in ("customer", "supplier"):
+        spark.read.parquet(f"{sf}/{t}.parquet").limit(3).write.parquet(f"{tmp_path}/{t}.parquet")
+    li = spark.read.parquet(f"{sf}/lineitem.parquet").limit(20)
+    li.unionByName(li.limit(1).selectExpr(*[c if c != "l_shipdate" else "cast(null as timestamp_ntz) as l_shipdate" for c in li.columns])) \
+        .write.parquet(f"{tmp_path}/lineitem.parquet")
+    with pytest.raises(Exception, match="cycle of a line is NULL"):
+        E.queries()["archive_load_history"](spark, str(tmp_path))
